@@ -63,14 +63,14 @@ def scale_values(df: DataFrame, factor: int, value: str = "value") -> DataFrame:
 class Scenario:
     """One fault: what is altered, which checks should notice, and how to run those checks.
 
-    ``detect`` returns check, reconciliation or statistical result rows of the altered tables.
+    ``detect`` returns the check, reconciliation or statistical results of the altered tables.
     """
 
     scenario_id: str
     corruption_type: str
     target: str
     detectors: tuple[str, ...]
-    detect: Callable[[], DataFrame]
+    detect: Callable[[], list[DataFrame]]
     advisory: bool = False
 
 
@@ -97,7 +97,7 @@ def detection_matrix(spark: SparkSession, scenarios: list[Scenario]) -> DataFram
     A scenario is blocked when a detector fails with severity CRITICAL or ERROR. Detector names per scenario are a
     fixed short list.
     """
-    signals = union_all([_signals(s.detect(), s) for s in scenarios])
+    signals = union_all([_signals(results, s) for s in scenarios for results in s.detect()])
     fired = F.col("status").isin(FAIL, WARNING, UNRESOLVED, DIFFERENT)
     blocking = (F.col("status") == FAIL) & F.col("severity").isin(CRITICAL, ERROR)
     seen = signals.groupBy("scenario_id").agg(

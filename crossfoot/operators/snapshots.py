@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -20,6 +21,12 @@ Tables = dict[str, DataFrame]
 # Dimension names of the comparison.
 CATEGORY_DIMENSION = "CATEGORY_NATIONAL"
 KINDS = ("outward", "inward", "internal")
+# Bins of the stability index per dimension.
+SUITE_BINS = {
+    CATEGORY_DIMENSION: 10,
+    **{f"ENTITY_{kind.upper()}": 5 for kind in KINDS},
+    **{f"CATEGORY_ENTITY_{kind.upper()}": 10 for kind in KINDS},
+}
 
 
 def comparable_dimensions(reference: Tables, comparison: Tables, mapping: dict[str, str] | None = None) -> DataFrame:
@@ -75,6 +82,11 @@ def pair_snapshots(reference: DataFrame, comparison: DataFrame, keys: list[str])
     return both.groupBy(*keys).agg(F.sum("reference").alias("reference"), F.sum("comparison").alias("comparison"))
 
 
+def suite_config(config: StatsConfig = StatsConfig()) -> StatsConfig:
+    """The configuration with the suite's bin counts where it names none."""
+    return replace(config, bins={**SUITE_BINS, **config.bins})
+
+
 def samples_of(pairs: DataFrame) -> DataFrame:
     """(dimension, side, value) for the distribution tests."""
     sides = F.array(
@@ -131,6 +143,7 @@ def macro_change(pairs: DataFrame) -> DataFrame:
 
 def distribution_results(pairs: DataFrame, config: StatsConfig = StatsConfig(), method: str = "auto") -> DataFrame:
     """KS and PSI rows of every dimension."""
+    config = suite_config(config)
     ordered = ordered_counts(samples_of(pairs))
     ks = ks_test(ordered, config, method)
     psi = psi_test(ordered, config)

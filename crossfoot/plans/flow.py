@@ -175,12 +175,14 @@ def publish(cube: DataFrame, entities: DataFrame, categories: DataFrame) -> Publ
 def published(spark: SparkSession, sf_dir: str, periods: tuple[int, int] | None = None) -> Published:
     """Published tables of all periods, or of a range of them, in one go."""
     return publish(
-        flow_cube(spark, sf_dir, periods), entity_dimension(spark, sf_dir), category_dimension(spark, sf_dir)
+        flow_cube(spark, sf_dir, periods),
+        entity_dimension(spark, sf_dir),
+        materialize(category_dimension(spark, sf_dir)),
     )
 
 
 def published_snapshots(spark: SparkSession, sf_dir: str, reference: int, comparison: int) -> tuple[Published, Published]:
     """Published tables of two years; the joins run once for both."""
     cube = flow_cube(spark, sf_dir, (min(reference, comparison), max(reference, comparison)))
-    entities, categories = entity_dimension(spark, sf_dir), category_dimension(spark, sf_dir)
+    entities, categories = entity_dimension(spark, sf_dir), materialize(category_dimension(spark, sf_dir))
     return tuple(publish(cube.where(F.col("period") == year), entities, categories) for year in (reference, comparison))
