@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 from crossfoot.functions.cells import inferred_type, is_filled
 from crossfoot.operators.ordered import ordinal_positions
 from crossfoot.operators.reshape import union_all
-from crossfoot.runtime import ref
+from crossfoot.runtime import inline_cells, literal, quoted, ref
 
 
 def table_profile(df: DataFrame, table: str) -> DataFrame:
     """(table_name, n_rows, n_columns, n_null): one pass over all columns."""
-    nulls = sum((ref(c).isNull().cast("long") for c in df.columns), F.lit(0).cast("long"))
+    nulls = F.expr(" + ".join(["0L", *[f"cast({quoted(c)} IS NULL AS bigint)" for c in df.columns]]))
     return df.agg(
         F.count("*").alias("n_rows"),
         F.lit(len(df.columns)).alias("n_columns"),
@@ -23,17 +23,15 @@ def table_profile(df: DataFrame, table: str) -> DataFrame:
 
 def column_profile(df: DataFrame, table: str) -> DataFrame:
     """(table_name, column_name, n_rows, n_null) for every column, one pass."""
-    counts = df.agg(F.count("*").alias("_n"), *[F.count_if(ref(c).isNull()).alias(c) for c in df.columns])
-    cells = [F.struct(F.lit(c).alias("column_name"), ref(c).alias("n_null")) for c in df.columns]
-    return counts.select(F.lit(table).alias("table_name"), F.col("_n").alias("n_rows"), F.inline(F.array(*cells))).select(
-        "table_name", "column_name", "n_rows", "n_null"
-    )
+    counts = df.selectExpr("count(*) AS _n", *[f"count_if({quoted(c)} IS NULL) AS {quoted(c)}" for c in df.columns])
+    cells = [{"column_name": literal(c), "n_null": quoted(c)} for c in df.columns]
+    return counts.select(F.lit(table).alias("table_name"), F.col("_n").alias("n_rows"), inline_cells(cells))
 
 
 def cells_as_text(df: DataFrame) -> DataFrame:
     """(column_name, cell) of every cell; each row turns into its own cells, no shuffle."""
-    cells = [F.struct(F.lit(c).alias("column_name"), ref(c).cast("string").alias("cell")) for c in df.columns]
-    return df.select(F.inline(F.array(*cells)))
+    cells = [{"column_name": literal(c), "cell": f"cast({quoted(c)} AS string)"} for c in df.columns]
+    return df.select(inline_cells(cells))
 
 
 def cell_type_distribution(df: DataFrame, table: str) -> DataFrame:

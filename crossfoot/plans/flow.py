@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from crossfoot.config import CrosstabSpec
 from crossfoot.operators.reshape import flat_list, header_labels, union_all, unpivot_categories, unpivot_matrix
-from crossfoot.runtime import materialize, ref
+from crossfoot.runtime import materialize, quoted
 from crossfoot.sources.crosstab import BODY, FOOTER, reported_totals
 
 TOTAL = "TOTAL"
@@ -107,12 +107,11 @@ def _wide(cells: DataFrame, labels: list[str], with_total: bool) -> DataFrame:
     return spread.groupBy("row", "row_role").pivot("column", header).agg(F.sum("value"))
 
 
-def _fill_footer(df: DataFrame, columns: list[str], total: str | None) -> DataFrame:
-    """A published total is never blank."""
-    for name in columns:
-        always = F.lit(name == total)
-        df = df.withColumn(name, F.when(always | (F.col("row_role") == FOOTER), F.coalesce(ref(name), F.lit(0))).otherwise(ref(name)))
-    return df
+def _printed(name: str, total: str | None) -> str:
+    """Cell as printed, as SQL text: a published total is never blank, a body cell may be."""
+    if name == total:
+        return f"coalesce({quoted(name)}, 0) AS {quoted(name)}"
+    return f"if(row_role = '{FOOTER}', coalesce({quoted(name)}, 0), {quoted(name)}) AS {quoted(name)}"
 
 
 @dataclass(frozen=True)
@@ -166,8 +165,8 @@ def publish(cube: DataFrame, entities: DataFrame, categories: DataFrame) -> Publ
         printed[name] = (_wide(frame, labels, total is not None), [*labels, total] if total else labels, total)
     for name, (frame, columns, total) in printed.items():
         data = frame.withColumnRenamed("row", "code")
-        wide[name] = _fill_footer(rows.join(data, ["code", "row_role"], "left"), columns, total).select(
-            "code", "description", "row_role", *[ref(c) for c in columns]
+        wide[name] = rows.join(data, ["code", "row_role"], "left").selectExpr(
+            "code", "description", "row_role", *[_printed(c, total) for c in columns]
         )
     return Published(wide, entities, categories, labels)
 

@@ -52,4 +52,20 @@ def materialize(df: DataFrame) -> DataFrame:
 
 def ref(name: str) -> Column:
     """Column reference that survives spaces, dots, ampersands and backticks in ``name``."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(quoted(name))
+
+
+def quoted(name: str) -> str:
+    """Column name for SQL text. Wide tables build their expressions as text: one call instead of one per column."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def literal(value: str) -> str:
+    """String literal for SQL text."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def inline_cells(cells: list[dict[str, str]]) -> Column:
+    """Generator that turns one row into one row per cell; each cell maps output names to SQL text."""
+    structs = [f"struct({', '.join(f'{text} AS {quoted(name)}' for name, text in cell.items())})" for cell in cells]
+    return F.expr(f"inline(array({', '.join(structs)}))")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from crossfoot.config import CrosstabSpec
 from crossfoot.functions.cells import clean_label, is_filled, numeric
-from crossfoot.runtime import ref
+from crossfoot.runtime import inline_cells, literal, quoted, ref
 
 BODY, FOOTER = "BODY", "FOOTER"
 COLUMN, ROW, GRAND = "COLUMN", "ROW", "GRAND"
@@ -109,12 +109,10 @@ def reported_totals(df: DataFrame, spec: CrosstabSpec, flat_value: str | None =
     table = F.lit(spec.name).alias("table_name")
     corner = flat_value or spec.total_column
     entities = [name for name in entity_columns(df, spec) if name != flat_value]
-    cells = [F.struct(F.lit(COLUMN).alias("axis"), F.lit(e).alias("entity"), ref(e).alias("value")) for e in entities]
+    cells = [{"axis": literal(COLUMN), "entity": literal(e), "value": quoted(e)} for e in entities]
     if corner:
-        cells.append(
-            F.struct(F.lit(GRAND).alias("axis"), F.lit(GRAND).alias("entity"), ref(corner).alias("value"))
-        )
-    bottom = footer(df, spec).select(table, F.inline(F.array(*cells)))
+        cells.append({"axis": literal(GRAND), "entity": literal(GRAND), "value": quoted(corner)})
+    bottom = footer(df, spec).select(table, inline_cells(cells))
     if not spec.total_column:
         return bottom
     side = body(df, spec).select(
@@ -149,17 +147,17 @@ def stage_cells(df: DataFrame, spec: CrosstabSpec) -> DataFrame:
     """
     positions = [name for name in df.columns if name not in (spec.row_role, spec.source_row)]
     cells = [
-        F.struct(
-            F.lit(name).alias("entity"),
-            ref(name).alias("value"),
-            F.lit(name == spec.total_column).alias("is_summary"),
-            F.lit(positions.index(name) + 1).alias("source_col"),
-        )
-        for name in positions
+        {
+            "entity": literal(name),
+            "value": quoted(name),
+            "is_summary": str(name == spec.total_column).lower(),
+            "source_col": str(position),
+        }
+        for position, name in enumerate(positions, start=1)
         if name not in spec.label_columns
     ]
     kept = [ref(name) for name in (*spec.label_columns, spec.source_row) if name in df.columns]
-    return body(df, spec).select(F.lit(spec.name).alias("table_name"), *kept, F.inline(F.array(*cells)))
+    return body(df, spec).select(F.lit(spec.name).alias("table_name"), *kept, inline_cells(cells))
 
 
 def stage_metadata(df: DataFrame, spec: CrosstabSpec, flat_value: str | None = None) -> DataFrame:
@@ -167,9 +165,9 @@ def stage_metadata(df: DataFrame, spec: CrosstabSpec, flat_value: str | None = N
     entities = entity_columns(df, spec)
     corner = flat_value or spec.total_column
     is_footer = ref(spec.row_role) == FOOTER if spec.row_role in df.columns else F.lit(False)
-    blanks = sum((ref(name).isNull().cast("long") for name in entities), F.lit(0).cast("long"))
+    blanks = F.expr(" + ".join(["0L", *[f"cast({quoted(name)} IS NULL AS bigint)" for name in entities]]))
     published = [name for name in entities if name != flat_value]
-    by_entity = F.to_json(F.create_map(*[part for name in published for part in (F.lit(name), ref(name))]))
+    by_entity = F.to_json(F.expr(f"map({', '.join(f'{literal(name)}, {quoted(name)}' for name in published)})"))
     has_totals = spec.row_role in df.columns
     return df.agg(
         F.count_if(~is_footer).alias("row_count"),
