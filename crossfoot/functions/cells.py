@@ -64,3 +64,8 @@ def is_infinite(value: Column) -> Column:
 def inferred_type(cell: Column) -> Column:
     """Type name a text cell would be given: empty, number or text."""
     return F.when(~is_filled(cell), "empty").when(is_number_text(cell), "number").otherwise("text")
+
+
+def sentence(*parts) -> Column:
+    """Concatenation of literals and columns for a message; a NULL part is left out."""
+    return F.concat_ws("", *[part if isinstance(part, Column) else F.lit(part) for part in parts])

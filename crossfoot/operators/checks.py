@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from crossfoot.config import CrosstabSpec, TableSpec
 from crossfoot.functions.cells import is_infinite, is_non_numeric, numeric
 from crossfoot.operators.reshape import union_all
-from crossfoot.operators.results import check, check_rows, text
+from crossfoot.operators.results import Sql, as_sql, check, check_rows, text
 from crossfoot.runtime import ref
 from crossfoot.schemas import CHECK_RESULT, CRITICAL, ERROR, INFO, WARNING
 from crossfoot.sources.crosstab import GRAND, body, entity_columns
@@ -90,9 +90,9 @@ def code_type_check(df: DataFrame, code: str, table: str) -> DataFrame:
     return check_rows(
         df.agg(wrong.alias("wrong")),
         [
-            check(f"SCH-04-{table}", "SCHEMA", "Code stored as text", table, F.col("wrong") == 0, ERROR, "string",
-                  stored.simpleString(), F.col("wrong"), F.col("wrong"), "All codes are stored as text.",
-                  text(F.col("wrong"), " codes are not text."))
+            check(f"SCH-04-{table}", "SCHEMA", "Code stored as text", table, Sql("wrong = 0"), ERROR, "string",
+                  stored.simpleString(), Sql("wrong"), Sql("wrong"), "All codes are stored as text.",
+                  text(Sql("wrong"), " codes are not text."))
         ],
     )
 
@@ -160,44 +160,44 @@ def expected_rows(spec: TableSpec) -> Column:
     return product
 
 
-def count_checks(spec: TableSpec, number: int) -> list[Column]:
+def count_checks(spec: TableSpec, number: int) -> list[Sql]:
     """Checks that read one row of :func:`table_metrics`."""
-    table, n = spec.name, F.col("n_rows")
+    table, n = spec.name, Sql("n_rows")
     rows = []
     if spec.expected_from:
-        gap = F.abs(n - F.col("expected_rows"))
+        gap, wanted = Sql("abs(n_rows - expected_rows)"), Sql("expected_rows")
         rows.append(
-            check(f"CMP-{number:02d}", "COMPLETENESS", "Record completeness", table, gap == 0, CRITICAL,
-                  F.col("expected_rows"), n, gap, gap, text("All ", n, " expected records are present."),
-                  text("Expected ", F.col("expected_rows"), " records, observed ", n, "."))
+            check(f"CMP-{number:02d}", "COMPLETENESS", "Record completeness", table, Sql("n_rows = expected_rows"), CRITICAL,
+                  wanted, n, gap, gap, text("All ", n, " expected records are present."),
+                  text("Expected ", wanted, " records, observed ", n, "."))
         )
-    dup = F.col("n_duplicates")
+    dup = Sql("n_duplicates")
     rows.append(
-        check(f"UNQ-{number:02d}", "UNIQUENESS", "Natural key uniqueness", table, dup == 0, CRITICAL,
+        check(f"UNQ-{number:02d}", "UNIQUENESS", "Natural key uniqueness", table, Sql("n_duplicates = 0"), CRITICAL,
               "0 duplicates", text(dup, " duplicates"), dup, dup, text("Key is unique across ", n, " rows."),
               text(dup, " rows share the key ", ", ".join(spec.key), "."))
     )
     if spec.code:
-        bad = F.col("n_bad_codes")
+        bad = Sql("n_bad_codes")
         rows.append(
-            check(f"DOM-03-{table}", "DOMAIN", "Code format", table, bad == 0, ERROR, spec.code_pattern,
+            check(f"DOM-03-{table}", "DOMAIN", "Code format", table, Sql("n_bad_codes = 0"), ERROR, spec.code_pattern,
                   text(bad, " invalid"), bad, bad, "All codes are valid.", text(bad, " rows carry an invalid code."))
         )
-    non, neg, inf, null = (F.col(c) for c in ("n_non_numeric", "n_negative", "n_infinite", "n_null"))
+    non, neg, inf, null = (Sql(c) for c in ("n_non_numeric", "n_negative", "n_infinite", "n_null"))
     rows += [
-        check(f"NUM-01-{table}", "NUMERIC", "Non-numeric values", table, non == 0, ERROR, "number or NULL",
-              text(non, " non-numeric"), non, non, "All values are numeric or NULL.",
+        check(f"NUM-01-{table}", "NUMERIC", "Non-numeric values", table, Sql("n_non_numeric = 0"), ERROR,
+              "number or NULL", text(non, " non-numeric"), non, non, "All values are numeric or NULL.",
               text(non, " values are not numeric.")),
-        check(f"NUM-02-{table}", "NUMERIC", "Negative values", table, neg == 0, ERROR, ">= 0",
+        check(f"NUM-02-{table}", "NUMERIC", "Negative values", table, Sql("n_negative = 0"), ERROR, ">= 0",
               text(neg, " negative"), neg, neg, "No value is negative.",
-              text(neg, " values are negative, lowest ", F.col("min_negative"), ".")),
-        check(f"NUM-03-{table}", "NUMERIC", "Infinite values", table, inf == 0, CRITICAL, "0 infinite",
+              text(neg, " values are negative, lowest ", Sql("min_negative"), ".")),
+        check(f"NUM-03-{table}", "NUMERIC", "Infinite values", table, Sql("n_infinite = 0"), CRITICAL, "0 infinite",
               text(inf, " infinite"), inf, inf, "No value is infinite.", text(inf, " values are infinite.")),
     ]
     if spec.expected_nulls is not None:
-        off = F.abs(null - F.lit(spec.expected_nulls))
+        off = Sql(f"abs(n_null - {spec.expected_nulls})")
         rows.append(
-            check(f"NUM-05-{table}", "NUMERIC", "NULL count audit", table, off == 0, WARNING,
+            check(f"NUM-05-{table}", "NUMERIC", "NULL count audit", table, Sql(f"n_null = {spec.expected_nulls}"), WARNING,
                   f"{spec.expected_nulls} NULLs", text(null, " NULLs"), off, off, "NULL count is as expected.",
                   text("Expected ", spec.expected_nulls, " NULLs, observed ", null, "."), status=WARNING)
         )
@@ -253,13 +253,13 @@ def membership_check(df: DataFrame, table: str, columns: list[str], domain: Doma
     metrics = bad.agg(F.count("*").alias("bad")).withColumn(
         "examples", first_labels(bad.select(F.coalesce("label", F.lit("NULL")).alias("label")))
     )
-    n = F.col("bad")
+    n = Sql("bad")
     return check_rows(
         metrics,
         [
-            check(f"DOM-01-{table}", "DOMAIN", "Domain membership", table, n == 0, ERROR, "subset of the domain",
+            check(f"DOM-01-{table}", "DOMAIN", "Domain membership", table, Sql("bad = 0"), ERROR, "subset of the domain",
                   text(n, " invalid labels"), n, n, "All labels belong to the domain.",
-                  text("Invalid labels: ", F.col("examples"), "."))
+                  text("Invalid labels: ", Sql("examples"), "."))
         ],
     )
 
@@ -276,13 +276,13 @@ def label_set_check(
     else:
         metrics = metrics.withColumn("extra", F.lit(0).cast("long"))
     metrics = metrics.withColumn("expected", domain_size(domain))
-    n = F.col("absent") + F.col("extra")
+    n = Sql("absent + extra")
     return check_rows(
         metrics,
         [
-            check(check_id, "COMPLETENESS", "Label set completeness", table, n == 0, severity,
-                  text(F.col("expected"), " labels"), text(F.col("absent"), " missing, ", F.col("extra"), " unexpected"),
-                  n, n, "The label set is complete.", text("Missing labels: ", F.col("absent_examples"), "."))
+            check(check_id, "COMPLETENESS", "Label set completeness", table, Sql("absent + extra = 0"), severity,
+                  text(Sql("expected"), " labels"), text(Sql("absent"), " missing, ", Sql("extra"), " unexpected"),
+                  n, n, "The label set is complete.", text("Missing labels: ", Sql("absent_examples"), "."))
         ],
     )
 
@@ -293,9 +293,9 @@ def label_preserved_check(df: DataFrame, table: str, column: str, kept: str, cor
         F.coalesce(F.bool_or(ref(column) == kept), F.lit(False)).alias("has_kept"),
         F.coalesce(F.bool_or(ref(column) == corrected), F.lit(False)).alias("has_corrected"),
     )
-    ok = F.col("has_kept") & ~F.col("has_corrected")
-    off = F.when(ok, 0).otherwise(1)
-    seen = F.when(F.col("has_corrected"), corrected).when(F.col("has_kept"), kept).otherwise("neither")
+    ok = Sql("has_kept AND NOT has_corrected")
+    off = Sql(f"if({ok}, 0, 1)")
+    seen = Sql(f"CASE WHEN has_corrected THEN {as_sql(corrected)} WHEN has_kept THEN {as_sql(kept)} ELSE 'neither' END")
     return check_rows(
         metrics,
         [
@@ -316,12 +316,11 @@ def reshape_check(wide: DataFrame, spec: CrosstabSpec, long: DataFrame, table: s
         .agg((F.count("*") * width).alias("cells"))
         .withColumn("rows", long.agg(F.count("*")).scalar())
     )
-    cells, rows = F.col("cells"), F.col("rows")
-    gap = F.abs(cells - rows)
+    cells, rows, gap = Sql("cells"), Sql("rows"), Sql("abs(cells - rows)")
     return check_rows(
         metrics,
         [
-            check("STR-01", "STRUCTURAL", "Reshape conservation", table, gap == 0, CRITICAL, cells, rows, gap, gap,
+            check("STR-01", "STRUCTURAL", "Reshape conservation", table, Sql("cells = rows"), CRITICAL, cells, rows, gap, gap,
                   text(cells, " cells became ", rows, " rows."), text(cells, " cells, but ", rows, " rows."))
         ],
     )
@@ -330,13 +329,12 @@ def reshape_check(wide: DataFrame, spec: CrosstabSpec, long: DataFrame, table: s
 def summary_present_check(totals: DataFrame, table: str) -> DataFrame:
     """STR-02: the published grand total exists and is filled."""
     found = F.count_if((F.col("table_name") == table) & (F.col("axis") == GRAND) & F.col("value").isNotNull())
-    n = F.col("found")
-    off = F.when(n > 0, 0).otherwise(1)
+    off = Sql("if(found > 0, 0, 1)")
     return check_rows(
         totals.agg(found.alias("found")),
         [
-            check(f"STR-02-{table}", "STRUCTURAL", "Published grand total present", table, n > 0, ERROR,
-                  "grand total", text(n, " found"), off, off, "The grand total is present.",
+            check(f"STR-02-{table}", "STRUCTURAL", "Published grand total present", table, Sql("found > 0"), ERROR,
+                  "grand total", text(Sql("found"), " found"), off, off, "The grand total is present.",
                   "The grand total is missing.")
         ],
     )

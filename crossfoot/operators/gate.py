@@ -7,8 +7,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from crossfoot.functions.cells import sentence
 from crossfoot.functions.status import is_blocking, severity_rank
-from crossfoot.operators.results import text
 from crossfoot.schemas import CRITICAL, ERROR, FAIL, OPEN, WARNING
 
 
@@ -102,7 +102,7 @@ def aggregate_incidents(failed: DataFrame, incident_type: str = "DATA_INTEGRITY_
     )
     counts = distinct.groupBy("run_id").agg(F.count("*").alias("_ids"))
     severity = F.upper(F.col("p.severity"))
-    more = F.when(F.col("_ids") > 3, text(" (+", F.col("_ids") - 3, " more)")).otherwise("")
+    more = F.when(F.col("_ids") > 3, sentence(" (+", F.col("_ids") - 3, " more)")).otherwise("")
     return (
         heads.join(leading, "run_id", "left")
         .join(counts, "run_id", "left")
@@ -120,7 +120,7 @@ def aggregate_incidents(failed: DataFrame, incident_type: str = "DATA_INTEGRITY_
             "affected_record_count",
             "n_failures",
             F.concat(F.lit("Data Reliability Gate Failure: "), F.coalesce("_first", F.lit("")), more).alias("title"),
-            text(
+            sentence(
                 "Run ", F.col("run_id"), " failed reliability validation with ", F.col("n_failures"),
                 " integrity check(s). Primary failure: [", F.col("p.check_id"), "] in ",
                 F.coalesce("p.table_name", F.lit("source")), ". Promotion was halted.",

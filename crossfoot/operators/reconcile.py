@@ -20,8 +20,8 @@ from crossfoot.functions.amounts import (
     relative_difference,
     zero_if_null,
 )
+from crossfoot.functions.cells import sentence
 from crossfoot.operators.reshape import union_all
-from crossfoot.operators.results import text
 from crossfoot.schemas import RECONCILIATION_RESULT, UNRESOLVED, UNRESOLVED_TEXT, WARNING
 from crossfoot.sources.crosstab import GRAND
 
@@ -127,8 +127,8 @@ def compare(
     gap = F.format_number(absolute_difference(e, o), 6)
     message = (
         F.when(open_case, UNRESOLVED_TEXT)
-        .when(ok, text(F.col("dimension"), " agrees within tolerance."))
-        .otherwise(text(F.col("dimension"), " differs by ", gap, " for ", F.col("entity"), "."))
+        .when(ok, sentence(F.col("dimension"), " agrees within tolerance."))
+        .otherwise(sentence(F.col("dimension"), " differs by ", gap, " for ", F.col("entity"), "."))
     )
     values = {
         "absolute_difference": absolute_difference(e, o),

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from crossfoot.config import CrosstabSpec
 from crossfoot.functions.cells import clean_label
-from crossfoot.runtime import ref
+from crossfoot.runtime import quoted, ref
 from crossfoot.sources.crosstab import body, entity_columns
 
 
@@ -20,7 +20,7 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
 def unpivot_matrix(df: DataFrame, spec: CrosstabSpec) -> DataFrame:
     """Square table to (origin, destination, value): columns are origins, rows are destinations. Blanks stay NULL."""
     origins = entity_columns(df, spec)
-    long = body(df, spec).unpivot([ref(spec.row_label)], [ref(name) for name in origins], "origin", "value")
+    long = body(df, spec).unpivot([ref(spec.row_label)], [quoted(name) for name in origins], "origin", "value")
     return long.select("origin", ref(spec.row_label).alias("destination"), "value")
 
 
@@ -32,8 +32,8 @@ def flat_list(df: DataFrame, spec: CrosstabSpec, value: str) -> DataFrame:
 
 def unpivot_categories(df: DataFrame, spec: CrosstabSpec) -> DataFrame:
     """Category table to (code, description, entity, value); the total column is not an entity. Blanks stay NULL."""
-    labels = [ref(name) for name in spec.label_columns]
-    long = body(df, spec).unpivot(labels, [ref(name) for name in entity_columns(df, spec)], "entity", "value")
+    labels = [quoted(name) for name in spec.label_columns]
+    long = body(df, spec).unpivot(labels, [quoted(name) for name in entity_columns(df, spec)], "entity", "value")
     code, description = spec.label_columns
     return long.select(ref(code).alias("code"), ref(description).alias("description"), "entity", "value")
 
@@ -95,7 +95,7 @@ def densify(df: DataFrame, rows: DataFrame, row: str, column: str, labels: list[
     """
     wide = df.groupBy(ref(row)).pivot(column, labels).agg(F.sum(ref(value)))
     full = rows.select(ref(row)).distinct().join(wide, row, "left")
-    return full.unpivot([ref(row)], [ref(label) for label in labels], column, value)
+    return full.unpivot([quoted(row)], [quoted(label) for label in labels], column, value)
 
 
 def missing_cells(df: DataFrame, rows: DataFrame, row: str, column: str, labels: list[str]) -> DataFrame:

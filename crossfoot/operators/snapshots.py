@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from crossfoot.config import StatsConfig
 from crossfoot.functions.amounts import change, change_note, change_pct, change_status
+from crossfoot.functions.cells import sentence
 from crossfoot.operators.distribution import COMPARISON, REFERENCE, ks_test, ordered_counts, psi_test
 from crossfoot.operators.reshape import canonical, union_all
-from crossfoot.operators.results import text
 from crossfoot.runtime import materialize
 from crossfoot.schemas import DIFFERENT, NO_CHANGE, STATISTICAL_RESULT
 
@@ -122,8 +122,8 @@ def year_over_year(pairs: DataFrame, config: StatsConfig = StatsConfig()) -> Dat
             "pct_change": pct,
             "status": change_status(pct, config),
             "interpretation": F.when(
-                pct.isNotNull(), text(metric, ": ", F.format_number(ref_value, 2), " -> ", F.format_number(comp_value, 2))
-            ).otherwise(text(metric, ": percentage change not applicable (", change_note(ref_value, comp_value), ")")),
+                pct.isNotNull(), sentence(metric, ": ", F.format_number(ref_value, 2), " -> ", F.format_number(comp_value, 2))
+            ).otherwise(sentence(metric, ": percentage change not applicable (", change_note(ref_value, comp_value), ")")),
         },
     )
 
@@ -203,7 +203,7 @@ def exception_audit(reference: Tables, comparison: Tables, entity: str, toleranc
             "test_method": F.lit("CROSS_PERIOD_OBSERVATION"),
             "statistic": gap_comp,
             "status": F.when(F.greatest(gap_ref, gap_comp) <= tolerance, NO_CHANGE).otherwise(DIFFERENT),
-            "interpretation": text("difference ", F.format_number(gap_ref, 6), " -> ", F.format_number(gap_comp, 6)),
+            "interpretation": sentence("difference ", F.format_number(gap_ref, 6), " -> ", F.format_number(gap_comp, 6)),
         },
     )
 

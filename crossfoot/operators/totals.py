@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from crossfoot.config import Tolerance
 from crossfoot.functions.amounts import zero_if_null
 from crossfoot.operators.reshape import union_all
-from crossfoot.operators.results import check, check_rows, text
+from crossfoot.operators.results import Sql, as_sql, check, check_rows, text
 from crossfoot.schemas import CRITICAL
 from crossfoot.sources.crosstab import COLUMN, GRAND, ROW
 
@@ -55,17 +55,16 @@ def total_checks(
         F.count_if(F.col("reported").isNull()).alias("absent"),
         F.max("difference").cast("double").alias("worst"),
     )
-    known = F.create_map(*[F.lit(x) for (table, axis), name in ids.items() for x in (f"{table}/{axis}", name)])
-    name = F.coalesce(F.try_element_at(known, F.concat_ws("/", "table_name", "axis")), F.lit("REC-V"))
-    bad, worst = F.col("bad"), F.col("worst")
+    known = ", ".join(as_sql(x) for (table, axis), name in ids.items() for x in (f"{table}/{axis}", name))
+    name = Sql(f"coalesce(try_element_at(map({known}), concat_ws('/', table_name, axis)), 'REC-V')")
+    bad, n = Sql("bad"), Sql("n")
     return check_rows(
         metrics,
         [
-            check(name, "SOURCE_TOTAL", text("Sums against published totals, axis ", F.col("axis")),
-                  F.col("table_name"), bad == 0, CRITICAL, "sums match published totals",
-                  text(bad, " of ", F.col("n"), " totals differ"), worst, bad,
-                  text("All ", F.col("n"), " totals match."),
-                  text(bad, " totals differ, ", F.col("absent"), " of them missing."), tolerance=tolerance.absolute)
+            check(name, "SOURCE_TOTAL", text("Sums against published totals, axis ", Sql("axis")), Sql("table_name"),
+                  Sql("bad = 0"), CRITICAL, "sums match published totals", text(bad, " of ", n, " totals differ"),
+                  Sql("worst"), bad, text("All ", n, " totals match."),
+                  text(bad, " totals differ, ", Sql("absent"), " of them missing."), tolerance=tolerance.absolute)
         ],
     )
 
@@ -102,15 +101,14 @@ def cross_foot_checks(
     reported: DataFrame, ids: dict[str, str], tolerance: Tolerance = Tolerance()
 ) -> DataFrame:
     """One result row per table and axis of :func:`cross_foot`."""
-    known = F.create_map(*[F.lit(x) for entry in ids.items() for x in entry])
-    name = F.coalesce(F.try_element_at(known, F.col("table_name")), F.lit("REC-V"))
-    ok = F.col("within")
+    known = ", ".join(as_sql(x) for entry in ids.items() for x in entry)
+    name = Sql(f"coalesce(try_element_at(map({known}), table_name), 'REC-V')")
     return check_rows(
         cross_foot(reported, tolerance),
         [
-            check(text(name, "-", F.col("axis")), "SOURCE_TOTAL", "Published totals against the grand total",
-                  F.col("table_name"), ok, CRITICAL, F.col("grand"), F.col("summed"), F.col("difference"),
-                  F.when(ok, 0).otherwise(1), "Totals add up to the grand total.",
+            check(text(name, "-", Sql("axis")), "SOURCE_TOTAL", "Published totals against the grand total",
+                  Sql("table_name"), Sql("within"), CRITICAL, Sql("grand"), Sql("summed"), Sql("difference"),
+                  Sql("if(within, 0, 1)"), "Totals add up to the grand total.",
                   "Totals do not add up to the grand total.", tolerance=tolerance.absolute)
         ],
     )

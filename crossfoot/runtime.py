@@ -17,6 +17,7 @@ def build_session(app: str, master: str | None = None, **conf: str) -> SparkSess
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **{key.replace("__", "."): value for key, value in conf.items()},
     }
     builder = SparkSession.builder.appName(app)
