@@ -81,52 +81,49 @@ def aggregate_incidents(failed: DataFrame, incident_type: str = "DATA_INTEGRITY_
 
     Severity, check and table come from the most severe failure; affected records add up over all failures. The
     failures themselves stay rows of their own, see :func:`incident_failures`: a run may have any number of them.
+
+    The failures are read once and reduced to one row per run and check before anything else happens.
     """
-    order = _order()
     primary = F.struct("check_id", "check_name", "table_name", "severity", "expected_value", "observed_value", "difference")
-    heads = failed.groupBy("run_id").agg(
-        F.min_by(primary, order).alias("p"),
-        F.count("*").alias("n_failures"),
-        F.coalesce(F.sum("affected_records"), F.lit(0)).alias("affected_record_count"),
-    )
-
-    by_rank = Window.partitionBy("run_id").orderBy("_rank", "check_id")
-    distinct = failed.where(F.col("check_id").isNotNull()).groupBy("run_id", "check_id").agg(
-        F.min(severity_rank(F.col("severity"))).alias("_rank")
+    by_check = failed.groupBy("run_id", "check_id").agg(
+        F.min_by(primary, _order()).alias("p"),
+        F.min(_order()).alias("order"),
+        F.min(severity_rank(F.col("severity"))).alias("rank"),
+        F.count("*").alias("n"),
+        F.sum("affected_records").alias("affected"),
     )
-    leading = (
-        distinct.withColumn("_n", F.row_number().over(by_rank))
-        .where(F.col("_n") <= 3)
-        .groupBy("run_id")
-        .agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("_n", "check_id"))), lambda s: s["check_id"]), ", ").alias("_first"))
+    ranked = Window.partitionBy("run_id").orderBy(F.col("check_id").isNull(), "rank", "check_id")
+    leading = F.when((F.col("k") <= 3) & F.col("check_id").isNotNull(), F.struct("k", "check_id"))
+    heads = by_check.withColumn("k", F.row_number().over(ranked)).groupBy("run_id").agg(
+        F.min_by("p", "order").alias("p"),
+        F.sum("n").alias("n_failures"),
+        F.coalesce(F.sum("affected"), F.lit(0)).alias("affected_record_count"),
+        F.count("check_id").alias("ids"),
+        F.sort_array(F.collect_list(leading)).alias("leading"),
     )
-    counts = distinct.groupBy("run_id").agg(F.count("*").alias("_ids"))
     severity = F.upper(F.col("p.severity"))
-    more = F.when(F.col("_ids") > 3, sentence(" (+", F.col("_ids") - 3, " more)")).otherwise("")
-    return (
-        heads.join(leading, "run_id", "left")
-        .join(counts, "run_id", "left")
-        .select(
-            F.concat(F.lit("INC-"), "run_id").alias("incident_id"),
-            "run_id",
-            F.when(severity.isin(CRITICAL, ERROR), severity).otherwise(WARNING).alias("severity"),
-            F.lit(incident_type).alias("failure_type"),
-            F.col("p.table_name").alias("source_table"),
-            F.col("p.check_id").alias("check_id"),
-            F.col("p.check_name").alias("check_name"),
-            F.col("p.expected_value").alias("expected_value"),
-            F.col("p.observed_value").alias("observed_value"),
-            F.col("p.difference").alias("difference"),
-            "affected_record_count",
-            "n_failures",
-            F.concat(F.lit("Data Reliability Gate Failure: "), F.coalesce("_first", F.lit("")), more).alias("title"),
-            sentence(
-                "Run ", F.col("run_id"), " failed reliability validation with ", F.col("n_failures"),
-                " integrity check(s). Primary failure: [", F.col("p.check_id"), "] in ",
-                F.coalesce("p.table_name", F.lit("source")), ". Promotion was halted.",
-            ).alias("description"),
-            F.lit(OPEN).alias("status"),
-        )
+    more = F.when(F.col("ids") > 3, sentence(" (+", F.col("ids") - 3, " more)")).otherwise("")
+    names = F.array_join(F.transform("leading", lambda entry: entry["check_id"]), ", ")
+    return heads.select(
+        F.concat(F.lit("INC-"), "run_id").alias("incident_id"),
+        "run_id",
+        F.when(severity.isin(CRITICAL, ERROR), severity).otherwise(WARNING).alias("severity"),
+        F.lit(incident_type).alias("failure_type"),
+        F.col("p.table_name").alias("source_table"),
+        F.col("p.check_id").alias("check_id"),
+        F.col("p.check_name").alias("check_name"),
+        F.col("p.expected_value").alias("expected_value"),
+        F.col("p.observed_value").alias("observed_value"),
+        F.col("p.difference").alias("difference"),
+        "affected_record_count",
+        "n_failures",
+        sentence("Data Reliability Gate Failure: ", names, more).alias("title"),
+        sentence(
+            "Run ", F.col("run_id"), " failed reliability validation with ", F.col("n_failures"),
+            " integrity check(s). Primary failure: [", F.col("p.check_id"), "] in ",
+            F.coalesce("p.table_name", F.lit("source")), ". Promotion was halted.",
+        ).alias("description"),
+        F.lit(OPEN).alias("status"),
     )
 
 

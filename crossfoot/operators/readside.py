@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from crossfoot.functions.status import health
@@ -176,7 +176,7 @@ def statistical_summary(df: DataFrame) -> DataFrame:
         F.struct(F.lit("STATUS").alias("grouping"), F.col("status").alias("name")),
     )
     counts = df.select(F.inline(both)).groupBy("grouping", "name").agg(F.count("*").alias("n"))
-    total = df.agg(F.count("*")).scalar()
+    total = F.sum("n").over(Window.partitionBy("grouping"))
     return counts.withColumn("pct", _share(F.col("n"), total))
 
 

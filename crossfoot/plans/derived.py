@@ -63,9 +63,8 @@ def order_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def order_reconciliations(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_reconciliations(checked: DataFrame) -> DataFrame:
     """The same comparison as reconciliation rows: advisory, severe cases are open questions."""
-    checked = order_checks(spark, sf_dir)
     status = F.col("status")
     return checked.select(
         "run_id",
@@ -77,9 +76,8 @@ def order_reconciliations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def order_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_statistics(checked: DataFrame) -> DataFrame:
     """The same comparison as statistical rows: the share by which the line sum departs from the printed total."""
-    checked = order_checks(spark, sf_dir)
     share = F.try_divide(F.col("difference"), F.col("expected").cast("double")) * 100.0
     status = F.when(share.isNull(), NOT_APPLICABLE).when(share <= 25.0, NO_CHANGE).otherwise(DIFFERENT)
     return checked.select(

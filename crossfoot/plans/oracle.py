@@ -806,15 +806,6 @@ _PLACES = (
 _YEARLY = f"""yearly AS (SELECT o_custkey, year(o_orderdate) AS y, max(o_orderpriority) AS priority, max(o_orderstatus) AS status, count(*) AS n_orders
   FROM orders WHERE year(o_orderdate) IN ({YEAR_A}, {YEAR_B}) GROUP BY 1, 2)"""
 
-# Exact two-sided tail probability: walk all lattice paths column by column and keep those inside the band. ``f`` holds
-# the share of paths that reach each height; running sums move it one column on.
-EXACT = (
-    "sized AS (SELECT dimension, n, m, d, CAST(round(d * n * m) AS BIGINT) AS b, least(n, m) >= 5 AS enough FROM ks)",
-    """binom AS (SELECT *, greatest(1, CAST(round(CAST(b AS DOUBLE) / n) AS BIGINT)) AS h FROM sized)""",
-    """equal AS (SELECT dimension, 2.0 * list_sum(list_transform(range(1, CAST(n // h AS BIGINT) + 1), lambda k: CASE WHEN k % 2 = 1 THEN 1.0 ELSE -1.0 END
-      * exp(2 * lgamma(n + 1) - lgamma(n - k * h + 1) - lgamma(n + k * h + 1)))) AS p FROM binom WHERE n = m AND b > 0)""",
-)
-
 ORACLE.update(
     {
         "table_profile": "\nUNION ALL ".join(_table_profile(t) for t in _COLUMNS),
@@ -826,8 +817,8 @@ ORACLE.update(
         ),
         "cell_empty_lines": _with(
             *ONE, *_PLACES,
-            body="""SELECT 'inward' AS table_name, 'ROW' AS axis, r AS line FROM placed GROUP BY r HAVING count(*) FILTER (value > 300000) = 0
-  UNION ALL SELECT 'inward', 'COLUMN', c FROM placed GROUP BY c HAVING count(*) FILTER (value > 300000) = 0""",
+            body="""SELECT 'inward' AS table_name, 'ROW' AS axis, r AS line FROM placed GROUP BY r HAVING count(*) FILTER (value > 1500000) = 0
+  UNION ALL SELECT 'inward', 'COLUMN', c FROM placed GROUP BY c HAVING count(*) FILTER (value > 1500000) = 0""",
         ),
         "snapshot_label_diff": f"""SELECT o_custkey AS label, bool_or(year(o_orderdate) = {YEAR_A}) AS in_reference, bool_or(year(o_orderdate) = {YEAR_B}) AS in_comparison
   FROM orders WHERE year(o_orderdate) IN ({YEAR_A}, {YEAR_B}) GROUP BY 1 HAVING count(DISTINCT year(o_orderdate)) = 1""",

@@ -4,16 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crossfoot.config import StatsConfig, TableSpec, Tolerance
 from crossfoot.functions.status import status_class
 from crossfoot.operators import checks, distribution, faults, gate, profiling, readside, reconcile, reshape, snapshots, totals
+from crossfoot.operators.ordered import ordinal_positions
 from crossfoot.operators.reshape import union_all
 from crossfoot.plans import derived, flow, suite
 from crossfoot.plans.flow import CATEGORY_TABLES, SPECS, Published, published, published_snapshots, table
-from crossfoot.runtime import materialize, ref
+from crossfoot.runtime import materialize
 from crossfoot.sources import crosstab, files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,7 +30,7 @@ TABLES = (
 CHECK_COLUMNS = ("check_id", "table_name", "status", "severity", "expected", "observed", "difference", "affected_records")
 
 
-def amount(name: str, digits: int = 2) -> F.Column:
+def amount(name: str, digits: int = 2) -> Column:
     """A number as it is compared with other engines: double, rounded."""
     return F.round(F.col(name).cast("double"), digits).alias(name)
 
@@ -120,8 +121,6 @@ def _staged(spark, sf_dir) -> DataFrame:
     """Staged cells of the inward table of one year; rows are numbered by code, as a publisher would sort them."""
     p = _one_year(spark, sf_dir)
     wide = p.wide["inward"].where(F.col("row_role") == "BODY")
-    from crossfoot.operators.ordered import ordinal_positions
-
     numbered = ordinal_positions(wide.select("code"), [], ["code"], "source_row")
     return crosstab.stage_cells(wide.join(numbered, "code"), SPECS["inward"])
 
@@ -529,7 +528,7 @@ def cell_bounding_box(spark, sf_dir):
 def cell_empty_lines(spark, sf_dir):
     """Lines of the staged cells without a large value."""
     staged = _staged(spark, sf_dir).where(F.col("entity") != "TOTAL")
-    large = staged.withColumn("value", F.when(F.col("value") > 300_000, F.col("value")))
+    large = staged.withColumn("value", F.when(F.col("value") > 1_500_000, F.col("value")))
     return profiling.empty_lines(large)
 
 
@@ -702,12 +701,12 @@ def results_filtered(spark, sf_dir):
 
 
 def rec_results_filtered(spark, sf_dir):
-    rows = readside.reconciliation_results(derived.order_reconciliations(spark, sf_dir), "run-1996", "REC-2", "ALL")
+    rows = readside.reconciliation_results(derived.order_reconciliations(derived.order_checks(spark, sf_dir)), "run-1996", "REC-2", "ALL")
     return rows.select("rule_code", "dimension", "entity", "status", amount("difference"))
 
 
 def stat_results_filtered(spark, sf_dir):
-    rows = readside.statistical_results(derived.order_statistics(spark, sf_dir), None, "5-LOW", "PSI", "STATISTICALLY_DIFFERENT")
+    rows = readside.statistical_results(derived.order_statistics(derived.order_checks(spark, sf_dir)), None, "5-LOW", "PSI", "STATISTICALLY_DIFFERENT")
     return rows.select("run_id", "metric", amount("pct_change", 6))
 
 
@@ -717,11 +716,13 @@ def incidents_newest(spark, sf_dir):
 
 
 def overview_kpis(spark, sf_dir):
-    checked = derived.order_checks(spark, sf_dir)
-    incidents = gate.aggregate_incidents(_failed(spark, sf_dir)).select("run_id", "status")
+    """All five inputs come from the same checks, which are computed once."""
+    checked = materialize(derived.order_checks(spark, sf_dir))
+    failed = gate.normalized_failures(gate.failures(checked))
+    incidents = gate.aggregate_incidents(failed).select("run_id", "status")
     trusted = checked.where(F.col("status") == "PASS").groupBy("run_id").agg(F.sum("affected_records").alias("n_rows"))
     return readside.overview(
-        checked, derived.order_reconciliations(spark, sf_dir), derived.order_statistics(spark, sf_dir), incidents, trusted
+        checked, derived.order_reconciliations(checked), derived.order_statistics(checked), incidents, trusted
     )
 
 
@@ -738,19 +739,19 @@ def validation_metrics(spark, sf_dir):
 
 
 def reconciliation_summary(spark, sf_dir):
-    return readside.reconciliation_summary(derived.order_reconciliations(spark, sf_dir))
+    return readside.reconciliation_summary(derived.order_reconciliations(derived.order_checks(spark, sf_dir)))
 
 
 def reconciliation_metrics(spark, sf_dir):
-    return readside.reconciliation_metrics(derived.order_reconciliations(spark, sf_dir))
+    return readside.reconciliation_metrics(derived.order_reconciliations(derived.order_checks(spark, sf_dir)))
 
 
 def statistical_summary(spark, sf_dir):
-    return readside.statistical_summary(derived.order_statistics(spark, sf_dir))
+    return readside.statistical_summary(derived.order_statistics(derived.order_checks(spark, sf_dir)))
 
 
 def statistical_metrics(spark, sf_dir):
-    return readside.statistical_metrics(derived.order_statistics(spark, sf_dir))
+    return readside.statistical_metrics(derived.order_statistics(derived.order_checks(spark, sf_dir)))
 
 
 def incident_metrics(spark, sf_dir):
@@ -767,12 +768,12 @@ def trusted_counts(spark, sf_dir):
 
 def lineage_counts(spark, sf_dir):
     """Rows of one run in every layer."""
-    checked = derived.order_checks(spark, sf_dir).select("run_id", "status")
+    checked = materialize(derived.order_checks(spark, sf_dir).where(F.col("run_id") == "run-1998"))
     lines = table(spark, sf_dir, "lineitem").select(F.concat(F.lit("run-"), F.year("l_shipdate").cast("string")).alias("run_id"))
     layers = {
         "raw_lineitem": lines,
         "validation_results": checked.select("run_id"),
-        "reconciliation_results": derived.order_reconciliations(spark, sf_dir).select("run_id"),
+        "reconciliation_results": derived.order_reconciliations(checked).select("run_id"),
         "trusted_orders": checked.where(F.col("status") == "PASS").select("run_id"),
     }
     return readside.layer_counts(layers, "run-1998")

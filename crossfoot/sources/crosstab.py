@@ -13,6 +13,7 @@ from crossfoot.runtime import inline_cells, literal, quoted, ref
 
 BODY, FOOTER = "BODY", "FOOTER"
 COLUMN, ROW, GRAND = "COLUMN", "ROW", "GRAND"
+MAX_BROADCAST_SPLITS = 100_000
 
 
 class MissingTablesError(ValueError):
@@ -38,7 +39,9 @@ def available_tables(spark: SparkSession, folder: str) -> list[str]:
 def number_source_rows(df: DataFrame, name: str = "source_row") -> DataFrame:
     """1-based row number in file order, for rows read straight from files.
 
-    The number of rows before each input split comes from one small count per split; no row moves.
+    The number of rows before each input split comes from one count per split. That list is broadcast while the
+    number of splits, which is known before any job runs, stays below ``MAX_BROADCAST_SPLITS``; beyond it the rows are
+    joined with it by shuffle.
     """
     within = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     marked = df.select("*", F.spark_partition_id().alias("_split"), within.alias("_offset"))
@@ -48,6 +51,8 @@ def number_source_rows(df: DataFrame, name: str = "source_row") -> DataFrame:
         .agg(F.count("*").alias("_rows"))
         .select("_split", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
     )
+    if df.rdd.getNumPartitions() <= MAX_BROADCAST_SPLITS:
+        starts = F.broadcast(starts)
     return marked.join(starts, "_split").withColumn(name, F.col("_start") + F.col("_offset") + 1).select(
         *[ref(column) for column in df.columns], name
     )
