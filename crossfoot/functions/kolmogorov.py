@@ -16,7 +16,8 @@ _TERMS = 100
 def series_p(statistic: Column, n: Column, m: Column) -> Column:
     """Asymptotic two-sided p-value: the Kolmogorov series at the effective sample size, as a plain expression.
 
-    The argument carries the usual small-sample shift ``z + 1/(6*sqrt(e)) + (z-1)/(4*e)``, ``e = round(n*m/(n+m))``.
+    The argument carries the usual finite-sample shift ``z + 1/(6*sqrt(e)) + (z-1)/(4*e)``, ``e = round(n*m/(n+m))``, so
+    that the series follows the one-sample distribution at the effective size.
     """
     size = F.bround(n.cast("double") * m / (n + m), 0)
     z = F.sqrt(size) * statistic
