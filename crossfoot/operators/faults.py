@@ -100,23 +100,26 @@ def detection_matrix(spark: SparkSession, scenarios: list[Scenario]) -> DataFram
     signals = union_all([_signals(results, s) for s in scenarios for results in s.detect()])
     fired = F.col("status").isin(FAIL, WARNING, UNRESOLVED, DIFFERENT)
     blocking = (F.col("status") == FAIL) & F.col("severity").isin(CRITICAL, ERROR)
-    seen = signals.groupBy("scenario_id").agg(
-        F.array_join(F.sort_array(F.collect_set(F.when(fired, F.col("detector")))), ", ").alias("actual_detectors"),
-        F.count_if(fired).alias("evidence"),
-        F.coalesce(F.bool_or(blocking), F.lit(False)).alias("blocked"),
-    )
+    known = scenario_catalogue(spark, scenarios)
+    texts = ["corruption_type", "target", "expected_detectors", "advisory"]
     return (
-        scenario_catalogue(spark, scenarios)
-        .join(seen, "scenario_id", "left")
+        known.unionByName(signals, allowMissingColumns=True)
+        .groupBy("scenario_id")
+        .agg(
+            *[F.max(name).alias(name) for name in texts],
+            F.array_join(F.sort_array(F.collect_set(F.when(fired, F.col("detector")))), ", ").alias("actual_detectors"),
+            F.count_if(fired).alias("evidence"),
+            F.coalesce(F.bool_or(blocking), F.lit(False)).alias("blocked"),
+        )
         .select(
             "scenario_id",
             "corruption_type",
             "target",
             "expected_detectors",
-            F.coalesce("actual_detectors", F.lit("")).alias("actual_detectors"),
-            F.coalesce("evidence", F.lit(0)).alias("evidence"),
-            (F.coalesce("evidence", F.lit(0)) > 0).alias("detected"),
-            F.coalesce(F.col("blocked"), F.lit(False)).alias("blocked"),
+            "actual_detectors",
+            "evidence",
+            (F.col("evidence") > 0).alias("detected"),
+            "blocked",
             "advisory",
         )
     )

@@ -71,8 +71,7 @@ def flow_rows(spark: SparkSession, sf_dir: str, periods: tuple[int, int] | None
 def flow_cube(spark: SparkSession, sf_dir: str, periods: tuple[int, int] | None = None) -> DataFrame:
     """(origin, destination, code, period, value): sums of :func:`flow_rows`.
 
-    Keys stay integers up to the aggregate; names are attached to its few rows. The result is written once, because
-    every table below is a view of it and the joins must not run once per table.
+    Keys stay integers up to the aggregate; names are attached to its few rows.
     """
     sums = flow_rows(spark, sf_dir, periods).groupBy("origin_key", "destination_key", "code", "period")
     cube = sums.agg(F.sum("value").alias("value"))
@@ -80,7 +79,7 @@ def flow_cube(spark: SparkSession, sf_dir: str, periods: tuple[int, int] | None
     for side in ("origin", "destination"):
         names = nations.select(F.col("n_nationkey").alias(f"{side}_key"), F.col("n_name").alias(side))
         cube = cube.join(names, f"{side}_key")
-    return materialize(cube.select("origin", "destination", "code", "period", "value"))
+    return cube.select("origin", "destination", "code", "period", "value")
 
 
 def category_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,25 +92,41 @@ def entity_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "nation").select(F.col("n_name").alias("entity")).distinct()
 
 
-def _wide(cells: DataFrame, labels: list[str], with_total: bool) -> DataFrame:
-    """Cells (code, entity, value) to a wide table with footer row and, if asked, a total column; one grouping."""
-    rows = F.array(
-        F.struct(F.col("code").alias("row"), F.lit(BODY).alias("row_role")),
-        F.struct(F.lit(TOTAL).alias("row"), F.lit(FOOTER).alias("row_role")),
-    )
-    columns = F.array(F.col("entity"), F.lit(TOTAL)) if with_total else F.array(F.col("entity"))
-    spread = cells.select("value", "entity", F.inline(rows)).select(
-        "value", "row", "row_role", F.explode(columns).alias("column")
-    )
-    header = [*labels, TOTAL] if with_total else labels
-    return spread.groupBy("row", "row_role").pivot("column", header).agg(F.sum("value"))
+# Where one cube row goes: (table, row label, row role, column label) as SQL text.
+def _places() -> str:
+    def cells(name: str, entity: str) -> list[str]:
+        columns = [entity, f"'{TOTAL}'"] if SPECS[name].total_column else [entity]
+        rows = (("code", BODY), (f"'{TOTAL}'", FOOTER))
+        return [_place(name, row, role, column) for row, role in rows for column in columns]
+
+    always = [_place("matrix", "destination", BODY, "origin")]
+    always += [_place("summary", row, role, f"'{TOTAL}'") for row, role in (("code", BODY), (f"'{TOTAL}'", FOOTER))]
+    crossing = ", ".join(cells("outward", "origin") + cells("inward", "destination"))
+    own = ", ".join(cells("internal", "origin"))
+    return f"inline(concat(array({', '.join(always)}), if(origin <> destination, array({crossing}), array({own}))))"
+
 
+def _place(name: str, row: str, role: str, column: str) -> str:
+    return f"struct('{name}' AS table_name, {row} AS row, '{role}' AS row_role, {column} AS column)"
 
-def _printed(name: str, total: str | None) -> str:
+
+def _printed(name: str) -> str:
     """Cell as printed, as SQL text: a published total is never blank, a body cell may be."""
-    if name == total:
-        return f"coalesce({quoted(name)}, 0) AS {quoted(name)}"
-    return f"if(row_role = '{FOOTER}', coalesce({quoted(name)}, 0), {quoted(name)}) AS {quoted(name)}"
+    with_total = ", ".join(f"'{table}'" for table, spec in SPECS.items() if spec.total_column)
+    printed = f"row_role = '{FOOTER}'" + (f" OR table_name IN ({with_total})" if name == TOTAL else "")
+    return f"if({printed}, coalesce({quoted(name)}, 0), {quoted(name)}) AS {quoted(name)}"
+
+
+def _row_dimension(entities: DataFrame, categories: DataFrame) -> DataFrame:
+    """(table_name, row, description, row_role) of every printed row."""
+    names = F.array(*[F.lit(name) for name in SPECS if name != "matrix"])
+    footers = entities.sparkSession.range(1).select(F.lit(TOTAL).alias("row"), F.lit(TOTAL).alias("description"), F.lit(FOOTER).alias("row_role"))
+    bodies = categories.select(F.col("code").alias("row"), "description", F.lit(BODY).alias("row_role"))
+    by_code = bodies.unionByName(footers).select(F.explode(names).alias("table_name"), "row", "description", "row_role")
+    by_entity = entities.select(
+        F.lit("matrix").alias("table_name"), F.col("entity").alias("row"), F.lit("").alias("description"), F.lit(BODY).alias("row_role")
+    )
+    return by_code.unionByName(by_entity)
 
 
 @dataclass(frozen=True)
@@ -137,51 +152,54 @@ class Published:
         return union_all(frames + [reported_totals(self.wide[name], SPECS[name]) for name in CATEGORY_TABLES])
 
 
-def publish(cube: DataFrame, entities: DataFrame, categories: DataFrame) -> Published:
-    """The five wide tables of one cube. Each has a row per category (or entity) even where the cube has no data."""
+def publish(cube: DataFrame, entities: DataFrame, categories: DataFrame, snapshots: list[int] | None = None) -> list[Published]:
+    """Published tables of the whole cube, or of each period in ``snapshots``.
+
+    Every cube row is placed into all tables it belongs to and one grouping prints them all: the joins behind the cube
+    run once, whatever is asked of the tables later. The printed rows are written once. Each table has a row per
+    category (or entity) even where the cube has no data.
+    """
     labels = header_labels(entities, "entity")
-    crossing = F.col("origin") != F.col("destination")
-    matrix = cube.groupBy("destination").pivot("origin", labels).agg(F.sum("value"))
-    wide = {
-        "matrix": entities.select(F.col("entity").alias("destination")).join(matrix, "destination", "left"),
-    }
-    rows = union_all(
-        [
-            categories.select("code", "description", F.lit(BODY).alias("row_role")),
-            categories.sparkSession.range(1).select(
-                F.lit(TOTAL).alias("code"), F.lit(TOTAL).alias("description"), F.lit(FOOTER).alias("row_role")
-            ),
-        ]
+    header = [*labels, TOTAL]
+    label = F.col("period") if snapshots else F.lit(0)
+    keys = ["snapshot", "table_name", "row", "row_role"]
+    placed = cube.select(label.alias("snapshot"), "origin", "destination", "code", "value").select(
+        "snapshot", "value", F.expr(_places())
+    )
+    sums = placed.groupBy(*keys).pivot("column", header).agg(F.sum("value"))
+    numbers = F.array(*[F.lit(number) for number in snapshots or [0]])
+    rows = _row_dimension(entities, categories).select(F.explode(numbers).alias("snapshot"), "*")
+    printed = materialize(
+        rows.join(sums, keys, "left").selectExpr(*keys, "description", *[_printed(name) for name in header])
     )
-    sums = _wide(cube.select("code", F.lit("value").alias("entity"), "value"), ["value"], False)
-    cells = {
-        "outward": cube.where(crossing).select("code", F.col("origin").alias("entity"), "value"),
-        "inward": cube.where(crossing).select("code", F.col("destination").alias("entity"), "value"),
-        "internal": cube.where(~crossing).select("code", F.col("origin").alias("entity"), "value"),
-    }
-    printed = {"summary": (sums, ["value"], None)}
-    for name, frame in cells.items():
-        total = SPECS[name].total_column
-        printed[name] = (_wide(frame, labels, total is not None), [*labels, total] if total else labels, total)
-    for name, (frame, columns, total) in printed.items():
-        data = frame.withColumnRenamed("row", "code")
-        wide[name] = rows.join(data, ["code", "row_role"], "left").selectExpr(
-            "code", "description", "row_role", *[_printed(c, total) for c in columns]
-        )
-    return Published(wide, entities, categories, labels)
+
+    def one(number: int) -> Published:
+        def take(name: str, *columns: str) -> DataFrame:
+            return printed.where((F.col("snapshot") == number) & (F.col("table_name") == name)).selectExpr(*columns)
+
+        cells = [quoted(name) for name in labels]
+        fixed = ("row AS code", "description", "row_role")
+        wide = {
+            "matrix": take("matrix", "row AS destination", *cells),
+            "summary": take("summary", *fixed, f"{TOTAL} AS value"),
+            "outward": take("outward", *fixed, *cells),
+            "inward": take("inward", *fixed, *cells, TOTAL),
+            "internal": take("internal", *fixed, *cells, TOTAL),
+        }
+        known = wide["summary"].where(F.col("row_role") == BODY).select("code", "description")
+        return Published(wide, wide["matrix"].select(F.col("destination").alias("entity")), known, labels)
+
+    return [one(number) for number in snapshots or [0]]
 
 
 def published(spark: SparkSession, sf_dir: str, periods: tuple[int, int] | None = None) -> Published:
     """Published tables of all periods, or of a range of them, in one go."""
-    return publish(
-        flow_cube(spark, sf_dir, periods),
-        entity_dimension(spark, sf_dir),
-        materialize(category_dimension(spark, sf_dir)),
-    )
+    cube = flow_cube(spark, sf_dir, periods)
+    return publish(cube, entity_dimension(spark, sf_dir), category_dimension(spark, sf_dir))[0]
 
 
 def published_snapshots(spark: SparkSession, sf_dir: str, reference: int, comparison: int) -> tuple[Published, Published]:
     """Published tables of two years; the joins run once for both."""
     cube = flow_cube(spark, sf_dir, (min(reference, comparison), max(reference, comparison)))
-    entities, categories = entity_dimension(spark, sf_dir), materialize(category_dimension(spark, sf_dir))
-    return tuple(publish(cube.where(F.col("period") == year), entities, categories) for year in (reference, comparison))
+    before, after = publish(cube, entity_dimension(spark, sf_dir), category_dimension(spark, sf_dir), [reference, comparison])
+    return before, after

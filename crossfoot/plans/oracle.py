@@ -92,6 +92,7 @@ MARGINS = """margins AS (SELECT e.entity,
   (SELECT coalesce(sum(value), 0) FROM matrix x WHERE x.origin = e.entity) AS origin_total,
   (SELECT coalesce(sum(value), 0) FROM matrix x WHERE x.destination = e.entity) AS destination_total,
   (SELECT coalesce(sum(value), 0) FROM matrix x WHERE x.origin = e.entity AND x.destination = e.entity) AS diagonal,
+  (SELECT count(value) FROM matrix x WHERE x.origin = e.entity AND x.destination = e.entity) AS filled,
   (SELECT coalesce(sum(value), 0) FROM outward x WHERE x.entity = e.entity) AS outward,
   (SELECT coalesce(sum(value), 0) FROM inward x WHERE x.entity = e.entity) AS inward,
   (SELECT coalesce(sum(value), 0) FROM internal x WHERE x.entity = e.entity) AS internal
@@ -106,7 +107,7 @@ _CASES = {
     "do05": "SELECT 'REC-DO05' AS rule_code, 'DESTINATION_MARGINAL' AS dimension, entity, inward + internal AS e, destination_total AS o FROM margins",
     "do06": "SELECT 'REC-DO06' AS rule_code, 'DIAGONAL_VS_INTERNAL' AS dimension, entity, internal AS e, diagonal AS o FROM margins",
     "do06_moved": """SELECT 'REC-DO06' AS rule_code, 'DIAGONAL_VS_INTERNAL' AS dimension, entity, internal AS e,
-    diagonal + CASE WHEN entity IN ('NATION_3', 'NATION_5') THEN 1000000 ELSE 0 END AS o FROM margins""",
+    diagonal + CASE WHEN entity IN ('NATION_3', 'NATION_5') THEN 1000000 * filled ELSE 0 END AS o FROM margins""",
 }
 
 
@@ -435,6 +436,9 @@ AUDIT_CTE = f"""audit AS (SELECT
   (SELECT coalesce(sum(value), 0) FROM internal_b WHERE entity = '{ENTITY}') AS ib)"""
 
 
+_MOVED = f"1000000 * (SELECT count(value) FROM matrix_b WHERE origin = '{ENTITY}' AND destination = '{ENTITY}')"
+
+
 def _audit_row(moved: str) -> str:
     gap = f"abs(CAST(db + {moved} AS DOUBLE) - CAST(ib AS DOUBLE))"
     return f"""'CROSS_PERIOD_AUDIT' AS dimension, '{ENTITY}_DIAGONAL_INTERNAL' AS metric, 'CROSS_PERIOD_OBSERVATION' AS test_method,
@@ -687,7 +691,7 @@ ORACLE: dict[str, str] = {
     "ks_line_prices": _with(LINE_SAMPLES, *KS_CTES, *SERIES, body=_KS_SELECT),
     "psi_line_prices": _with(LINE_SAMPLES, *_edges(_AUTO_BINS), *PSI_CTES, body=_PSI_SELECT),
     "psi_bin_edges": _with(LINE_SAMPLES, *_edges(_AUTO_BINS), body=f"SELECT dimension, i - 1 AS bin, {_r('e[i]', 'edge', 6)} FROM edges, unnest(range(1, len(e) + 1)) t(i)"),
-    "cross_period_exception_audit": _with(*BOTH, AUDIT_CTE, body="SELECT " + _audit_row("1000000") % ("", "")),
+    "cross_period_exception_audit": _with(*BOTH, AUDIT_CTE, body="SELECT " + _audit_row(_MOVED) % ("", "")),
     "stat_suite_all": STAT_SUITE,
     "gate_decision": _checked(f"""SELECT run_id, count(*) AS n_results, {_F} AS n_failures, count(*) FILTER (status = 'FAIL' AND severity IN ('CRITICAL', 'ERROR')) AS n_blocking,
   CASE WHEN {_F} > 0 THEN 'INCIDENT' ELSE 'PROMOTE' END AS decision FROM checked GROUP BY 1"""),

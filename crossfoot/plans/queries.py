@@ -336,7 +336,7 @@ def cmp_entity_set(spark, sf_dir):
 
 
 def dom_membership(spark, sf_dir):
-    cube = flow.flow_cube(spark, sf_dir)
+    cube = materialize(flow.flow_cube(spark, sf_dir).select("origin", "destination").distinct())
     allowed = [f"NATION_{i}" for i in range(20)]
     frames = [
         checks.membership_check(cube, "flow", ["origin", "destination"], flow.entity_dimension(spark, sf_dir)),
