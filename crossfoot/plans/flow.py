@@ -8,9 +8,11 @@ list and three category tables, each with its own printed totals.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from crossfoot.config import CrosstabSpec
 from crossfoot.operators.reshape import flat_list, header_labels, union_all, unpivot_categories, unpivot_matrix
@@ -29,8 +31,15 @@ SPECS = {
 CATEGORY_TABLES = ("outward", "inward", "internal")
 
 
+@lru_cache(maxsize=256)
+def _schema(path: str) -> StructType:
+    """Schema of a table file. Looking it up is a job of its own, so it is done once per path."""
+    return SparkSession.active().read.parquet(path).schema
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    return spark.read.schema(_schema(path)).parquet(path)
 
 
 def flow_rows(spark: SparkSession, sf_dir: str, periods: tuple[int, int] | None = None) -> DataFrame:
