@@ -77,18 +77,20 @@ def flow_rows(spark: SparkSession, sf_dir: str, periods: tuple[int, int] | None
     )
 
 
-def flow_cube(spark: SparkSession, sf_dir: str, periods: tuple[int, int] | None = None) -> DataFrame:
-    """(origin, destination, code, period, value): sums of :func:`flow_rows`.
+def flow_cube(
+    spark: SparkSession, sf_dir: str, periods: tuple[int, int] | None = None, by_period: bool = False
+) -> DataFrame:
+    """(origin, destination, code, [period,] value): sums of :func:`flow_rows`.
 
     Keys stay integers up to the aggregate; names are attached to its few rows.
     """
-    sums = flow_rows(spark, sf_dir, periods).groupBy("origin_key", "destination_key", "code", "period")
-    cube = sums.agg(F.sum("value").alias("value"))
+    kept = ["code", "period"] if by_period else ["code"]
+    cube = flow_rows(spark, sf_dir, periods).groupBy("origin_key", "destination_key", *kept).agg(F.sum("value").alias("value"))
     nations = table(spark, sf_dir, "nation")
     for side in ("origin", "destination"):
         names = nations.select(F.col("n_nationkey").alias(f"{side}_key"), F.col("n_name").alias(side))
         cube = cube.join(names, f"{side}_key")
-    return cube.select("origin", "destination", "code", "period", "value")
+    return cube.select("origin", "destination", *kept, "value")
 
 
 def category_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -209,6 +211,6 @@ def published(spark: SparkSession, sf_dir: str, periods: tuple[int, int] | None
 
 def published_snapshots(spark: SparkSession, sf_dir: str, reference: int, comparison: int) -> tuple[Published, Published]:
     """Published tables of two years; the joins run once for both."""
-    cube = flow_cube(spark, sf_dir, (min(reference, comparison), max(reference, comparison)))
+    cube = flow_cube(spark, sf_dir, (min(reference, comparison), max(reference, comparison)), by_period=True)
     before, after = publish(cube, entity_dimension(spark, sf_dir), category_dimension(spark, sf_dir), [reference, comparison])
     return before, after
