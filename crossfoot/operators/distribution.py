@@ -19,10 +19,11 @@ REFERENCE, COMPARISON = "ref", "comp"
 
 
 def value_counts(samples: DataFrame) -> DataFrame:
-    """(dimension, value, n_ref, n_comp) without NULL and NaN values."""
+    """(dimension, value, n_ref, n_comp) without NULL and NaN values; a NULL dimension becomes the empty one."""
     value = F.col("value").cast("double")
+    dimension = F.coalesce(F.col("dimension").cast("string"), F.lit(""))
     return (
-        samples.select("dimension", "side", value.alias("value"))
+        samples.select(dimension.alias("dimension"), "side", value.alias("value"))
         .where(F.col("value").isNotNull() & ~F.isnan("value"))
         .groupBy("dimension", "value")
         .agg(F.count_if(F.col("side") == REFERENCE).alias("n_ref"), F.count_if(F.col("side") == COMPARISON).alias("n_comp"))

@@ -23,7 +23,7 @@ def running_totals(df: DataFrame, group: list[str], order: list[str], measures:
 
     A plain window would sort one whole group in one task. Here the rows are range-partitioned over (group, order),
     each slice is summed on its own, and the sums of the earlier slices of the group are added afterwards. Only one
-    row per slice and group takes part in the second step. (group, order) must identify a row.
+    row per slice and group takes part in the second step. (group, order) must identify a row; group columns hold no NULL.
 
     The sliced rows are written once, because slice borders come from a sample and both steps must see the same ones.
     """

@@ -167,3 +167,10 @@ def test_pair_snapshots_keeps_keys_of_both_sides(spark):
     b = spark.createDataFrame([("x", 3.0), ("y", 4.0)], "k string, value double")
     rows = {r.k: (r.reference, r.comparison) for r in snapshots.pair_snapshots(a, b, ["k"]).collect()}
     assert rows == {"x": (1.0, 3.0), None: (2.0, None), "y": (None, 4.0)}
+
+
+def test_null_dimension_is_kept(spark):
+    rows = [(None, side, float(v)) for side in ("ref", "comp") for v in range(6)]
+    counted = distribution.ordered_counts(spark.createDataFrame(rows, "dimension string, side string, value double"))
+    assert [(r.dimension, r.n_reference, r.statistic) for r in distribution.ks_test(counted).collect()] == [("", 6, 0.0)]
+    assert distribution.psi_test(counted).first().psi_value == 0.0
