@@ -4,12 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from crossfoot.llm.bpe import bpe_encode_decode
 from crossfoot.llm.exact_dedup import mark_exact_duplicates
 from crossfoot.llm.url_filter import judge_urls
 
 
+TOKENIZER = "byte_bpe_50k.json"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -18,11 +23,16 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mark_exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), with_ids=False)
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op3_bpe": op3_bpe,
     "op10_url_filter": op10_url_filter,
 }
