@@ -6,9 +6,13 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from crossfoot.llm.bpe import bpe_encode_decode
 from crossfoot.llm.exact_dedup import mark_exact_duplicates
+from crossfoot.llm.grams import held_out
+from crossfoot.llm.language import identify_languages, train_language_model
+from crossfoot.llm.toxicity import score_toxicity, train_toxicity
 from crossfoot.llm.url_filter import judge_urls
 
 
@@ -23,16 +27,32 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mark_exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = train_toxicity(docs, labels, ~held_out(labels["doc_id"]))
+    scored = score_toxicity(docs, model)
+    return scored.select("doc_id", held_out(scored["doc_id"]).alias("held_out"), "score", (scored["score"] >= 0.5).cast("int").alias("predicted"))
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), with_ids=False)
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = train_language_model(docs, ~held_out(docs["doc_id"]))
+    found, name = identify_languages(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out(found["doc_id"]).alias("held_out"), F.col(name)["lang_pred"].alias("lang_pred"), F.col(name)["score"].alias("score"))
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_toxicity": op2_toxicity,
     "op3_bpe": op3_bpe,
+    "op6_language_id": op6_language_id,
     "op10_url_filter": op10_url_filter,
 }
