@@ -12,6 +12,7 @@ from crossfoot.llm.bpe import bpe_encode_decode
 from crossfoot.llm.exact_dedup import mark_exact_duplicates
 from crossfoot.llm.grams import held_out
 from crossfoot.llm.language import identify_languages, train_language_model
+from crossfoot.llm.quality import judge_quality
 from crossfoot.llm.toxicity import score_toxicity, train_toxicity
 from crossfoot.llm.url_filter import judge_urls
 
@@ -45,6 +46,10 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out(found["doc_id"]).alias("held_out"), F.col(name)["lang_pred"].alias("lang_pred"), F.col(name)["score"].alias("score"))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"))
 
@@ -54,5 +59,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity,
     "op3_bpe": op3_bpe,
     "op6_language_id": op6_language_id,
+    "op9_quality": op9_quality,
     "op10_url_filter": op10_url_filter,
 }
