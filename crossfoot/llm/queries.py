@@ -13,6 +13,7 @@ from crossfoot.llm.exact_dedup import mark_exact_duplicates
 from crossfoot.llm.grams import held_out
 from crossfoot.llm.language import identify_languages, train_language_model
 from crossfoot.llm.quality import judge_quality
+from crossfoot.llm.token_files import new_token_folder, read_token_files, write_token_files
 from crossfoot.llm.toxicity import score_toxicity, train_toxicity
 from crossfoot.llm.url_filter import judge_urls
 
@@ -46,6 +47,12 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out(found["doc_id"]).alias("held_out"), F.col(name)["lang_pred"].alias("lang_pred"), F.col(name)["score"].alias("score"))
 
 
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_token_folder(spark)
+    write_token_files(table(spark, sf_dir, "documents"), path, public_tokenizers.path(TOKENIZER))
+    return read_token_files(spark, path, with_ids=False)
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -59,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity,
     "op3_bpe": op3_bpe,
     "op6_language_id": op6_language_id,
+    "op8_token_files": op8_token_files,
     "op9_quality": op9_quality,
     "op10_url_filter": op10_url_filter,
 }

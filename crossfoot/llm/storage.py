@@ -4,22 +4,26 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from crossfoot.runtime import ensure_checkpoint_dir
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that ``spark.checkpoint.dir`` names; a session without one gets that of its checkpoints."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        ensure_checkpoint_dir(spark)
+        folder = spark.sparkContext.getCheckpointDir()
+    return folder.rstrip("/")
+
+
 def stored(df: DataFrame) -> DataFrame:
-    """Write ``df`` as compressed Parquet below ``spark.checkpoint.dir`` and read it back.
+    """Write ``df`` as compressed Parquet below the shared folder and read it back.
 
     For tables as large as the input, where ``checkpoint()`` would write uncompressed rows. Readers of the result prune
     columns, and a lost executor costs only a file read.
     """
-    spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        ensure_checkpoint_dir(spark)
-        folder = spark.sparkContext.getCheckpointDir()
-    path = f"{folder.rstrip('/')}/crossfoot-{uuid.uuid4().hex}"
+    path = f"{shared_folder(df.sparkSession)}/crossfoot-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
