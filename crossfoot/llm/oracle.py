@@ -16,6 +16,27 @@ g AS (
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM g
 """
 
+OP5 = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(w) >= 5 THEN list_distinct(list_transform(range(1, len(w) - 3), lambda i: w[i:i+4])) WHEN len(w) > 0 THEN [w] ELSE [] END AS shingles
+  FROM d),
+e AS (SELECT doc_id, len(shingles) AS n, unnest(shingles) AS shingle FROM s),
+l AS (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM e a JOIN e b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n
+  HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+both_ways AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+reached(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM s UNION SELECT reached.doc_id, both_ways.b FROM reached JOIN both_ways ON both_ways.a = reached.other)
+SELECT s.doc_id, len(shingles) AS n_shingles, min(other) AS component_id
+FROM s JOIN reached ON reached.doc_id = s.doc_id GROUP BY s.doc_id, len(shingles)
+"""
+
 
 def op10() -> str:
     """Rules as a table, longest match by rank; the model's non-zero weights as a table."""
@@ -50,4 +71,4 @@ FROM p LEFT JOIN fits ON fits.page_id = p.page_id AND fits.place = 1 LEFT JOIN s
 
 
 def oracle() -> dict[str, str]:
-    return {"op1_exact_dedup": OP1, "op10_url_filter": op10()}
+    return {"op1_exact_dedup": OP1, "op5_ngram_join": OP5, "op10_url_filter": op10()}

@@ -12,6 +12,7 @@ from crossfoot.llm.bpe import bpe_encode_decode
 from crossfoot.llm.exact_dedup import mark_exact_duplicates
 from crossfoot.llm.grams import held_out
 from crossfoot.llm.language import identify_languages, train_language_model
+from crossfoot.llm.ngram_join import near_duplicates
 from crossfoot.llm.quality import judge_quality
 from crossfoot.llm.token_files import new_token_folder, read_token_files, write_token_files
 from crossfoot.llm.toxicity import score_toxicity, train_toxicity
@@ -40,6 +41,10 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), with_ids=False)
 
 
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = train_language_model(docs, ~held_out(docs["doc_id"]))
@@ -65,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_toxicity": op2_toxicity,
     "op3_bpe": op3_bpe,
+    "op5_ngram_join": op5_ngram_join,
     "op6_language_id": op6_language_id,
     "op8_token_files": op8_token_files,
     "op9_quality": op9_quality,
