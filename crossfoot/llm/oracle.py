@@ -37,6 +37,30 @@ SELECT s.doc_id, len(shingles) AS n_shingles, min(other) AS component_id
 FROM s JOIN reached ON reached.doc_id = s.doc_id GROUP BY s.doc_id, len(shingles)
 """
 
+OP7 = r"""
+WITH l AS (
+  SELECT doc_id, i - 1 AS line, lines[i] AS content,
+         list_distinct(list_filter(regexp_split_to_array(
+           translate(lines[i], 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS w
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents), LATERAL (SELECT unnest(range(1, len(lines) + 1)) AS i)),
+t AS (SELECT doc_id, line, len(w) AS n, unnest(w) AS word FROM l WHERE len(w) >= 8),
+f AS (SELECT word, count(*) AS often FROM t GROUP BY word),
+p AS (
+  SELECT doc_id, line, n, word, row_number() OVER (PARTITION BY doc_id, line ORDER BY often, word) AS place
+  FROM t JOIN f USING (word)),
+c AS (
+  SELECT DISTINCT a.doc_id AS da, a.line AS la, b.doc_id AS db, b.line AS lb
+  FROM p a JOIN p b ON a.word = b.word AND (a.doc_id < b.doc_id OR a.doc_id = b.doc_id AND a.line < b.line)
+       AND a.place <= a.n - ceil(0.8 * a.n) + 1 AND b.place <= b.n - ceil(0.8 * b.n) + 1 AND 5 * least(a.n, b.n) >= 4 * greatest(a.n, b.n)),
+gone AS (
+  SELECT DISTINCT db AS doc_id, lb AS line
+  FROM c JOIN l a ON a.doc_id = da AND a.line = la JOIN l b ON b.doc_id = db AND b.line = lb
+  WHERE 5 * len(list_intersect(a.w, b.w)) >= 4 * (len(a.w) + len(b.w) - len(list_intersect(a.w, b.w))))
+SELECT l.doc_id, count(gone.doc_id) AS n_removed,
+       sha256(coalesce(string_agg(content, chr(10) ORDER BY l.line) FILTER (WHERE gone.doc_id IS NULL), '')) AS text_sha256
+FROM l LEFT JOIN gone ON gone.doc_id = l.doc_id AND gone.line = l.line GROUP BY l.doc_id
+"""
+
 
 def op10() -> str:
     """Rules as a table, longest match by rank; the model's non-zero weights as a table."""
@@ -71,4 +95,4 @@ FROM p LEFT JOIN fits ON fits.page_id = p.page_id AND fits.place = 1 LEFT JOIN s
 
 
 def oracle() -> dict[str, str]:
-    return {"op1_exact_dedup": OP1, "op5_ngram_join": OP5, "op10_url_filter": op10()}
+    return {"op1_exact_dedup": OP1, "op5_ngram_join": OP5, "op7_line_dedup": OP7, "op10_url_filter": op10()}

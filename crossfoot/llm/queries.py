@@ -12,6 +12,7 @@ from crossfoot.llm.bpe import bpe_encode_decode
 from crossfoot.llm.exact_dedup import mark_exact_duplicates
 from crossfoot.llm.grams import held_out
 from crossfoot.llm.language import identify_languages, train_language_model
+from crossfoot.llm.line_dedup import dedup_lines
 from crossfoot.llm.ngram_join import near_duplicates
 from crossfoot.llm.quality import judge_quality
 from crossfoot.llm.token_files import new_token_folder, read_token_files, write_token_files
@@ -52,6 +53,12 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out(found["doc_id"]).alias("held_out"), F.col(name)["lang_pred"].alias("lang_pred"), F.col(name)["score"].alias("score"))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    cleaned, removed = dedup_lines(docs.select("doc_id", "text"))
+    return cleaned.select("doc_id", F.size(removed).cast("long").alias("n_removed"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_token_folder(spark)
     write_token_files(table(spark, sf_dir, "documents"), path, public_tokenizers.path(TOKENIZER))
@@ -72,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_bpe": op3_bpe,
     "op5_ngram_join": op5_ngram_join,
     "op6_language_id": op6_language_id,
+    "op7_line_dedup": op7_line_dedup,
     "op8_token_files": op8_token_files,
     "op9_quality": op9_quality,
     "op10_url_filter": op10_url_filter,
