@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from crossfoot.llm.exact_dedup import mark_exact_duplicates
 from crossfoot.llm.grams import held_out
 from crossfoot.llm.language import identify_languages, train_language_model
 from crossfoot.llm.line_dedup import dedup_lines
+from crossfoot.llm.mixing import mix_sources
 from crossfoot.llm.ngram_join import near_duplicates
 from crossfoot.llm.quality import judge_quality
 from crossfoot.llm.token_files import new_token_folder, read_token_files, write_token_files
@@ -42,6 +44,10 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), with_ids=False)
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(table(spark, sf_dir, "documents"))
+
+
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -77,10 +83,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_toxicity": op2_toxicity,
     "op3_bpe": op3_bpe,
+    "op4_mixing": op4_mixing,
     "op5_ngram_join": op5_ngram_join,
     "op6_language_id": op6_language_id,
     "op7_line_dedup": op7_line_dedup,
     "op8_token_files": op8_token_files,
     "op9_quality": op9_quality,
     "op10_url_filter": op10_url_filter,
+    "pipeline": corpus_pipeline.run,
 }
