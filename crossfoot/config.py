@@ -22,18 +22,15 @@ class Tolerance:
 
 @dataclass(frozen=True)
 class StatsConfig:
-    """Thresholds of the snapshot comparison."""
+    """Thresholds of the snapshot comparison. ``bins`` names dimensions with another number of bins than ``n_bins``."""
 
     alpha: float = 0.05
     psi_moderate: float = 0.10
     psi_significant: float = 0.25
     psi_epsilon: float = 1e-4
     min_sample_size: int = 5
-    small_sample: int = 33
-    bins_small_sample: int = 5
-    bins_large_sample: int = 10
+    n_bins: int = 10
     change_threshold_pct: float = 25.0
-    exact_p_max_size: int = 10_000
     bins: dict[str, int] = field(default_factory=dict)
 
 

@@ -41,20 +41,29 @@ def advisory_severity(ok: Column) -> Column:
     return F.when(ok, INFO).otherwise(WARNING)
 
 
+# Codes of the note on a change.
+NOTE_NULL, NOTE_ZERO, NOTE_CALCULATED = "NULL_VALUE_PRESENT", "NOT_APPLICABLE: ZERO_DENOMINATOR", "CALCULATED"
+
+
+def present(amount: Column) -> Column:
+    """The amount, with NaN as NULL."""
+    return F.nullif(amount.cast("double"), F.lit(float("nan")))
+
+
 def change(reference: Column, comparison: Column) -> Column:
-    return comparison - reference
+    return present(comparison) - present(reference)
 
 
 def change_pct(reference: Column, comparison: Column) -> Column:
-    """Change in percent of the reference; NULL when either is absent or the reference is 0."""
-    return F.try_divide(comparison - reference, reference) * 100.0
+    """Change in percent of the reference; NULL when either is absent or NaN, or the reference is 0."""
+    return F.try_divide(change(reference, comparison), present(reference)) * 100.0
 
 
 def change_note(reference: Column, comparison: Column) -> Column:
     return (
-        F.when(reference.isNull() | comparison.isNull(), "NULL_VALUE_PRESENT")
-        .when(reference == 0, "NOT_APPLICABLE: ZERO_DENOMINATOR")
-        .otherwise("CALCULATED")
+        F.when(present(reference).isNull() | present(comparison).isNull(), NOTE_NULL)
+        .when(reference == 0, NOTE_ZERO)
+        .otherwise(NOTE_CALCULATED)
     )
 
 

@@ -50,29 +50,29 @@ def ks_statistic(ordered: Ordered) -> DataFrame:
     )
 
 
-def ks_test(ordered: Ordered, config: StatsConfig = StatsConfig(), method: str = "auto") -> DataFrame:
+def ks_test(ordered: Ordered, config: StatsConfig = StatsConfig(), method: str = "exact") -> DataFrame:
     """Two-sample KS test per dimension.
 
-    ``method="auto"`` computes the exact p-value up to ``exact_p_max_size`` values per side and the series beyond it;
-    ``"series"`` always uses the series. Status compares ``p < alpha``.
+    The caller names how the p-value is computed, for all sample sizes alike: ``"exact"`` counts paths, at a cost that
+    grows with the product of the sizes, ``"series"`` sums the asymptotic series. The result says which. Status compares
+    ``p < alpha``.
     """
+    if method not in ("exact", "series"):
+        raise ValueError(f"unknown p-value method {method!r}")
     enough = _enough(config)
     n, m, d = F.col("n_reference"), F.col("n_comparison"), F.col("statistic")
     base = ks_statistic(ordered).withColumn("statistic", F.when(enough, d))
     p = F.when(enough, series_p(d, n, m))
-    if method == "auto":
-        use_exact = enough & (F.greatest(n, m) <= config.exact_p_max_size)
+    if method == "exact":
         bound = F.round(d * n * m).cast("long")
-        base = base.withColumn(
-            "_exact", exact_p(F.when(use_exact, n), F.when(use_exact, m), F.when(use_exact, bound))
-        )
-        p = F.when(use_exact, F.col("_exact")).otherwise(p)
+        p = exact_p(F.when(enough, n), F.when(enough, m), F.when(enough, bound))
     status = F.when(~enough, INSUFFICIENT).when(F.col("p_value") < config.alpha, DIFFERENT).otherwise(NO_CHANGE)
     return (
         base.withColumn("p_value", p)
         .withColumn("alpha", F.lit(config.alpha))
         .withColumn("status", status)
-        .select("dimension", "n_reference", "n_comparison", "statistic", "p_value", "alpha", "status")
+        .withColumn("p_method", F.lit(method))
+        .select("dimension", "n_reference", "n_comparison", "statistic", "p_value", "p_method", "alpha", "status")
     )
 
 
@@ -81,9 +81,8 @@ def _fractions(bins: int) -> Column:
 
 
 def _quantile_fractions(config: StatsConfig) -> Column:
-    """Quantile positions of a dimension: named bin counts first, else by size of the reference sample."""
-    grid = F.when(F.col("total_n_ref") <= config.small_sample, _fractions(config.bins_small_sample))
-    grid = grid.otherwise(_fractions(config.bins_large_sample))
+    """Quantile positions of a dimension: its own number of bins, else the common one."""
+    grid = _fractions(config.n_bins)
     for dimension, bins in config.bins.items():
         grid = F.when(F.col("dimension") == dimension, _fractions(bins)).otherwise(grid)
     return grid

@@ -141,7 +141,7 @@ def macro_change(pairs: DataFrame) -> DataFrame:
     )
 
 
-def distribution_results(pairs: DataFrame, config: StatsConfig = StatsConfig(), method: str = "auto") -> DataFrame:
+def distribution_results(pairs: DataFrame, config: StatsConfig = StatsConfig(), method: str = "exact") -> DataFrame:
     """KS and PSI rows of every dimension."""
     config = suite_config(config)
     ordered = ordered_counts(samples_of(pairs))
@@ -214,7 +214,7 @@ def compare_snapshots(
     audited_entity: str,
     mapping: dict[str, str] | None = None,
     config: StatsConfig = StatsConfig(),
-    method: str = "auto",
+    method: str = "exact",
 ) -> DataFrame:
     """Whole suite: KS and PSI per dimension, change per entity and category, one audited entity."""
     pairs = materialize(comparable_dimensions(reference, comparison, mapping))
