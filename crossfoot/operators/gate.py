@@ -117,11 +117,10 @@ def aggregate_incidents(failed: DataFrame, incident_type: str = "DATA_INTEGRITY_
         F.col("p.difference").alias("difference"),
         "affected_record_count",
         "n_failures",
-        sentence("Data Reliability Gate Failure: ", names, more).alias("title"),
+        sentence("Held back by ", names, more).alias("title"),
         sentence(
-            "Run ", F.col("run_id"), " failed reliability validation with ", F.col("n_failures"),
-            " integrity check(s). Primary failure: [", F.col("p.check_id"), "] in ",
-            F.coalesce("p.table_name", F.lit("source")), ". Promotion was halted.",
+            F.col("n_failures"), " checks stop run ", F.col("run_id"), "; gravest: ", F.col("p.check_id"),
+            " on ", F.coalesce("p.table_name", F.lit("source")), ". Nothing was published.",
         ).alias("description"),
         F.lit(OPEN).alias("status"),
     )

@@ -53,9 +53,7 @@ def _tables(source: str = "cube", suffix: str = "") -> tuple[str, ...]:
     )
 
 
-_IN_A = f"year(l_shipdate) = {YEAR_A}"
 ALL = (_cube(), *_DIMS, *_tables())
-ONE = (_cube(_IN_A), *_DIMS, *_tables())
 BOTH = (
     _cube(f"year(l_shipdate) IN ({YEAR_A}, {YEAR_B})"),
     f"cube_a AS (SELECT * FROM cube WHERE period = {YEAR_A})",
@@ -187,7 +185,7 @@ TEXT_CHECKS = "\nUNION ALL ".join(
 
 _NULLS = {"matrix": 0, "summary": 0, "outward": 5, "inward": 0, "internal": 100}
 NULL_AUDIT = _with(
-    *ONE,
+    *ALL,
     body="\nUNION ALL ".join(
         _check(f"'NUM-05-{t}'", f"'{t}'", f"abs(n - {k})", "WARNING", f"'{k} NULLs'", "n || ' NULLs'",
                f"FROM (SELECT count(*) FILTER (value IS NULL) AS n FROM {t}) x", "WARNING")
@@ -211,7 +209,7 @@ def _count_check(number: int, table: str, relation: str) -> str:
 
 
 COUNT_CHECKS = _with(
-    *ONE,
+    *ALL,
     body="\nUNION ALL ".join(
         [
             *[_count_check(n, t, t) for n, t in enumerate(_EXPECTED, 1)],
@@ -415,7 +413,7 @@ _PSI_STATUS = """CASE WHEN NOT enough OR psi IS NULL THEN 'INSUFFICIENT_DATA' WH
 _PSI_SELECT = f"""SELECT dimension, n AS n_reference, m AS n_comparison, {_r('CASE WHEN enough THEN coalesce(psi, 0.0) END', 'psi_value', 6)},
   CAST(0.25 AS DOUBLE) AS psi_threshold, {_PSI_STATUS} AS status FROM psi_rows"""
 _SUITE_BINS = "(CASE WHEN starts_with(dimension, 'ENTITY_') THEN 5 ELSE 10 END)"
-_AUTO_BINS = "(CASE WHEN n <= 33 THEN 5 ELSE 10 END)"
+_BINS = "10"
 
 YOY = """yoy AS (SELECT dimension || '_YOY' AS dimension, coalesce(entity, code) AS metric, CAST(comparison AS DOUBLE) - CAST(reference AS DOUBLE) AS chg,
     (CAST(comparison AS DOUBLE) - CAST(reference AS DOUBLE)) / nullif(CAST(reference AS DOUBLE), 0) * 100.0 AS pct
@@ -606,31 +604,31 @@ def _suite() -> str:
         _suite_row("STR-03-outward", "STRUCTURAL", "outward", "n", "INFO", "FROM (SELECT count(*) * 0 AS n FROM outward) q", "WARNING"),
         *[_suite_row(k, "SOURCE_TOTAL", t, "n", "CRITICAL", f"FROM (SELECT count(*) * 0 AS n FROM {t}) q") for k, t in total.items()],
     ]
-    return _with(*ONE, body="\nUNION ALL ".join(rows))
+    return _with(*ALL, body="\nUNION ALL ".join(rows))
 
 
 _LONG = "SELECT code, description, entity, " + _r("value") + " FROM {}"
 _ROWS_ONE = "SELECT code, entity, value, row_number() OVER (PARTITION BY entity ORDER BY code) AS r FROM inward"
 
 ORACLE: dict[str, str] = {
-    "unpivot_matrix_nulls_kept": _with(*ONE, body=f"SELECT origin, destination, {_r('value')} FROM matrix"),
-    "unpivot_category_entity": _with(*ONE, body=_LONG.format("internal")),
-    "flat_summary": _with(*ONE, body=f"SELECT code, description, {_r('value')} FROM summary"),
+    "unpivot_matrix_nulls_kept": _with(*ALL, body=f"SELECT origin, destination, {_r('value')} FROM matrix"),
+    "unpivot_category_entity": _with(*ALL, body=_LONG.format("internal")),
+    "flat_summary": _with(*ALL, body=f"SELECT code, description, {_r('value')} FROM summary"),
     "unified_fact": _with(*ALL, body="\nUNION ALL ".join(
         f"SELECT '{k.upper()}' AS movement_type, entity, count(*) AS n_cells, count(value) AS n_filled, {_r('sum(value)', 'value')} FROM {k} GROUP BY entity" for k in _KINDS)),
-    "densify_cells": _with(*ONE, body=f"SELECT code, entity, {_r('value')} FROM internal"),
+    "densify_cells": _with(*ALL, body=f"SELECT code, entity, {_r('value')} FROM internal"),
     "canonical_labels": """SELECT o_orderpriority AS label, CASE o_orderpriority WHEN '4-NOT SPECIFIED' THEN 'LOW' WHEN '5-LOW' THEN 'LOW'
   WHEN '1-URGENT' THEN 'HIGH' WHEN '2-HIGH' THEN 'HIGH' ELSE o_orderpriority END AS canonical_label, count(*) AS n FROM orders GROUP BY 1, 2""",
     "canonical_labels_by_table": f"""SELECT r_name AS canonical_label, n_name, {_r('sum(CAST(c_acctbal AS DECIMAL(18,2)))', 'balance')}
   FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY 1, 2""",
     "reported_totals_long": _with(*ALL, REPORTED, body=f"SELECT table_name, axis, entity, {_r('value')} FROM reported"),
     "pivot_category_status": _checked(f'SELECT check_category, {_P} AS "PASS", {_W} AS "WARNING", {_F} AS "FAIL" FROM checked GROUP BY 1'),
-    "staged_cells": _with(*ONE, "numbered AS (SELECT code, row_number() OVER (ORDER BY code) AS r FROM cat)",
+    "staged_cells": _with(*ALL, "numbered AS (SELECT code, row_number() OVER (ORDER BY code) AS r FROM cat)",
                           "headed AS (SELECT entity, row_number() OVER (ORDER BY entity) + 2 AS c FROM ent)",
                           body=f"""SELECT 'inward' AS table_name, i.code, i.entity, {_r('value')}, FALSE AS is_summary, r AS source_row, c AS source_col
   FROM inward i JOIN numbered USING (code) JOIN headed USING (entity)
   UNION ALL SELECT 'inward', i.code, 'TOTAL', {_r('coalesce(sum(value), 0)', 'value')}, TRUE, r, (SELECT count(*) FROM ent) + 3 FROM inward i JOIN numbered USING (code) GROUP BY i.code, r"""),
-    "staged_metadata": _with(*ONE, body="\nUNION ALL ".join([
+    "staged_metadata": _with(*ALL, body="\nUNION ALL ".join([
         f"SELECT 'matrix' AS table_name, {_SIZES[0]} AS row_count, 1 + {_SIZES[0]} AS column_count, count(*) FILTER (value IS NULL) AS null_cells_count, {_NONE} AS reported_total, {_NONE} AS reported_entity_sum FROM matrix",
         f"SELECT 'summary', {_SIZES[1]}, 3, count(*) FILTER (value IS NULL), {_r('coalesce(sum(value), 0)', 'x')}, NULL FROM summary",
         f"SELECT 'outward', {_SIZES[1]}, 2 + {_SIZES[0]}, count(*) FILTER (value IS NULL), NULL, {_r('coalesce(sum(value), 0)', 'x')} FROM outward",
@@ -655,7 +653,7 @@ ORACLE: dict[str, str] = {
   {_r('o + t - s', 'parts_minus_summary')}, {_r('d - t', 'diagonal_minus_internal')} FROM national"""),
     "sch_columns": SCHEMA_CHECKS,
     "cmp_counts": COUNT_CHECKS,
-    "cmp_missing_keys": _with(*ONE, body="SELECT code, entity FROM internal WHERE value IS NULL"),
+    "cmp_missing_keys": _with(*ALL, body="SELECT code, entity FROM internal WHERE value IS NULL"),
     "cmp_category_set": _label_set("CMP-06", "part", "SELECT p_brand AS l FROM part WHERE p_type <> 'PROMO'",
                                    "SELECT DISTINCT p_brand AS l FROM part WHERE regexp_matches(p_brand, '[02468]$')", True, "ERROR"),
     "cmp_entity_set": _label_set("CMP-07", "supplier", "SELECT n_name AS l FROM supplier JOIN nation ON s_nationkey = n_nationkey",
@@ -689,8 +687,8 @@ ORACLE: dict[str, str] = {
     "ks_by_dimension": _with(*BOTH, PAIRS, PAIR_SAMPLES, *KS_CTES, *SERIES, body=_KS_SELECT),
     "psi_by_dimension": _with(*BOTH, PAIRS, PAIR_SAMPLES, *_edges(_SUITE_BINS), *PSI_CTES, body=_PSI_SELECT),
     "ks_line_prices": _with(LINE_SAMPLES, *KS_CTES, *SERIES, body=_KS_SELECT),
-    "psi_line_prices": _with(LINE_SAMPLES, *_edges(_AUTO_BINS), *PSI_CTES, body=_PSI_SELECT),
-    "psi_bin_edges": _with(LINE_SAMPLES, *_edges(_AUTO_BINS), body=f"SELECT dimension, i - 1 AS bin, {_r('e[i]', 'edge', 6)} FROM edges, unnest(range(1, len(e) + 1)) t(i)"),
+    "psi_line_prices": _with(LINE_SAMPLES, *_edges(_BINS), *PSI_CTES, body=_PSI_SELECT),
+    "psi_bin_edges": _with(LINE_SAMPLES, *_edges(_BINS), body=f"SELECT dimension, i - 1 AS bin, {_r('e[i]', 'edge', 6)} FROM edges, unnest(range(1, len(e) + 1)) t(i)"),
     "cross_period_exception_audit": _with(*BOTH, AUDIT_CTE, body="SELECT " + _audit_row(_MOVED) % ("", "")),
     "stat_suite_all": STAT_SUITE,
     "gate_decision": _checked(f"""SELECT run_id, count(*) AS n_results, {_F} AS n_failures, count(*) FILTER (status = 'FAIL' AND severity IN ('CRITICAL', 'ERROR')) AS n_blocking,
@@ -699,10 +697,9 @@ ORACLE: dict[str, str] = {
     "blocking_failures": _checked(f"SELECT run_id, check_id, entity, severity, {_r('difference')}, affected_records FROM checked WHERE status = 'FAIL' AND severity IN ('CRITICAL', 'ERROR')"),
     "incident_aggregate": _checked(f"""SELECT 'INC-' || i.run_id AS incident_id, i.run_id, severity, 'DATA_INTEGRITY_FAILURE' AS failure_type, source_table, i.check_id, check_name,
   expected_value, observed_value, {_r('difference')}, CAST(affected_record_count AS BIGINT) AS affected_record_count, n_failures,
-  'Data Reliability Gate Failure: ' || (SELECT string_agg(check_id, ', ' ORDER BY k) FROM ids WHERE ids.run_id = i.run_id AND k <= 3)
+  'Held back by ' || (SELECT string_agg(check_id, ', ' ORDER BY k) FROM ids WHERE ids.run_id = i.run_id AND k <= 3)
     || (SELECT CASE WHEN count(*) > 3 THEN ' (+' || (count(*) - 3) || ' more)' ELSE '' END FROM ids WHERE ids.run_id = i.run_id) AS title,
-  'Run ' || i.run_id || ' failed reliability validation with ' || n_failures || ' integrity check(s). Primary failure: [' || i.check_id || '] in ' || source_table
-    || '. Promotion was halted.' AS description, 'OPEN' AS status FROM incidents i"""),
+  n_failures || ' checks stop run ' || i.run_id || '; gravest: ' || i.check_id || ' on ' || source_table || '. Nothing was published.' AS description, 'OPEN' AS status FROM incidents i"""),
     "incident_failures": _checked(f"SELECT 'INC-' || run_id AS incident_id, check_id, entity, severity, {_r('difference')} FROM failed"),
     "alert_excerpt": _checked("SELECT 'INC-' || run_id AS incident_id, pos AS position, check_id, entity, severity FROM placed WHERE pos <= 5"),
     "alerts_pending": _with(INCIDENTS, ALERTS, body="SELECT incident_id, run_id, severity FROM inc WHERE incident_id NOT IN (SELECT incident_id FROM alerts WHERE outcome = 'SENT')"),
@@ -789,17 +786,19 @@ def _cell_types(table: str) -> str:
 
 
 def _column_profile() -> str:
-    """Blank cells per column of the four wide tables with a header; footer and body rows count."""
+    """Blank cells per column of the five wide tables; footer and body rows count."""
     with_footer = f"{_SIZES[1]} + 1"
     rows = [
         f"SELECT 'matrix' AS table_name, 'destination' AS column_name, {_SIZES[0]} AS n_rows, CAST(0 AS BIGINT) AS n_null",
         f"SELECT 'matrix', origin, {_SIZES[0]}, count(*) FILTER (value IS NULL) FROM matrix GROUP BY origin",
     ]
+    rows += [f"SELECT 'summary', '{c}', {with_footer}, 0" for c in ("code", "description", "row_role")]
+    rows.append(f"SELECT 'summary', 'value', {with_footer}, count(*) FILTER (value IS NULL) FROM summary")
     for kind in _KINDS:
         fixed = ["code", "description", "row_role"] + ([] if kind == "outward" else ["TOTAL"])
         rows += [f"SELECT '{kind}', '{c}', {with_footer}, 0" for c in fixed]
         rows.append(f"SELECT '{kind}', entity, {with_footer}, count(*) FILTER (value IS NULL) FROM {kind} GROUP BY entity")
-    return _with(*ONE, body="\nUNION ALL ".join(rows))
+    return _with(*ALL, body="\nUNION ALL ".join(rows))
 
 
 _PLACES = (
@@ -816,11 +815,11 @@ ORACLE.update(
         "cell_type_distribution": "\nUNION ALL ".join(_cell_types(t) for t in ("customer", "orders", "events", "part")),
         "column_profile": _column_profile(),
         "cell_bounding_box": _with(
-            *ONE, *_PLACES,
+            *ALL, *_PLACES,
             body="SELECT 'inward' AS table_name, min(r) AS min_row, max(r) AS max_row, min(c) AS min_col, max(c) AS max_col FROM placed WHERE value IS NOT NULL",
         ),
         "cell_empty_lines": _with(
-            *ONE, *_PLACES,
+            *ALL, *_PLACES,
             body="""SELECT 'inward' AS table_name, 'ROW' AS axis, r AS line FROM placed GROUP BY r HAVING count(*) FILTER (value > 1500000) = 0
   UNION ALL SELECT 'inward', 'COLUMN', c FROM placed GROUP BY c HAVING count(*) FILTER (value > 1500000) = 0""",
         ),
@@ -836,7 +835,7 @@ ORACLE.update(
   FROM sides WHERE no_a OR no_b OR attributes <> ''""",
         ),
         "label_positions": _with(
-            *ONE,
+            *ALL,
             "m AS (SELECT entity, row_number() OVER (ORDER BY entity) AS position FROM ent)",
             f"s AS (SELECT entity, row_number() OVER (ORDER BY entity) AS position FROM internal WHERE code = '{CODE}' AND value IS NOT NULL)",
             body="""SELECT m.position, m.entity AS matrix, m.entity AS outward, s.entity AS sparse, coalesce(m.entity = s.entity, FALSE) AS all_equal

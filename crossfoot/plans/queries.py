@@ -13,7 +13,7 @@ from crossfoot.operators import checks, distribution, faults, gate, profiling, r
 from crossfoot.operators.ordered import ordinal_positions
 from crossfoot.operators.reshape import union_all
 from crossfoot.plans import derived, flow, suite
-from crossfoot.plans.flow import CATEGORY_TABLES, SPECS, Published, published, published_snapshots, table
+from crossfoot.plans.flow import CATEGORY_TABLES, SPECS, published, published_snapshots, table
 from crossfoot.runtime import materialize
 from crossfoot.sources import crosstab, files
 
@@ -46,10 +46,6 @@ def _reconciled(df: DataFrame) -> DataFrame:
     )
 
 
-def _one_year(spark: SparkSession, sf_dir: str) -> Published:
-    return published(spark, sf_dir, (REFERENCE_YEAR, REFERENCE_YEAR))
-
-
 def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     before, after = published_snapshots(spark, sf_dir, REFERENCE_YEAR, COMPARISON_YEAR)
     return snapshots.comparable_dimensions(before.long(), after.long())
@@ -59,15 +55,15 @@ def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def unpivot_matrix_nulls_kept(spark, sf_dir):
-    return _one_year(spark, sf_dir).long()["matrix"].select("origin", "destination", amount("value"))
+    return published(spark, sf_dir).long()["matrix"].select("origin", "destination", amount("value"))
 
 
 def unpivot_category_entity(spark, sf_dir):
-    return _one_year(spark, sf_dir).long()["internal"].select("code", "description", "entity", amount("value"))
+    return published(spark, sf_dir).long()["internal"].select("code", "description", "entity", amount("value"))
 
 
 def flat_summary(spark, sf_dir):
-    return _one_year(spark, sf_dir).long()["summary"].select("code", "description", amount("value"))
+    return published(spark, sf_dir).long()["summary"].select("code", "description", amount("value"))
 
 
 def unified_fact(spark, sf_dir):
@@ -80,7 +76,7 @@ def unified_fact(spark, sf_dir):
 
 
 def densify_cells(spark, sf_dir):
-    cube = flow.flow_cube(spark, sf_dir, (REFERENCE_YEAR, REFERENCE_YEAR))
+    cube = flow.flow_cube(spark, sf_dir)
     own = cube.where(F.col("origin") == F.col("destination")).select("code", F.col("origin").alias("entity"), "value")
     labels = reshape.header_labels(flow.entity_dimension(spark, sf_dir), "entity")
     codes = flow.category_dimension(spark, sf_dir).select("code")
@@ -118,8 +114,8 @@ def pivot_category_status(spark, sf_dir):
 
 
 def _staged(spark, sf_dir) -> DataFrame:
-    """Staged cells of the inward table of one year; rows are numbered by code, as a publisher would sort them."""
-    p = _one_year(spark, sf_dir)
+    """Staged cells of the inward table; rows are numbered by code, as a publisher would sort them."""
+    p = published(spark, sf_dir)
     wide = p.wide["inward"].where(F.col("row_role") == "BODY")
     numbered = ordinal_positions(wide.select("code"), [], ["code"], "source_row")
     return crosstab.stage_cells(wide.join(numbered, "code"), SPECS["inward"])
@@ -132,7 +128,7 @@ def staged_cells(spark, sf_dir):
 
 
 def staged_metadata(spark, sf_dir):
-    p = _one_year(spark, sf_dir)
+    p = published(spark, sf_dir)
     rows = [crosstab.stage_metadata(p.wide[name], SPECS[name], "value" if name == "summary" else None) for name in SPECS]
     rows = [r.withColumn("reported_total", F.col("reported_total").cast("double")) for r in rows]
     total = F.aggregate(
@@ -278,7 +274,7 @@ def num_text_cells(spark, sf_dir):
 
 
 def num_null_audit(spark, sf_dir):
-    p = _one_year(spark, sf_dir)
+    p = published(spark, sf_dir)
     specs = suite.table_specs(p, CODE_PATTERN, {"matrix": 0, "summary": 0, "outward": 5, "inward": 0, "internal": 100})
     long = p.long()
     rows = union_all([checks.table_checks(spark, long[s.name], s, n) for n, s in enumerate(specs, 1)])
@@ -305,7 +301,7 @@ def sch_columns(spark, sf_dir):
 
 def cmp_counts(spark, sf_dir):
     """Record completeness of all five tables and of the sparse internal cells, which are not complete."""
-    p = _one_year(spark, sf_dir)
+    p = published(spark, sf_dir)
     specs, long = suite.table_specs(p, CODE_PATTERN), p.long()
     sparse = long["internal"].where(F.col("value").isNotNull())
     rows = [checks.table_checks(spark, long[s.name], s, n) for n, s in enumerate(specs, 1)]
@@ -314,7 +310,7 @@ def cmp_counts(spark, sf_dir):
 
 
 def cmp_missing_keys(spark, sf_dir):
-    cube = flow.flow_cube(spark, sf_dir, (REFERENCE_YEAR, REFERENCE_YEAR))
+    cube = flow.flow_cube(spark, sf_dir)
     own = cube.where(F.col("origin") == F.col("destination")).select("code", F.col("origin").alias("entity"))
     labels = reshape.header_labels(flow.entity_dimension(spark, sf_dir), "entity")
     return reshape.missing_cells(own, flow.category_dimension(spark, sf_dir), "code", "entity", labels)
@@ -390,7 +386,7 @@ def fk_orphans(spark, sf_dir):
 
 
 def validation_suite_all(spark, sf_dir):
-    p = _one_year(spark, sf_dir)
+    p = published(spark, sf_dir)
     specs = suite.table_specs(p, CODE_PATTERN, {"matrix": 0, "summary": 0, "outward": 0, "inward": 0, "internal": 0})
     rows = suite.validation_suite(
         spark, p.wide, p.long(), p.totals(), specs, kept_label=(ENTITY, "NATION_THREE"), documented_columns={"outward": 2 + len(p.labels)}
@@ -507,7 +503,7 @@ def table_profile(spark, sf_dir):
 
 
 def column_profile(spark, sf_dir):
-    cells = [profiling.column_profile(df, name) for name, df in _one_year(spark, sf_dir).wide.items() if name != "summary"]
+    cells = [profiling.column_profile(df, name) for name, df in published(spark, sf_dir).wide.items()]
     return union_all(cells)
 
 
@@ -553,7 +549,7 @@ def snapshot_attribute_diff(spark, sf_dir):
 
 def label_positions(spark, sf_dir):
     """Entity labels of the tables side by side by position; the sparse table has fewer."""
-    p = _one_year(spark, sf_dir)
+    p = published(spark, sf_dir)
     long = p.long()
     sparse = long["internal"].where((F.col("value").isNotNull()) & (F.col("code") == CODE))
     frames = {

@@ -82,7 +82,7 @@ def run_reliability(
         store.complete_run(spark, base, run_id, counts, {"failures": 0})
         return RunOutcome(run_id, "PROMOTE", 0)
     except Exception as error:
-        store.fail_run(spark, base, run_id, str(error)[:2000])
+        store.fail_run(spark, base, run_id, str(error))
         raise
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 from urllib.parse import quote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,7 +19,7 @@ from crossfoot.runtime import materialize, ref
 from crossfoot.schemas import COMPLETED, FAILED, RUN_EVENT, STARTED
 
 RAW, TRUSTED, RESULTS = "raw", "trusted", "results"
-_AT_REST = T.DecimalType(24, 12)
+_SCALE = 12
 
 
 def table_path(base: str, layer: str, table: str) -> str:
@@ -52,9 +53,14 @@ def read_layer(spark: SparkSession, base: str, layer: str, table: str) -> DataFr
 
 
 def promote(tables: dict[str, DataFrame], base: str, run_id: str, value: str = "value") -> None:
-    """Writes the trusted tables of one run, amounts as decimals. The run's COMPLETED event makes them visible."""
+    """Writes the trusted tables of one run, amounts as decimals with the scale they come with (12 for doubles).
+
+    The run's COMPLETED event makes them visible.
+    """
     for name, df in tables.items():
-        write_run(df.withColumn(value, ref(value).cast(_AT_REST)), base, TRUSTED, name, run_id)
+        kind = df.schema[value].dataType
+        at_rest = T.DecimalType(38, kind.scale if isinstance(kind, T.DecimalType) else _SCALE)
+        write_run(df.withColumn(value, ref(value).cast(at_rest)), base, TRUSTED, name, run_id)
 
 
 def read_trusted(spark: SparkSession, base: str, table: str) -> DataFrame:
@@ -99,26 +105,35 @@ def read_events(spark: SparkSession, base: str) -> DataFrame:
 _ALERT = T.StructType().add("incident_id", "string").add("outcome", "string").add("event_ts", "timestamp")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+def _stored(spark: SparkSession, path: str, empty: T.StructType | None) -> DataFrame | None:
+    """A table that may not have been written yet."""
+    try:
+        return spark.read.schema(empty).parquet(path) if empty else spark.read.option("basePath", path).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return spark.createDataFrame([], empty) if empty else None
 
 
 def record_incidents(incidents: DataFrame, failed: DataFrame, base: str) -> None:
-    """Stores incidents of runs that have none yet; a run keeps its first incident and that incident's failures."""
+    """Stores incidents of runs that have none yet; a run keeps its first incident and that incident's failures.
+
+    Both tables have a folder per run that is written as a whole, the incidents last. A crash in between leaves failures
+    without an incident, which the next attempt replaces.
+    """
     spark = incidents.sparkSession
     heads, rows = f"{base.rstrip('/')}/incidents", f"{base.rstrip('/')}/incident_failures"
-    fresh = incidents
-    if _exists(spark, heads):
-        fresh = incidents.join(spark.read.parquet(heads).select("run_id"), "run_id", "left_anti")
+    known = _stored(spark, heads, None)
+    fresh = incidents if known is None else incidents.join(known.select("run_id"), "run_id", "left_anti")
     fresh = materialize(fresh.withColumn("detected_at", F.current_timestamp()))
-    failed.join(fresh.select("run_id"), "run_id", "left_semi").write.mode("append").parquet(rows)
-    fresh.write.mode("append").parquet(heads)
+    for part, folder in ((failed.join(fresh.select("run_id"), "run_id", "left_semi"), rows), (fresh, heads)):
+        by_run = part.withColumn("run", F.col("run_id"))  # the ids themselves stay in the files, as text
+        by_run.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run").parquet(folder)
 
 
 def read_incidents(spark: SparkSession, base: str) -> DataFrame:
     """Incidents with ``alert_sent`` from the alert events."""
-    incidents = spark.read.parquet(f"{base.rstrip('/')}/incidents")
+    incidents = spark.read.parquet(f"{base.rstrip('/')}/incidents").drop("run")
     sent = read_alerts(spark, base).where(F.col("outcome") == "SENT").select("incident_id").distinct()
     marked = incidents.join(sent.withColumn("_sent", F.lit(True)), "incident_id", "left")
     return marked.withColumn("alert_sent", F.coalesce("_sent", F.lit(False))).drop("_sent")
@@ -127,13 +142,13 @@ def read_incidents(spark: SparkSession, base: str) -> DataFrame:
 def incident_of_run(spark: SparkSession, base: str, run_id: str) -> tuple[DataFrame, DataFrame]:
     """The incident of one run and its failures."""
     head = read_incidents(spark, base).where(F.col("run_id") == run_id)
-    failed = spark.read.parquet(f"{base.rstrip('/')}/incident_failures").where(F.col("run_id") == run_id)
+    failed = spark.read.parquet(f"{base.rstrip('/')}/incident_failures").where(F.col("run_id") == run_id).drop("run")
     return head, failed
 
 
 def read_alerts(spark: SparkSession, base: str) -> DataFrame:
     path = f"{base.rstrip('/')}/alerts"
-    return spark.read.schema(_ALERT).parquet(path) if _exists(spark, path) else spark.createDataFrame([], _ALERT)
+    return _stored(spark, path, _ALERT)
 
 
 def record_alerts(outcomes: DataFrame, base: str) -> None:

@@ -27,7 +27,7 @@ def test_incident_aggregation(spark):
     r = rows["r"]
     assert (r.severity, r.check_id, r.affected_record_count, r.n_failures) == ("CRITICAL", "UNQ-01", 7, 2)
     assert (r.expected_value, r.observed_value, r.difference, r.status) == ("0", "1", 0.0, "OPEN")
-    assert r.title == "Data Reliability Gate Failure: UNQ-01, DOM-01"
+    assert r.title == "Held back by UNQ-01, DOM-01"
     assert rows["q"].severity == "WARNING" and rows["q"].affected_record_count == 0
     assert gate.incident_failures(failed).count() == 3
 
@@ -35,7 +35,7 @@ def test_incident_aggregation(spark):
 def test_title_names_three_checks_and_counts_the_rest(spark):
     df = results(spark, [("r", f"C-{i % 5}", "FAIL", "ERROR", 1.0, 1) for i in range(20)])
     row = gate.aggregate_incidents(gate.normalized_failures(df)).first()
-    assert row.title == "Data Reliability Gate Failure: C-0, C-1, C-2 (+2 more)" and row.affected_record_count == 20
+    assert row.title == "Held back by C-0, C-1, C-2 (+2 more)" and row.affected_record_count == 20
 
 
 def test_mixed_suites(spark):
@@ -72,7 +72,9 @@ def test_only_completed_runs_are_trusted(spark, tmp_path):
     store.complete_run(spark, base, "r1", {"cells": 2}, {})
     rows = store.read_trusted(spark, base, "cells")
     assert rows.count() == 2 and {r.run_id for r in rows.collect()} == {"r1"}
-    assert rows.schema["value"].dataType.simpleString() == "decimal(24,12)"
+    assert rows.schema["value"].dataType.simpleString() == "decimal(38,12)"
+    store.promote({"large": table.withColumn("value", F.expr("1.25e12D"))}, base, "r1")
+    assert float(store.read_trusted(spark, base, "large").first()["value"]) == 1.25e12
     store.fail_run(spark, base, "r2", "boom")
     store.record_run(spark, base, "r3", "s", "/s", {"cells": 1})
     states = {r.run_id: r.status for r in readside.run_states(store.read_events(spark, base)).collect()}
