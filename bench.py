@@ -41,8 +41,13 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
     spark.read.parquet(f"{sf_dir}/nation.parquet").count()
+    names = sys.argv[1:] or HEADLINE
+    warm_up = os.environ.get("BENCH_WARM_DIR", "/root/testdata/sf0.001")
+    if os.path.isdir(warm_up):
+        for name in names:
+            QUERIES[name](spark, warm_up).write.format("noop").mode("overwrite").save()
     seconds = {}
-    for name in sys.argv[1:] or HEADLINE:
+    for name in names:
         start = time.perf_counter()
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.perf_counter() - start, 3)

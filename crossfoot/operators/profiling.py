@@ -11,9 +11,15 @@ from crossfoot.operators.reshape import union_all
 from crossfoot.runtime import inline_cells, literal, quoted, ref
 
 
+def missing(df: DataFrame, column: str) -> str:
+    """SQL text: whether a cell counts as NULL; NaN does."""
+    nan = f" OR isnan({quoted(column)})" if dict(df.dtypes)[column] in ("double", "float") else ""
+    return f"({quoted(column)} IS NULL{nan})"
+
+
 def table_profile(df: DataFrame, table: str) -> DataFrame:
     """(table_name, n_rows, n_columns, n_null): one pass over all columns."""
-    nulls = F.expr(" + ".join(["0L", *[f"cast({quoted(c)} IS NULL AS bigint)" for c in df.columns]]))
+    nulls = F.expr(" + ".join(["0L", *[f"cast({missing(df, c)} AS bigint)" for c in df.columns]]))
     return df.agg(
         F.count("*").alias("n_rows"),
         F.lit(len(df.columns)).alias("n_columns"),
@@ -23,7 +29,7 @@ def table_profile(df: DataFrame, table: str) -> DataFrame:
 
 def column_profile(df: DataFrame, table: str) -> DataFrame:
     """(table_name, column_name, n_rows, n_null) for every column, one pass."""
-    counts = df.selectExpr("count(*) AS _n", *[f"count_if({quoted(c)} IS NULL) AS {quoted(c)}" for c in df.columns])
+    counts = df.selectExpr("count(*) AS _n", *[f"count_if({missing(df, c)}) AS {quoted(c)}" for c in df.columns])
     cells = [{"column_name": literal(c), "n_null": quoted(c)} for c in df.columns]
     return counts.select(F.lit(table).alias("table_name"), F.col("_n").alias("n_rows"), inline_cells(cells))
 
@@ -70,7 +76,7 @@ def sparsity(cells: DataFrame) -> DataFrame:
     """(table_name, n_cells, n_null, null_share) of a long frame (table_name, value)."""
     return (
         cells.groupBy("table_name")
-        .agg(F.count("*").alias("n_cells"), F.count_if(F.col("value").isNull()).alias("n_null"))
+        .agg(F.count("*").alias("n_cells"), F.expr(f"count_if({missing(cells, 'value')})").alias("n_null"))
         .withColumn("null_share", F.col("n_null") / F.col("n_cells"))
     )
 

@@ -55,13 +55,23 @@ def canonical(label: Column, mapping: dict[str, str]) -> Column:
 
 
 def canonical_by_table(df: DataFrame, column: str, mapping: DataFrame, into: str) -> DataFrame:
-    """As :func:`canonical` with a mapping table (label, canonical_label) of any size; the raw label is kept."""
-    known = mapping.select(F.col("label").alias("_label"), F.col("canonical_label").alias("_canonical"))
+    """As :func:`canonical` with a mapping table (label, canonical_label) of any size; the raw label is kept.
+
+    A label listed more than once counts with its first canonical label in order of name, see
+    :func:`mapping_conflicts`, so no row is ever multiplied.
+    """
+    known = mapping.groupBy(clean_label(F.col("label")).alias("_label")).agg(F.min("canonical_label").alias("_canonical"))
     trimmed = F.coalesce(clean_label(ref(column)), F.lit(""))
     joined = df.withColumn("_trimmed", trimmed).join(known, F.col("_trimmed") == F.col("_label"), "left")
     return joined.withColumn(into, F.coalesce("_canonical", "_trimmed")).drop("_label", "_canonical", "_trimmed")
 
 
+def mapping_conflicts(mapping: DataFrame) -> DataFrame:
+    """(label, canonical_labels) of the labels that a mapping sends to several canonical labels."""
+    by_label = mapping.groupBy(clean_label(F.col("label")).alias("label")).agg(F.sort_array(F.collect_set("canonical_label")).alias("canonical_labels"))
+    return by_label.where(F.size("canonical_labels") > 1)
+
+
 def pivot_counts(df: DataFrame, rows: str, columns: str, values: list[str]) -> DataFrame:
     """Counts of ``columns`` values per ``rows`` value; combinations that do not occur are 0."""
     return df.groupBy(ref(rows)).pivot(columns, values).count().na.fill(0)

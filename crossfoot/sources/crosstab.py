@@ -13,7 +13,6 @@ from crossfoot.runtime import inline_cells, literal, quoted, ref
 
 BODY, FOOTER = "BODY", "FOOTER"
 COLUMN, ROW, GRAND = "COLUMN", "ROW", "GRAND"
-MAX_BROADCAST_SPLITS = 100_000
 
 
 class MissingTablesError(ValueError):
@@ -37,25 +36,21 @@ def available_tables(spark: SparkSession, folder: str) -> list[str]:
 
 
 def number_source_rows(df: DataFrame, name: str = "source_row") -> DataFrame:
-    """1-based row number in file order, for rows read straight from files.
+    """1-based row number in file order, for rows read straight from files: by file name, then by place in the file.
 
-    The number of rows before each input split comes from one count per split. That list is broadcast while the
-    number of splits, which is known before any job runs, stays below ``MAX_BROADCAST_SPLITS``; beyond it the rows are
-    joined with it by shuffle.
+    Spark reads a file in blocks, in any order. One grouping counts the rows of each block, and the blocks before it give
+    the number of its first row. The block's own first id ends the dependence on how blocks were dealt to tasks.
     """
-    within = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    marked = df.select("*", F.spark_partition_id().alias("_split"), within.alias("_offset"))
-    before = Window.orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
+    place = {"_file": F.col("_metadata.file_path"), "_block": F.col("_metadata.file_block_start"), "_id": F.monotonically_increasing_id()}
+    marked = df.select("*", *[column.alias(alias) for alias, column in place.items()])
+    before = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
-        df.groupBy(F.spark_partition_id().alias("_split"))
-        .agg(F.count("*").alias("_rows"))
-        .select("_split", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
-    )
-    if df.rdd.getNumPartitions() <= MAX_BROADCAST_SPLITS:
-        starts = F.broadcast(starts)
-    return marked.join(starts, "_split").withColumn(name, F.col("_start") + F.col("_offset") + 1).select(
-        *[ref(column) for column in df.columns], name
+        marked.groupBy("_file", "_block")
+        .agg(F.count("*").alias("_rows"), F.min("_id").alias("_first"))
+        .select("_file", "_block", "_first", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
     )
+    numbered = marked.join(starts, ["_file", "_block"]).withColumn(name, F.col("_start") + F.col("_id") - F.col("_first") + 1)
+    return numbered.select(*[ref(column) for column in df.columns], name)
 
 
 def read_crosstab(

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from crossfoot.config import CrosstabSpec
-from crossfoot.operators import reshape
+from crossfoot.operators import profiling, reshape
 from crossfoot.sources import crosstab, files
 
 INWARD = CrosstabSpec("inward", ("code", "description"), total_column="TOTAL")
@@ -85,6 +85,35 @@ def test_row_numbers_are_gapless_over_many_splits(spark, tmp_path):
     assert rows == list(range(1, 1001))
 
 
+def test_row_numbers_follow_file_name_and_place(spark, tmp_path):
+    (tmp_path / "t").mkdir()
+    first, second = range(0, 20), range(20, 4000)  # the later file is the larger one, which Spark reads first
+    for name, numbers in (("a.csv", first), ("b.csv", second)):
+        (tmp_path / "t" / name).write_text("destination\n" + "".join(f"{i}\n" for i in numbers))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        df = spark.read.csv(str(tmp_path / "t"), header=True)
+        rows = crosstab.number_source_rows(df).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len(rows) == 4000 and all(int(r.destination) + 1 == r.source_row for r in rows)
+
+
+def test_a_label_mapped_twice_multiplies_nothing(spark):
+    mapping = spark.createDataFrame([("a", "Z"), ("a ", "Y"), ("b", "B")], "label string, canonical_label string")
+    df = spark.createDataFrame([("a",), ("b",), ("c",), (None,)], "name string")
+    rows = reshape.canonical_by_table(df, "name", mapping, "into").collect()
+    assert sorted((str(r.name), r.into) for r in rows) == [("None", ""), ("a", "Y"), ("b", "B"), ("c", "c")]
+    assert [(r.label, r.canonical_labels) for r in reshape.mapping_conflicts(mapping).collect()] == [("a", ["Y", "Z"])]
+
+
+def test_nan_counts_as_missing_in_profiles(spark):
+    df = spark.createDataFrame([(1.0, "x"), (float("nan"), None), (None, "y")], "value double, name string")
+    assert profiling.table_profile(df, "t").first().n_null == 3
+    assert {r.column_name: r.n_null for r in profiling.column_profile(df, "t").collect()} == {"value": 2, "name": 1}
+    assert profiling.sparsity(df.selectExpr("'t' AS table_name", "value")).first().n_null == 2
+
+
 def test_fingerprints_notice_a_change(spark, tmp_path):
     (tmp_path / "a.txt").write_text("one")
     (tmp_path / "b.txt").write_text("two")
