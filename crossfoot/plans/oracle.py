@@ -851,3 +851,29 @@ ORACLE.update(
         ),
     }
 )
+
+
+# --- content fingerprints -------------------------------------------------------------------------------------------
+
+_FINGERPRINTED = {
+    "region": ("r_regionkey", "r_name"), "nation": ("n_nationkey", "n_name", "n_regionkey"), "benchmark": ("item_id", "text"),
+    "labels": ("doc_id", "quality", "toxic"), "conversations": ("conv_id", "turn", "role", "text"),
+    "documents": ("doc_id", "text", "lang", "source", "n_chars"), "pages": ("page_id", "url", "html"),
+}
+
+
+def _fingerprint(table: str, source: str | None = None) -> str:
+    cells = ", ".join(f"coalesce('=' || CAST({c} AS VARCHAR), '-')" for c in _FINGERPRINTED[table])
+    return f"""SELECT '{table}' AS table_name, count(*) AS n_rows,
+  CAST(coalesce(sum(CAST('0x' || substr(md5(concat_ws(chr(10), {cells})), 1, 12) AS HUGEINT)), 0) AS VARCHAR) AS fingerprint FROM {source or table}"""
+
+
+_FLIPPED = "(SELECT doc_id, CASE WHEN doc_id = (SELECT min(doc_id) FROM labels) THEN 1 - quality ELSE quality END AS quality, toxic FROM labels) f"
+ORACLE |= {
+    "content_fingerprint": "\nUNION ALL ".join(_fingerprint(t) for t in _FINGERPRINTED),
+    "content_unchanged": _with(
+        f"b AS ({' UNION ALL '.join(_fingerprint(t) for t in _FINGERPRINTED)})",
+        f"a AS ({' UNION ALL '.join(_fingerprint(t, _FLIPPED if t == 'labels' else None) for t in _FINGERPRINTED)})",
+        body="SELECT table_name, a.fingerprint = b.fingerprint AND a.n_rows = b.n_rows AS unchanged FROM a JOIN b USING (table_name)",
+    ),
+}

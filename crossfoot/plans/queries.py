@@ -148,6 +148,23 @@ def files_unchanged(spark, sf_dir):
     return files.unchanged_files(before, files.file_fingerprints(spark, f"{sf_dir}/*.parquet")).select("file_name", "unchanged")
 
 
+FINGERPRINTED = ("region", "nation", "benchmark", "labels", "conversations", "documents", "pages")
+
+
+def content_fingerprint(spark, sf_dir):
+    return union_all([files.content_fingerprint(table(spark, sf_dir, name), name) for name in FINGERPRINTED])
+
+
+def content_unchanged(spark, sf_dir):
+    """The tables as stored, against the tables with one quality label flipped: only that table has changed."""
+    before = materialize(content_fingerprint(spark, sf_dir))
+    labels = table(spark, sf_dir, "labels")
+    first = labels.agg(F.min("doc_id")).scalar()
+    altered = labels.withColumn("quality", F.when(F.col("doc_id") == first, 1 - F.col("quality")).otherwise(F.col("quality")))
+    frames = [files.content_fingerprint(altered if name == "labels" else table(spark, sf_dir, name), name) for name in FINGERPRINTED]
+    return files.unchanged_tables(before, union_all(frames))
+
+
 # --- totals and reconciliation --------------------------------------------------------------------------------------
 
 
@@ -800,6 +817,7 @@ QUERIES: dict[str, Query] = {
         alerts_pending, alert_outcomes, run_log_latest, run_durations, runs_recent, latest_run, results_filtered,
         rec_results_filtered, stat_results_filtered, incidents_newest, overview_kpis, category_health,
         validation_summary, validation_metrics, reconciliation_summary, reconciliation_metrics, statistical_summary,
-        statistical_metrics, incident_metrics, trusted_counts, lineage_counts, status_classes,
+        statistical_metrics, incident_metrics, trusted_counts, lineage_counts, status_classes, content_fingerprint,
+        content_unchanged,
     )
 }
