@@ -29,11 +29,12 @@ Tables = dict[str, DataFrame]
 
 
 def grand_sums(tables: Tables, names: list[str]) -> DataFrame:
-    """One row with the sum of each table, 0 for an empty one. Each table is aggregated once and sends one row."""
+    """One row with the sum of each table, 0 for an empty or absent one. Each table is aggregated once and sends one row."""
     tagged = union_all(
         [
             tables[name].agg(zero_if_null(F.sum("value")).alias("total")).select(F.lit(name).alias("table_name"), "total")
             for name in names
+            if name in tables
         ]
     )
     return tagged.agg(*[zero_if_null(F.sum(F.when(F.col("table_name") == n, F.col("total")))).alias(n) for n in names])
@@ -53,10 +54,12 @@ MEASURES = {
 def entity_sums(tables: Tables, entities: DataFrame, names: list[str]) -> DataFrame:
     """One row per expected entity with the named sums of ``MEASURES``; entities outside the list are left out.
 
-    Each table is read once and all sums share one grouping. An entity without rows has 0.
+    Each table is read once and all sums share one grouping. An entity without rows has 0, as in an absent table.
     """
     frames = []
     for table in dict.fromkeys(MEASURES[name][0] for name in names):
+        if table not in tables:
+            continue
         keys = [
             F.struct(F.expr(MEASURES[name][1]).alias("entity"), F.lit(name).alias("measure"))
             for name in names

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from crossfoot.operators import faults
+from crossfoot.operators import faults, reconcile
 from crossfoot.plans import suite
 from crossfoot.plans.flow import Published, published_snapshots
 from crossfoot.plans.queries import CODE, CODE_PATTERN, ENTITY
@@ -64,3 +64,15 @@ def test_faults_leave_the_source_alone(spark, years):
     df = before.long()["internal"]
     faults.value_to_text(df, {"code": CODE, "entity": ENTITY}, "X").count()
     assert df.schema["value"].dataType.typeName() == "decimal" and df.count() == 625
+
+
+def test_an_absent_table_fails_its_checks_and_stops_no_other(spark, years):
+    before, _ = years
+    long, wide = ({k: v for k, v in d.items() if k != "outward"} for d in (before.long(), before.wide))
+    specs = suite.table_specs(before, CODE_PATTERN)
+    rows = suite.validation_suite(spark, wide, long, before.totals(), specs, documented_columns={"outward": 27}).collect()
+    of_table = {r.check_id: r.status for r in rows if r.table_name == "outward"}
+    assert of_table["CMP-03"] == "FAIL" and of_table["REC-V02"] == "FAIL"
+    assert {r.table_name for r in rows} >= {"matrix", "summary", "inward", "internal"}
+    reconciled = reconcile.reconcile_all(long, before.totals(), before.entities)
+    assert reconciled.count() == 4 + 3 * 25 and reconciled.where("status <> 'PASS'").count() > 0
