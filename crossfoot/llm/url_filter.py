@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 BUCKETS = 4096
 GRAM_SIZES = (3, 4, 5)
 WEIGHT_UNIT = 1_000_000
+#: Scores up to this one, with log-odds of 0.2, still allow: without a telling n-gram a url is let through.
+BLOCK_ABOVE = 200_000
 
 # The rules, as (host, path start, verdict).
 RULES = (
@@ -72,7 +74,7 @@ def _grams(mark: str, text: str) -> list[str]:
 
 @dataclass(frozen=True)
 class UrlModel:
-    """Whole-number weights per bucket and a bias; a url is blocked when the sum is above zero."""
+    """Whole-number weights per bucket and a bias; a url is blocked when the sum is above ``BLOCK_ABOVE``."""
 
     weights: tuple[int, ...]
     bias: int
@@ -147,5 +149,5 @@ def judge_urls(
     parted = pages.select(pages[id_column].alias("page_id"), host.alias("host"), path.alias("path"))
     rule, verdict = matching_rule(parted["host"], parted["path"], rules)
     scored = parted.select("page_id", "host", "path", rule.alias("rule"), verdict.alias("said"), model_score("host", "path", model).alias("model_score"))
-    by_model = F.when(F.col("model_score") > 0, "block").otherwise("allow")
+    by_model = F.when(F.col("model_score") > BLOCK_ABOVE, "block").otherwise("allow")
     return scored.select("page_id", "host", "path", "rule", "model_score", F.coalesce("said", by_model).alias("verdict"))
