@@ -93,12 +93,14 @@ def log_ratios(words: DataFrame, trusted: DataFrame, smoothing: float = 1.0) ->
     every = words.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("bucket"))
     full = every.join(counts, "bucket", "left").select("bucket", F.coalesce("raw", F.lit(0)).alias("raw"), F.coalesce("good", F.lit(0)).alias("good"))
     gathered = full.agg(F.sort_array(F.collect_list(F.struct("bucket", "raw", "good"))).alias("rows"), F.sum("raw").alias("all_raw"), F.sum("good").alias("all_good"))
-    ratio = F.transform(
-        "rows",
-        lambda r: F.when(F.col("all_good") == 0, F.lit(0.0)).otherwise(
-            F.log((r["good"] + smoothing) / (F.col("all_good") + smoothing * BUCKETS)) - F.log((r["raw"] + smoothing) / (F.col("all_raw") + smoothing * BUCKETS))
-        ),
-    )
+    # Trusted counts are smoothed towards the raw shares, so a bucket as frequent in both has the ratio 0 at any size.
+    pseudo = smoothing * BUCKETS
+
+    def log_ratio(row: Column) -> Column:
+        share = row["raw"] / F.col("all_raw")
+        return F.when(row["raw"] > 0, F.log((row["good"] + pseudo * share) / ((F.col("all_good") + pseudo) * share))).otherwise(F.lit(0.0))
+
+    ratio = F.transform("rows", log_ratio)
     return gathered.select(ratio.alias("ratio"))
 
 
