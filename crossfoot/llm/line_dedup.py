@@ -1,24 +1,23 @@
-"""Line duplicates across a corpus: an exact set-similarity join of the lines' word sets.
+"""Line duplicates across a corpus: an exact set-similarity join of the lines' token sets.
 
-The words of a line (A-Z lower-cased) are ordered by rarity; the rarer words of every line form its prefix, long enough
-that two lines with Jaccard similarity of at least ``threshold`` share a prefix word. Lines meet on prefix words, pairs
-that lengths or the positions of the shared word rule out are dropped, the rest are verified on the words themselves. A
-line goes if any earlier line is similar enough; earlier means a smaller (id, line number).
+The tokens of a line are its shingles of five words (A-Z lower-cased), ordered by rarity. The rarer tokens of every line
+form its prefix, long enough that two lines with Jaccard similarity of at least ``threshold`` share a prefix token. Lines
+meet on prefix tokens, pairs that lengths or the positions of the shared token rule out are dropped, the rest are verified
+on the words themselves. A line goes if any earlier line is similar enough; earlier means a smaller (id, line number).
 
-Of lines with equal word sets only the earliest takes part as a partner. The rest is done in two rounds: first every line
-meets the earliest line of its prefix words, and only lines that have not found a partner meet all others. So a line
+Of lines with equal token sets only the earliest takes part as a partner. The rest is done in two rounds: first every
+line meets the earliest line of its prefix tokens, and only lines that have not found a partner meet all others. So a line
 repeated thousands of times, with small changes or without, costs a number of comparisons that grows with its copies.
 
-Rarity comes from counts of all words of all documents, in a table of fixed size by hash. It orders words, never drops one.
+Rarity comes from counts of all tokens of all lines, in a table of fixed size by hash. It orders tokens, never drops one.
 
-Defined results: lines with fewer than ``min_words`` different words stay as they are, empty ones included. NULL text
+Defined results: lines with fewer than ``min_words`` words stay as they are, empty ones included. NULL text
 stays NULL, with no lines. Ids are whole numbers; rows with the same id are treated alike, and lines of rows without an
 id stay. An empty table gives an empty result. Other columns are passed through.
 """
 
 from __future__ import annotations
 
-import math
 import re
 from collections.abc import Iterator
 from fractions import Fraction
@@ -29,24 +28,37 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from crossfoot.llm.storage import stored
-from crossfoot.llm.words import document_words, grouped, mix
+from crossfoot.llm.words import PLACE, document_words, grouped, mix
 
 RARITY_BITS = 18
 FILTER_WORDS = 1 << 18
-THRESHOLD = Fraction(4, 5)
+SHINGLE = 5
+THRESHOLD = Fraction(3, 4)
 MIN_WORDS = 8
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 CAPITALS = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def word_counts(texts: DataFrame) -> np.ndarray:
-    """Occurrences per bucket of word hashes, over all documents."""
+def line_tokens(lines: list[bytes], min_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Token hashes of all lines with enough words, and the line each belongs to."""
+    hashes, ends = document_words(lines)
+    windows = np.zeros(max(0, len(hashes) - SHINGLE + 1), np.uint64)
+    for k in range(SHINGLE):
+        windows += hashes[k : k + len(windows)] * PLACE[k]
+    words = np.diff(ends, prepend=0)
+    owner = np.repeat(np.arange(len(lines)), words)
+    inside = (owner[: len(windows)] == owner[SHINGLE - 1 :]) & (words[owner[: len(windows)]] >= min_words)
+    return mix(windows[inside]), owner[: len(windows)][inside]
+
+
+def token_counts(texts: DataFrame, min_words: int) -> np.ndarray:
+    """Occurrences per bucket of token hashes, over all documents."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << RARITY_BITS, np.int64)
         for batch in batches:
             for group in grouped(t.as_py() or "" for t in batch.column(0)):
-                hashes, _ = document_words(group)
+                hashes, _ = line_tokens([part for g in group for part in g.split(b"\n")], min_words)
                 total += np.bincount((hashes >> np.uint64(64 - RARITY_BITS)).astype(np.int64), minlength=1 << RARITY_BITS)
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int32()), pa.array(total[seen])], names=["bucket", "n"])
@@ -58,7 +70,7 @@ def word_counts(texts: DataFrame) -> np.ndarray:
 
 
 def prefix_rows(texts: DataFrame, counts: np.ndarray, threshold: Fraction, min_words: int) -> DataFrame:
-    """(word, doc_id, line, size, position, signature) of every word in the prefix of every line."""
+    """(token, doc_id, line, size, position, signature) of every token in the prefix of every line."""
     top, bottom = threshold.numerator, threshold.denominator
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -71,8 +83,7 @@ def prefix_rows(texts: DataFrame, counts: np.ndarray, threshold: Fraction, min_w
     def rows(ids: np.ndarray, group: list[bytes]) -> pa.RecordBatch:
         lines = [part for g in group for part in g.split(b"\n")]
         per_document = np.array([g.count(b"\n") + 1 for g in group])
-        hashes, ends = document_words(lines)
-        line = np.repeat(np.arange(len(lines)), np.diff(ends, prepend=0))
+        hashes, line = line_tokens(lines, min_words)
         order = np.lexsort((hashes, counts[(hashes >> np.uint64(64 - RARITY_BITS)).astype(np.int64)], line))
         hashes, line = hashes[order], line[order]
         fresh = np.r_[True, (hashes[1:] != hashes[:-1]) | (line[1:] != line[:-1])][: len(hashes)]
@@ -84,7 +95,7 @@ def prefix_rows(texts: DataFrame, counts: np.ndarray, threshold: Fraction, min_w
         starts = np.flatnonzero(position == 0)
         if len(starts):
             signature[line[starts]] = np.add.reduceat(mix(hashes), starts)
-        kept = (size >= min_words) & (position <= size - -(-size * top // bottom))
+        kept = position <= size - -(-size * top // bottom)
         owner = np.repeat(np.arange(len(group)), per_document)
         number = np.arange(len(lines)) - np.repeat(np.cumsum(per_document) - per_document, per_document)
         at = line[kept]
@@ -97,9 +108,9 @@ def prefix_rows(texts: DataFrame, counts: np.ndarray, threshold: Fraction, min_w
             pa.array(position[kept], pa.int32()),
             pa.array(np.where(first, signature[at].view(np.int64), 0)),
         ]
-        return pa.RecordBatch.from_arrays(columns, names=["word", "doc_id", "line", "size", "position", "signature"])
+        return pa.RecordBatch.from_arrays(columns, names=["token", "doc_id", "line", "size", "position", "signature"])
 
-    return texts.filter("doc_id IS NOT NULL").mapInArrow(run, "word long, doc_id long, line int, size int, position int, signature long")
+    return texts.filter("doc_id IS NOT NULL").mapInArrow(run, "token long, doc_id long, line int, size int, position int, signature long")
 
 
 def line_filter(lines: DataFrame) -> np.ndarray:
@@ -111,13 +122,13 @@ def line_filter(lines: DataFrame) -> np.ndarray:
     return found
 
 
-def pairs_on_words(later: DataFrame, earlier: DataFrame, threshold: Fraction) -> DataFrame:
-    """Pairs of lines on a shared prefix word that lengths and positions allow."""
+def pairs_on_tokens(later: DataFrame, earlier: DataFrame, threshold: Fraction) -> DataFrame:
+    """Pairs of lines on a shared prefix token that lengths and positions allow."""
     top, bottom = threshold.numerator, threshold.denominator
     a, b = ({c: f"{side}_{c}" for c in ("doc_id", "line", "size", "position")} for side in ("a", "b"))
-    joined = later.withColumnsRenamed(b).join(earlier.withColumnsRenamed(a), "word")
+    joined = later.withColumnsRenamed(b).join(earlier.withColumnsRenamed(a), "token")
     long_enough = f"least(a_size, b_size) * {bottom} >= greatest(a_size, b_size) * {top}"
-    # Words still to come after the shared one bound the overlap; similarity asks for top / (top + bottom) of all words.
+    # Tokens still to come after the shared one bound the overlap; similarity asks for top / (top + bottom) of all tokens.
     overlap = f"(1 + least(a_size - a_position, b_size - b_position) - 1) * {top + bottom} >= (a_size + b_size) * {top}"
     before = "(a_doc_id < b_doc_id OR a_doc_id = b_doc_id AND a_line < b_line)"
     return joined.filter(f"{before} AND {long_enough} AND {overlap}").select("a_doc_id", "a_line", "b_doc_id", "b_line").distinct()
@@ -127,11 +138,15 @@ def similar_lines(pairs: DataFrame, lines: DataFrame, threshold: Fraction) -> Da
     """(doc_id, line) of the later lines of all pairs that are similar enough."""
     top, bottom = threshold.numerator, threshold.denominator
 
+    def tokens(content: str) -> set[tuple[str, ...]]:
+        words = WORD.findall(content.translate(CAPITALS))
+        return {tuple(words[i : i + SHINGLE]) for i in range(len(words) - SHINGLE + 1)}
+
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             linked = []
             for a, b in zip(batch.column(2), batch.column(3), strict=True):
-                one, two = (set(WORD.findall(x.as_py().translate(CAPITALS))) for x in (a, b))
+                one, two = tokens(a.as_py()), tokens(b.as_py())
                 common = len(one & two)
                 linked.append(common * bottom >= (len(one) + len(two) - common) * top)
             yield batch.filter(pa.array(linked, pa.bool_())).select([0, 1])
@@ -144,24 +159,24 @@ def similar_lines(pairs: DataFrame, lines: DataFrame, threshold: Fraction) -> Da
 
 def duplicate_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", threshold: Fraction = THRESHOLD, min_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, line) of every line that an earlier line makes superfluous; lines count from 0."""
-    if not Fraction(1, 2) <= threshold <= 1 or min_words < 1 or math.isnan(float(threshold)):
-        raise ValueError("threshold must lie between 1/2 and 1, min_words must be positive")
+    if not Fraction(1, 2) <= threshold <= 1 or min_words < SHINGLE:
+        raise ValueError("threshold must lie between 1/2 and 1, min_words be at least the shingle size")
     texts = docs.select(docs[id_column].cast("long").alias("doc_id"), docs[text_column].alias("text"))
-    rows = prefix_rows(texts, word_counts(texts), threshold, min_words)
-    groups = stored(rows.withColumn("members", F.count("*").over(Window.partitionBy("word"))).filter("members > 1").drop("members"))
+    rows = prefix_rows(texts, token_counts(texts, min_words), threshold, min_words)
+    groups = stored(rows.withColumn("members", F.count("*").over(Window.partitionBy("token"))).filter("members > 1").drop("members"))
     line = F.struct("doc_id", "line")
     heads = groups.filter("position = 0").select("doc_id", "line", "signature", "size")
     earliest = heads.groupBy("signature", "size").agg(F.min(line).alias("first"))
     copies = stored(heads.join(earliest, ["signature", "size"]).filter(line != F.col("first")).select("doc_id", "line").distinct())
     sources = stored(groups.drop("signature").join(copies, ["doc_id", "line"], "left_anti"))
-    first_of_word = F.min(F.struct("doc_id", "line", "size", "position"))
-    firsts = sources.groupBy("word").agg(first_of_word.alias("f"), F.count("*").alias("n")).filter("n > 1").select("word", "f.*")
+    first_of_token = F.min(F.struct("doc_id", "line", "size", "position"))
+    firsts = sources.groupBy("token").agg(first_of_token.alias("f"), F.count("*").alias("n")).filter("n > 1").select("token", "f.*")
     wanted = sources.select("doc_id", "line").distinct()
     contents = stored(line_contents(texts, line_filter(wanted)).dropDuplicates(["doc_id", "line"]))
-    found = stored(similar_lines(pairs_on_words(sources, firsts, threshold), contents, threshold))
+    found = stored(similar_lines(pairs_on_tokens(sources, firsts, threshold), contents, threshold))
     open_lines = sources.join(found, ["doc_id", "line"], "left_anti")
-    others = sources.join(firsts.select("word", "doc_id", "line"), ["word", "doc_id", "line"], "left_anti")
-    more = similar_lines(pairs_on_words(open_lines, others, threshold), contents, threshold)
+    others = sources.join(firsts.select("token", "doc_id", "line"), ["token", "doc_id", "line"], "left_anti")
+    more = similar_lines(pairs_on_tokens(open_lines, others, threshold), contents, threshold)
     return copies.unionByName(found).unionByName(more)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from crossfoot.llm.url_filter import BUCKETS, GRAM_SIZES, RULES, train
+from crossfoot.llm.url_filter import BLOCK_ABOVE, BUCKETS, GRAM_SIZES, RULES, train
 
 OP1 = r"""
 WITH d AS (
@@ -40,10 +40,13 @@ FROM s JOIN reached ON reached.doc_id = s.doc_id GROUP BY s.doc_id, len(shingles
 OP7 = r"""
 WITH l AS (
   SELECT doc_id, i - 1 AS line, lines[i] AS content,
-         list_distinct(list_filter(regexp_split_to_array(
-           translate(lines[i], 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS w
+         list_filter(regexp_split_to_array(
+           translate(lines[i], 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
   FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents), LATERAL (SELECT unnest(range(1, len(lines) + 1)) AS i)),
-t AS (SELECT doc_id, line, len(w) AS n, unnest(w) AS word FROM l WHERE len(w) >= 8),
+s AS (
+  SELECT doc_id, line, list_distinct(list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i+4], ' '))) AS w
+  FROM l WHERE len(words) >= 8),
+t AS (SELECT doc_id, line, len(w) AS n, unnest(w) AS word FROM s),
 f AS (SELECT word, count(*) AS often FROM t GROUP BY word),
 p AS (
   SELECT doc_id, line, n, word, row_number() OVER (PARTITION BY doc_id, line ORDER BY often, word) AS place
@@ -51,11 +54,11 @@ p AS (
 c AS (
   SELECT DISTINCT a.doc_id AS da, a.line AS la, b.doc_id AS db, b.line AS lb
   FROM p a JOIN p b ON a.word = b.word AND (a.doc_id < b.doc_id OR a.doc_id = b.doc_id AND a.line < b.line)
-       AND a.place <= a.n - ceil(0.8 * a.n) + 1 AND b.place <= b.n - ceil(0.8 * b.n) + 1 AND 5 * least(a.n, b.n) >= 4 * greatest(a.n, b.n)),
+       AND a.place <= a.n - ceil(0.75 * a.n) + 1 AND b.place <= b.n - ceil(0.75 * b.n) + 1 AND 4 * least(a.n, b.n) >= 3 * greatest(a.n, b.n)),
 gone AS (
   SELECT DISTINCT db AS doc_id, lb AS line
-  FROM c JOIN l a ON a.doc_id = da AND a.line = la JOIN l b ON b.doc_id = db AND b.line = lb
-  WHERE 5 * len(list_intersect(a.w, b.w)) >= 4 * (len(a.w) + len(b.w) - len(list_intersect(a.w, b.w))))
+  FROM c JOIN s a ON a.doc_id = da AND a.line = la JOIN s b ON b.doc_id = db AND b.line = lb
+  WHERE 4 * len(list_intersect(a.w, b.w)) >= 3 * (len(a.w) + len(b.w) - len(list_intersect(a.w, b.w))))
 SELECT l.doc_id, count(gone.doc_id) AS n_removed,
        sha256(coalesce(string_agg(content, chr(10) ORDER BY l.line) FILTER (WHERE gone.doc_id IS NULL), '')) AS text_sha256
 FROM l LEFT JOIN gone ON gone.doc_id = l.doc_id AND gone.line = l.line GROUP BY l.doc_id
@@ -89,7 +92,7 @@ scores AS (
   FROM grams JOIN weights ON bucket = CAST('0x' || substr(md5(gram), 1, 3) AS INTEGER) % {BUCKETS}
   GROUP BY page_id)
 SELECT p.page_id, host, path, rule, CAST({model.bias} + coalesce(score, 0) AS BIGINT) AS model_score,
-       coalesce(said, CASE WHEN {model.bias} + coalesce(score, 0) > 0 THEN 'block' ELSE 'allow' END) AS verdict
+       coalesce(said, CASE WHEN {model.bias} + coalesce(score, 0) > {BLOCK_ABOVE} THEN 'block' ELSE 'allow' END) AS verdict
 FROM p LEFT JOIN fits ON fits.page_id = p.page_id AND fits.place = 1 LEFT JOIN scores ON scores.page_id = p.page_id
 """
 
