@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 
 NONE = 1 << 62
 WIDEST, BLOCK = 32, 8192
-GROUP_CHARS = 12_000_000
+GROUP_CHARS = 4_000_000
 SPECIAL = "\0special\0"
 # Fixed value: the pattern that byte-level tokenizers of this kind cut texts with.
 PATTERN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")

@@ -11,8 +11,8 @@ the next band also sends keys in that band. A document with too few filled block
 
 Within the documents of a key, each is first compared with the first of them. What is verified is linked, and only where
 documents of a key are still in different components are the other pairs looked at, so a large group of copies costs as
-many comparisons as it has members. Pairs are thrown out by size and by the Hamming distance of a folded sketch; the
-rest are verified on the words themselves.
+many comparisons as it has members. Pairs are thrown out by size and by the Hamming distance of whole sketches; the
+Jaccard similarity of the rest is computed from their texts.
 
 Defined results: NULL and empty texts have no shingles and are linked with nothing. Ids are whole numbers; rows with
 the same id are one node, and rows without an id are linked with nothing and have no component. Repeated rows stay
@@ -21,7 +21,6 @@ repeated, further columns are ignored, an empty table gives an empty result.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,14 +32,12 @@ from crossfoot.llm.components import connected_components
 from crossfoot.llm.storage import stored
 from crossfoot.llm.words import mix, shingle_sets
 
-SHINGLE = 5
-FOLDED = 1024
+LEAST_WIDTH = 1024
 BLOCKS_PER_SHINGLE, FEWEST_BLOCKS = 0.6, 64
-#: A shingle counts as frequent from this many documents of an Arrow batch on; it only orders the keys.
-FREQUENT = 16
+#: A shingle counts as frequent from this many documents on, among those that together hold ``COUNTED`` shingles. That
+#: only orders the keys.
+FREQUENT, COUNTED = 8, 1_000_000
 FILTER_WORDS = 1 << 17
-WORD = re.compile(r"[^\x20\x09-\x0D]+")
-CAPITALS = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
 def largest_difference(size: int, other: int) -> int:
@@ -49,26 +46,35 @@ def largest_difference(size: int, other: int) -> int:
 
 
 def profile(docs: DataFrame) -> DataFrame:
-    """Per document its number of shingles and folded sketch; per batch, a row with the frequent shingles."""
+    """Per document its number of shingles and sketch; now and then, a row with the frequent shingles of the last ones."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, sketches, held = [], [], []
-            for shingles in shingle_sets(t.as_py() or "" for t in batch.column(1)):
+            ids, sizes, sketches, held, total = [], [], [], [], 0
+            for doc_id, shingles in zip(batch.column(0), shingle_sets(t.as_py() or "" for t in batch.column(1)), strict=True):
+                width = max(LEAST_WIDTH, 1 << (4 * len(shingles)).bit_length())
+                odd = np.bincount((shingles & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
+                ids.append(doc_id.as_py())
                 sizes.append(len(shingles))
-                odd = np.bincount((shingles & np.uint64(FOLDED - 1)).astype(np.int64), minlength=FOLDED) & 1
-                sketches.append(np.packbits(odd.astype(np.uint8)).view(np.int64).tolist())
+                sketches.append(np.packbits(odd.astype(np.uint8)).view(np.int64))
                 held.append(shingles)
-            values, counts = np.unique(np.concatenate([np.zeros(0, np.uint64), *held]), return_counts=True)
-            often = counts >= FREQUENT
-            arrays = [
-                pa.array([*batch.column(0).to_pylist(), None], pa.int64()),
-                pa.array([*sizes, None], pa.int64()),
-                pa.array([*sketches, None], pa.list_(pa.int64())),
-                pa.array([None] * len(sizes) + [values[often].view(np.int64).tolist()], pa.list_(pa.int64())),
-                pa.array([None] * len(sizes) + [counts[often].tolist()], pa.list_(pa.int64())),
-            ]
-            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_shingles", "sketch", "frequent", "counts"])
+                total += len(shingles)
+                if total >= COUNTED:
+                    yield rows(ids, sizes, sketches, held)
+                    ids, sizes, sketches, held, total = [], [], [], [], 0
+            yield rows(ids, sizes, sketches, held)
+
+    def rows(ids: list[int], sizes: list[int], sketches: list[np.ndarray], held: list[np.ndarray]) -> pa.RecordBatch:
+        values, counts = np.unique(np.concatenate([np.zeros(0, np.uint64), *held]), return_counts=True)
+        often = counts >= FREQUENT
+        arrays = [
+            pa.array([*ids, None], pa.int64()),
+            pa.array([*sizes, None], pa.int64()),
+            pa.array([*sketches, None], pa.list_(pa.int64())),
+            pa.array([None] * len(sizes) + [values[often].view(np.int64)], pa.list_(pa.int64())),
+            pa.array([None] * len(sizes) + [counts[often]], pa.list_(pa.int64())),
+        ]
+        return pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_shingles", "sketch", "frequent", "counts"])
 
     return docs.mapInArrow(run, "doc_id long, n_shingles long, sketch array<long>, frequent array<long>, counts array<long>")
 
@@ -121,7 +127,7 @@ def join_keys(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) -> DataF
                         ids.append(doc_id.as_py())
                         sizes.append(size)
                         held += len(keys[-1])
-                if held > 500_000:
+                if held > 100_000:
                     yield rows(ids, keys, sizes)
                     ids, keys, sizes, held = [], [], [], 0
             if held:
@@ -135,9 +141,20 @@ def join_keys(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) -> DataF
 
 
 def near_enough(size: str, sketch: str, other_size: str, other_sketch: str) -> Column:
-    """Whether sizes and folded sketches leave a link possible."""
+    """Whether sizes and folded sketches leave a link possible.
+
+    A sketch has at least four times as many bits as the set has shingles. The halves of a parity sketch laid over each
+    other are the sketch of half the width, so the wider of two is folded first; sizes within 4/3 differ by one fold.
+    """
     a, b = F.col(size), F.col(other_size)
-    flips = F.aggregate(F.zip_with(sketch, other_sketch, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda acc, n: acc + n)
+    narrow = F.least(F.size(sketch), F.size(other_sketch))
+
+    def folded(column: str) -> Column:
+        bits = F.col(column)
+        halves = F.zip_with(F.slice(bits, F.lit(1), narrow), F.slice(bits, narrow + 1, narrow), lambda x, y: x.bitwiseXOR(y))
+        return F.when(F.size(bits) == narrow, bits).otherwise(halves)
+
+    flips = F.aggregate(F.zip_with(folded(sketch), folded(other_sketch), lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda acc, n: acc + n)
     return (F.least(a, b) * 4 >= F.greatest(a, b) * 3) & (flips * 7 <= a + b)
 
 
@@ -159,7 +176,7 @@ def id_filter(ids: DataFrame) -> np.ndarray:
 
 
 def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """Pairs whose shingle sets, taken from the words themselves, are similar enough."""
+    """Pairs whose whole shingle sets (64-bit hashes, from the texts again) are similar enough."""
     wanted = id_filter(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))))
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,21 +184,19 @@ def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
             at = batch.column(2).to_numpy()
             yield batch.filter(pa.array((wanted[at >> 6] >> (at & 63)) & 1 == 1)).drop_columns(["at"])
 
-    def sets(text: str | None) -> set[tuple[str, ...]]:
-        words = WORD.findall((text or "").translate(CAPITALS))
-        return {tuple(words[i : i + SHINGLE]) for i in range(max(1, len(words) - SHINGLE + 1))} if words else set()
-
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, last_set = None, set()
         for batch in batches:
-            linked = []
-            for a, text_a, text_b in zip(batch.column(0), batch.column(2), batch.column(3), strict=True):
-                if last != a.as_py():
-                    last, last_set = a.as_py(), sets(text_a.as_py())
-                other = sets(text_b.as_py())
-                common = len(last_set & other)
-                linked.append(100 * common >= 75 * (len(last_set) + len(other) - common) > 0)
-            yield batch.filter(pa.array(linked, pa.bool_())).select([0, 1])
+            for start in range(0, batch.num_rows, 512):
+                some = batch.slice(start, 512)
+                texts = {}
+                for ids, column in ((some.column(0).to_pylist(), some.column(2)), (some.column(1).to_pylist(), some.column(3))):
+                    texts.update((i, t) for i, t in zip(ids, column, strict=True) if i not in texts)
+                sets = dict(zip(texts, shingle_sets(t.as_py() or "" for t in texts.values()), strict=True))
+                linked = []
+                for a, b in zip(some.column(0).to_pylist(), some.column(1).to_pylist(), strict=True):
+                    common = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
+                    linked.append(100 * common >= 75 * (len(sets[a]) + len(sets[b]) - common) > 0)
+                yield some.filter(pa.array(linked, pa.bool_())).select([0, 1])
 
     place = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_WORDS * 64))
     texts = docs.filter("doc_id IS NOT NULL").withColumn("at", place).mapInArrow(keep, "doc_id long, text string")

@@ -6,7 +6,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 
-GROUP_BYTES = 4_000_000
+GROUP_BYTES = 1_000_000
 _rng = np.random.default_rng(20240229)
 BYTE_CODE = _rng.integers(1, 1 << 63, 256, np.uint64)
 # White space is space, tab, line feed, vertical tab, form feed, carriage return; A-Z become a-z.
