@@ -20,6 +20,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from crossfoot.llm.storage import stored
 from crossfoot.runtime import materialize
 
 DIMENSIONS = ("source", "lang", "topic")
@@ -121,6 +122,6 @@ def mix_sources(
     topics: tuple[tuple[str, str], ...] = TOPICS,
 ) -> DataFrame:
     """One row per document: its cell, tokens, probability and whether it is drawn. ``rate`` is the share of tokens aimed at."""
-    documents = described(docs, id_column, text_column, source_column, lang_column, topics)
+    documents = stored(described(docs, id_column, text_column, source_column, lang_column, topics))  # texts are read once
     cells = mixing_probabilities(documents, targets, rate, power, rounds)
     return with_probability(documents, cells).select("doc_id", *DIMENSIONS, "n_tokens", "p", (drawn(F.col("doc_id"), seed) < F.col("p")).alias("kept"))
