@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from crossfoot.llm.storage import stored
 from crossfoot.llm.words import PLACE, document_words, grouped, mix
 
-RARITY_BITS = 18
+RARITY_BITS = 16
 FILTER_WORDS = 1 << 18
 SHINGLE = 5
 THRESHOLD = Fraction(3, 4)
@@ -122,16 +122,24 @@ def line_filter(lines: DataFrame) -> np.ndarray:
     return found
 
 
-def pairs_on_tokens(later: DataFrame, earlier: DataFrame, threshold: Fraction) -> DataFrame:
-    """Pairs of lines on a shared prefix token that lengths and positions allow."""
+def allowed(pairs: DataFrame, threshold: Fraction) -> DataFrame:
+    """Pairs of lines with a shared prefix token that order, lengths and the token's positions leave possible."""
     top, bottom = threshold.numerator, threshold.denominator
-    a, b = ({c: f"{side}_{c}" for c in ("doc_id", "line", "size", "position")} for side in ("a", "b"))
-    joined = later.withColumnsRenamed(b).join(earlier.withColumnsRenamed(a), "token")
-    long_enough = f"least(a_size, b_size) * {bottom} >= greatest(a_size, b_size) * {top}"
-    # Tokens still to come after the shared one bound the overlap; similarity asks for top / (top + bottom) of all tokens.
-    overlap = f"(1 + least(a_size - a_position, b_size - b_position) - 1) * {top + bottom} >= (a_size + b_size) * {top}"
     before = "(a_doc_id < b_doc_id OR a_doc_id = b_doc_id AND a_line < b_line)"
-    return joined.filter(f"{before} AND {long_enough} AND {overlap}").select("a_doc_id", "a_line", "b_doc_id", "b_line").distinct()
+    long_enough = f"least(a_size, b_size) * {bottom} >= greatest(a_size, b_size) * {top}"
+    # The shared token and those after it bound the overlap; similarity asks for top / (top + bottom) of all tokens.
+    overlap = f"least(a_size - a_position, b_size - b_position) * {top + bottom} >= (a_size + b_size) * {top}"
+    return pairs.filter(f"{before} AND {long_enough} AND {overlap}").select("a_doc_id", "a_line", "b_doc_id", "b_line").distinct()
+
+
+def sided(lines: DataFrame, side: str) -> DataFrame:
+    return lines.select("token", *[F.col(c).alias(f"{side}_{c}") for c in ("doc_id", "line", "size", "position")])
+
+
+def with_first(lines: DataFrame) -> DataFrame:
+    """Each line with the first line of its token as the earlier one."""
+    columns = ("doc_id", "line", "size", "position")
+    return lines.select(*[F.col(f"first.{c}").alias(f"a_{c}") for c in columns], *[F.col(c).alias(f"b_{c}") for c in columns])
 
 
 def similar_lines(pairs: DataFrame, lines: DataFrame, threshold: Fraction) -> DataFrame:
@@ -168,15 +176,15 @@ def duplicate_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str
     heads = groups.filter("position = 0").select("doc_id", "line", "signature", "size")
     earliest = heads.groupBy("signature", "size").agg(F.min(line).alias("first"))
     copies = stored(heads.join(earliest, ["signature", "size"]).filter(line != F.col("first")).select("doc_id", "line").distinct())
-    sources = stored(groups.drop("signature").join(copies, ["doc_id", "line"], "left_anti"))
-    first_of_token = F.min(F.struct("doc_id", "line", "size", "position"))
-    firsts = sources.groupBy("token").agg(first_of_token.alias("f"), F.count("*").alias("n")).filter("n > 1").select("token", "f.*")
-    wanted = sources.select("doc_id", "line").distinct()
-    contents = stored(line_contents(texts, line_filter(wanted)).dropDuplicates(["doc_id", "line"]))
-    found = stored(similar_lines(pairs_on_tokens(sources, firsts, threshold), contents, threshold))
-    open_lines = sources.join(found, ["doc_id", "line"], "left_anti")
-    others = sources.join(firsts.select("token", "doc_id", "line"), ["token", "doc_id", "line"], "left_anti")
-    more = similar_lines(pairs_on_tokens(open_lines, others, threshold), contents, threshold)
+    of_token = Window.partitionBy("token")
+    first = F.min(F.struct("doc_id", "line", "size", "position")).over(of_token)
+    single = groups.drop("signature").join(copies, ["doc_id", "line"], "left_anti")
+    sources = stored(single.withColumns({"first": first, "members": F.count("*").over(of_token)}).filter("members > 1"))
+    contents = stored(line_contents(texts, line_filter(sources.select("doc_id", "line"))).dropDuplicates(["doc_id", "line"]))
+    others = sources.filter(line != F.struct("first.doc_id", "first.line"))
+    found = stored(similar_lines(allowed(with_first(others), threshold), contents, threshold))
+    open_lines = others.join(found, ["doc_id", "line"], "left_anti")
+    more = similar_lines(allowed(sided(open_lines, "b").join(sided(others, "a"), "token"), threshold), contents, threshold)
     return copies.unionByName(found).unionByName(more)
 
 
