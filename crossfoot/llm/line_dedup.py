@@ -1,9 +1,9 @@
-"""Line duplicates across a corpus: an exact set-similarity join of the lines' token sets.
+"""Line duplicates across a corpus: an exact set-similarity join of the lines' word sets.
 
-The tokens of a line are its shingles of five words (A-Z lower-cased), ordered by rarity. The rarer tokens of every line
-form its prefix, long enough that two lines with Jaccard similarity of at least ``threshold`` share a prefix token. Lines
-meet on prefix tokens, pairs that lengths or the positions of the shared token rule out are dropped, the rest are verified
-on the words themselves. A line goes if any earlier line is similar enough; earlier means a smaller (id, line number).
+The tokens of a line are its different words (A-Z lower-cased), ordered by rarity. The rarer tokens of every line form its
+prefix, long enough that two lines with Jaccard similarity of at least ``threshold`` share a prefix token. Lines meet on
+prefix tokens, pairs that lengths or the positions of the shared token rule out are dropped, the rest are verified on the
+words themselves. A line goes if any earlier line is similar enough; earlier means a smaller (id, line number).
 
 Of lines with equal token sets only the earliest takes part as a partner. The rest is done in two rounds: first every
 line meets the earliest line of its prefix tokens, and only lines that have not found a partner meet all others. So a line
@@ -11,7 +11,7 @@ repeated thousands of times, with small changes or without, costs a number of co
 
 Rarity comes from counts of all tokens of all lines, in a table of fixed size by hash. It orders tokens, never drops one.
 
-Defined results: lines with fewer than ``min_words`` words stay as they are, empty ones included. NULL text
+Defined results: lines with fewer than ``min_words`` different words stay as they are, empty ones included. NULL text
 stays NULL, with no lines. Ids are whole numbers; rows with the same id are treated alike, and lines of rows without an
 id stay. An empty table gives an empty result. Other columns are passed through.
 """
@@ -28,37 +28,30 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from crossfoot.llm.storage import stored
-from crossfoot.llm.words import PLACE, document_words, grouped, mix
+from crossfoot.llm.words import document_words, grouped, mix
 
 RARITY_BITS = 16
 FILTER_WORDS = 1 << 18
-SHINGLE = 5
-THRESHOLD = Fraction(3, 4)
+THRESHOLD = Fraction(4, 5)
 MIN_WORDS = 8
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 CAPITALS = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def line_tokens(lines: list[bytes], min_words: int) -> tuple[np.ndarray, np.ndarray]:
-    """Token hashes of all lines with enough words, and the line each belongs to."""
+def line_tokens(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Token hashes of all lines, and the line each belongs to."""
     hashes, ends = document_words(lines)
-    windows = np.zeros(max(0, len(hashes) - SHINGLE + 1), np.uint64)
-    for k in range(SHINGLE):
-        windows += hashes[k : k + len(windows)] * PLACE[k]
-    words = np.diff(ends, prepend=0)
-    owner = np.repeat(np.arange(len(lines)), words)
-    inside = (owner[: len(windows)] == owner[SHINGLE - 1 :]) & (words[owner[: len(windows)]] >= min_words)
-    return mix(windows[inside]), owner[: len(windows)][inside]
+    return hashes, np.repeat(np.arange(len(lines)), np.diff(ends, prepend=0))
 
 
-def token_counts(texts: DataFrame, min_words: int) -> np.ndarray:
+def token_counts(texts: DataFrame) -> np.ndarray:
     """Occurrences per bucket of token hashes, over all documents."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << RARITY_BITS, np.int64)
         for batch in batches:
             for group in grouped(t.as_py() or "" for t in batch.column(0)):
-                hashes, _ = line_tokens([part for g in group for part in g.split(b"\n")], min_words)
+                hashes, _ = line_tokens(group)
                 total += np.bincount((hashes >> np.uint64(64 - RARITY_BITS)).astype(np.int64), minlength=1 << RARITY_BITS)
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int32()), pa.array(total[seen])], names=["bucket", "n"])
@@ -83,7 +76,7 @@ def prefix_rows(texts: DataFrame, counts: np.ndarray, threshold: Fraction, min_w
     def rows(ids: np.ndarray, group: list[bytes]) -> pa.RecordBatch:
         lines = [part for g in group for part in g.split(b"\n")]
         per_document = np.array([g.count(b"\n") + 1 for g in group])
-        hashes, line = line_tokens(lines, min_words)
+        hashes, line = line_tokens(lines)
         order = np.lexsort((hashes, counts[(hashes >> np.uint64(64 - RARITY_BITS)).astype(np.int64)], line))
         hashes, line = hashes[order], line[order]
         fresh = np.r_[True, (hashes[1:] != hashes[:-1]) | (line[1:] != line[:-1])][: len(hashes)]
@@ -95,7 +88,7 @@ def prefix_rows(texts: DataFrame, counts: np.ndarray, threshold: Fraction, min_w
         starts = np.flatnonzero(position == 0)
         if len(starts):
             signature[line[starts]] = np.add.reduceat(mix(hashes), starts)
-        kept = position <= size - -(-size * top // bottom)
+        kept = (size >= min_words) & (position <= size - -(-size * top // bottom))
         owner = np.repeat(np.arange(len(group)), per_document)
         number = np.arange(len(lines)) - np.repeat(np.cumsum(per_document) - per_document, per_document)
         at = line[kept]
@@ -146,9 +139,8 @@ def similar_lines(pairs: DataFrame, lines: DataFrame, threshold: Fraction) -> Da
     """(doc_id, line) of the later lines of all pairs that are similar enough."""
     top, bottom = threshold.numerator, threshold.denominator
 
-    def tokens(content: str) -> set[tuple[str, ...]]:
-        words = WORD.findall(content.translate(CAPITALS))
-        return {tuple(words[i : i + SHINGLE]) for i in range(len(words) - SHINGLE + 1)}
+    def tokens(content: str) -> set[str]:
+        return set(WORD.findall(content.translate(CAPITALS)))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -167,11 +159,11 @@ def similar_lines(pairs: DataFrame, lines: DataFrame, threshold: Fraction) -> Da
 
 def duplicate_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", threshold: Fraction = THRESHOLD, min_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, line) of every line that an earlier line makes superfluous; lines count from 0."""
-    if not Fraction(1, 2) <= threshold <= 1 or min_words < SHINGLE:
-        raise ValueError("threshold must lie between 1/2 and 1, min_words be at least the shingle size")
+    if not Fraction(1, 2) <= threshold <= 1 or min_words < 1:
+        raise ValueError("threshold must lie between 1/2 and 1, min_words must be positive")
     texts = docs.select(docs[id_column].cast("long").alias("doc_id"), docs[text_column].alias("text"))
-    rows = prefix_rows(texts, token_counts(texts, min_words), threshold, min_words)
-    groups = stored(rows.withColumn("members", F.count("*").over(Window.partitionBy("token"))).filter("members > 1").drop("members"))
+    rows = prefix_rows(texts, token_counts(texts), threshold, min_words)
+    groups = stored(rows)
     line = F.struct("doc_id", "line")
     heads = groups.filter("position = 0").select("doc_id", "line", "signature", "size")
     earliest = heads.groupBy("signature", "size").agg(F.min(line).alias("first"))

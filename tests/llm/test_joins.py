@@ -103,9 +103,9 @@ def test_components(spark, checkpoint_folder):
 
 
 def brute_lines(rows, threshold, least):
-    lines = [(d, i, shingles(x)) for d, t in rows if t is not None for i, x in enumerate(t.split("\n")) if len(re.findall(r"[^\x20\x09-\x0D]+", x)) >= least]
+    lines = [(d, i, x, set(re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), x)))) for d, t in rows if t is not None for i, x in enumerate(t.split("\n"))]
     lines.sort(key=lambda x: x[:2])
-    gone = {(d, i) for k, (d, i, s) in enumerate(lines) if any(len(s & t) >= threshold * len(s | t) for _, _, t in lines[:k])}
+    gone = {(d, i) for k, (d, i, _, s) in enumerate(lines) if len(s) >= least and any(len(s & t) >= threshold * len(s | t) for _, _, _, t in lines[:k] if len(t) >= least)}
     return {d: None if t is None else "\n".join(x for i, x in enumerate(t.split("\n")) if (d, i) not in gone) for d, t in rows}
 
 
@@ -121,14 +121,20 @@ def test_line_dedup_equals_brute_force(documents):
         return rng.choice([" ", "  "]).join(copy)
 
     rows = [(i, "\n".join(line() for _ in range(rng.randint(1, 8)))) for i in range(60)] + [(100, None), (101, ""), (102, "\n\n"), (103, " ".join(f"z{i}" for i in range(9000)))]
-    for threshold in (Fraction(3, 4), Fraction(1, 2), Fraction(1)):
+    for threshold in (Fraction(4, 5), Fraction(1, 2), Fraction(1)):
         out, name = dedup_lines(documents(rows, "1 AS removed_lines").repartition(5), threshold=threshold)
         assert name == "removed_lines_"
         assert {r.doc_id: r.text for r in out.collect()} == brute_lines(rows, threshold, 8)
 
 
 def test_line_dedup_edge_cases(documents):
-    text = "one two three four five six seven eight nine ten eleven"
-    out, name = dedup_lines(documents([(None, text), (2, text), (2, text), (3, f"{text}\nshort line\n{text.upper()} twelve"), (4, "short line")]))
+    text = "one two three four five six seven eight nine"
+    out, name = dedup_lines(documents([(None, text), (2, text), (2, text), (3, f"{text}\nshort line\n{text.upper()} ten"), (4, "short line")]))
     assert sorted((str(r.doc_id), r.text, r[name]) for r in out.collect()) == [("2", text, []), ("2", text, []), ("3", "short line", [0, 2]), ("4", "short line", []), ("None", text, [])]
     assert dedup_lines(documents([(1, "a")]).limit(0))[0].count() == 0
+
+
+def test_line_dedup_finds_a_changed_word_in_the_middle(documents):
+    text = "one two three four five six seven eight nine ten eleven"
+    out, _ = dedup_lines(documents([(1, text), (2, text.replace("six", "other"))]))
+    assert sorted((r.doc_id, r.text) for r in out.collect()) == [(1, text), (2, "")]
