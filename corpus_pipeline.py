@@ -33,8 +33,8 @@ def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cut out lines that an earlier line makes superfluous; documents of which nothing is left go."""
-    cleaned, removed = dedup_lines(docs)
+    """Cut out lines that an earlier line makes superfluous, short ones too; documents of which nothing is left go."""
+    cleaned, removed = dedup_lines(docs, min_words=1)
     kept = cleaned.filter((F.size(removed) == 0) | F.rlike("text", F.lit(r"[^\x20\x09-\x0D]")))
     changed = {"n_chars": F.when(F.size(removed) > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))} if "n_chars" in docs.columns else {}
     return kept.withColumns(changed).select(docs.columns)

@@ -138,3 +138,11 @@ def test_line_dedup_finds_a_changed_word_in_the_middle(documents):
     text = "one two three four five six seven eight nine ten eleven"
     out, _ = dedup_lines(documents([(1, text), (2, text.replace("six", "other"))]))
     assert sorted((r.doc_id, r.text) for r in out.collect()) == [(1, text), (2, "")]
+
+
+def test_line_dedup_of_short_lines(documents):
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(6)]
+    rows = [(i, "\n".join(" ".join(rng.choices(words, k=rng.randint(0, 7))) for _ in range(6))) for i in range(20)]
+    out, _ = dedup_lines(documents(rows).repartition(3), min_words=1)
+    assert {r.doc_id: r.text for r in out.collect()} == brute_lines(rows, Fraction(4, 5), 1)

@@ -102,3 +102,9 @@ def test_run(spark, checkpoint_folder, sf_dir):
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet").count()
     assert 0 < out.count() < documents and out.select("doc_id").distinct().count() == out.count()
     assert "corpus_pipeline" in sys.modules
+
+
+def test_lines_stage_drops_short_copies(spark, documents, sf_dir):
+    docs = documents([(1, "Licensed freely.\nfirst"), (2, "second\nlicensed FREELY."), (3, "first")])
+    out = corpus_pipeline.drop_lines(spark, docs, sf_dir)
+    assert sorted((r.doc_id, r.text) for r in out.collect()) == [(1, "Licensed freely.\nfirst"), (2, "second")]
