@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 import corpus_pipeline
 from compare import compare, connect
-from crossfoot.llm.mixing import DIMENSIONS, described, mix_sources, mixing_probabilities
+from crossfoot.llm.mixing import DIMENSIONS, TOLERANCE, described, mix_sources, mixing_probabilities, mixing_residuals
 from crossfoot.llm.queries import QUERIES
 
 
@@ -73,6 +73,22 @@ def test_mixing_follows_targets(documents):
     assert mix_sources(documents(rows).limit(0)).count() == 0
 
 
+def test_mixing_meets_targets_at_production_parameters(documents):
+    docs = documents(rows_for_mixing())
+    described_ = described(docs, "doc_id", "text", "source", "lang", corpus_pipeline.mix_sources.__globals__["TOPICS"])
+    total = described_.agg(F.sum("n_tokens")).first()[0]
+    told = mixing_residuals(described_).collect()
+    assert {r.dimension for r in told} == set(DIMENSIONS)
+    assert all(abs(r.expected - r.target) <= 1.01 * TOLERANCE * r.target and r.expected_once <= r.expected * (1 + 1e-9) for r in told)
+    out = mix_sources(docs)
+    assert out.filter("kept <> (copies > 0) OR copies < floor(p) OR copies > ceil(p)").count() == 0
+    for dimension in DIMENSIONS:
+        expected = {r.value: r.t for r in out.groupBy(F.col(dimension).alias("value")).agg(F.sum(F.col("p") * F.col("n_tokens")).alias("t")).collect()}
+        raised = {r.value: r.t**0.8 for r in described_.groupBy(F.col(dimension).alias("value")).agg(F.sum("n_tokens").alias("t")).collect()}
+        for value, part in raised.items():
+            assert abs(expected[value] / (0.8 * total * part / sum(raised.values())) - 1) <= 1.01 * TOLERANCE
+
+
 def test_stages(spark, documents, sf_dir):
     rng = random.Random(7)
 
