@@ -93,6 +93,26 @@ SELECT p.page_id, host, path, rule, CAST({model.bias} + coalesce(score, 0) AS BI
 FROM p LEFT JOIN fits ON fits.page_id = p.page_id AND fits.place = 1 LEFT JOIN scores ON scores.page_id = p.page_id
 """
 
+OP13 = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda c: floor(256 * CAST(c AS DOUBLE))) AS x
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id AS other_id, a.label = r.label AS same, CAST(list_dot_product(a.x, r.x) AS BIGINT) AS score
+  FROM v a JOIN v r ON a.vec_id <> r.vec_id WHERE a.vec_id % 50 = 0),
+p AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score
+  FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5),
+f AS (
+  SELECT p.anchor_id, positive_id, positive_score, s.other_id AS negative_id, s.score AS negative_score,
+         CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.other_id) AS INTEGER) AS rank
+  FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM f WHERE rank <= 3
+"""
+
 
 def oracle() -> dict[str, str]:
-    return {"op1_exact_dedup": OP1, "op5_ngram_join": OP5, "op7_line_dedup": OP7, "op10_url_filter": op10()}
+    return {"op1_exact_dedup": OP1, "op5_ngram_join": OP5, "op7_line_dedup": OP7, "op10_url_filter": op10(), "op13_hard_negatives": OP13}

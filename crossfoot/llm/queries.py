@@ -10,8 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crossfoot.llm.bpe import bpe_encode_decode
+from crossfoot.llm.byte_bpe import rank_encode_decode
 from crossfoot.llm.exact_dedup import mark_exact_duplicates
 from crossfoot.llm.grams import held_out
+from crossfoot.llm.hard_negatives import mine_hard_negatives
 from crossfoot.llm.language import identify_languages, train_language_model
 from crossfoot.llm.line_dedup import dedup_lines
 from crossfoot.llm.mixing import mix_sources
@@ -20,9 +22,10 @@ from crossfoot.llm.quality import judge_quality
 from crossfoot.llm.token_files import new_token_folder, read_token_files, write_token_files
 from crossfoot.llm.toxicity import score_toxicity, train_toxicity
 from crossfoot.llm.url_filter import judge_urls
-
+from crossfoot.llm.whitening import whiten
 
 TOKENIZER = "byte_bpe_50k.json"
+RANKS = "byte_bpe_50k.tiktoken"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -79,6 +82,20 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings")).withColumn("deviation", F.col("deviation").cast("long"))
+
+
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank_encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN, with_ids=False)
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine_hard_negatives(rows.withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_toxicity": op2_toxicity,
@@ -90,5 +107,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_files": op8_token_files,
     "op9_quality": op9_quality,
     "op10_url_filter": op10_url_filter,
+    "op11_whitening": op11_whitening,
+    "op12_byte_bpe": op12_byte_bpe,
+    "op13_hard_negatives": op13_hard_negatives,
     "pipeline": corpus_pipeline.run,
 }
