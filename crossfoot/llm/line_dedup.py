@@ -2,18 +2,22 @@
 
 The tokens of a line are its different words (A-Z lower-cased), ordered by rarity. The rarer tokens of every line form its
 prefix, long enough that two lines with Jaccard similarity of at least ``threshold`` share a prefix token. Lines meet on
-prefix tokens, pairs that lengths or the positions of the shared token rule out are dropped, the rest are verified on the
-words themselves. A line goes if any earlier line is similar enough; earlier means a smaller (id, line number).
+prefix tokens; pairs that lengths, the positions of the shared token or the parity of their tokens rule out are dropped,
+the rest are verified on the words themselves. A line goes if any earlier line is similar enough; earlier means a smaller
+(id, line number).
 
-Of lines with equal token sets only the earliest takes part as a partner. The rest is done in two rounds: first every
-line meets the earliest line of its prefix tokens, and only lines that have not found a partner meet all others. So a line
-repeated thousands of times, with small changes or without, costs a number of comparisons that grows with its copies.
+Lines of equal text (A-Z lower-cased) are found first, by a cryptographic digest; only the earliest of them takes part in
+the join. There, every line is first verified against the earliest line of each token that the filters leave; only lines
+which thereby find no partner meet all others. So a line repeated thousands of times, with small changes or without, costs
+a number of comparisons that grows with its copies.
 
 Rarity comes from counts of all tokens of all lines, in a table of fixed size by hash. It orders tokens, never drops one.
+Tokens that the table shows to be very frequent are dealt to a square of parts: a line asks in one row of the square and is
+a partner in one column, so a part holds a bounded share of the token's lines and any two of them meet in one part.
 
-Defined results: lines with fewer than ``min_words`` different words stay as they are, empty ones included. NULL text
-stays NULL, with no lines. Ids are whole numbers; rows with the same id are treated alike, and lines of rows without an
-id stay. An empty table gives an empty result. Other columns are passed through.
+Defined results: lines without words stay. NULL text stays NULL, with no lines. Ids are whole numbers; rows with the same
+id are treated alike, and lines of rows without an id stay. An empty table gives an empty result. Other columns are passed
+through.
 """
 
 from __future__ import annotations
@@ -21,27 +25,30 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from fractions import Fraction
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crossfoot.llm.storage import stored
-from crossfoot.llm.words import document_words, grouped, mix
+from crossfoot.llm.storage import discard, stored
+from crossfoot.llm.words import document_words, grouped
 
-RARITY_BITS = 16
+RARITY_BITS = 18
 FILTER_WORDS = 1 << 18
+#: A token that its count shows in more lines than this is dealt to as many parts.
+PART_LINES = 200_000
 THRESHOLD = Fraction(4, 5)
-MIN_WORDS = 8
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 CAPITALS = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+LINE = "digest binary, doc_id long, line int, size int, parity long, tokens array<long>"
+MEETING = "key long, doc_id long, line int, size int, position int, parity long, partner boolean, asker boolean"
+CANDIDATE = "a_doc_id long, a_line int, b_doc_id long, b_line int, more boolean"
 
 
-def line_tokens(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Token hashes of all lines, and the line each belongs to."""
-    hashes, ends = document_words(lines)
-    return hashes, np.repeat(np.arange(len(lines)), np.diff(ends, prepend=0))
+def bucket(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(64 - RARITY_BITS)).astype(np.int64)
 
 
 def token_counts(texts: DataFrame) -> np.ndarray:
@@ -51,8 +58,7 @@ def token_counts(texts: DataFrame) -> np.ndarray:
         total = np.zeros(1 << RARITY_BITS, np.int64)
         for batch in batches:
             for group in grouped(t.as_py() or "" for t in batch.column(0)):
-                hashes, _ = line_tokens(group)
-                total += np.bincount((hashes >> np.uint64(64 - RARITY_BITS)).astype(np.int64), minlength=1 << RARITY_BITS)
+                total += np.bincount(bucket(document_words(group)[0]), minlength=1 << RARITY_BITS)
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int32()), pa.array(total[seen])], names=["bucket", "n"])
 
@@ -62,8 +68,8 @@ def token_counts(texts: DataFrame) -> np.ndarray:
     return counts
 
 
-def prefix_rows(texts: DataFrame, counts: np.ndarray, threshold: Fraction, min_words: int) -> DataFrame:
-    """(token, doc_id, line, size, position, signature) of every token in the prefix of every line."""
+def line_table(texts: DataFrame, counts: np.ndarray, threshold: Fraction) -> DataFrame:
+    """Every line with words: digest of its text, number of different words, their parity, and its prefix tokens."""
     top, bottom = threshold.numerator, threshold.denominator
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -76,63 +82,153 @@ def prefix_rows(texts: DataFrame, counts: np.ndarray, threshold: Fraction, min_w
     def rows(ids: np.ndarray, group: list[bytes]) -> pa.RecordBatch:
         lines = [part for g in group for part in g.split(b"\n")]
         per_document = np.array([g.count(b"\n") + 1 for g in group])
-        hashes, line = line_tokens(lines)
-        order = np.lexsort((hashes, counts[(hashes >> np.uint64(64 - RARITY_BITS)).astype(np.int64)], line))
+        hashes, ends = document_words(lines)
+        line = np.repeat(np.arange(len(lines)), np.diff(ends, prepend=0))
+        order = np.lexsort((hashes, counts[bucket(hashes)], line))
         hashes, line = hashes[order], line[order]
         fresh = np.r_[True, (hashes[1:] != hashes[:-1]) | (line[1:] != line[:-1])][: len(hashes)]
         hashes, line = hashes[fresh], line[fresh]
         sizes = np.bincount(line, minlength=len(lines))
+        some = np.flatnonzero(sizes)
+        parity = np.bitwise_xor.reduceat(np.uint64(1) << (hashes & np.uint64(63)), np.flatnonzero(np.r_[True, line[1:] != line[:-1]])) if len(line) else hashes
         position = np.arange(len(line)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        size = sizes[line]
-        signature = np.zeros(len(lines), np.uint64)
-        starts = np.flatnonzero(position == 0)
-        if len(starts):
-            signature[line[starts]] = np.add.reduceat(mix(hashes), starts)
-        kept = (size >= min_words) & (position <= size - -(-size * top // bottom))
+        kept = position <= (sizes - -(-sizes * top // bottom))[line]
+        bounds = np.r_[0, np.cumsum(np.bincount(line[kept], minlength=len(lines))[some])].astype(np.int32)
         owner = np.repeat(np.arange(len(group)), per_document)
         number = np.arange(len(lines)) - np.repeat(np.cumsum(per_document) - per_document, per_document)
-        at = line[kept]
-        first = position[kept] == 0
         columns = [
-            pa.array(hashes[kept].view(np.int64)),
-            pa.array(ids[owner[at]]),
-            pa.array(number[at], pa.int32()),
-            pa.array(size[kept], pa.int32()),
-            pa.array(position[kept], pa.int32()),
-            pa.array(np.where(first, signature[at].view(np.int64), 0)),
+            pa.array([blake2b(lines[i].lower(), digest_size=16).digest() for i in some.tolist()], pa.binary()),
+            pa.array(ids[owner[some]]),
+            pa.array(number[some], pa.int32()),
+            pa.array(sizes[some], pa.int32()),
+            pa.array(parity.view(np.int64)),
+            pa.ListArray.from_arrays(bounds, pa.array(hashes[kept].view(np.int64))),
         ]
-        return pa.RecordBatch.from_arrays(columns, names=["token", "doc_id", "line", "size", "position", "signature"])
+        return pa.RecordBatch.from_arrays(columns, names=["digest", "doc_id", "line", "size", "parity", "tokens"])
 
-    return texts.filter("doc_id IS NOT NULL").mapInArrow(run, "token long, doc_id long, line int, size int, position int, signature long")
+    return texts.filter("doc_id IS NOT NULL").mapInArrow(run, LINE)
+
+
+def meeting_rows(lines: DataFrame, counts: np.ndarray, part_lines: int) -> DataFrame:
+    """One row per line and prefix token; for frequent tokens one per part that the line visits."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            tokens = batch.column(4)
+            each = tokens.value_lengths().to_numpy()
+            hashes = tokens.flatten().to_numpy().view(np.uint64)
+            side = 1 + counts[bucket(hashes)] // part_lines
+            visits = 2 * side - 1
+            place = np.repeat(np.arange(len(hashes)), visits)
+            row = np.repeat(np.arange(batch.num_rows), each)[place]
+            position = (np.arange(len(hashes)) - np.repeat(np.cumsum(each) - each, each))[place]
+            visit, side = np.arange(len(place)) - (np.cumsum(visits) - visits)[place], side[place]
+            doc_id, line, size, parity = (batch.column(i).to_numpy() for i in range(4))
+            own = (doc_id[row] + line[row].astype(np.int64) * 7) % side
+            asker = visit < side
+            other = np.where(asker, visit, visit - side + (visit - side >= own))
+            part = np.where(asker, own * side + other, other * side + own)
+            key = hashes[place] + part.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+            columns = [key.view(np.int64), doc_id[row], line[row], size[row], position.astype(np.int32), parity[row], ~asker | (other == own), asker]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "doc_id", "line", "size", "position", "parity", "partner", "asker"])
+
+    return lines.select("doc_id", "line", "size", "parity", "tokens").mapInArrow(run, MEETING)
+
+
+def candidates(meetings: DataFrame, threshold: Fraction, every: bool) -> DataFrame:
+    """Pairs of lines with a shared prefix token that order, lengths, positions and parity leave possible.
+
+    Without ``every``, only the earliest partner per line and token, and whether there are more.
+    """
+    top, bottom = threshold.numerator, threshold.denominator
+
+    def within(rows: dict[str, np.ndarray]) -> pa.RecordBatch:
+        """Rows of whole keys, in order of key and line: each is compared with the d-th before it, for growing d."""
+        key, size, position, parity = (rows[c] for c in ("key", "size", "position", "parity"))
+        rest = size - position
+        first, number = np.full(len(key), -1), np.zeros(len(key), np.int64)
+        found: list[tuple[np.ndarray, np.ndarray]] = []
+        live, d = np.arange(len(key)), 1
+        while len(live):
+            live = live[live >= d]
+            live = live[key[live] == key[live - d]]
+            b = live[rows["asker"][live] & rows["partner"][live - d]]
+            a = b - d
+            sizes = size[a] + size[b]
+            fit = np.minimum(size[a], size[b]) * bottom >= np.maximum(size[a], size[b]) * top
+            # The shared token and those after it bound the overlap; top / (top + bottom) of all tokens are needed.
+            fit &= np.minimum(rest[a], rest[b]) * (top + bottom) >= sizes * top
+            # Every token in only one of two lines flips one bit at most.
+            fit &= np.bitwise_count((parity[a] ^ parity[b]).view(np.uint64)).astype(np.int64) * (top + bottom) <= sizes * (bottom - top)
+            a, b = a[fit], b[fit]
+            if every:
+                found.append((a, b))
+            else:
+                first[b] = a
+                number[b] += 1
+            d += 1
+        if every:
+            a, b = (np.concatenate([np.zeros(0, np.int64), *(pair[i] for pair in found)]) for i in (0, 1))
+        else:
+            b = np.flatnonzero(number)
+            a = first[b]
+        columns = [rows["doc_id"][a], rows["line"][a], rows["doc_id"][b], rows["line"][b], number[b] > 1]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["a_doc_id", "a_line", "b_doc_id", "b_line", "more"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[dict[str, np.ndarray]] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = {name: batch.column(name).to_numpy(zero_copy_only=False) for name in batch.schema.names}
+            last = int(np.searchsorted(rows["key"], rows["key"][-1]))
+            if held and rows["key"][0] != held[0]["key"][-1]:
+                yield within({name: np.concatenate([h[name] for h in held]) for name in rows})
+                held = []
+            if last:  # keys before the batch's last one end here
+                before = [*held, {name: values[:last] for name, values in rows.items()}]
+                yield within({name: np.concatenate([h[name] for h in before]) for name in rows})
+                held = []
+            held.append({name: values[last:] for name, values in rows.items()})
+        if held:
+            yield within({name: np.concatenate([h[name] for h in held]) for name in held[0]})
+
+    return meetings.repartition("key").sortWithinPartitions("key", "doc_id", "line").mapInArrow(run, CANDIDATE)
+
+
+def line_place(doc_id: np.ndarray, line: np.ndarray) -> np.ndarray:
+    """The bit of a line in the filter; the same as ``PLACE`` in SQL."""
+    return (doc_id % 2147483647 * 1000003 + line.astype(np.int64) * 7919) % (FILTER_WORDS * 64)
+
+
+PLACE = f"pmod(pmod(doc_id, 2147483647) * 1000003L + line * 7919L, {FILTER_WORDS * 64})"
 
 
 def line_filter(lines: DataFrame) -> np.ndarray:
-    """A bit set of fixed size with one bit per line, by hash, so that only lines in question are cut out again."""
-    placed = lines.select(F.pmod(F.xxhash64("doc_id", "line"), F.lit(FILTER_WORDS * 64)).alias("at"))
-    rows = placed.selectExpr("int(at div 64) AS word", "shiftleft(1L, int(at % 64)) AS bit").groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    """A bit set of fixed size with one bit per line, by hash, so that few other lines are cut out again."""
+    words = lines.selectExpr(f"int({PLACE} div 64) AS word", f"shiftleft(1L, int({PLACE} % 64)) AS bit")
+    rows = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
     found = np.zeros(FILTER_WORDS, np.int64)
     found[rows["word"].to_numpy()] = rows["bits"].to_numpy()
     return found
 
 
-def allowed(pairs: DataFrame, threshold: Fraction) -> DataFrame:
-    """Pairs of lines with a shared prefix token that order, lengths and the token's positions leave possible."""
-    top, bottom = threshold.numerator, threshold.denominator
-    before = "(a_doc_id < b_doc_id OR a_doc_id = b_doc_id AND a_line < b_line)"
-    long_enough = f"least(a_size, b_size) * {bottom} >= greatest(a_size, b_size) * {top}"
-    # The shared token and those after it bound the overlap; similarity asks for top / (top + bottom) of all tokens.
-    overlap = f"least(a_size - a_position, b_size - b_position) * {top + bottom} >= (a_size + b_size) * {top}"
-    return pairs.filter(f"{before} AND {long_enough} AND {overlap}").select("a_doc_id", "a_line", "b_doc_id", "b_line").distinct()
-
-
-def sided(lines: DataFrame, side: str) -> DataFrame:
-    return lines.select("token", *[F.col(c).alias(f"{side}_{c}") for c in ("doc_id", "line", "size", "position")])
+def line_contents(texts: DataFrame, wanted: np.ndarray) -> DataFrame:
+    """The lines whose bit is set, cut out of the texts; one per (doc_id, line)."""
 
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            owners, numbers, contents = [], [], []
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                lines = text.as_py().split("\n")
+                at = line_place(np.full(len(lines), doc_id), np.arange(len(lines)))
+                chosen = np.flatnonzero((wanted[at >> 6] >> (at & 63)) & 1).tolist()
+                owners += [doc_id] * len(chosen)
+                numbers += chosen
+                contents += [lines[i] for i in chosen]
+            yield pa.RecordBatch.from_arrays([pa.array(owners, pa.int64()), pa.array(numbers, pa.int32()), pa.array(contents, pa.string())], names=["doc_id", "line", "content"])
 
-def with_first(lines: DataFrame) -> DataFrame:
-    """Each line with the first line of its token as the earlier one."""
-    columns = ("doc_id", "line", "size", "position")
-    return lines.select(*[F.col(f"first.{c}").alias(f"a_{c}") for c in columns], *[F.col(c).alias(f"b_{c}") for c in columns])
+    return texts.filter("doc_id IS NOT NULL AND text IS NOT NULL").mapInArrow(cut, "doc_id long, line int, content string").dropDuplicates(["doc_id", "line"])
 
 
 def similar_lines(pairs: DataFrame, lines: DataFrame, threshold: Fraction) -> DataFrame:
@@ -157,49 +253,48 @@ def similar_lines(pairs: DataFrame, lines: DataFrame, threshold: Fraction) -> Da
     return found.select(F.col("b_doc_id").alias("doc_id"), F.col("b_line").alias("line")).distinct()
 
 
-def duplicate_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", threshold: Fraction = THRESHOLD, min_words: int = MIN_WORDS) -> DataFrame:
+def verified(pairs: DataFrame, texts: DataFrame, threshold: Fraction) -> DataFrame:
+    """(doc_id, line) of the later lines of stored pairs that are similar enough."""
+    sides = [pairs.select(F.col(f"{s}_doc_id").alias("doc_id"), F.col(f"{s}_line").alias("line")) for s in ("a", "b")]
+    return stored(similar_lines(pairs, line_contents(texts, line_filter(sides[0].union(sides[1]))), threshold))
+
+
+def duplicate_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", threshold: Fraction = THRESHOLD, part_lines: int = PART_LINES) -> DataFrame:
     """(doc_id, line) of every line that an earlier line makes superfluous; lines count from 0."""
-    if not Fraction(1, 2) <= threshold <= 1 or min_words < 1:
-        raise ValueError("threshold must lie between 1/2 and 1, min_words must be positive")
+    if not Fraction(1, 2) <= threshold <= 1:
+        raise ValueError("threshold must lie between 1/2 and 1")
     texts = docs.select(docs[id_column].cast("long").alias("doc_id"), docs[text_column].alias("text"))
-    rows = prefix_rows(texts, token_counts(texts), threshold, min_words)
-    groups = stored(rows)
-    line = F.struct("doc_id", "line")
-    heads = groups.filter("position = 0").select("doc_id", "line", "signature", "size")
-    earliest = heads.groupBy("signature", "size").agg(F.min(line).alias("first"))
-    copies = stored(heads.join(earliest, ["signature", "size"]).filter(line != F.col("first")).select("doc_id", "line").distinct())
-    of_token = Window.partitionBy("token")
-    first = F.min(F.struct("doc_id", "line", "size", "position")).over(of_token)
-    single = groups.drop("signature").join(copies, ["doc_id", "line"], "left_anti")
-    sources = stored(single.withColumns({"first": first, "members": F.count("*").over(of_token)}).filter("members > 1"))
-    contents = stored(line_contents(texts, line_filter(sources.select("doc_id", "line"))).dropDuplicates(["doc_id", "line"]))
-    others = sources.filter(line != F.struct("first.doc_id", "first.line"))
-    found = stored(similar_lines(allowed(with_first(others), threshold), contents, threshold))
-    open_lines = others.join(found, ["doc_id", "line"], "left_anti")
-    more = similar_lines(allowed(sided(open_lines, "b").join(sided(others, "a"), "token"), threshold), contents, threshold)
+    counts = token_counts(texts)
+    lines = stored(line_table(texts, counts, threshold))
+    several = lines.groupBy("digest").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count("*").alias("n")).filter("n > 1")
+    copies = stored(lines.join(several, "digest").filter(F.struct("doc_id", "line") != F.col("first")).select("doc_id", "line").distinct())
+    row = F.min(F.struct("doc_id", "line", "size", "parity", "tokens")).alias("row")
+    single = stored(lines.groupBy("digest").agg(row).select("row.*"))
+    discard(lines)
+    meetings = meeting_rows(single, counts, part_lines)
+    earliest = stored(candidates(meetings, threshold, every=False).groupBy("a_doc_id", "a_line", "b_doc_id", "b_line").agg(F.max("more").alias("more")))
+    found = verified(earliest.drop("more"), texts, threshold)
+    unsettled = earliest.filter("more").select(F.col("b_doc_id").alias("doc_id"), F.col("b_line").alias("line")).distinct()
+    waiting = stored(unsettled.join(found, ["doc_id", "line"], "left_anti"))
+    discard(earliest)
+    # Only lines that wait ask again, and only the keys they visit are dealt.
+    asking = meetings.join(waiting.withColumn("waits", F.lit(True)), ["doc_id", "line"], "left").withColumn("asker", F.col("asker") & F.col("waits").isNotNull())
+    keys = meeting_rows(single.join(waiting, ["doc_id", "line"], "left_semi"), counts, part_lines).filter("asker").select("key").distinct()
+    visited = asking.drop("waits").join(keys, "key", "left_semi").select(meetings.columns)
+    others = stored(candidates(visited, threshold, every=True).drop("more").distinct())
+    more = verified(others, texts, threshold)
+    discard(single, waiting, others)
     return copies.unionByName(found).unionByName(more)
 
 
-def line_contents(texts: DataFrame, wanted: np.ndarray) -> DataFrame:
-    """The lines whose bit is set, cut out of the texts."""
-    cut = texts.filter("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "content"))
-    placed = cut.withColumn("at", F.pmod(F.xxhash64("doc_id", "line"), F.lit(FILTER_WORDS * 64)))
-
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = batch.column(3).to_numpy()
-            yield batch.filter(pa.array((wanted[at >> 6] >> (at & 63)) & 1 == 1)).select([0, 1, 2])
-
-    return placed.mapInArrow(keep, "doc_id long, line int, content string")
-
-
-def dedup_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", threshold: Fraction = THRESHOLD, min_words: int = MIN_WORDS) -> tuple[DataFrame, str]:
+def dedup_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", threshold: Fraction = THRESHOLD) -> tuple[DataFrame, str]:
     """``docs`` with the duplicate lines cut out of the text, and the name of an added column that lists their numbers."""
     name = "removed_lines"
-    while name in docs.columns:
+    while any(name in c for c in docs.columns):
         name += "_"
-    removed = duplicate_lines(docs, id_column, text_column, threshold, min_words).groupBy(F.col("doc_id").alias(f"{name}_id")).agg(F.sort_array(F.collect_set("line")).alias(name))
+    removed = duplicate_lines(docs, id_column, text_column, threshold).groupBy(F.col("doc_id").alias(f"{name}_id")).agg(F.sort_array(F.collect_set("line")).alias(name))
     joined = docs.join(removed, docs[id_column].cast("long") == removed[f"{name}_id"], "left").drop(f"{name}_id")
-    kept = F.filter(F.split(text_column, "\n"), lambda _, i: ~F.array_contains(name, i))
-    cleaned = F.when(F.col(name).isNull(), F.col(text_column)).otherwise(F.array_join(kept, "\n"))
-    return joined.withColumns({text_column: cleaned, name: F.coalesce(name, F.array().cast("array<int>"))}), name
+    apart = joined.withColumn(f"{name}_all", F.when(F.col(name).isNotNull(), F.split(text_column, "\n")))
+    kept = F.array_except(F.sequence(F.lit(0), F.size(f"{name}_all") - 1), F.col(name))
+    cleaned = F.when(F.col(name).isNull(), F.col(text_column)).otherwise(F.array_join(F.transform(kept, lambda i: F.get(f"{name}_all", i)), "\n"))
+    return apart.withColumns({text_column: cleaned, name: F.coalesce(name, F.array().cast("array<int>"))}).drop(f"{name}_all"), name

@@ -43,7 +43,7 @@ WITH l AS (
          list_distinct(list_filter(regexp_split_to_array(
            translate(lines[i], 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS w
   FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents), LATERAL (SELECT unnest(range(1, len(lines) + 1)) AS i)),
-t AS (SELECT doc_id, line, len(w) AS n, unnest(w) AS word FROM l WHERE len(w) >= 8),
+t AS (SELECT doc_id, line, len(w) AS n, unnest(w) AS word FROM l WHERE len(w) >= 1),
 f AS (SELECT word, count(*) AS often FROM t GROUP BY word),
 p AS (
   SELECT doc_id, line, n, word, row_number() OVER (PARTITION BY doc_id, line ORDER BY often, word) AS place

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,4 +27,26 @@ def stored(df: DataFrame) -> DataFrame:
     """
     path = f"{shared_folder(df.sparkSession)}/crossfoot-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    _delete(df.sparkSession, path, at_exit=True)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    _PATHS[table] = path
+    return table
+
+
+_PATHS: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of ``stored`` that nothing will read again. The others go when the application ends."""
+    for table in tables:
+        _delete(table.sparkSession, _PATHS.pop(table))
+
+
+def _delete(spark: SparkSession, path: str, at_exit: bool = False) -> None:
+    context = spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(context._jsc.hadoopConfiguration())
+    if at_exit:
+        system.deleteOnExit(place)
+    else:
+        system.delete(place, True)

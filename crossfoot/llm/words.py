@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from hashlib import blake2b
 
 import numpy as np
 
 GROUP_BYTES = 1_000_000
+#: Longer words are hashed by BLAKE2: polynomials modulo a power of two let long words of a regular build collide.
+LONGEST_WORD = 64
 _rng = np.random.default_rng(20240229)
 BYTE_CODE = _rng.integers(1, 1 << 63, 256, np.uint64)
 # White space is space, tab, line feed, vertical tab, form feed, carriage return; A-Z become a-z.
@@ -56,7 +59,10 @@ def word_hashes(data: np.ndarray, lower: bool) -> tuple[np.ndarray, np.ndarray]:
     begins, ends = edges[::2], edges[1::2]
     power, inverse = _power_tables(len(data) + 1)[:2]
     sums = np.r_[np.zeros(1, np.uint64), np.cumsum(BYTE_CODE[data] * power[: len(data)])]
-    return mix((sums[ends] - sums[begins]) * inverse[begins]), begins
+    hashes = mix((sums[ends] - sums[begins]) * inverse[begins])
+    for i in np.flatnonzero(ends - begins > LONGEST_WORD).tolist():
+        hashes[i] = int.from_bytes(blake2b(data[begins[i] : ends[i]].tobytes(), digest_size=8).digest(), "little")
+    return hashes, begins
 
 
 def document_words(group: list[bytes], lower: bool = True) -> tuple[np.ndarray, np.ndarray]:

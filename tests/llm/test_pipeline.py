@@ -17,13 +17,13 @@ def duck(sf_dir):
     return connect(sf_dir)
 
 
-@pytest.mark.parametrize("name", ["op1_exact_dedup", "op5_ngram_join", "op7_line_dedup", "op10_url_filter"])
+@pytest.mark.parametrize("name", ["op1_exact_dedup", "op5_ngram_join", "op7_line_dedup", "op10_url_filter", "op13_hard_negatives"])
 def test_query_equals_sql(spark, checkpoint_folder, duck, sf_dir, name):
     assert compare(spark, duck, sf_dir, name, entry.queries()[name], entry.oracle_sql()[name]) is None
 
 
 def test_registered():
-    assert {f"op{n}_" for n in range(1, 11)} | {"pipeline"} == {q if q == "pipeline" else q.split("_")[0] + "_" for q in QUERIES}
+    assert {f"op{n}_" for n in range(1, 14)} | {"pipeline"} == {q if q == "pipeline" else q.split("_")[0] + "_" for q in QUERIES}
     assert set(QUERIES) <= set(entry.queries())
 
 
