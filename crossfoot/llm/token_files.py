@@ -12,7 +12,7 @@ A block is decoded from its own row and the codes alone. All checkpoints of a bl
 table look-ups, which go on in step.
 
 Defined results: NULL and empty texts hold the end id only. Rows with the same document id stand in order of their
-coded bytes; a NULL id comes first. Further columns are ignored. An empty table gives no blocks.
+stored ids; a NULL id comes first. Further columns are ignored. An empty table gives no blocks.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from crossfoot.llm.bpe import read_tokenizer, tokenizer_of
-from crossfoot.llm.storage import shared_folder, stored
+from crossfoot.llm.storage import discard, shared_folder, stored
 
 STEP = 256
 BLOCK_BYTES = 400_000
@@ -104,35 +104,38 @@ class Codebook:
         return found.T[np.arange(STEP) < used[:, None]]
 
 
-def token_table(docs: DataFrame, tokenizer_path: str, end_id: int, id_column: str, text_column: str) -> DataFrame:
-    """doc_id and the ids of the text with the end id, as little-endian unsigned 32-bit integers."""
-    content, key = read_tokenizer(tokenizer_path)
-    end = end_id.to_bytes(4, "little")
-
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = tokenizer_of(content, key)
-        for batch in batches:
-            ids = [i + end for i in tokenizer.encode(value.as_py() or "" for value in batch.column(1))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
+def id_type(vocabulary_size: int) -> str:
+    """Two bytes for every id where the vocabulary allows it, else four."""
+    return "<u2" if vocabulary_size <= 1 << 16 else "<u4"
 
-    schema = T.StructType([T.StructField("doc_id", docs.schema[id_column].dataType), T.StructField("ids", T.BinaryType())])
-    return docs.select(docs[id_column], docs[text_column]).mapInArrow(encode, schema)
 
+def token_table(docs: DataFrame, tokenizer_path: str, end_id: int, id_column: str, text_column: str) -> tuple[DataFrame, str]:
+    """doc_id and the ids of the text with the end id; per task one more row with the number of times it has seen each id.
 
-def count_ids(tokens: DataFrame) -> DataFrame:
-    """How often each id occurs; every task sends one row per id that it has seen."""
+    Also returns the type the ids are stored as.
+    """
+    content, key = read_tokenizer(tokenizer_path)
+    kind = id_type(max(len(tokenizer_of(content, key).token_bytes), end_id + 1))
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0, np.int64)
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokenizer = tokenizer_of(content, key)
+        total = np.zeros(max(len(tokenizer.token_bytes), end_id + 1), np.int64)
+        id_kind = pa.int64()
         for batch in batches:
-            for cell in batch.column(0):
-                found = np.bincount(np.frombuffer(cell.as_py(), "<u4"), minlength=len(total))
-                found[: len(total)] += total
-                total = found
+            id_kind, texts = batch.schema.field(0).type, (value.as_py() or "" for value in batch.column(1))
+            ids = [np.append(np.frombuffer(i, "<u4"), np.uint32(end_id)) for i in tokenizer.encode(texts)]
+            if ids:
+                total += np.bincount(np.concatenate(ids), minlength=len(total))
+            nothing = [None] * len(ids)
+            columns = [batch.column(0), pa.array([i.astype(kind).tobytes() for i in ids], pa.binary()), pa.array(nothing, pa.list_(pa.int32())), pa.array(nothing, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=schema.fieldNames())
         seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen], pa.int64())], names=["id", "n"])
+        columns = [pa.array([None], id_kind), pa.array([None], pa.binary()), pa.array([seen], pa.list_(pa.int32())), pa.array([total[seen]], pa.list_(pa.int64()))]
+        yield pa.RecordBatch.from_arrays(columns, names=schema.fieldNames())
 
-    return tokens.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    schema = T.StructType([T.StructField("doc_id", docs.schema[id_column].dataType), T.StructField("ids", T.BinaryType())])
+    schema = schema.add("seen", T.ArrayType(T.IntegerType())).add("times", T.ArrayType(T.LongType()))
+    return docs.select(docs[id_column], docs[text_column]).mapInArrow(encode, schema), kind
 
 
 def read_codes(spark: SparkSession, path: str) -> Codebook:
@@ -144,32 +147,36 @@ def read_codes(spark: SparkSession, path: str) -> Codebook:
 def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 0, id_column: str = "doc_id", text_column: str = "text") -> None:
     """Encode all texts and write the two tables. Codes come from the counts over all documents."""
     spark = docs.sparkSession
-    tokens = stored(token_table(docs, tokenizer_path, end_id, id_column, text_column))
-    counts = count_ids(tokens).toArrow()
-    n = counts["n"].to_numpy()
+    table, kind = token_table(docs, tokenizer_path, end_id, id_column, text_column)
+    tokens = stored(table)
+    listed = tokens.filter("seen IS NOT NULL").select(F.explode(F.arrays_zip("seen", "times")).alias("x"))
+    counts = listed.groupBy(F.col("x.seen").alias("id")).agg(F.sum("x.times").alias("n")).toArrow()
+    ids, n = counts["id"].to_numpy().astype(np.int64), counts["n"].to_numpy()
     lengths = code_lengths(n, max(16, int(len(n)).bit_length() + 2))
-    codes = pa.table({"id": counts["id"].to_numpy(), "length": lengths})
-    spark.createDataFrame(codes).coalesce(1).write.parquet(f"{path}/codes")
-    book = Codebook(counts["id"].to_numpy(), lengths)
-    id_type = tokens.schema["doc_id"].dataType
+    spark.createDataFrame(pa.table({"id": ids, "length": lengths})).coalesce(1).write.parquet(f"{path}/codes")
+    book = Codebook(ids, lengths)
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 some = batch.slice(start, 256)
-                each = [np.frombuffer(cell.as_py(), "<u4") for cell in some.column(1)]
+                each = [np.frombuffer(cell.as_py(), kind) for cell in some.column(1)]
                 sizes = np.array([len(e) for e in each], np.int64)
                 packed, n_bytes, at = book.encode(np.concatenate(each).astype(np.int64), sizes)
                 ends = np.cumsum(n_bytes)
                 firsts = np.cumsum(sizes) - sizes
                 marks = [(at[f : f + s : STEP] - 8 * (e - b)).tobytes() for f, s, e, b in zip(firsts, sizes, ends, n_bytes, strict=True)]
                 streams = [packed[e - b : e] for e, b in zip(ends.tolist(), n_bytes.tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([some.column(0), pa.array(sizes), pa.array(streams, pa.binary()), pa.array(marks, pa.binary())], names=["doc_id", "n", "stream", "marks"])
+                columns = [some.column(0), pa.array(sizes), pa.array(streams, pa.binary()), pa.array(marks, pa.binary()), some.column(2)]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "stream", "marks", "part"])
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return pack_blocks(code(batches))
 
-    coded_schema = T.StructType([T.StructField("doc_id", id_type), T.StructField("n", T.LongType()), T.StructField("stream", T.BinaryType()), T.StructField("marks", T.BinaryType())])
-    ordered = tokens.mapInArrow(code, coded_schema).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "stream")
-    blocks = ordered.withColumn("part", F.spark_partition_id()).mapInArrow(pack_blocks, BLOCK_SCHEMA.format(id_type.simpleString()))
+    ordered = tokens.filter("ids IS NOT NULL").select("doc_id", "ids").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "ids")
+    blocks = ordered.withColumn("part", F.spark_partition_id()).mapInArrow(pack, BLOCK_SCHEMA.format(tokens.schema["doc_id"].dataType.simpleString()))
     blocks.write.parquet(f"{path}/blocks")
+    discard(tokens)
 
 
 def pack_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -206,8 +213,8 @@ def read_token_files(spark: SparkSession, path: str, with_ids: bool = True) -> D
     totals = blocks.groupBy("part").agg(F.sum("n_ids").alias("n"))  # one row per written partition
     before = totals.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before"))
     placed = blocks.join(before, "part").select((F.col("before") + F.col("first")).alias("start"), "doc_ids", "n_tokens", "payload", "checkpoints")
-    id_type = blocks.schema["doc_ids"].dataType.elementType
-    schema = T.StructType([T.StructField("doc_id", id_type), T.StructField("start", T.LongType()), T.StructField("n_tokens", T.LongType()), T.StructField("ids_crc32", T.LongType())])
+    doc_type = blocks.schema["doc_ids"].dataType.elementType
+    schema = T.StructType([T.StructField("doc_id", doc_type), T.StructField("start", T.LongType()), T.StructField("n_tokens", T.LongType()), T.StructField("ids_crc32", T.LongType())])
     if with_ids:
         schema = schema.add("ids", T.BinaryType())
 
