@@ -4,12 +4,13 @@ Every shingle flips one position of a wide bit sketch. Two sketches differ in at
 differ in shingles, so a pair with Jaccard similarity of at least 3/4 differs in at most (a + b) / 7 positions, where a
 and b are the sizes of its sets. The sketch is cut into blocks; a differing position spoils one block. Hence all but
 (a + b) / 7 blocks of a linked pair are equal, and by the pigeonhole principle any (a + b) / 7 + 1 of the filled blocks
-of one document hold one that the other has too. Documents send that many blocks, the rarest first, as join keys.
+of one document hold one that the other has too. Documents send that many blocks, the rarest first, as join keys; rarity
+comes from counts over all documents, so blocks of a passage that many documents share come last.
 
 The number of blocks depends on the size band (sizes up to the next power of two). A document whose partners can lie in
 the next band also sends keys in that band. A document with too few filled blocks sends a key for its empty ones.
 
-Within the documents of a key, each is first compared with the first of them. What is verified is linked, and only where
+Documents with equal sets, by a cryptographic digest, take part as one. Within the documents of a key, each is first compared with the first of them. What is verified is linked, and only where
 documents of a key are still in different components are the other pairs looked at, so a large group of copies costs as
 many comparisons as it has members. Pairs are thrown out by size and by the Hamming distance of whole sketches; the
 Jaccard similarity of the rest is computed from their texts.
@@ -22,6 +23,7 @@ repeated, further columns are ignored, an empty table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -29,15 +31,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from crossfoot.llm.components import connected_components
-from crossfoot.llm.storage import stored
+from crossfoot.llm.storage import discard, stored
 from crossfoot.llm.words import mix, shingle_sets
 
 LEAST_WIDTH = 1024
 BLOCKS_PER_SHINGLE, FEWEST_BLOCKS = 0.6, 64
-#: A shingle counts as frequent from this many documents on, among those that together hold ``COUNTED`` shingles. That
-#: only orders the keys.
-FREQUENT, COUNTED = 8, 1_000_000
+#: Shingles of all documents are counted in a table of this fixed size, by hash. It only orders the keys.
+COUNT_BITS = 17
 FILTER_WORDS = 1 << 17
+PROFILE = "doc_id long, n_shingles long, sketch array<long>, digest binary, buckets array<int>, counts array<long>"
 
 
 def largest_difference(size: int, other: int) -> int:
@@ -45,48 +47,45 @@ def largest_difference(size: int, other: int) -> int:
     return (size + other) // 7
 
 
+def bucket(shingles: np.ndarray) -> np.ndarray:
+    # Bits that neither sketches (the lowest) nor blocks (the highest) are taken from.
+    return ((shingles >> np.uint64(24)) & np.uint64((1 << COUNT_BITS) - 1)).astype(np.int64)
+
+
 def profile(docs: DataFrame) -> DataFrame:
-    """Per document its number of shingles and sketch; now and then, a row with the frequent shingles of the last ones."""
+    """Per document its number of shingles, sketch and digest of the set; per task one row with its counts of shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << COUNT_BITS, np.int64)
         for batch in batches:
-            ids, sizes, sketches, held, total = [], [], [], [], 0
+            ids, sizes, sketches, digests = [], [], [], []
             for doc_id, shingles in zip(batch.column(0), shingle_sets(t.as_py() or "" for t in batch.column(1)), strict=True):
                 width = max(LEAST_WIDTH, 1 << (4 * len(shingles)).bit_length())
                 odd = np.bincount((shingles & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
                 ids.append(doc_id.as_py())
                 sizes.append(len(shingles))
                 sketches.append(np.packbits(odd.astype(np.uint8)).view(np.int64))
-                held.append(shingles)
-                total += len(shingles)
-                if total >= COUNTED:
-                    yield rows(ids, sizes, sketches, held)
-                    ids, sizes, sketches, held, total = [], [], [], [], 0
-            yield rows(ids, sizes, sketches, held)
-
-    def rows(ids: list[int], sizes: list[int], sketches: list[np.ndarray], held: list[np.ndarray]) -> pa.RecordBatch:
-        values, counts = np.unique(np.concatenate([np.zeros(0, np.uint64), *held]), return_counts=True)
-        often = counts >= FREQUENT
-        arrays = [
-            pa.array([*ids, None], pa.int64()),
-            pa.array([*sizes, None], pa.int64()),
-            pa.array([*sketches, None], pa.list_(pa.int64())),
-            pa.array([None] * len(sizes) + [values[often].view(np.int64)], pa.list_(pa.int64())),
-            pa.array([None] * len(sizes) + [counts[often]], pa.list_(pa.int64())),
-        ]
-        return pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_shingles", "sketch", "frequent", "counts"])
-
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, sketch array<long>, frequent array<long>, counts array<long>")
-
-
-def frequent_shingles(profiles: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """The ``most`` most frequent shingles and their counts. They order the join keys and never exclude one."""
-    listed = profiles.filter("frequent IS NOT NULL").select(F.explode(F.arrays_zip("frequent", "counts")).alias("x"))
-    counted = listed.groupBy(F.col("x.frequent").alias("shingle")).agg(F.sum("x.counts").alias("n"))
-    rows = counted.orderBy(F.desc("n"), "shingle").limit(most).toArrow()
-    shingles = rows["shingle"].to_numpy().view(np.uint64)
-    order = np.argsort(shingles)
-    return shingles[order], rows["n"].to_numpy()[order]
+                digests.append(blake2b(shingles.tobytes(), digest_size=16).digest())
+                np.add.at(total, bucket(shingles), 1)
+            yield rows(ids, sizes, sketches, digests, None, None)
+        seen = np.flatnonzero(total)
+        yield rows([None], [None], [None], [None], [seen], [total[seen]])
+
+    def rows(ids: list, sizes: list, sketches: list, digests: list, buckets: list | None, counts: list | None) -> pa.RecordBatch:
+        blank = [None] * len(ids)
+        columns = (ids, pa.int64()), (sizes, pa.int64()), (sketches, pa.list_(pa.int64())), (digests, pa.binary()), (buckets or blank, pa.list_(pa.int32())), (counts or blank, pa.list_(pa.int64()))
+        return pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in columns], names=["doc_id", "n_shingles", "sketch", "digest", "buckets", "counts"])
+
+    return docs.mapInArrow(run, PROFILE)
+
+
+def shingle_counts(profiles: DataFrame) -> np.ndarray:
+    """Documents per bucket of shingles. The table orders the join keys and never excludes one."""
+    listed = profiles.filter("buckets IS NOT NULL").select(F.explode(F.arrays_zip("buckets", "counts")).alias("x"))
+    rows = listed.groupBy(F.col("x.buckets").alias("bucket")).agg(F.sum("x.counts").alias("n")).toArrow()
+    counts = np.zeros(1 << COUNT_BITS, np.int64)
+    counts[rows["bucket"].to_numpy()] = rows["n"].to_numpy()
+    return counts
 
 
 def band_keys(shingles: np.ndarray, counts: np.ndarray | None, band: int) -> np.ndarray:
@@ -106,9 +105,8 @@ def band_keys(shingles: np.ndarray, counts: np.ndarray | None, band: int) -> np.
     return np.partition(keys, needed - 1)[:needed]
 
 
-def join_keys(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+def join_keys(docs: DataFrame, counts: np.ndarray) -> DataFrame:
     """(key, doc_id, size) rows of all documents."""
-    listed, often = frequent
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -116,14 +114,9 @@ def join_keys(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) -> DataF
             for doc_id, shingles in zip(batch.column(0), shingle_sets(t.as_py() or "" for t in batch.column(1)), strict=True):
                 size = len(shingles)
                 if size:
-                    counts = None
-                    if len(listed):
-                        at = np.minimum(np.searchsorted(listed, shingles), len(listed) - 1)
-                        found = listed[at] == shingles
-                        counts = np.where(found, often[at], 0) if found.any() else None
                     band = (size - 1).bit_length()
                     for b in (band, band + 1) if size * 4 // 3 > 1 << band else (band,):
-                        keys.append(band_keys(shingles, counts, b))
+                        keys.append(band_keys(shingles, counts[bucket(shingles)], b))
                         ids.append(doc_id.as_py())
                         sizes.append(size)
                         held += len(keys[-1])
@@ -205,34 +198,58 @@ def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     return both.select("a", "b", "text_a", "text_b").mapInArrow(compare, "a long, b long")
 
 
+def narrow_sketch(column: str) -> Column:
+    """A sketch folded to 256 bits: places that agree modulo 256 are laid over each other."""
+    return F.transform(F.sequence(F.lit(0), F.lit(3)), lambda j: F.aggregate(F.filter(column, lambda _, i: i % 4 == j), F.lit(0).cast("long"), lambda acc, x: acc.bitwiseXOR(x)))
+
+
 def contested_pairs(groups: DataFrame, components: DataFrame, sketches: DataFrame) -> DataFrame:
-    """Pairs within a key, other than with its first document, that the links found so far leave in different components."""
+    """Pairs within a key, other than with its first document, that the links found so far leave in different components.
+
+    Sizes and narrow sketches rule out most pairs while documents of a key meet, so what is written are pairs that may
+    well be similar, not the square of a key.
+    """
     labels = sketches.join(components.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-    labels = labels.select("doc_id", "n_shingles", "sketch", F.coalesce("component", "doc_id").alias("component"))
-    known = groups.filter("members > 2").join(labels.select("doc_id", "component"), "doc_id")
+    labels = labels.select("doc_id", narrow_sketch("sketch").alias("narrow"), F.coalesce("component", "doc_id").alias("component"))
+    known = groups.filter("members > 2").join(labels, "doc_id")
     whole = Window.partitionBy("key")
     mixed = known.withColumns({"low": F.min("component").over(whole), "high": F.max("component").over(whole)}).filter("low <> high AND doc_id <> first_id")
-    one, two = mixed.select("key", F.col("doc_id").alias("a"), F.col("size").alias("size_a"), F.col("component").alias("ca")), mixed.select("key", F.col("doc_id").alias("b"), F.col("size").alias("size_b"), F.col("component").alias("cb"))
-    near = (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & (F.least("size_a", "size_b") * 4 >= F.greatest("size_a", "size_b") * 3)
+    one, two = (mixed.select("key", F.col("doc_id").alias(s), F.col("size").alias(f"size_{s}"), F.col("component").alias(f"of_{s}"), F.col("narrow").alias(f"narrow_{s}")) for s in ("a", "b"))
+    flips = " + ".join(f"bit_count(narrow_a[{j}] ^ narrow_b[{j}])" for j in range(4))
+    near = F.expr(f"a < b AND of_a <> of_b AND least(size_a, size_b) * 4 >= greatest(size_a, size_b) * 3 AND ({flips}) * 7 <= size_a + size_b")
     return one.join(two, "key").filter(near).select("a", "b").distinct()
 
 
-def near_duplicate_links(docs: DataFrame, profiles: DataFrame, most_frequent: int = 200_000) -> DataFrame:
+def near_duplicate_links(docs: DataFrame, sketches: DataFrame, counts: np.ndarray) -> DataFrame:
     """Links (a, b) that connect all documents which similar pairs connect."""
-    sketches = profiles.filter("frequent IS NULL AND doc_id IS NOT NULL AND n_shingles > 0").select("doc_id", "n_shingles", "sketch").dropDuplicates(["doc_id"])
-    keys = join_keys(docs, frequent_shingles(profiles, most_frequent))
     whole = Window.partitionBy("key")
+    keys = join_keys(docs, counts)
     groups = stored(keys.withColumns({"first_id": F.min("doc_id").over(whole), "members": F.count("*").over(whole)}).filter("members > 1"))
     starred = groups.filter("doc_id <> first_id").select(F.col("first_id").alias("a"), F.col("doc_id").alias("b")).distinct()
-    links = stored(verified(stored(possible_pairs(starred, sketches)), docs))
-    rest = contested_pairs(groups, connected_components(links), sketches)
-    return links.unionByName(stored(verified(stored(possible_pairs(rest, sketches)), docs)))
+    first = stored(possible_pairs(starred, sketches))
+    links = stored(verified(first, docs))
+    rest = stored(possible_pairs(contested_pairs(groups, connected_components(links), sketches), sketches))
+    discard(first, groups)
+    more = stored(verified(rest, docs))
+    discard(rest)
+    return links.unionByName(more)
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row per document: id, number of shingles, and the smallest id that links reach from it."""
     texts = docs.select(docs[id_column].cast("long").alias("doc_id"), docs[text_column].alias("text"))
     profiles = stored(profile(texts))
-    components = connected_components(near_duplicate_links(texts, profiles)).withColumnRenamed("node", "doc_id")
-    sizes = profiles.filter("frequent IS NULL").select("doc_id", "n_shingles")
-    return sizes.join(components, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+    named = profiles.filter("doc_id IS NOT NULL AND n_shingles > 0")
+    # Documents with equal sets are one node: the one with the smallest id takes part for all of them.
+    several = named.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    same = named.select("doc_id", "digest").join(several, "digest").filter("doc_id <> first_id").select("doc_id", "first_id").distinct()
+    # An id with several texts stands for more than the one that is a copy: it stays, with a link.
+    mixed = named.groupBy("doc_id").agg((F.min("digest") != F.max("digest")).alias("mixed")).filter("mixed").select("doc_id")
+    copies = stored(same.join(mixed, "doc_id", "left_anti"))
+    linked = same.join(mixed, "doc_id", "left_semi").select(F.col("first_id").alias("a"), F.col("doc_id").alias("b"))
+    sketches = stored(named.select("doc_id", "n_shingles", "sketch").dropDuplicates(["doc_id"]).join(copies, "doc_id", "left_anti"))
+    links = near_duplicate_links(texts.join(copies, "doc_id", "left_anti"), sketches, shingle_counts(profiles))
+    discard(sketches)
+    components = connected_components(links.unionByName(linked))
+    sizes = profiles.filter("buckets IS NULL").select("doc_id", "n_shingles").join(copies, "doc_id", "left").withColumn("node", F.coalesce("first_id", "doc_id"))
+    return sizes.join(components, "node", "left").select("doc_id", "n_shingles", F.coalesce("component", "node").alias("component_id"))
