@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crossfoot.config import CrosstabSpec
@@ -68,6 +68,37 @@ def flow_rows(spark: SparkSession, sf_dir: str, periods: tuple[int, int] | None
     )
 
 
+def unresolved_lines(spark: SparkSession, sf_dir: str, parts: Column | None = None, customers: Column | None = None) -> DataFrame:
+    """(reason, n_lines, value) of lines that refer to an absent row; ``flow_rows`` leaves such lines out.
+
+    A line with several reasons counts for each. ``parts`` and ``customers`` restrict what counts as present. All
+    references are resolved from the left in one pass over the lines, and one aggregate counts them.
+    """
+    part = table(spark, sf_dir, "part").filter(F.lit(True) if parts is None else parts).select("p_partkey").distinct()
+    nations = table(spark, sf_dir, "nation").select("n_nationkey")
+    supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey").join(nations.withColumnRenamed("n_nationkey", "from_key"), F.col("s_nationkey") == F.col("from_key"), "left")
+    customer = table(spark, sf_dir, "customer").filter(F.lit(True) if customers is None else customers).select("c_custkey", "c_nationkey")
+    customer = customer.join(nations.withColumnRenamed("n_nationkey", "to_key"), F.col("c_nationkey") == F.col("to_key"), "left")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey").join(customer, F.col("o_custkey") == F.col("c_custkey"), "left")
+    lines = table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey", "l_orderkey", F.col("l_extendedprice").cast("decimal(18,2)").alias("value"))
+    met = (
+        lines.join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
+        .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"), "left")
+        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
+    )
+    absent = {
+        "part": "p_partkey IS NULL",
+        "supplier": "s_suppkey IS NULL",
+        "order": "o_orderkey IS NULL",
+        "customer": "o_orderkey IS NOT NULL AND c_custkey IS NULL",
+        "origin": "s_suppkey IS NOT NULL AND from_key IS NULL",
+        "destination": "c_custkey IS NOT NULL AND to_key IS NULL",
+    }
+    sums = [F.struct(F.count_if(F.expr(c)).alias("n_lines"), F.coalesce(F.sum(F.expr(f"if({c}, value, 0)")), F.lit(0)).cast("double").alias("value")).alias(name) for name, c in absent.items()]
+    rows = F.explode(F.array(*[F.struct(F.lit(name).alias("reason"), F.col(f"{name}.n_lines"), F.round(f"{name}.value", 2).alias("value")) for name in absent]))
+    return met.agg(*sums).select(rows.alias("row")).select("row.*")
+
+
 def flow_cube(
     spark: SparkSession, sf_dir: str, periods: tuple[int, int] | None = None, by_period: bool = False
 ) -> DataFrame:

@@ -863,9 +863,10 @@ _FINGERPRINTED = {
 
 
 def _fingerprint(table: str, source: str | None = None) -> str:
-    cells = ", ".join(f"coalesce('=' || CAST({c} AS VARCHAR), '-')" for c in _FINGERPRINTED[table])
-    return f"""SELECT '{table}' AS table_name, count(*) AS n_rows,
-  CAST(coalesce(sum(CAST('0x' || substr(md5(concat_ws(chr(10), {cells})), 1, 12) AS HUGEINT)), 0) AS VARCHAR) AS fingerprint FROM {source or table}"""
+    texts = [f"CAST({c} AS VARCHAR)" for c in _FINGERPRINTED[table]]
+    cells = " || ".join(f"coalesce(CAST(length({t}) AS VARCHAR) || ':' || {t}, '-')" for t in texts)
+    sums = " || '-' || ".join(f"CAST(coalesce(sum(CAST('0x' || substr(md5({cells}), {at}, 15) AS HUGEINT)), 0) AS VARCHAR)" for at in (1, 16))
+    return f"SELECT '{table}' AS table_name, count(*) AS n_rows, {sums} AS fingerprint FROM {source or table}"
 
 
 _FLIPPED = "(SELECT doc_id, CASE WHEN doc_id = (SELECT min(doc_id) FROM labels) THEN 1 - quality ELSE quality END AS quality, toxic FROM labels) f"
@@ -877,3 +878,40 @@ ORACLE |= {
         body="SELECT table_name, a.fingerprint = b.fingerprint AND a.n_rows = b.n_rows AS unchanged FROM a JOIN b USING (table_name)",
     ),
 }
+
+# --- published sheets -----------------------------------------------------------------------------------------------
+
+_SHEET_ROWS = {"matrix": "ent", "summary": "cat", "outward": "cat", "inward": "cat", "internal": "cat"}
+_SHEET_COLUMNS = {"matrix": "1 + n", "summary": "3", "outward": "2 + n", "inward": "3 + n", "internal": "3 + n"}
+ORACLE |= {
+    "sheet_layouts": _with(
+        *_DIMS,
+        "s AS (SELECT count(*) AS n FROM ent)",
+        body="\nUNION ALL ".join(
+            f"""SELECT '{name}' AS table_name, 'Table {name}, all periods' AS title, 3 AS header_row, 4 AS data_start_row,
+  3 + count(*) AS data_end_row, {'CAST(NULL AS BIGINT)' if name == 'matrix' else '4 + count(*)'} AS footer_row, 3 AS first_col,
+  2 + max({_SHEET_COLUMNS[name]}) AS last_col FROM {rows}, s"""
+            for name, rows in _SHEET_ROWS.items()
+        ),
+    ),
+    "sheet_body": _with(*ALL, body=f"""SELECT 'matrix' AS table_name, destination AS row_label, origin AS entity, {_r('value')} FROM matrix
+UNION ALL SELECT 'summary', code, 'value', {_r('value')} FROM summary
+UNION ALL SELECT 'outward', code, entity, {_r('value')} FROM outward
+UNION ALL SELECT 'inward', code, entity, {_r('value')} FROM inward
+UNION ALL SELECT 'internal', code, entity, {_r('value')} FROM internal"""),
+    "sheet_totals": ORACLE["reported_totals_long"],
+    "files_unchanged": _with(*ALL, """doubled AS (SELECT code, entity, CASE WHEN code = (SELECT min(code) FROM cat) THEN value * 2 ELSE value END AS value FROM inward)""",
+        body="""SELECT 'outward' AS file_name, TRUE AS unchanged
+UNION ALL SELECT 'inward', NOT EXISTS (SELECT code, entity, value FROM inward EXCEPT SELECT code, entity, value FROM doubled)"""),
+    "flow_unresolved": """
+WITH x AS (
+  SELECT l_extendedprice AS price, p_partkey IS NULL AS part, s_suppkey IS NULL AS supplier, o_orderkey IS NULL AS orders, o_orderkey IS NOT NULL AND c_custkey IS NULL AS customer,
+         s_suppkey IS NOT NULL AND so.n_nationkey IS NULL AS origin, c_custkey IS NOT NULL AND cn.n_nationkey IS NULL AS destination
+  FROM lineitem LEFT JOIN (SELECT DISTINCT p_partkey FROM part WHERE p_size <= 40) p ON l_partkey = p_partkey
+       LEFT JOIN supplier ON l_suppkey = s_suppkey LEFT JOIN orders ON l_orderkey = o_orderkey
+       LEFT JOIN customer ON o_custkey = c_custkey AND c_acctbal >= 0 LEFT JOIN nation so ON so.n_nationkey = s_nationkey LEFT JOIN nation cn ON cn.n_nationkey = c_nationkey)
+SELECT r.reason AS reason, count(*) FILTER (r.missing) AS n_lines, round(CAST(coalesce(sum(CAST(price AS DECIMAL(18,2))) FILTER (r.missing), 0) AS DOUBLE), 2) AS value
+FROM (SELECT price, unnest([{'reason': 'part', 'missing': part}, {'reason': 'supplier', 'missing': supplier}, {'reason': 'order', 'missing': orders},
+  {'reason': 'customer', 'missing': customer}, {'reason': 'origin', 'missing': origin}, {'reason': 'destination', 'missing': destination}]) AS r FROM x)
+GROUP BY r.reason""",
+}

@@ -13,9 +13,9 @@ from crossfoot.operators import checks, distribution, faults, gate, profiling, r
 from crossfoot.operators.ordered import ordinal_positions
 from crossfoot.operators.reshape import union_all
 from crossfoot.plans import derived, flow, suite
-from crossfoot.plans.flow import CATEGORY_TABLES, SPECS, published, published_snapshots, table
-from crossfoot.runtime import materialize
-from crossfoot.sources import crosstab, files
+from crossfoot.plans.flow import CATEGORY_TABLES, SPECS, published, published_snapshots, table, unresolved_lines
+from crossfoot.runtime import materialize, ref, shared_path
+from crossfoot.sources import crosstab, files, layout
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -143,9 +143,50 @@ def file_fingerprint(spark, sf_dir):
     return files.file_fingerprints(spark, f"{sf_dir}/*.parquet").select("file_name", "size_bytes", "sha256")
 
 
+def _printed(spark, wide: dict[str, DataFrame]) -> str:
+    """The published tables as sheets in a fresh folder, one sub-folder each."""
+    folder = shared_path(spark, "sheets")
+    for name, df in wide.items():
+        layout.write_sheet(df, SPECS[name], f"{folder}/{name}", f"Table {name}, all periods", ("blank cells: no movement",), margin=2)
+    return folder
+
+
+def _sheets(spark, sf_dir) -> dict[str, layout.Sheet]:
+    """The published tables, printed and read again as raw sheets."""
+    folder = _printed(spark, published(spark, sf_dir).wide)
+    return {name: layout.read_sheet(spark, f"{folder}/{name}", SPECS[name]) for name in SPECS}
+
+
+def sheet_layouts(spark, sf_dir):
+    rows = [layout.sheet_metadata(sheet, SPECS[name], "value" if name == "summary" else None) for name, sheet in _sheets(spark, sf_dir).items()]
+    return union_all([r.select("table_name", "title", "header_row", "data_start_row", "data_end_row", "footer_row", "first_col", "last_col") for r in rows])
+
+
+def sheet_body(spark, sf_dir):
+    cells = [crosstab.stage_cells(sheet.table, SPECS[name]).filter(~F.col("is_summary")).select(
+        "table_name", F.col(SPECS[name].row_label).alias("row_label"), "entity", amount("value")) for name, sheet in _sheets(spark, sf_dir).items()]
+    return union_all(cells)
+
+
+def sheet_totals(spark, sf_dir):
+    sheets = _sheets(spark, sf_dir)
+    frames = [crosstab.reported_totals(sheets[name].table, SPECS[name], "value" if name == "summary" else None) for name in SPECS if name != "matrix"]
+    return union_all(frames).select("table_name", "axis", "entity", amount("value"))
+
+
 def files_unchanged(spark, sf_dir):
-    before = files.file_fingerprints(spark, f"{sf_dir}/*.parquet")
-    return files.unchanged_files(before, files.file_fingerprints(spark, f"{sf_dir}/*.parquet")).select("file_name", "unchanged")
+    """Two sheets printed before and after the first category's cells of one of them were doubled."""
+    wide = {name: df for name, df in published(spark, sf_dir).wide.items() if name in ("inward", "outward")}
+    first = wide["inward"].where(F.col("row_role") == "BODY").agg(F.min("code")).scalar()
+    cells = {c: F.when(F.col("code") == first, ref(c) * 2).otherwise(ref(c)) for c in crosstab.entity_columns(wide["inward"], SPECS["inward"])}
+    altered = {**wide, "inward": wide["inward"].withColumns(cells)}
+    before, after = (files.folder_fingerprints(files.file_fingerprints(spark, f"{_printed(spark, tables)}/*", "part-*")) for tables in (wide, altered))
+    return files.unchanged_files(before, after).select("file_name", "unchanged")
+
+
+def flow_unresolved(spark, sf_dir):
+    """Lines that no total can hold because a row they refer to is absent: large parts and indebted customers left out."""
+    return unresolved_lines(spark, sf_dir, parts=F.col("p_size") <= 40, customers=F.col("c_acctbal") >= 0)
 
 
 FINGERPRINTED = ("region", "nation", "benchmark", "labels", "conversations", "documents", "pages")
@@ -818,6 +859,6 @@ QUERIES: dict[str, Query] = {
         rec_results_filtered, stat_results_filtered, incidents_newest, overview_kpis, category_health,
         validation_summary, validation_metrics, reconciliation_summary, reconciliation_metrics, statistical_summary,
         statistical_metrics, incident_metrics, trusted_counts, lineage_counts, status_classes, content_fingerprint,
-        content_unchanged,
+        content_unchanged, sheet_layouts, sheet_body, sheet_totals, flow_unresolved,
     )
 }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,6 +42,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     context.setCheckpointDir(folder)
 
 
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder in the shared checkpoint folder of the session."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir().rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it from there.
 

@@ -24,16 +24,28 @@ def file_fingerprints(spark: SparkSession, path: str, pattern: str | None = None
 def content_fingerprint(df: DataFrame, table: str) -> DataFrame:
     """(table_name, n_rows, fingerprint) of a table's content, whatever files and order it comes in.
 
-    Every row becomes text with its NULLs marked, the leading 48 bits of its MD5 are a number, and the numbers of all
-    rows are added up. The sum splits over any number of tasks; no file is ever held as a whole.
+    Every row becomes text in which each cell tells its length, so no two rows share a text. Of its MD5, two numbers of
+    60 bits are taken, and each is added up over all rows. The sums split over any number of tasks; no file is ever held
+    as a whole.
     """
-    cells = [F.coalesce(F.concat(F.lit("="), ref(c).cast("string")), F.lit("-")) for c in df.columns]
-    number = F.conv(F.substring(F.md5(F.concat_ws("\n", *cells)), 1, 12), 16, 10).cast("decimal(38,0)")
-    return df.agg(F.count("*").alias("n_rows"), F.coalesce(F.sum(number), F.lit(0)).cast("string").alias("fingerprint")).select(
+    cells = [ref(c).cast("string") for c in df.columns]
+    text = F.concat(*[F.coalesce(F.concat(F.length(c).cast("string"), F.lit(":"), c), F.lit("-")) for c in cells])
+    digest = F.md5(text)
+    sums = [F.coalesce(F.sum(F.conv(F.substring(digest, at, 15), 16, 10).cast("decimal(38,0)")), F.lit(0)).cast("string") for at in (1, 16)]
+    return df.agg(F.count("*").alias("n_rows"), F.concat_ws("-", *sums).alias("fingerprint")).select(
         F.lit(table).alias("table_name"), "n_rows", "fingerprint"
     )
 
 
+def folder_fingerprints(fingerprints: DataFrame) -> DataFrame:
+    """(file_name, sha256) per folder, from the fingerprints of its files in order of their names."""
+    parts = F.array_sort(F.collect_list(F.struct("file_name", "sha256")))
+    folder = F.element_at(F.split("path", "/"), -2)
+    return fingerprints.groupBy(folder.alias("folder")).agg(F.sha2(F.concat_ws("", F.transform(parts, lambda x: x["sha256"])), 256).alias("sha256")).select(
+        F.col("folder").alias("file_name"), "sha256"
+    )
+
+
 def unchanged_tables(before: DataFrame, after: DataFrame) -> DataFrame:
     """(table_name, unchanged) from two fingerprints; a table that one side lacks has changed."""
     tagged = before.select("table_name", F.struct("n_rows", "fingerprint").alias("b"), F.lit(None).alias("a")).unionByName(

@@ -147,3 +147,22 @@ def test_canonical_labels(spark):
     assert [r.c for r in df.select(reshape.canonical(F.col("label"), mapping).alias("c")).collect()] == expected
     table = spark.createDataFrame(list(mapping.items()), "label string, canonical_label string")
     assert sorted(r.c for r in reshape.canonical_by_table(df, "label", table, "c").collect()) == sorted(expected)
+
+
+def test_content_fingerprints_tell_cells_apart(spark):
+    """Cells that hold what separates cells elsewhere, NULL and empty text, and rows whose order changes."""
+    tables = [[("a\n=b", "c")], [("a", "b\n=c")], [("1:a", None)], [("1:a", "")], [("", "1:a")], [("-", None)], [(None, "-")], [("a", "c"), ("a", "c")], [("a", "c")], []]
+    found = [files.content_fingerprint(spark.createDataFrame(rows, "x string, y string"), "t").first() for rows in tables]
+    assert len({(r.n_rows, r.fingerprint) for r in found}) == len(tables)
+    rows = [(str(i), str(i * i)) for i in range(50)]
+    one, two = (files.content_fingerprint(spark.createDataFrame(r, "x string, y string").repartition(p), "t").first() for r, p in ((rows, 1), (rows[::-1], 4)))
+    assert one == two
+
+
+def test_folder_fingerprints_follow_their_files(spark, tmp_path):
+    for folder, second in (("a", "y"), ("b", "y"), ("c", "z")):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "part-0").write_text("x")
+        (tmp_path / folder / "part-1").write_text(second)
+    found = {r.file_name: r.sha256 for r in files.folder_fingerprints(files.file_fingerprints(spark, f"{tmp_path}/*")).collect()}
+    assert found["a"] == found["b"] != found["c"]
