@@ -47,21 +47,24 @@ def _equal_sizes(n: int, step: int) -> float:
 def _lattice(n: int, m: int, bound: int) -> float:
     """P(max|i*m - j*n| >= bound) over uniform lattice paths from (0,0) to (n,m).
 
-    Walks along i + j and moves probability mass forward; mass that meets the bound is taken out and counted.
+    Walks along i + j and moves probability mass forward, over the cells inside the bound only: about
+    2 * bound / (n + m) of them at a time. Mass that steps out is counted and gone.
     """
-    i = np.arange(n + 1)
-    mass = np.zeros(n + 1)
-    mass[0] = 1.0
-    outside = 0.0
+    low, mass, outside = 0, np.ones(1), 0.0
     for taken in range(n + m):
-        j = taken - i
-        right = mass * np.clip(n - i, 0, None) / (n + m - taken)
-        stay = mass * np.clip(m - j, 0, None) / (n + m - taken)
-        mass = stay
-        mass[1:] += right[:-1]
-        hit = np.abs(i * m - (taken + 1 - i) * n) >= bound
-        outside += float(mass[hit].sum())
-        mass[hit] = 0.0
+        i = np.arange(low, low + len(mass))
+        left = n + m - taken
+        moved = np.zeros(len(mass) + 1)
+        moved[:-1] = mass * (m - taken + i) / left
+        moved[1:] += mass * (n - i) / left
+        # i * (n + m) must lie strictly within bound of (taken + 1) * n.
+        middle = (taken + 1) * n
+        first = max(low, (middle - bound) // (n + m) + 1)
+        last = min(low + len(mass), -((-middle - bound) // (n + m)) - 1)
+        if last < first:
+            return 1.0
+        outside += float(moved[: first - low].sum() + moved[last - low + 1 :].sum())
+        low, mass = first, moved[first - low : last - low + 1]
     return outside
 
 

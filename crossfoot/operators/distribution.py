@@ -54,8 +54,8 @@ def ks_test(ordered: Ordered, config: StatsConfig = StatsConfig(), method: str =
     """Two-sample KS test per dimension.
 
     The caller names how the p-value is computed, for all sample sizes alike: ``"exact"`` counts paths, at a cost that
-    grows with the product of the sizes, ``"series"`` sums the asymptotic series. The result says which. Status compares
-    ``p < alpha``.
+    grows with the sum of the sizes times the width of the band they stay in, ``"series"`` sums the asymptotic series.
+    The result says which. Status compares ``p < alpha``.
     """
     if method not in ("exact", "series"):
         raise ValueError(f"unknown p-value method {method!r}")

@@ -377,6 +377,20 @@ SERIES = (
     """tested AS (SELECT *, CASE WHEN NOT enough THEN NULL WHEN d <= 0 OR x < 0.2 THEN 1.0 ELSE least(1.0, greatest(0.0,
       2.0 * list_sum(list_transform(range(1, 101), lambda k: CASE WHEN k % 2 = 1 THEN 1.0 ELSE -1.0 END * exp(-2.0 * k * k * x * x))))) END AS p FROM arg)""",
 )
+# Share of the lattice paths that stay inside the bound, step by step.
+EXACT = (
+    "sized AS (SELECT *, least(n, m) >= 5 AS enough, CAST(round(d * n * m) AS BIGINT) AS bound FROM ks)",
+    """walk(dimension, t, i, mass) AS (
+      SELECT dimension, CAST(0 AS BIGINT), CAST(0 AS BIGINT), CAST(1 AS DOUBLE) FROM sized WHERE enough AND bound > 0
+      UNION ALL
+      SELECT w.dimension, w.t + 1, w.i + s.step, sum(w.mass * CASE WHEN s.step = 1 THEN n - w.i ELSE m - (w.t - w.i) END / (n + m - w.t))
+      FROM walk w JOIN sized z ON z.dimension = w.dimension, (VALUES (CAST(0 AS BIGINT)), (CAST(1 AS BIGINT))) s(step)
+      WHERE w.t < n + m AND w.i + s.step <= n AND w.t + 1 - w.i - s.step <= m AND abs((w.i + s.step) * m - (w.t + 1 - w.i - s.step) * n) < bound
+      GROUP BY w.dimension, w.t, w.i + s.step)""",
+    "stayed AS (SELECT w.dimension, sum(mass) AS mass FROM walk w JOIN sized z ON z.dimension = w.dimension AND w.t = n + m GROUP BY 1)",
+    """tested AS (SELECT z.*, CASE WHEN NOT enough THEN NULL WHEN bound <= 0 THEN 1.0 ELSE least(1.0, greatest(0.0, 1.0 - coalesce(mass, 0.0))) END AS p
+      FROM sized z LEFT JOIN stayed y ON y.dimension = z.dimension)""",
+)
 _KS_STATUS = """CASE WHEN NOT enough THEN 'INSUFFICIENT_DATA' WHEN p < 0.05 THEN 'STATISTICALLY_DIFFERENT'
   ELSE 'NO_MATERIAL_STATISTICAL_CHANGE' END"""
 _KS_SELECT = f"""SELECT dimension, n AS n_reference, m AS n_comparison, {_r('CASE WHEN enough THEN d END', 'statistic', 9)},
@@ -685,6 +699,7 @@ ORACLE: dict[str, str] = {
     "pair_snapshots_parts": f"""SELECT l_partkey AS part, {_r(f'sum(CAST(l_quantity AS DECIMAL(18,2))) FILTER (year(l_shipdate) = {YEAR_A})', 'reference')},
   {_r(f'sum(CAST(l_quantity AS DECIMAL(18,2))) FILTER (year(l_shipdate) = {YEAR_B})', 'comparison')} FROM lineitem WHERE year(l_shipdate) IN ({YEAR_A}, {YEAR_B}) GROUP BY 1""",
     "ks_by_dimension": _with(*BOTH, PAIRS, PAIR_SAMPLES, *KS_CTES, *SERIES, body=_KS_SELECT),
+    "ks_exact_p": _with(*BOTH, PAIRS, PAIR_SAMPLES, *KS_CTES, *EXACT, body=_KS_SELECT).replace("WITH", "WITH RECURSIVE", 1),
     "psi_by_dimension": _with(*BOTH, PAIRS, PAIR_SAMPLES, *_edges(_SUITE_BINS), *PSI_CTES, body=_PSI_SELECT),
     "ks_line_prices": _with(LINE_SAMPLES, *KS_CTES, *SERIES, body=_KS_SELECT),
     "psi_line_prices": _with(LINE_SAMPLES, *_edges(_BINS), *PSI_CTES, body=_PSI_SELECT),

@@ -31,7 +31,7 @@ def test_query_equals_sql(spark, duck, sf_dir, name):
 
 def test_contract(spark, sf_dir):
     assert set(entry.oracle_sql()) <= set(entry.queries()) >= set(QUERIES)
-    assert set(QUERIES) - set(entry.oracle_sql()) <= {"file_fingerprint", "ks_exact_p"}
+    assert set(QUERIES) - set(entry.oracle_sql()) <= {"file_fingerprint"}
     assert entry.entry(spark).count() == 25
 
 

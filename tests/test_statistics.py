@@ -100,6 +100,22 @@ def test_exact_p_against_enumeration():
     assert _lattice(33, 33, 6 * 33) == pytest.approx(exact_tail(33, 33, 6 * 33), rel=1e-9)
 
 
+def test_banded_walk_equals_the_walk_over_all_cells():
+    """The band leaves out only cells that no surviving path visits; sizes with and without common divisors."""
+    for n, m in ((1, 1), (1, 9), (7, 3), (12, 18), (40, 25), (64, 64)):
+        for bound in sorted({1, 2, m, n, n * m // 7 + 1, n * m // 2, n * m - 1, n * m, n * m + 1}):
+            inside = {(0, 0): 1.0}
+            for _ in range(n + m):
+                following = {}
+                for (i, j), mass in inside.items():
+                    for a, b, share in ((i + 1, j, n - i), (i, j + 1, m - j)):
+                        if share and abs(a * m - b * n) < bound:
+                            following[a, b] = following.get((a, b), 0.0) + mass * share / (n + m - i - j)
+                inside = following
+            assert _lattice(n, m, bound) == pytest.approx(1.0 - inside.get((n, m), 0.0), abs=1e-12), (n, m, bound)
+    assert _lattice(3000, 3000, 100 * 3000) == pytest.approx(exact_tail(3000, 3000, 100 * 3000), rel=1e-9)
+
+
 def test_series_p_is_close_to_exact_for_large_samples(spark):
     from crossfoot.functions.kolmogorov import series_p
 
