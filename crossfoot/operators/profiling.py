@@ -120,17 +120,18 @@ def label_set_diff(reference: DataFrame, comparison: DataFrame, label: str) -> D
     return sides.where(F.col("in_reference") != F.col("in_comparison"))
 
 
-def label_positions(frames: dict[str, DataFrame], label: str, order: list[str]) -> DataFrame:
-    """(position, one column per frame, all_equal): labels of several tables side by side by position.
+def label_positions(frames: dict[str, DataFrame], label: str, order: list[str], within: list[str] | None = None) -> DataFrame:
+    """([within...,] position, one column per frame, all_equal): labels of several tables side by side by position.
 
-    ``order`` gives the position inside each table.
+    ``order`` gives the position inside each table, or inside each group of ``within`` columns of it.
     """
+    groups = within or []
     tagged = union_all(
-        [df.select(F.lit(name).alias("source"), ref(label).alias("label"), *[ref(c) for c in order if c != label]) for name, df in frames.items()]
+        [df.select(F.lit(name).alias("source"), *[ref(c) for c in groups], ref(label).alias("label"), *[ref(c) for c in order if c != label]) for name, df in frames.items()]
     )
     keys = [("label" if c == label else c) for c in order]
-    placed = ordinal_positions(tagged.select("source", "label", *[k for k in keys if k != "label"]), ["source"], keys)
-    wide = placed.groupBy("position").pivot("source", list(frames)).agg(F.max("label"))
+    placed = ordinal_positions(tagged.select("source", *groups, "label", *[k for k in keys if k != "label"]), ["source", *groups], keys)
+    wide = placed.groupBy(*groups, "position").pivot("source", list(frames)).agg(F.max("label"))
     first, *others = [ref(name) for name in frames]
     same = F.lit(True)
     for other in others:

@@ -502,8 +502,8 @@ INCIDENTS = """inc AS (SELECT 'INC-' || c_custkey AS incident_id, 'run-' || c_na
   CASE WHEN c_acctbal < 1000 THEN 'CRITICAL' WHEN c_acctbal < 3000 THEN 'ERROR' ELSE 'WARNING' END AS severity,
   CASE WHEN c_mktsegment = 'BUILDING' THEN 'RESOLVED' ELSE 'OPEN' END AS status, c_mktsegment AS source_table, c_custkey AS detected_at
   FROM customer WHERE c_acctbal < 5000)"""
-ALERTS = """alerts AS (SELECT 'INC-' || o_custkey AS incident_id, CASE WHEN o_orderstatus = 'F' THEN 'SENT' ELSE 'FAILED' END AS outcome
-  FROM orders WHERE o_orderpriority = '1-URGENT')"""
+ALERTS = """alerts AS (SELECT 'INC-' || o_custkey AS incident_id, CASE WHEN o_orderstatus = 'F' AND o_orderpriority = '1-URGENT' THEN 'SENT' ELSE 'FAILED' END AS outcome
+  FROM orders)"""
 
 
 def _checked(body: str) -> str:
@@ -793,7 +793,7 @@ def _table_profile(table: str) -> str:
 
 
 def _cell_types(table: str) -> str:
-    columns = [c for c in _COLUMNS[table].split() if c not in ("o_orderdate", "ts")]
+    columns = _COLUMNS[table].split()
     cells = " UNION ALL ".join(f"SELECT CAST({c} AS VARCHAR) AS v FROM {table}" for c in columns)
     number = "regexp_full_match(trim(v), '[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?')"
     return f"""SELECT '{table}' AS table_name, CASE WHEN v IS NULL OR trim(v) = '' THEN 'empty' WHEN {number} THEN 'number' ELSE 'text' END AS cell_type,
@@ -827,7 +827,7 @@ _YEARLY = f"""yearly AS (SELECT o_custkey, year(o_orderdate) AS y, max(o_orderpr
 ORACLE.update(
     {
         "table_profile": "\nUNION ALL ".join(_table_profile(t) for t in _COLUMNS),
-        "cell_type_distribution": "\nUNION ALL ".join(_cell_types(t) for t in ("customer", "orders", "events", "part")),
+        "cell_type_distribution": "\nUNION ALL ".join(_cell_types(t) for t in _COLUMNS),
         "column_profile": _column_profile(),
         "cell_bounding_box": _with(
             *ALL, *_PLACES,
@@ -851,10 +851,12 @@ ORACLE.update(
         ),
         "label_positions": _with(
             *ALL,
-            "m AS (SELECT entity, row_number() OVER (ORDER BY entity) AS position FROM ent)",
-            f"s AS (SELECT entity, row_number() OVER (ORDER BY entity) AS position FROM internal WHERE code = '{CODE}' AND value IS NOT NULL)",
-            body="""SELECT m.position, m.entity AS matrix, m.entity AS outward, s.entity AS sparse, coalesce(m.entity = s.entity, FALSE) AS all_equal
-  FROM m LEFT JOIN s USING (position)""",
+            "m AS (SELECT code, entity, row_number() OVER (PARTITION BY code ORDER BY entity) AS position FROM outward)",
+            "i AS (SELECT code, entity, row_number() OVER (PARTITION BY code ORDER BY entity) AS position FROM inward)",
+            "s AS (SELECT code, entity, row_number() OVER (PARTITION BY code ORDER BY entity) AS position FROM internal WHERE value IS NOT NULL)",
+            body="""SELECT code, position, m.entity AS outward, i.entity AS inward, s.entity AS sparse,
+  coalesce(m.entity = i.entity AND m.entity = s.entity, FALSE) AS all_equal
+  FROM m JOIN i USING (code, position) LEFT JOIN s USING (code, position)""",
         ),
         "snapshot_null_sparsity": _with(
             *BOTH,

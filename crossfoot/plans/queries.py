@@ -566,12 +566,7 @@ def column_profile(spark, sf_dir):
 
 
 def cell_type_distribution(spark, sf_dir):
-    names = ("customer", "orders", "events", "part")
-    frames = []
-    for name in names:
-        df = table(spark, sf_dir, name)
-        frames.append(profiling.cell_type_distribution(df.drop("o_orderdate", "ts"), name))
-    return union_all(frames)
+    return union_all([profiling.cell_type_distribution(table(spark, sf_dir, name), name) for name in TABLES])
 
 
 def cell_bounding_box(spark, sf_dir):
@@ -606,16 +601,14 @@ def snapshot_attribute_diff(spark, sf_dir):
 
 
 def label_positions(spark, sf_dir):
-    """Entity labels of the tables side by side by position; the sparse table has fewer."""
-    p = published(spark, sf_dir)
-    long = p.long()
-    sparse = long["internal"].where((F.col("value").isNotNull()) & (F.col("code") == CODE))
+    """Entity labels of each category side by side by position; the sparse table has fewer of them."""
+    long = published(spark, sf_dir).long()
     frames = {
-        "matrix": long["matrix"].select(F.col("origin").alias("entity")).distinct(),
-        "outward": long["outward"].select("entity").distinct(),
-        "sparse": sparse.select("entity").distinct(),
+        "outward": long["outward"].select("code", "entity").distinct(),
+        "inward": long["inward"].select("code", "entity").distinct(),
+        "sparse": long["internal"].where(F.col("value").isNotNull()).select("code", "entity").distinct(),
     }
-    return profiling.label_positions(frames, "entity", ["entity"])
+    return profiling.label_positions(frames, "entity", ["entity"], within=["code"])
 
 
 def snapshot_null_sparsity(spark, sf_dir):
