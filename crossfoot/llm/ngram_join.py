@@ -10,9 +10,9 @@ comes from counts over all documents, so blocks of a passage that many documents
 The number of blocks depends on the size band (sizes up to the next power of two). A document whose partners can lie in
 the next band also sends keys in that band. A document with too few filled blocks sends a key for its empty ones.
 
-Documents with equal sets, by a cryptographic digest, take part as one. Within the documents of a key, each is first compared with the first of them. What is verified is linked, and only where
-documents of a key are still in different components are the other pairs looked at, so a large group of copies costs as
-many comparisons as it has members. Pairs are thrown out by size and by the Hamming distance of whole sketches; the
+Documents with equal sets, by a cryptographic digest, take part as one. Within the documents of a key, each is first
+compared with the first of them. What is verified is linked, and only where documents of a key are still in different
+components are the other pairs looked at, so a large group of copies costs as many comparisons as it has members. Pairs are thrown out by size and by the Hamming distance of whole sketches; the
 Jaccard similarity of the rest is computed from their texts.
 
 Defined results: NULL and empty texts have no shingles and are linked with nothing. Ids are whole numbers; rows with
@@ -35,7 +35,9 @@ from crossfoot.llm.storage import discard, stored
 from crossfoot.llm.words import mix, shingle_sets
 
 LEAST_WIDTH = 1024
-BLOCKS_PER_SHINGLE, FEWEST_BLOCKS = 0.6, 64
+#: Blocks of a band, as a share of its largest size. At least 2/7 of that size must be filled to be keys; with 0.4, up to
+#: 0.37 are, with one to three shingles each, so that a single shared passage rarely makes a whole block equal.
+BLOCKS_PER_SHINGLE, FEWEST_BLOCKS = 0.4, 64
 #: Shingles of all documents are counted in a table of this fixed size, by hash. It only orders the keys.
 COUNT_BITS = 17
 FILTER_WORDS = 1 << 17
