@@ -34,7 +34,7 @@ from crossfoot.llm.components import connected_components
 from crossfoot.llm.storage import discard, stored
 from crossfoot.llm.words import mix, shingle_sets
 
-LEAST_WIDTH = 1024
+LEAST_WIDTH = 2048
 #: Blocks of a band, as a share of its largest size. At least 2/7 of that size must be filled to be keys; with 0.4, up to
 #: 0.37 are, with one to three shingles each, so that a single shared passage rarely makes a whole block equal.
 BLOCKS_PER_SHINGLE, FEWEST_BLOCKS = 0.4, 64
@@ -201,25 +201,29 @@ def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def narrow_sketch(column: str) -> Column:
-    """A sketch folded to 256 bits: places that agree modulo 256 are laid over each other."""
-    return F.transform(F.sequence(F.lit(0), F.lit(3)), lambda j: F.aggregate(F.filter(column, lambda _, i: i % 4 == j), F.lit(0).cast("long"), lambda acc, x: acc.bitwiseXOR(x)))
+    """A sketch folded to the least width: places that agree modulo it are laid over each other."""
+    words = LEAST_WIDTH // 64
+    return F.transform(F.sequence(F.lit(0), F.lit(words - 1)), lambda j: F.aggregate(F.filter(column, lambda _, i: i % words == j), F.lit(0).cast("long"), lambda acc, x: acc.bitwiseXOR(x)))
 
 
 def contested_pairs(groups: DataFrame, components: DataFrame, sketches: DataFrame) -> DataFrame:
     """Pairs within a key, other than with its first document, that the links found so far leave in different components.
 
     Sizes and narrow sketches rule out most pairs while documents of a key meet, so what is written are pairs that may
-    well be similar, not the square of a key.
+    well be similar, not the square of a key. Only documents of contested keys carry their sketch to them.
     """
-    labels = sketches.join(components.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-    labels = labels.select("doc_id", narrow_sketch("sketch").alias("narrow"), F.coalesce("component", "doc_id").alias("component"))
-    known = groups.filter("members > 2").join(labels, "doc_id")
+    labels = components.withColumnRenamed("node", "doc_id")
+    known = groups.filter("members > 2").join(labels, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
     whole = Window.partitionBy("key")
     mixed = known.withColumns({"low": F.min("component").over(whole), "high": F.max("component").over(whole)}).filter("low <> high AND doc_id <> first_id")
-    one, two = (mixed.select("key", F.col("doc_id").alias(s), F.col("size").alias(f"size_{s}"), F.col("component").alias(f"of_{s}"), F.col("narrow").alias(f"narrow_{s}")) for s in ("a", "b"))
-    flips = " + ".join(f"bit_count(narrow_a[{j}] ^ narrow_b[{j}])" for j in range(4))
+    mixed = stored(mixed.select("key", "doc_id", "size", "component"))
+    narrow = sketches.select("doc_id", narrow_sketch("sketch").alias("narrow"))
+    one, two = (mixed.join(narrow, "doc_id").select("key", F.col("doc_id").alias(s), F.col("size").alias(f"size_{s}"), F.col("component").alias(f"of_{s}"), F.col("narrow").alias(f"narrow_{s}")) for s in ("a", "b"))
+    flips = " + ".join(f"bit_count(narrow_a[{j}] ^ narrow_b[{j}])" for j in range(LEAST_WIDTH // 64))
     near = F.expr(f"a < b AND of_a <> of_b AND least(size_a, size_b) * 4 >= greatest(size_a, size_b) * 3 AND ({flips}) * 7 <= size_a + size_b")
-    return one.join(two, "key").filter(near).select("a", "b").distinct()
+    found = stored(one.join(two, "key").filter(near).select("a", "b").distinct())
+    discard(mixed)
+    return found
 
 
 def near_duplicate_links(docs: DataFrame, sketches: DataFrame, counts: np.ndarray) -> DataFrame:
@@ -230,8 +234,9 @@ def near_duplicate_links(docs: DataFrame, sketches: DataFrame, counts: np.ndarra
     starred = groups.filter("doc_id <> first_id").select(F.col("first_id").alias("a"), F.col("doc_id").alias("b")).distinct()
     first = stored(possible_pairs(starred, sketches))
     links = stored(verified(first, docs))
-    rest = stored(possible_pairs(contested_pairs(groups, connected_components(links), sketches), sketches))
-    discard(first, groups)
+    contested = contested_pairs(groups, connected_components(links), sketches)
+    rest = stored(possible_pairs(contested, sketches))
+    discard(first, groups, contested)
     more = stored(verified(rest, docs))
     discard(rest)
     return links.unionByName(more)
