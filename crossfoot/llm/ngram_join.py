@@ -200,10 +200,14 @@ def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     return both.select("a", "b", "text_a", "text_b").mapInArrow(compare, "a long, b long")
 
 
-def narrow_sketch(column: str) -> Column:
-    """A sketch folded to the least width: places that agree modulo it are laid over each other."""
+def narrow_words(column: str) -> list[Column]:
+    """The words of a sketch folded to the least width: places that agree modulo it are laid over each other."""
     words = LEAST_WIDTH // 64
-    return F.transform(F.sequence(F.lit(0), F.lit(words - 1)), lambda j: F.aggregate(F.filter(column, lambda _, i: i % words == j), F.lit(0).cast("long"), lambda acc, x: acc.bitwiseXOR(x)))
+
+    def word(j: int) -> Column:
+        return F.aggregate(F.filter(column, lambda _, i: i % words == j), F.lit(0).cast("long"), lambda acc, x: acc.bitwiseXOR(x))
+
+    return [F.coalesce(F.when(F.size(column) == words, F.get(column, F.lit(j))).otherwise(word(j)), F.lit(0).cast("long")) for j in range(words)]
 
 
 def contested_pairs(groups: DataFrame, components: DataFrame, sketches: DataFrame) -> DataFrame:
@@ -217,9 +221,17 @@ def contested_pairs(groups: DataFrame, components: DataFrame, sketches: DataFram
     whole = Window.partitionBy("key")
     mixed = known.withColumns({"low": F.min("component").over(whole), "high": F.max("component").over(whole)}).filter("low <> high AND doc_id <> first_id")
     mixed = stored(mixed.select("key", "doc_id", "size", "component"))
-    narrow = sketches.select("doc_id", narrow_sketch("sketch").alias("narrow"))
-    one, two = (mixed.join(narrow, "doc_id").select("key", F.col("doc_id").alias(s), F.col("size").alias(f"size_{s}"), F.col("component").alias(f"of_{s}"), F.col("narrow").alias(f"narrow_{s}")) for s in ("a", "b"))
-    flips = " + ".join(f"bit_count(narrow_a[{j}] ^ narrow_b[{j}])" for j in range(LEAST_WIDTH // 64))
+    # One column per word: an array of them makes the condition too long a method for the JVM to compile.
+    words = narrow_words("sketch")
+    narrow = sketches.select("doc_id", *[word.alias(f"narrow_{j}") for j, word in enumerate(words)])
+    with_words = mixed.join(narrow, "doc_id")
+
+    def side(s: str) -> DataFrame:
+        columns = [F.col(f"narrow_{j}").alias(f"narrow_{j}_{s}") for j in range(len(words))]
+        return with_words.select("key", F.col("doc_id").alias(s), F.col("size").alias(f"size_{s}"), F.col("component").alias(f"of_{s}"), *columns)
+
+    one, two = side("a"), side("b")
+    flips = " + ".join(f"bit_count(narrow_{j}_a ^ narrow_{j}_b)" for j in range(len(words)))
     near = F.expr(f"a < b AND of_a <> of_b AND least(size_a, size_b) * 4 >= greatest(size_a, size_b) * 3 AND ({flips}) * 7 <= size_a + size_b")
     found = stored(one.join(two, "key").filter(near).select("a", "b").distinct())
     discard(mixed)
