@@ -50,7 +50,7 @@ def schema_checks(spark: SparkSession, tables: dict[str, DataFrame], specs: list
     Reads schemas on the driver; only the code check of a wrongly typed table counts rows.
     """
     missing = [spec.name for spec in specs if spec.name not in tables]
-    one = spark.range(1)
+    one = spark.range(0, 1, 1, 1)
     rows = [
         check("SCH-01", "SCHEMA", "Expected tables present", "source", not missing, CRITICAL,
               ", ".join(spec.name for spec in specs), ", ".join(sorted(tables)), float(len(missing)), len(missing),
@@ -78,10 +78,20 @@ def schema_checks(spark: SparkSession, tables: dict[str, DataFrame], specs: list
                   f"Undocumented columns: {', '.join(extra)}.", status=WARNING)
         )
         if spec.code and spec.code in columns:
-            counted.append(code_type_check(tables[spec.name], spec.code, spec.name))
+            stored = tables[spec.name].schema[spec.code].dataType
+            if isinstance(stored, T.StringType):
+                rows.append(code_type_row(spec.name, stored, Sql("0L")))
+            else:
+                counted.append(code_type_check(tables[spec.name], spec.code, spec.name))
     return union_all([check_rows(one, rows), *counted])
 
 
+def code_type_row(table: str, stored: T.DataType, wrong: Sql) -> Sql:
+    return check(f"SCH-04-{table}", "SCHEMA", "Code stored as text", table, Sql(f"{wrong} = 0"), ERROR, "string",
+                 stored.simpleString(), wrong, wrong, "All codes are stored as text.",
+                 text(wrong, " codes are not text."))
+
+
 def code_type_check(df: DataFrame, code: str, table: str) -> DataFrame:
     """Codes are stored as text, so that leading zeros survive. Rows are counted only when the type is wrong."""
     stored = df.schema[code].dataType
@@ -89,14 +99,7 @@ def code_type_check(df: DataFrame, code: str, table: str) -> DataFrame:
         metrics = df.sparkSession.range(1).select(F.lit(0).cast("long").alias("wrong"))
     else:
         metrics = df.agg(F.count(ref(code)).alias("wrong"))
-    return check_rows(
-        metrics,
-        [
-            check(f"SCH-04-{table}", "SCHEMA", "Code stored as text", table, Sql("wrong = 0"), ERROR, "string",
-                  stored.simpleString(), Sql("wrong"), Sql("wrong"), "All codes are stored as text.",
-                  text(Sql("wrong"), " codes are not text."))
-        ],
-    )
+    return check_rows(metrics, [code_type_row(table, stored, Sql("wrong"))])
 
 
 # --- counts of one table --------------------------------------------------------------------------------------------
@@ -259,15 +262,13 @@ def membership_check(df: DataFrame, table: str, columns: list[str], domain: Doma
     metrics = bad.agg(F.count("*").alias("bad")).withColumn(
         "examples", first_labels(bad.select(F.coalesce("label", F.lit("NULL")).alias("label")))
     )
-    n = Sql("bad")
-    return check_rows(
-        metrics,
-        [
-            check(f"DOM-01-{table}", "DOMAIN", "Domain membership", table, Sql("bad = 0"), ERROR, "subset of the domain",
-                  text(n, " invalid labels"), n, n, "All labels belong to the domain.",
-                  text("Invalid labels: ", Sql("examples"), "."))
-        ],
-    )
+    return check_rows(metrics, [membership_row(table, Sql("bad"), Sql("examples"))])
+
+
+def membership_row(table: str, n: Sql, examples: Sql) -> Sql:
+    return check(f"DOM-01-{table}", "DOMAIN", "Domain membership", table, Sql(f"{n} = 0"), ERROR, "subset of the domain",
+                 text(n, " invalid labels"), n, n, "All labels belong to the domain.",
+                 text("Invalid labels: ", examples, "."))
 
 
 def label_set_check(
@@ -282,15 +283,15 @@ def label_set_check(
     else:
         metrics = metrics.withColumn("extra", F.lit(0).cast("long"))
     metrics = metrics.withColumn("expected", domain_size(domain))
-    n = Sql("absent + extra")
-    return check_rows(
-        metrics,
-        [
-            check(check_id, "COMPLETENESS", "Label set completeness", table, Sql("absent + extra = 0"), severity,
-                  text(Sql("expected"), " labels"), text(Sql("absent"), " missing, ", Sql("extra"), " unexpected"),
-                  n, n, "The label set is complete.", text("Missing labels: ", Sql("absent_examples"), "."))
-        ],
-    )
+    row = label_set_row(check_id, table, Sql("absent"), Sql("extra"), Sql("expected"), Sql("absent_examples"), severity)
+    return check_rows(metrics, [row])
+
+
+def label_set_row(check_id: str, table: str, absent: Sql, extra: Sql, expected: Sql, examples: Sql, severity: str) -> Sql:
+    n = Sql(f"({absent} + {extra})")
+    return check(check_id, "COMPLETENESS", "Label set completeness", table, Sql(f"{n} = 0"), severity,
+                 text(expected, " labels"), text(absent, " missing, ", extra, " unexpected"),
+                 n, n, "The label set is complete.", text("Missing labels: ", examples, "."))
 
 
 def label_preserved_check(df: DataFrame, table: str, column: str, kept: str, corrected: str) -> DataFrame:
@@ -299,16 +300,15 @@ def label_preserved_check(df: DataFrame, table: str, column: str, kept: str, cor
         F.coalesce(F.bool_or(ref(column) == kept), F.lit(False)).alias("has_kept"),
         F.coalesce(F.bool_or(ref(column) == corrected), F.lit(False)).alias("has_corrected"),
     )
-    ok = Sql("has_kept AND NOT has_corrected")
+    return check_rows(metrics, [label_preserved_row(table, kept, corrected, Sql("has_kept"), Sql("has_corrected"))])
+
+
+def label_preserved_row(table: str, kept: str, corrected: str, has_kept: Sql, has_corrected: Sql) -> Sql:
+    ok = Sql(f"({has_kept}) AND NOT ({has_corrected})")
     off = Sql(f"if({ok}, 0, 1)")
-    seen = Sql(f"CASE WHEN has_corrected THEN {as_sql(corrected)} WHEN has_kept THEN {as_sql(kept)} ELSE 'neither' END")
-    return check_rows(
-        metrics,
-        [
-            check("DOM-02", "DOMAIN", "Source spelling preserved", table, ok, ERROR, kept, seen, off, off,
-                  "The source spelling is preserved.", "The source spelling was changed or is missing.")
-        ],
-    )
+    seen = Sql(f"CASE WHEN {has_corrected} THEN {as_sql(corrected)} WHEN {has_kept} THEN {as_sql(kept)} ELSE 'neither' END")
+    return check("DOM-02", "DOMAIN", "Source spelling preserved", table, ok, ERROR, kept, seen, off, off,
+                 "The source spelling is preserved.", "The source spelling was changed or is missing.")
 
 
 # --- structure ------------------------------------------------------------------------------------------------------
@@ -322,28 +322,26 @@ def reshape_check(wide: DataFrame, spec: CrosstabSpec, long: DataFrame, table: s
         .agg((F.count("*") * width).alias("cells"))
         .withColumn("rows", long.agg(F.count("*")).scalar())
     )
-    cells, rows, gap = Sql("cells"), Sql("rows"), Sql("abs(cells - rows)")
-    return check_rows(
-        metrics,
-        [
-            check("STR-01", "STRUCTURAL", "Reshape conservation", table, Sql("cells = rows"), CRITICAL, cells, rows, gap, gap,
-                  text(cells, " cells became ", rows, " rows."), text(cells, " cells, but ", rows, " rows."))
-        ],
-    )
+    return check_rows(metrics, [reshape_row(table, Sql("cells"), Sql("rows"))])
+
+
+def reshape_row(table: str, cells: Sql, rows: Sql) -> Sql:
+    gap = Sql(f"abs({cells} - {rows})")
+    return check("STR-01", "STRUCTURAL", "Reshape conservation", table, Sql(f"{cells} = {rows}"), CRITICAL, cells, rows, gap,
+                 gap, text(cells, " cells became ", rows, " rows."), text(cells, " cells, but ", rows, " rows."))
 
 
 def summary_present_check(totals: DataFrame, table: str) -> DataFrame:
     """STR-02: the published grand total exists and is filled."""
     found = F.count_if((F.col("table_name") == table) & (F.col("axis") == GRAND) & F.col("value").isNotNull())
-    off = Sql("if(found > 0, 0, 1)")
-    return check_rows(
-        totals.agg(found.alias("found")),
-        [
-            check(f"STR-02-{table}", "STRUCTURAL", "Published grand total present", table, Sql("found > 0"), ERROR,
-                  "grand total", text(Sql("found"), " found"), off, off, "The grand total is present.",
-                  "The grand total is missing.")
-        ],
-    )
+    return check_rows(totals.agg(found.alias("found")), [summary_present_row(table, Sql("found"))])
+
+
+def summary_present_row(table: str, found: Sql) -> Sql:
+    off = Sql(f"if({found} > 0, 0, 1)")
+    return check(f"STR-02-{table}", "STRUCTURAL", "Published grand total present", table, Sql(f"{found} > 0"), ERROR,
+                 "grand total", text(found, " found"), off, off, "The grand total is present.",
+                 "The grand total is missing.")
 
 
 def column_count_check(wide: DataFrame, spec: CrosstabSpec, expected: int) -> DataFrame:
@@ -351,7 +349,7 @@ def column_count_check(wide: DataFrame, spec: CrosstabSpec, expected: int) -> Da
     actual = len([c for c in wide.columns if c not in (spec.row_role, spec.source_row)])
     ok = actual == expected
     return check_rows(
-        wide.sparkSession.range(1),
+        wide.sparkSession.range(0, 1, 1, 1),
         [
             check(f"STR-03-{spec.name}", "STRUCTURAL", "Documented column count", spec.name, ok, INFO,
                   f"{expected} columns", f"{actual} columns", 0.0 if ok else 1.0, 0,

@@ -57,16 +57,15 @@ def total_checks(
     )
     known = ", ".join(as_sql(x) for (table, axis), name in ids.items() for x in (f"{table}/{axis}", name))
     name = Sql(f"coalesce(try_element_at(map({known}), concat_ws('/', table_name, axis)), 'REC-V')")
-    bad, n = Sql("bad"), Sql("n")
-    return check_rows(
-        metrics,
-        [
-            check(name, "SOURCE_TOTAL", text("Sums against published totals, axis ", Sql("axis")), Sql("table_name"),
-                  Sql("bad = 0"), CRITICAL, "sums match published totals", text(bad, " of ", n, " totals differ"),
-                  Sql("worst"), bad, text("All ", n, " totals match."),
-                  text(bad, " totals differ, ", Sql("absent"), " of them missing."), tolerance=tolerance.absolute)
-        ],
-    )
+    row = total_row(name, Sql("axis"), Sql("bad"), Sql("n"), Sql("absent"), Sql("worst"), tolerance)
+    return check_rows(metrics, [row])
+
+
+def total_row(name, axis, bad: Sql, n: Sql, absent: Sql, worst: Sql, tolerance: Tolerance) -> Sql:
+    return check(name, "SOURCE_TOTAL", text("Sums against published totals, axis ", axis), Sql("table_name"),
+                 Sql(f"{bad} = 0"), CRITICAL, "sums match published totals", text(bad, " of ", n, " totals differ"),
+                 worst, bad, text("All ", n, " totals match."),
+                 text(bad, " totals differ, ", absent, " of them missing."), tolerance=tolerance.absolute)
 
 
 def cross_foot(reported: DataFrame, tolerance: Tolerance = Tolerance()) -> DataFrame:
@@ -103,12 +102,12 @@ def cross_foot_checks(
     """One result row per table and axis of :func:`cross_foot`."""
     known = ", ".join(as_sql(x) for entry in ids.items() for x in entry)
     name = Sql(f"coalesce(try_element_at(map({known}), table_name), 'REC-V')")
-    return check_rows(
-        cross_foot(reported, tolerance),
-        [
-            check(text(name, "-", Sql("axis")), "SOURCE_TOTAL", "Published totals against the grand total",
-                  Sql("table_name"), Sql("within"), CRITICAL, Sql("grand"), Sql("summed"), Sql("difference"),
-                  Sql("if(within, 0, 1)"), "Totals add up to the grand total.",
-                  "Totals do not add up to the grand total.", tolerance=tolerance.absolute)
-        ],
-    )
+    row = cross_foot_row(name, Sql("axis"), Sql("grand"), Sql("summed"), Sql("difference"), Sql("within"), tolerance)
+    return check_rows(cross_foot(reported, tolerance), [row])
+
+
+def cross_foot_row(name, axis, grand: Sql, summed: Sql, difference: Sql, within: Sql, tolerance: Tolerance) -> Sql:
+    return check(text(name, "-", axis), "SOURCE_TOTAL", "Published totals against the grand total",
+                 Sql("table_name"), within, CRITICAL, grand, summed, difference, Sql(f"if({within}, 0, 1)"),
+                 "Totals add up to the grand total.", "Totals do not add up to the grand total.",
+                 tolerance=tolerance.absolute)

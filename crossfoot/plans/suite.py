@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crossfoot.config import StatsConfig, TableSpec, Tolerance
-from crossfoot.operators import checks, faults, reconcile, snapshots, totals
+from crossfoot.operators import checks, faults, reconcile, snapshots, stacked, totals
 from crossfoot.operators.reshape import union_all
+from crossfoot.operators.results import Sql, as_sql
 from crossfoot.plans.flow import CATEGORY_TABLES, SPECS, Published
 from crossfoot.schemas import CRITICAL, ERROR
-from crossfoot.sources.crosstab import COLUMN, GRAND, ROW
+from crossfoot.sources.crosstab import COLUMN, GRAND, ROW, body, entity_columns
 
 # Rule ids of the published-total checks.
 TOTAL_IDS = {
@@ -105,32 +106,77 @@ def validation_suite(
     kept_label: tuple[str, str] | None = None,
     documented_columns: dict[str, int] | None = None,
 ) -> DataFrame:
-    """All seven categories of checks in one lazy frame. A failing check does not stop the others."""
+    """All seven categories of checks. A failing check does not stop the others.
+
+    Tables that have the columns of their checks are stacked and counted in one pass; only an absent or incomplete table
+    has frames of its own. The counts per label are written once, the rest is lazy.
+    """
     frames = [checks.schema_checks(spark, long, specs)]
+    whole = [spec for spec in specs if stacked.can_stack(long.get(spec.name), spec)]
     for number, spec in enumerate(specs, start=1):
-        frames.append(checks.table_checks(spark, long.get(spec.name), spec, number))
-        df = long.get(spec.name)
-        if df is not None and spec.entities and set(spec.entities) <= set(df.columns):
-            domain = spec.domains[spec.entities[0]]
-            frames.append(checks.membership_check(df, spec.name, list(spec.entities), domain))
-    by_name = {spec.name: spec for spec in specs}
-    if "summary" in long:
-        domain = by_name["summary"].domains["code"]
-        frames.append(checks.label_set_check(long["summary"], "CMP-06", "summary", ["code"], domain, True, ERROR))
+        if spec not in whole:
+            frames.append(_incomplete(spark, long.get(spec.name), spec, number))
+    widths = {}
     if "matrix" in long:
-        domain = by_name["matrix"].domains["origin"]
-        frames.append(checks.label_set_check(long["matrix"], "CMP-07", "matrix", ["origin"], domain, False, CRITICAL))
-        frames.append(checks.reshape_check(wide["matrix"], SPECS["matrix"], long["matrix"], "matrix"))
-        if kept_label:
-            frames.append(checks.label_preserved_check(long["matrix"], "matrix", "origin", *kept_label))
-    frames += [checks.summary_present_check(reported, name) for name in CROSS_FOOT_IDS]
+        cells = len(entity_columns(wide["matrix"], SPECS["matrix"]))
+        widths["matrix"] = body(wide["matrix"], SPECS["matrix"]).select(F.lit(cells).cast("long").alias("n_cells"))
+    metrics = stacked.stacked_metrics(spark, long, specs, reported, widths, tolerance, kept_label)
+    cases = []
+    for number, spec in enumerate(specs, start=1):
+        rows = _suite_rows(spec, number, spec in whole, kept_label, tolerance)
+        cases.append(f"WHEN {as_sql(spec.name)} THEN array({', '.join(rows)})")
+    frames.append(metrics.select(F.expr(f"inline(filter(CASE table_name {' '.join(cases)} END, x -> x IS NOT NULL))")))
     for name, columns in (documented_columns or {}).items():
         if name in wide:
             frames.append(checks.column_count_check(wide[name], SPECS[name], columns))
-    frames.append(source_total_checks(long, reported, tolerance))
     return union_all(frames)
 
 
+def _incomplete(spark: SparkSession, df: DataFrame | None, spec: TableSpec, number: int) -> DataFrame:
+    """Checks of a table that is absent or lacks columns."""
+    rows = checks.table_checks(spark, df, spec, number)
+    if df is not None and spec.entities and set(spec.entities) <= set(df.columns):
+        rows = rows.unionByName(checks.membership_check(df, spec.name, list(spec.entities), spec.domains[spec.entities[0]]))
+    return rows
+
+
+def _suite_rows(spec: TableSpec, number: int, whole: bool, kept_label: tuple[str, str] | None, tolerance: Tolerance) -> list[Sql]:
+    """Result rows of one table, over its row of :func:`stacked.stacked_metrics`."""
+    name, at = spec.name, stacked.at
+    rows = []
+    if whole:
+        rows += checks.count_checks(spec, number)
+        if spec.entities:
+            face = stacked.entity_face(spec)
+            rows.append(checks.membership_row(name, at(face, "n_extra"), at(face, "extra_examples")))
+        if name == "summary":
+            code = [at(spec.code, metric) for metric in ("n_absent", "n_extra", "n_expected", "absent_examples")]
+            rows.append(checks.label_set_row("CMP-06", name, *code, ERROR))
+        if name == "matrix":
+            absent, expected, examples = (at("origin", metric) for metric in ("n_absent", "n_expected", "absent_examples"))
+            rows.append(checks.label_set_row("CMP-07", name, absent, Sql("0L"), expected, examples, CRITICAL))
+            rows.append(checks.reshape_row(name, at(stacked.WIDE, "n"), Sql("n_rows")))
+            if kept_label:
+                has = [Sql(f"{at('origin', metric)} > 0") for metric in ("n_kept", "n_corrected")]
+                rows.append(checks.label_preserved_row(name, *kept_label, *has))
+    if name in CROSS_FOOT_IDS:
+        rows.append(checks.summary_present_row(name, at(GRAND, "n_filled")))
+        for axis in (COLUMN, ROW):
+            face = stacked.axis_face(spec, axis)
+            grand, summed = at(GRAND, "grand"), Sql(f"coalesce({at(face, 'summed')}, 0)")
+            difference = Sql(f"abs({summed} - {grand})")
+            within = Sql(f"coalesce({difference} <= {tolerance.absolute!r}, false)")
+            row = totals.cross_foot_row(CROSS_FOOT_IDS[name], axis, grand, summed, difference, within, tolerance)
+            rows.append(Sql(f"if({at(GRAND, 'n_reported')} > 0 AND {at(face, 'n_reported')} > 0, {row}, NULL)"))
+    for (table, axis), check_id in TOTAL_IDS.items():
+        if table == name:
+            face = stacked.axis_face(spec, axis)
+            n, bad, absent, worst = (at(face, metric) for metric in ("n_totals", "n_off", "n_unpublished", "worst"))
+            row = totals.total_row(check_id, axis, bad, n, absent, worst, tolerance)
+            rows.append(Sql(f"if({n} > 0, {row}, NULL)"))
+    return rows
+
+
 def fault_scenarios(
     spark: SparkSession,
     p: Published,
