@@ -285,40 +285,95 @@ SCHEMA_CHECKS = "\nUNION ALL ".join(
 # --- totals ---------------------------------------------------------------------------------------------------------
 
 
+def _printed() -> str:
+    """Totals as a publisher prints them: straight from the movements, without the cells of any table."""
+    total = "coalesce(sum(value), 0)"
+
+    def by(table: str, axis: str, dimension: str, label: str, key: str, condition: str) -> str:
+        return f"""SELECT '{table}' AS table_name, '{axis}' AS axis, d.{label} AS entity, coalesce(s.v, 0) AS value FROM {dimension} d
+    LEFT JOIN (SELECT {key} AS k, sum(value) AS v FROM cube WHERE {condition} GROUP BY 1) s ON s.k = d.{label}"""
+
+    def grand(table: str, condition: str = "TRUE") -> str:
+        return f"SELECT '{table}', 'GRAND', 'GRAND', {total} FROM cube WHERE {condition}"
+
+    away, home = "origin <> destination", "origin = destination"
+    parts = [
+        by("outward", "COLUMN", "ent", "entity", "origin", away), grand("summary"),
+        by("inward", "COLUMN", "ent", "entity", "destination", away), by("inward", "ROW", "cat", "code", "code", away), grand("inward", away),
+        by("internal", "COLUMN", "ent", "entity", "origin", home), by("internal", "ROW", "cat", "code", "code", home), grand("internal", home),
+    ]
+    return "printed AS (" + "\n  UNION ALL ".join(parts) + ")"
+
+
+# Two printed totals are off: one entity's outward total and the corner of the inward table.
+_ALTERED = f"""altered AS (SELECT table_name, axis, entity, value
+    + CASE WHEN table_name = 'outward' AND axis = 'COLUMN' AND entity = '{ENTITY}' THEN 500 WHEN table_name = 'inward' AND axis = 'GRAND' THEN 7 ELSE 0 END AS value
+  FROM printed)"""
+COMPUTED = """computed AS (
+  SELECT 'summary' AS table_name, 'GRAND' AS axis, 'GRAND' AS entity, coalesce(sum(value), 0) AS value FROM summary
+  UNION ALL SELECT 'outward', 'COLUMN', entity, coalesce(sum(value), 0) FROM outward GROUP BY entity
+  UNION ALL SELECT 'inward', 'COLUMN', entity, coalesce(sum(value), 0) FROM inward GROUP BY entity
+  UNION ALL SELECT 'inward', 'ROW', code, coalesce(sum(value), 0) FROM inward GROUP BY code
+  UNION ALL SELECT 'internal', 'COLUMN', entity, coalesce(sum(value), 0) FROM internal GROUP BY entity
+  UNION ALL SELECT 'internal', 'ROW', code, coalesce(sum(value), 0) FROM internal GROUP BY code)"""
+
+
+def _met(source: str = "printed") -> tuple[str, ...]:
+    """Both sides of every checked total, and every cross-foot, of printed or altered totals."""
+    return (
+        _printed(),
+        _ALTERED,
+        COMPUTED,
+        f"""met AS (SELECT table_name, axis, entity, coalesce(c.value, 0) AS computed, r.value AS reported, abs(coalesce(c.value, 0) - r.value) AS gap,
+    coalesce(abs(coalesce(c.value, 0) - r.value) <= 1e-4, FALSE) AS within
+  FROM computed c FULL JOIN (SELECT * FROM {source} r WHERE EXISTS (SELECT 1 FROM computed x WHERE x.table_name = r.table_name AND x.axis = r.axis)) r
+    USING (table_name, axis, entity))""",
+        f"""feet AS (SELECT table_name, r.axis, sum(r.value) AS summed, max(g.value) AS grand, abs(sum(r.value) - max(g.value)) AS gap,
+    coalesce(abs(sum(r.value) - max(g.value)) <= 1e-4, FALSE) AS within
+  FROM {source} r JOIN {source} g USING (table_name) WHERE g.axis = 'GRAND' AND r.axis <> 'GRAND' GROUP BY 1, 2)""",
+    )
+
+
 def _differences(axis: str) -> str:
-    tables = {"GRAND": ("summary",), "COLUMN": ("outward", "inward", "internal"), "ROW": ("inward", "internal")}[axis]
-    names = ", ".join(f"'{t}'" for t in tables)
     return _with(
         *ALL,
-        REPORTED,
-        body=f"""SELECT table_name, axis, entity, {_r('value', 'computed')}, {_r('value', 'reported')},
-  CAST(0 AS DOUBLE) AS difference, TRUE AS within FROM reported WHERE axis = '{axis}' AND table_name IN ({names})""",
+        *_met(),
+        body=f"""SELECT table_name, axis, entity, {_r('computed')}, {_r('reported')}, {_r('gap', 'difference')}, within FROM met WHERE axis = '{axis}'""",
     )
 
 
-TOTAL_CHECKS = _with(
-    *ALL,
-    REPORTED,
-    f"""sides AS (
-  SELECT r.table_name, r.axis, sum(r.value) AS summed, max(g.value) AS grand FROM reported r
-  JOIN reported g ON g.table_name = r.table_name AND g.axis = 'GRAND' WHERE r.axis <> 'GRAND' GROUP BY 1, 2)""",
-    """ids AS (SELECT * FROM (VALUES ('summary', 'GRAND', 'REC-V01'), ('outward', 'COLUMN', 'REC-V02'), ('inward', 'COLUMN', 'REC-V03'),
-   ('inward', 'ROW', 'REC-V04'), ('internal', 'COLUMN', 'REC-V06'), ('internal', 'ROW', 'REC-V07')) t(table_name, axis, check_id))""",
-    body="""SELECT i.check_id, r.table_name, 'PASS' AS status, 'INFO' AS severity, 'totals' AS expected, 'sums' AS observed,
-  CAST(0 AS DOUBLE) AS difference, CAST(0 AS BIGINT) AS affected_records
-FROM (SELECT DISTINCT table_name, axis FROM reported) r JOIN ids i USING (table_name, axis)
-UNION ALL SELECT CASE table_name WHEN 'inward' THEN 'REC-V05-' ELSE 'REC-V08-' END || axis, table_name,
-  CASE WHEN abs(summed - grand) <= 1e-4 THEN 'PASS' ELSE 'FAIL' END, CASE WHEN abs(summed - grand) <= 1e-4 THEN 'INFO' ELSE 'CRITICAL' END,
-  'totals', 'sums', round(CAST(abs(summed - grand) AS DOUBLE), 4), CASE WHEN abs(summed - grand) <= 1e-4 THEN 0 ELSE 1 END FROM sides""",
-)
+_TOTAL_IDS = """ids AS (SELECT * FROM (VALUES ('summary', 'GRAND', 'REC-V01'), ('outward', 'COLUMN', 'REC-V02'), ('inward', 'COLUMN', 'REC-V03'),
+   ('inward', 'ROW', 'REC-V04'), ('internal', 'COLUMN', 'REC-V06'), ('internal', 'ROW', 'REC-V07')) t(table_name, axis, check_id))"""
+TOTAL_ROWS = """total_rows AS (
+  SELECT check_id, table_name, count(*) FILTER (NOT within) AS bad, CAST(max(gap) AS DOUBLE) AS worst FROM met JOIN ids USING (table_name, axis) GROUP BY 1, 2
+  UNION ALL SELECT CASE table_name WHEN 'inward' THEN 'REC-V05-' ELSE 'REC-V08-' END || axis, table_name, CASE WHEN within THEN 0 ELSE 1 END,
+    CAST(gap AS DOUBLE) FROM feet)"""
+_TOTAL_STATUS = """CASE WHEN bad = 0 THEN 'PASS' ELSE 'FAIL' END AS status, CASE WHEN bad = 0 THEN 'INFO' ELSE 'CRITICAL' END AS severity"""
 
-CROSS_FOOT = _with(
-    *ALL,
-    REPORTED,
-    body=f"""SELECT r.table_name, r.axis, {_r('sum(r.value)', 'summed')}, {_r('max(g.value)', 'grand')},
-  {_r('abs(sum(r.value) - max(g.value))', 'difference')}, abs(sum(r.value) - max(g.value)) <= 1e-4 AS within
-FROM reported r JOIN reported g ON g.table_name = r.table_name AND g.axis = 'GRAND' WHERE r.axis <> 'GRAND' GROUP BY 1, 2""",
-)
+
+def _total_checks(source: str) -> str:
+    return _with(
+        *ALL,
+        *_met(source),
+        _TOTAL_IDS,
+        TOTAL_ROWS,
+        body=f"""SELECT check_id, table_name, {_TOTAL_STATUS}, 'totals' AS expected, 'sums' AS observed, round(worst, 4) AS difference,
+  CAST(bad AS BIGINT) AS affected_records FROM total_rows""",
+    )
+
+
+TOTAL_CHECKS = _total_checks("printed")
+
+
+def _cross_foot(source: str) -> str:
+    return _with(
+        *ALL,
+        *_met(source),
+        body=f"SELECT table_name, axis, {_r('summed')}, {_r('grand')}, {_r('gap', 'difference')}, within FROM feet",
+    )
+
+
+CROSS_FOOT = _cross_foot("printed")
 
 _ORDER_DIFF = """diff AS (
   SELECT CAST(coalesce(o_orderkey, k) AS VARCHAR) AS entity, coalesce(s, 0) AS computed, CAST(o_totalprice AS DECIMAL(18,2)) AS reported
@@ -582,7 +637,7 @@ def _suite_row(check_id: str, category: str, table: str, bad: str, severity: str
   CAST({bad} AS DOUBLE) AS difference, CAST({bad} AS BIGINT) AS affected_records {source}"""
 
 
-def _suite() -> str:
+def _suite_rows(source: str = "printed") -> str:
     rows = [_suite_row("SCH-01", "SCHEMA", "source", "n", "CRITICAL", "FROM (SELECT count(*) * 0 AS n FROM matrix) q")]
     keys = {"matrix": "origin, destination", "summary": "code"}
     for number, table in enumerate(_EXPECTED, 1):
@@ -596,7 +651,7 @@ def _suite() -> str:
                        f"FROM (SELECT coalesce(sum(c), 0) AS n FROM (SELECT count(*) AS c FROM {table} GROUP BY {key} HAVING count(*) > 1)) q"),
             _suite_row(f"NUM-01-{table}", "NUMERIC", table, "n", "ERROR", zero),
             _suite_row(f"NUM-02-{table}", "NUMERIC", table, "n", "ERROR", f"FROM (SELECT count(*) FILTER (value < 0) AS n FROM {table}) q"),
-            _suite_row(f"NUM-03-{table}", "NUMERIC", table, "n", "CRITICAL", zero),
+            _suite_row(f"NUM-03-{table}", "NUMERIC", table, "n", "CRITICAL", f"FROM (SELECT count(*) FILTER (isinf(CAST(value AS DOUBLE))) AS n FROM {table}) q"),
             _suite_row(f"NUM-05-{table}", "NUMERIC", table, "n", "WARNING", f"FROM (SELECT count(*) FILTER (value IS NULL) AS n FROM {table}) q", "WARNING"),
         ]
         if table != "matrix":
@@ -607,18 +662,22 @@ def _suite() -> str:
             label = "origin" if table == "matrix" else "entity"
             rows.append(_suite_row(f"DOM-01-{table}", "DOMAIN", table, "n", "ERROR",
                                    f"FROM (SELECT count(DISTINCT {label}) FILTER ({label} NOT IN (SELECT entity FROM ent)) AS n FROM {table}) q"))
-    total = {"REC-V01": "summary", "REC-V02": "outward", "REC-V03": "inward", "REC-V04": "inward", "REC-V06": "internal", "REC-V07": "internal",
-             "REC-V05-COLUMN": "inward", "REC-V05-ROW": "inward", "REC-V08-COLUMN": "internal", "REC-V08-ROW": "internal"}
     rows += [
         _suite_row("CMP-06", "COMPLETENESS", "summary", "n", "ERROR", "FROM (SELECT count(*) AS n FROM cat WHERE code NOT IN (SELECT code FROM summary)) q"),
         _suite_row("CMP-07", "COMPLETENESS", "matrix", "n", "CRITICAL", "FROM (SELECT count(*) AS n FROM ent WHERE entity NOT IN (SELECT origin FROM matrix)) q"),
         _suite_row("DOM-02", "DOMAIN", "matrix", "n", "ERROR", f"FROM (SELECT CASE WHEN bool_or(origin = '{ENTITY}') THEN 0 ELSE 1 END AS n FROM matrix) q"),
         _suite_row("STR-01", "STRUCTURAL", "matrix", "n", "CRITICAL", f"FROM (SELECT abs(count(*) - {_EXPECTED['matrix']}) AS n FROM matrix) q"),
-        *[_suite_row(f"STR-02-{t}", "STRUCTURAL", t, "n", "ERROR", f"FROM (SELECT count(*) * 0 AS n FROM {t}) q") for t in ("inward", "internal")],
+        *[_suite_row(f"STR-02-{t}", "STRUCTURAL", t, "n", "ERROR",
+                     f"FROM (SELECT 1 - count(*) AS n FROM {source} WHERE table_name = '{t}' AND axis = 'GRAND' AND value IS NOT NULL) q") for t in ("inward", "internal")],
         _suite_row("STR-03-outward", "STRUCTURAL", "outward", "n", "INFO", "FROM (SELECT count(*) * 0 AS n FROM outward) q", "WARNING"),
-        *[_suite_row(k, "SOURCE_TOTAL", t, "n", "CRITICAL", f"FROM (SELECT count(*) * 0 AS n FROM {t}) q") for k, t in total.items()],
+        f"""SELECT check_id, 'SOURCE_TOTAL' AS check_category, table_name, {_TOTAL_STATUS}, round(worst, 4) AS difference,
+  CAST(bad AS BIGINT) AS affected_records FROM total_rows""",
     ]
-    return _with(*ALL, body="\nUNION ALL ".join(rows))
+    return "\nUNION ALL ".join(rows)
+
+
+def _suite() -> str:
+    return _with(*ALL, *_met(), _TOTAL_IDS, TOTAL_ROWS, body=_suite_rows())
 
 
 _LONG = "SELECT code, description, entity, " + _r("value") + " FROM {}"
@@ -690,6 +749,8 @@ ORACLE: dict[str, str] = {
         for name, c, k, p, pk in (("lineitem_order", "lineitem", "l_orderkey", "orders", "o_orderkey"), ("order_lineitem", "orders", "o_orderkey", "lineitem", "l_orderkey"),
                                   ("customer_order", "customer", "c_custkey", "orders", "o_custkey"), ("document_label", "documents", "doc_id", "labels", "doc_id"))),
     "validation_suite_all": _suite(),
+    "src_totals_failing": _total_checks("altered"),
+    "cross_foot_failing": _cross_foot("altered"),
     "comparable_pairs": _with(*BOTH, PAIRS, body=f"SELECT dimension, code, entity, {_r('reference')}, {_r('comparison')} FROM pairs"),
     "yoy_entity": _yoy("starts_with(dimension, 'ENTITY_')"),
     "yoy_category": _yoy("NOT starts_with(dimension, 'ENTITY_')"),

@@ -238,6 +238,30 @@ def cross_foot_both_axes(spark, sf_dir):
         "table_name", "axis", amount("summed"), amount("grand"), amount("difference"), "within")
 
 
+def _misprinted(p: flow.Published) -> dict[str, DataFrame]:
+    """The wide tables with two printed totals off: one entity's outward total and the corner of the inward table."""
+    footer = F.col("row_role") == crosstab.FOOTER
+    off = {"outward": (ENTITY, 500), "inward": (flow.TOTAL, 7)}
+    return {**p.wide, **{name: p.wide[name].withColumn(c, F.when(footer, ref(c) + by).otherwise(ref(c))) for name, (c, by) in off.items()}}
+
+
+def _altered(spark, sf_dir) -> flow.Published:
+    p = published(spark, sf_dir)
+    return flow.Published(_misprinted(p), p.entities, p.categories, p.labels)
+
+
+def src_totals_failing(spark, sf_dir):
+    """The eight rules where two printed totals are wrong: three of them fail."""
+    p = _altered(spark, sf_dir)
+    return _checks(suite.source_total_checks(p.long(), p.totals(), Tolerance()).drop("expected", "observed").withColumns(
+        {"expected": F.lit("totals"), "observed": F.lit("sums")}))
+
+
+def cross_foot_failing(spark, sf_dir):
+    return totals.cross_foot(_altered(spark, sf_dir).totals()).select(
+        "table_name", "axis", amount("summed"), amount("grand"), amount("difference"), "within")
+
+
 def order_total_vs_lines(spark, sf_dir):
     return derived.order_total_differences(spark, sf_dir).select(
         "entity", amount("computed"), amount("reported"), amount("difference"), "within")
@@ -852,6 +876,6 @@ QUERIES: dict[str, Query] = {
         rec_results_filtered, stat_results_filtered, incidents_newest, overview_kpis, category_health,
         validation_summary, validation_metrics, reconciliation_summary, reconciliation_metrics, statistical_summary,
         statistical_metrics, incident_metrics, trusted_counts, lineage_counts, status_classes, content_fingerprint,
-        content_unchanged, sheet_layouts, sheet_body, sheet_totals, flow_unresolved,
+        content_unchanged, src_totals_failing, cross_foot_failing, sheet_layouts, sheet_body, sheet_totals, flow_unresolved,
     )
 }
