@@ -57,6 +57,21 @@ def run_states(events: DataFrame) -> DataFrame:
     return states.withColumn("duration_seconds", F.round(seconds, 2))
 
 
+def run_details(events: DataFrame) -> DataFrame:
+    """:func:`run_states` with source_name, source_path, row_counts and summary.
+
+    Source and counts come from the latest event that names any, the summary from the latest event.
+    """
+    at = F.struct("event_ts", "status")
+    known = events.groupBy("run_id").agg(
+        F.max_by("source_name", F.when(F.col("source_name").isNotNull(), at)).alias("source_name"),
+        F.max_by("source_path", F.when(F.col("source_name").isNotNull(), at)).alias("source_path"),
+        F.max_by("row_counts", F.when(F.size("row_counts") > 0, at)).alias("row_counts"),
+        F.max_by("summary", at).alias("summary"),
+    )
+    return run_states(events).join(known, "run_id")
+
+
 def recent_runs(states: DataFrame, count: int) -> DataFrame:
     """The most recent runs, newest first."""
     return states.orderBy(F.desc("created_at"), F.desc("run_id")).limit(count)

@@ -680,6 +680,35 @@ def _suite() -> str:
     return _with(*ALL, *_met(), _TOTAL_IDS, TOTAL_ROWS, body=_suite_rows())
 
 
+# Runs over sheets: without the row that counts documented columns, the kept label and the NULL audit.
+_RUN_ROWS = "check_id NOT LIKE 'NUM-05%' AND check_id NOT IN ('DOM-02', 'STR-03-outward')"
+
+
+def _run_rows(name: str) -> str:
+    """All rows of the suite over printed or altered totals."""
+    source = "altered" if name == "faulty" else "printed"
+    ctes = ",\n".join([*_met(source)[3:], _TOTAL_IDS, TOTAL_ROWS])
+    return f"""{name} AS (WITH {ctes}
+SELECT '{name}' AS run_name, * FROM ({_suite_rows(source)}) s WHERE {_RUN_ROWS})"""
+
+
+_RUNS = (*ALL, _printed(), _ALTERED, COMPUTED, _run_rows("clean"), _run_rows("faulty"))
+_FAILED = "SELECT * FROM faulty WHERE status = 'FAIL'"
+PIPELINE_RESULTS = _with(*_RUNS, body="SELECT * FROM clean UNION ALL SELECT * FROM faulty")
+PIPELINE_DECISION = _with(
+    *_RUNS,
+    body=f"""SELECT run_name, run_name AS source_name, CASE WHEN n = 0 THEN 'COMPLETED' ELSE 'FAILED' END AS status, n AS n_failures,
+  CASE WHEN n = 0 THEN CAST({' + '.join(f'(SELECT count(*) FROM {t})' for t in _EXPECTED)} AS BIGINT) END AS published_rows,
+  CASE WHEN n = 0 THEN TRUE END AS has_matrix
+FROM (SELECT run_name, count(*) FILTER (status = 'FAIL') AS n FROM (SELECT * FROM clean UNION ALL SELECT * FROM faulty) GROUP BY 1)""",
+)
+PIPELINE_INCIDENT = _with(
+    *_RUNS,
+    body=f"""SELECT run_name, check_id, table_name, (SELECT min(check_id) FROM ({_FAILED}) WHERE severity = 'CRITICAL') AS leading_check,
+  'CRITICAL' AS incident_severity, (SELECT count(*) FROM ({_FAILED})) AS n_failures,
+  (SELECT CAST(sum(affected_records) AS BIGINT) FROM ({_FAILED})) AS affected_record_count FROM ({_FAILED})""",
+)
+
 _LONG = "SELECT code, description, entity, " + _r("value") + " FROM {}"
 _ROWS_ONE = "SELECT code, entity, value, row_number() OVER (PARTITION BY entity ORDER BY code) AS r FROM inward"
 
@@ -749,6 +778,9 @@ ORACLE: dict[str, str] = {
         for name, c, k, p, pk in (("lineitem_order", "lineitem", "l_orderkey", "orders", "o_orderkey"), ("order_lineitem", "orders", "o_orderkey", "lineitem", "l_orderkey"),
                                   ("customer_order", "customer", "c_custkey", "orders", "o_custkey"), ("document_label", "documents", "doc_id", "labels", "doc_id"))),
     "validation_suite_all": _suite(),
+    "pipeline_results": PIPELINE_RESULTS,
+    "pipeline_decision": PIPELINE_DECISION,
+    "pipeline_incident": PIPELINE_INCIDENT,
     "src_totals_failing": _total_checks("altered"),
     "cross_foot_failing": _cross_foot("altered"),
     "comparable_pairs": _with(*BOTH, PAIRS, body=f"SELECT dimension, code, entity, {_r('reference')}, {_r('comparison')} FROM pairs"),

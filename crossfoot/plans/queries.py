@@ -12,10 +12,10 @@ from crossfoot.functions.status import status_class
 from crossfoot.operators import checks, distribution, faults, gate, profiling, readside, reconcile, reshape, snapshots, totals
 from crossfoot.operators.ordered import ordinal_positions
 from crossfoot.operators.reshape import union_all
-from crossfoot.plans import derived, flow, suite
+from crossfoot.plans import batch, derived, flow, run, suite
 from crossfoot.plans.flow import CATEGORY_TABLES, SPECS, published, published_snapshots, table, unresolved_lines
 from crossfoot.runtime import materialize, ref, shared_path
-from crossfoot.sources import crosstab, files, layout
+from crossfoot.sources import crosstab, files, layout, publish
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -262,6 +262,54 @@ def cross_foot_failing(spark, sf_dir):
         "table_name", "axis", amount("summed"), amount("grand"), amount("difference"), "within")
 
 
+def _batch_runs(spark, sf_dir, faulty_only: bool = False) -> str:
+    """Sheets of the tables, printed, read again and run: one clean run and one whose printed totals are off."""
+    p, base = published(spark, sf_dir), shared_path(spark, "runs")
+    entities, codes = materialize(p.entities), materialize(p.categories)
+    specs = suite.table_specs(flow.Published({}, entities, codes, p.labels), CODE_PATTERN)
+    for name, wide in (("clean", p.wide), ("faulty", _misprinted(p))):
+        if name == "faulty" or not faulty_only:
+            folder = _printed(spark, wide)
+            loaded = batch.batch_of_sheets(spark, {t: f"{folder}/{t}" for t in SPECS}, suite.RULES, entities)
+            run.run_reliability(spark, base, name, loaded, specs, source_name=name, source_path=folder)
+    return base
+
+
+RUN_NAMES = {gate.deterministic_run_id(name): name for name in ("clean", "faulty")}
+
+
+def _run_name() -> Column:
+    cases = [F.lit(x) for pair in RUN_NAMES.items() for x in pair]
+    return F.create_map(*cases)[F.col("run_id")].alias("run_name")
+
+
+def pipeline_results(spark, sf_dir):
+    """Stored validation rows of both runs."""
+    rows = publish.read_layer(spark, _batch_runs(spark, sf_dir), publish.RESULTS, "validation")
+    return rows.select(_run_name(), "check_id", "check_category", "table_name", "status", "severity", amount("difference", 4), "affected_records")
+
+
+def pipeline_decision(spark, sf_dir):
+    """State of both runs with their source, the rows they published and the cells they staged."""
+    base = _batch_runs(spark, sf_dir)
+    states = readside.run_details(publish.read_events(spark, base))
+    failed = gate.failures(publish.read_layer(spark, base, publish.RESULTS, "validation")).groupBy("run_id").agg(F.count("*").alias("n"))
+    rows = states.join(failed, "run_id", "left")
+    return rows.select(
+        _run_name(), "source_name", "status", F.coalesce("n", F.lit(0)).alias("n_failures"),
+        F.aggregate(F.map_values("row_counts"), F.lit(0).cast("long"), lambda a, v: a + v).alias("published_rows"),
+        F.map_contains_key("row_counts", "matrix").alias("has_matrix"))
+
+
+def pipeline_incident(spark, sf_dir):
+    """The stored incident of the faulty run and its failures."""
+    base = _batch_runs(spark, sf_dir, faulty_only=True)
+    head, failed = publish.incident_of_run(spark, base, gate.deterministic_run_id("faulty"))
+    leading = head.select("run_id", F.col("check_id").alias("leading_check"), F.col("severity").alias("incident_severity"), "n_failures", "affected_record_count")
+    return failed.select("run_id", "check_id", "table_name").join(leading, "run_id").select(
+        _run_name(), "check_id", "table_name", "leading_check", "incident_severity", "n_failures", "affected_record_count")
+
+
 def order_total_vs_lines(spark, sf_dir):
     return derived.order_total_differences(spark, sf_dir).select(
         "entity", amount("computed"), amount("reported"), amount("difference"), "within")
@@ -876,6 +924,7 @@ QUERIES: dict[str, Query] = {
         rec_results_filtered, stat_results_filtered, incidents_newest, overview_kpis, category_health,
         validation_summary, validation_metrics, reconciliation_summary, reconciliation_metrics, statistical_summary,
         statistical_metrics, incident_metrics, trusted_counts, lineage_counts, status_classes, content_fingerprint,
-        content_unchanged, src_totals_failing, cross_foot_failing, sheet_layouts, sheet_body, sheet_totals, flow_unresolved,
+        content_unchanged, src_totals_failing, cross_foot_failing, pipeline_results, pipeline_decision, pipeline_incident,
+        sheet_layouts, sheet_body, sheet_totals, flow_unresolved,
     )
 }

@@ -9,20 +9,14 @@ from crossfoot.config import StatsConfig, TableSpec, Tolerance
 from crossfoot.operators import checks, faults, reconcile, snapshots, stacked, totals
 from crossfoot.operators.reshape import union_all
 from crossfoot.operators.results import Sql, as_sql
+from crossfoot.plans.batch import FLOW_CORNERS, FLOW_LABELS, FLOW_TOTALS, Rules
 from crossfoot.plans.flow import CATEGORY_TABLES, SPECS, Published
 from crossfoot.schemas import CRITICAL, ERROR
 from crossfoot.sources.crosstab import COLUMN, GRAND, ROW, body, entity_columns
 
-# Rule ids of the published-total checks.
-TOTAL_IDS = {
-    ("summary", GRAND): "REC-V01",
-    ("outward", COLUMN): "REC-V02",
-    ("inward", COLUMN): "REC-V03",
-    ("inward", ROW): "REC-V04",
-    ("internal", COLUMN): "REC-V06",
-    ("internal", ROW): "REC-V07",
-}
-CROSS_FOOT_IDS = {"inward": "REC-V05", "internal": "REC-V08"}
+TOTAL_IDS, CROSS_FOOT_IDS = FLOW_TOTALS, FLOW_CORNERS
+#: Rules of the five derived tables.
+RULES = Rules(SPECS, {"summary": "value"}, TOTAL_IDS, CROSS_FOOT_IDS, FLOW_LABELS, ("matrix",), reconcile.reconcile_all)
 
 
 def table_specs(p: Published, code_pattern: str, expected_nulls: dict[str, int] | None = None) -> list[TableSpec]:
@@ -105,6 +99,7 @@ def validation_suite(
     tolerance: Tolerance = Tolerance(),
     kept_label: tuple[str, str] | None = None,
     documented_columns: dict[str, int] | None = None,
+    rules: Rules = RULES,
 ) -> DataFrame:
     """All seven categories of checks. A failing check does not stop the others.
 
@@ -117,18 +112,19 @@ def validation_suite(
         if spec not in whole:
             frames.append(_incomplete(spark, long.get(spec.name), spec, number))
     widths = {}
-    if "matrix" in long:
-        cells = len(entity_columns(wide["matrix"], SPECS["matrix"]))
-        widths["matrix"] = body(wide["matrix"], SPECS["matrix"]).select(F.lit(cells).cast("long").alias("n_cells"))
+    for name in rules.reshaped:
+        if name in long:
+            cells = len(entity_columns(wide[name], rules.crosstabs[name]))
+            widths[name] = body(wide[name], rules.crosstabs[name]).select(F.lit(cells).cast("long").alias("n_cells"))
     metrics = stacked.stacked_metrics(spark, long, specs, reported, widths, tolerance, kept_label)
     cases = []
     for number, spec in enumerate(specs, start=1):
-        rows = _suite_rows(spec, number, spec in whole, kept_label, tolerance)
+        rows = _suite_rows(spec, number, spec in whole, kept_label, tolerance, rules)
         cases.append(f"WHEN {as_sql(spec.name)} THEN array({', '.join(rows)})")
     frames.append(metrics.select(F.expr(f"inline(filter(CASE table_name {' '.join(cases)} END, x -> x IS NOT NULL))")))
     for name, columns in (documented_columns or {}).items():
         if name in wide:
-            frames.append(checks.column_count_check(wide[name], SPECS[name], columns))
+            frames.append(checks.column_count_check(wide[name], rules.crosstabs[name], columns))
     return union_all(frames)
 
 
@@ -140,7 +136,9 @@ def _incomplete(spark: SparkSession, df: DataFrame | None, spec: TableSpec, numb
     return rows
 
 
-def _suite_rows(spec: TableSpec, number: int, whole: bool, kept_label: tuple[str, str] | None, tolerance: Tolerance) -> list[Sql]:
+def _suite_rows(
+    spec: TableSpec, number: int, whole: bool, kept_label: tuple[str, str] | None, tolerance: Tolerance, rules: Rules
+) -> list[Sql]:
     """Result rows of one table, over its row of :func:`stacked.stacked_metrics`."""
     name, at = spec.name, stacked.at
     rows = []
@@ -149,26 +147,26 @@ def _suite_rows(spec: TableSpec, number: int, whole: bool, kept_label: tuple[str
         if spec.entities:
             face = stacked.entity_face(spec)
             rows.append(checks.membership_row(name, at(face, "n_extra"), at(face, "extra_examples")))
-        if name == "summary":
-            code = [at(spec.code, metric) for metric in ("n_absent", "n_extra", "n_expected", "absent_examples")]
-            rows.append(checks.label_set_row("CMP-06", name, *code, ERROR))
-        if name == "matrix":
-            absent, expected, examples = (at("origin", metric) for metric in ("n_absent", "n_expected", "absent_examples"))
-            rows.append(checks.label_set_row("CMP-07", name, absent, Sql("0L"), expected, examples, CRITICAL))
+        for rule in rules.label_rules:
+            if rule.table == name:
+                absent, extra, expected, first = (at(rule.column, m) for m in ("n_absent", "n_extra", "n_expected", "absent_examples"))
+                extra = extra if rule.symmetric else Sql("0L")
+                rows.append(checks.label_set_row(rule.check_id, name, absent, extra, expected, first, rule.severity))
+        if name in rules.reshaped:
             rows.append(checks.reshape_row(name, at(stacked.WIDE, "n"), Sql("n_rows")))
-            if kept_label:
-                has = [Sql(f"{at('origin', metric)} > 0") for metric in ("n_kept", "n_corrected")]
-                rows.append(checks.label_preserved_row(name, *kept_label, *has))
-    if name in CROSS_FOOT_IDS:
+        if kept_label and spec.entities and len(spec.entities) > 1:
+            has = [Sql(f"{at(spec.entities[0], metric)} > 0") for metric in ("n_kept", "n_corrected")]
+            rows.append(checks.label_preserved_row(name, *kept_label, *has))
+    if name in rules.cross_foot_ids:
         rows.append(checks.summary_present_row(name, at(GRAND, "n_filled")))
         for axis in (COLUMN, ROW):
             face = stacked.axis_face(spec, axis)
             grand, summed = at(GRAND, "grand"), Sql(f"coalesce({at(face, 'summed')}, 0)")
             difference = Sql(f"abs({summed} - {grand})")
             within = Sql(f"coalesce({difference} <= {tolerance.absolute!r}, false)")
-            row = totals.cross_foot_row(CROSS_FOOT_IDS[name], axis, grand, summed, difference, within, tolerance)
+            row = totals.cross_foot_row(rules.cross_foot_ids[name], axis, grand, summed, difference, within, tolerance)
             rows.append(Sql(f"if({at(GRAND, 'n_reported')} > 0 AND {at(face, 'n_reported')} > 0, {row}, NULL)"))
-    for (table, axis), check_id in TOTAL_IDS.items():
+    for (table, axis), check_id in rules.total_ids.items():
         if table == name:
             face = stacked.axis_face(spec, axis)
             n, bad, absent, worst = (at(face, metric) for metric in ("n_totals", "n_off", "n_unpublished", "worst"))

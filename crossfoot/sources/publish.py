@@ -10,7 +10,7 @@ import json
 from urllib.parse import quote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,6 +39,13 @@ def write_run(df: DataFrame, base: str, layer: str, table: str, run_id: str) ->
     _replace(df, f"{table_path(base, layer, table)}/{_partition('run_id', run_id)}")
 
 
+def write_counted(df: DataFrame, base: str, layer: str, table: str, run_id: str) -> int:
+    """:func:`write_run` that also tells how many rows were written, observed by the tasks that write them."""
+    seen = Observation()
+    write_run(df.observe(seen, F.count(F.lit(1)).alias("n")), base, layer, table, run_id)
+    return seen.get["n"]
+
+
 def write_results(df: DataFrame, base: str, kind: str, run_id: str, suite: str) -> None:
     """Replaces the results of one suite of one run; other suites of the run stay."""
     _replace(df, f"{table_path(base, RESULTS, kind)}/{_partition('run_id', run_id)}/{_partition('suite', suite)}")
@@ -52,15 +59,17 @@ def read_layer(spark: SparkSession, base: str, layer: str, table: str) -> DataFr
     return rows.select(*[ref(c).cast("string").alias(c) if c in keys else ref(c) for c in rows.columns])
 
 
-def promote(tables: dict[str, DataFrame], base: str, run_id: str, value: str = "value") -> None:
+def promote(tables: dict[str, DataFrame], base: str, run_id: str, value: str = "value") -> dict[str, int]:
     """Writes the trusted tables of one run, amounts as decimals with the scale they come with (12 for doubles).
 
-    The run's COMPLETED event makes them visible.
+    The run's COMPLETED event makes them visible. Returns the rows written per table.
     """
+    counts = {}
     for name, df in tables.items():
         kind = df.schema[value].dataType
         at_rest = T.DecimalType(38, kind.scale if isinstance(kind, T.DecimalType) else _SCALE)
-        write_run(df.withColumn(value, ref(value).cast(at_rest)), base, TRUSTED, name, run_id)
+        counts[name] = write_counted(df.withColumn(value, ref(value).cast(at_rest)), base, TRUSTED, name, run_id)
+    return counts
 
 
 def read_trusted(spark: SparkSession, base: str, table: str) -> DataFrame:
