@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crossfoot.functions.cells import inferred_type, is_filled
 from crossfoot.operators.ordered import ordinal_positions
 from crossfoot.operators.reshape import union_all
 from crossfoot.runtime import inline_cells, literal, quoted, ref
+from crossfoot.sources.files import row_numbers
 
 
 def missing(df: DataFrame, column: str) -> str:
@@ -108,6 +109,51 @@ def snapshot_diff(reference: DataFrame, comparison: DataFrame, keys: list[str],
     )
 
 
+def changed_rows(
+    reference: DataFrame, comparison: DataFrame, keys: list[str], coarse: int = 4096, fine: int = 256
+) -> DataFrame:
+    """(keys, change, rows_before, rows_after) of the keys whose rows differ, found through digests of key ranges.
+
+    Keys are hashed into ``coarse`` ranges of ``fine`` parts each. The digest of a range is the sum of its rows' digests
+    on one side minus those on the other, so one grouping into at most ``coarse`` rows tells which ranges differ; only
+    their rows are summed again by part, and only rows of differing parts are shuffled by key. Equal snapshots are never
+    shuffled row by row. Both lists of ranges are bounded by the parameters and therefore broadcast.
+
+    ``change`` is ADDED, REMOVED or CHANGED. A key may hold several rows on each side; it differs when the rows do,
+    whatever their order. NULL is a key like any other. Both sides must have the same columns; columns may have any name.
+    """
+    if sorted(reference.columns) != sorted(comparison.columns):
+        raise ValueError("both snapshots must have the same columns")
+
+    def signed(df: DataFrame, sign: int) -> DataFrame:
+        ordered = df.select(*[ref(c) for c in sorted(reference.columns)])
+        place = F.pmod(F.xxhash64(*[F.struct(ref(k).isNull(), ref(k)) for k in keys]), F.lit(coarse * fine))
+        first, second = (number * sign for number in row_numbers(ordered))
+        return ordered.select(
+            F.struct(*[ref(k).alias(f"k{i}") for i, k in enumerate(keys)]).alias("key"), place.alias("part"),
+            F.lit(sign).alias("sign"), first.alias("first"), second.alias("second"),
+        )
+
+    rows = signed(reference, 1).unionByName(signed(comparison, -1))
+
+    def differing(df: DataFrame, by: Column, name: str) -> DataFrame:
+        sums = df.groupBy(by.alias(name)).agg(*[F.sum(c).alias(c) for c in ("sign", "first", "second")])
+        return F.broadcast(sums.where("sign <> 0 OR first <> 0 OR second <> 0").select(name))
+
+    in_range = F.floor(F.col("part") / fine)
+    open_rows = rows.withColumn("range", in_range).join(differing(rows, in_range, "range"), "range", "left_semi").drop("range")
+    left = open_rows.join(differing(open_rows, F.col("part"), "part"), "part", "left_semi")
+    met = left.groupBy("key").agg(
+        F.count_if(F.col("sign") > 0).alias("rows_before"),
+        F.count_if(F.col("sign") < 0).alias("rows_after"),
+        F.sum("first").alias("first"),
+        F.sum("second").alias("second"),
+    )
+    kind = F.when(F.col("rows_before") == 0, "ADDED").when(F.col("rows_after") == 0, "REMOVED").otherwise("CHANGED")
+    unequal = met.where("rows_before <> rows_after OR first <> 0 OR second <> 0")
+    return unequal.select(*[F.col(f"key.k{i}").alias(k) for i, k in enumerate(keys)], kind.alias("change"), "rows_before", "rows_after")
+
+
 def label_set_diff(reference: DataFrame, comparison: DataFrame, label: str) -> DataFrame:
     """(label, in_reference, in_comparison) of the labels that only one side has; empty when the sets are equal."""
     tagged = union_all(

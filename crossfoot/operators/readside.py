@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from crossfoot.functions.status import health
 from crossfoot.operators.reshape import pivot_counts, union_all
-from crossfoot.runtime import ref
+from crossfoot.runtime import materialize, ref
 from crossfoot.schemas import CRITICAL, DIFFERENT, FAIL, NO_CHANGE, OPEN, PASS, UNRESOLVED, WARNING
+from crossfoot.sources.files import row_digest
 
 
 def filter_rows(df: DataFrame, **wanted: str | None) -> DataFrame:
@@ -39,6 +42,53 @@ def incident_list(df: DataFrame, run_id=None, severity=None, status=None, source
     return rows.orderBy(F.desc("detected_at"), "incident_id")
 
 
+# --- pages ----------------------------------------------------------------------------------------------------------
+
+
+@dataclass(frozen=True)
+class PageEnd:
+    """Where a page stopped: order values and digest of its last row, and how many copies of that row were shown."""
+
+    values: tuple
+    digest: str
+    copies: int
+
+
+DIGEST = "row_digest"
+
+
+def result_page(df: DataFrame, order: list[str], size: int, after: PageEnd | None = None) -> tuple[DataFrame, PageEnd | None]:
+    """The next ``size`` rows in the order of ``order`` (NULL first), ties by row digest, and where that page stops.
+
+    The order is total up to identical rows, which the mark counts, so pages neither overlap nor leave a gap, however
+    many rows tie. Each page is a bounded top-k over the rows behind the mark, and the condition on the first order
+    column reaches the files; earlier pages are never sorted again. Only the mark, taken from the page's own rows,
+    reaches the driver. An exhausted list gives an empty page that stops where it began. The digest column
+    (``row_digest``) stays in the page.
+    """
+    rows = df.withColumn(DIGEST, row_digest(df))
+    names = [*order, DIGEST]
+    key = F.struct(*[ref(name) for name in names])
+    if after is None:
+        page = rows.orderBy(*[ref(name) for name in names]).limit(size)
+    else:
+        types = [rows.schema[name].dataType for name in names]
+        values = [F.lit(v).cast(t) for v, t in zip((*after.values, after.digest), types)]
+        mark = F.struct(*[v.alias(name) for v, name in zip(values, names)])
+        behind = rows if after.values[0] is None else rows.where(ref(order[0]) >= values[0])
+        copies = max(behind.where(key.eqNullSafe(mark)).count() - after.copies, 0)
+        again = behind.where(key.eqNullSafe(mark)).limit(min(copies, size))
+        later = behind.where(key > mark).orderBy(*[ref(name) for name in names]).limit(size - min(copies, size))
+        page = again.unionByName(later)
+    page = materialize(page)
+    last = page.groupBy(*[ref(name) for name in names]).agg(F.count("*").alias("_copies")).orderBy(*[ref(name).desc_nulls_last() for name in names]).first()
+    if last is None:
+        return page, after
+    *values, digest, copies = last
+    same = after is not None and (tuple(values), digest) == (after.values, after.digest)
+    return page, PageEnd(tuple(values), digest, copies + (after.copies if same else 0))
+
+
 # --- runs -----------------------------------------------------------------------------------------------------------
 
 

@@ -215,9 +215,14 @@ def compare_snapshots(
     mapping: dict[str, str] | None = None,
     config: StatsConfig = StatsConfig(),
     method: str = "exact",
+    periods: tuple[str | None, str | None] = (None, None),
 ) -> DataFrame:
-    """Whole suite: KS and PSI per dimension, change per entity and category, one audited entity."""
+    """Whole suite: KS and PSI per dimension, change per entity and category, one audited entity.
+
+    ``periods`` name the two snapshots in the columns reference_period and comparison_period.
+    """
     pairs = materialize(comparable_dimensions(reference, comparison, mapping))
+    named = {name: F.lit(period).cast("string") for name, period in zip(("reference_period", "comparison_period"), periods)}
     return reduce(
         DataFrame.unionByName,
         [
@@ -225,4 +230,4 @@ def compare_snapshots(
             year_over_year(pairs, config),
             exception_audit(reference, comparison, audited_entity),
         ],
-    )
+    ).withColumns(named)

@@ -522,6 +522,7 @@ UNION ALL SELECT dimension, dimension || '_STABILITY', 'PSI', n, m, NULL, NULL,
 UNION ALL SELECT dimension, metric, 'YOY_CHANGE', NULL, NULL, {_r('chg', 'statistic')}, NULL, NULL, {_r('pct', 'pct_change', 6)}, {_YOY_STATUS} FROM yoy
 UNION ALL SELECT {_audit_row('0') % ('NULL, NULL,', 'NULL, NULL, NULL,')}""",
 )
+STAT_SUITE = f"SELECT *, '{YEAR_A}' AS reference_period, '{YEAR_B}' AS comparison_period FROM ({STAT_SUITE})"
 
 # --- order checks ---------------------------------------------------------------------------------------------------
 
@@ -817,6 +818,14 @@ ORACLE: dict[str, str] = {
     "run_durations": _with(*RUNS, body="SELECT run_id, duration_seconds FROM timed"),
     "runs_recent": _with(*RUNS, body="SELECT run_id, status FROM states ORDER BY created_at DESC, run_id DESC LIMIT 5"),
     "latest_run": _with(*RUNS, body="SELECT run_id, status, duration_seconds FROM timed ORDER BY created_at DESC, run_id DESC LIMIT 1"),
+    "results_page": _checked(f"""SELECT CAST((n - 1) // 40 + 1 AS INTEGER) AS page, CAST((n - 1) % 40 + 1 AS INTEGER) AS place, check_id, table_name, entity, {_r('difference')}
+      FROM (SELECT *, row_number() OVER (ORDER BY check_id, table_name, entity) AS n FROM checked) WHERE n <= 120"""),
+    "snapshot_changed_rows": """WITH ends AS (SELECT min(o_orderdate) AS a, max(o_orderdate) AS z FROM orders),
+  later AS (SELECT CASE WHEN o_orderdate = a THEN -o_orderkey ELSE o_orderkey END AS k, CASE WHEN o_totalprice < 5000 THEN round(o_totalprice) ELSE o_totalprice END AS price
+    FROM orders, ends WHERE o_orderdate < z)
+SELECT coalesce(o_orderkey, k) AS o_orderkey, CASE WHEN o_orderkey IS NULL THEN 'ADDED' WHEN k IS NULL THEN 'REMOVED' ELSE 'CHANGED' END AS change,
+  CAST(o_orderkey IS NOT NULL AS BIGINT) AS rows_before, CAST(k IS NOT NULL AS BIGINT) AS rows_after
+FROM orders FULL JOIN later ON o_orderkey = k WHERE o_orderkey IS NULL OR k IS NULL OR o_totalprice <> price""",
     "results_filtered": _checked(f"SELECT check_id, entity, severity, {_r('difference')} FROM checked WHERE run_id = 'run-1997' AND table_name = 'orders_F' AND check_category = '1-URGENT' AND status = 'FAIL'"),
     "rec_results_filtered": _checked(f"SELECT rule_code, dimension, entity, status, {_r('difference')} FROM recs WHERE run_id = 'run-1996' AND rule_code = 'REC-2'"),
     "stat_results_filtered": _checked(f"SELECT run_id, metric, {_r('pct_change', digits=6)} FROM stats WHERE dimension = '5-LOW' AND test_method = 'PSI' AND status = 'STATISTICALLY_DIFFERENT'"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from crossfoot.config import StatsConfig, TableSpec, Tolerance
@@ -617,8 +617,9 @@ def cross_period_exception_audit(spark, sf_dir):
 
 def stat_suite_all(spark, sf_dir):
     before, after = published_snapshots(spark, sf_dir, REFERENCE_YEAR, COMPARISON_YEAR)
-    rows = snapshots.compare_snapshots(before.long(), after.long(), ENTITY, method="series")
+    rows = snapshots.compare_snapshots(before.long(), after.long(), ENTITY, method="series", periods=(str(REFERENCE_YEAR), str(COMPARISON_YEAR)))
     return rows.select(
+        "reference_period", "comparison_period",
         "dimension", "metric", "test_method", "n_reference", "n_comparison", amount("statistic", 2), amount("p_value", 6),
         amount("psi_value", 6), amount("pct_change", 6), "status",
     )
@@ -672,6 +673,17 @@ def snapshot_attribute_diff(spark, sf_dir):
     return profiling.snapshot_diff(year(REFERENCE_YEAR), year(COMPARISON_YEAR), ["o_custkey"], ["priority", "status", "n_orders"])
 
 
+def snapshot_changed_rows(spark, sf_dir):
+    """Orders against a corrected copy: small prices rounded, the last day gone, the first day under new keys."""
+    before = table(spark, sf_dir, "orders")
+    first, last = (before.agg(f("o_orderdate")).scalar() for f in (F.min, F.max))
+    after = before.where(F.col("o_orderdate") < last).withColumns({
+        "o_orderkey": F.when(F.col("o_orderdate") == first, -F.col("o_orderkey")).otherwise(F.col("o_orderkey")),
+        "o_totalprice": F.when(F.col("o_totalprice") < 5_000, F.round("o_totalprice")).otherwise(F.col("o_totalprice")),
+    })
+    return profiling.changed_rows(before, after, ["o_orderkey"])
+
+
 def label_positions(spark, sf_dir):
     """Entity labels of each category side by side by position; the sparse table has fewer of them."""
     long = published(spark, sf_dir).long()
@@ -819,6 +831,17 @@ def results_filtered(spark, sf_dir):
     return rows.select("check_id", "entity", "severity", amount("difference"))
 
 
+def results_page(spark, sf_dir):
+    """The first three pages of all order results, each found behind the mark of the one before."""
+    rows, order, size = derived.order_checks(spark, sf_dir), ["check_id", "table_name", "entity"], 40
+    pages, mark = [], None
+    for number in (1, 2, 3):
+        page, mark = readside.result_page(rows, order, size, mark)
+        place = F.row_number().over(Window.partitionBy("page").orderBy(*order, readside.DIGEST))
+        pages.append(page.withColumn("page", F.lit(number)).withColumn("place", place).select("page", "place", *order, amount("difference")))
+    return union_all(pages)
+
+
 def rec_results_filtered(spark, sf_dir):
     rows = readside.reconciliation_results(derived.order_reconciliations(derived.order_checks(spark, sf_dir)), "run-1996", "REC-2", "ALL")
     return rows.select("rule_code", "dimension", "entity", "status", amount("difference"))
@@ -925,6 +948,7 @@ QUERIES: dict[str, Query] = {
         validation_summary, validation_metrics, reconciliation_summary, reconciliation_metrics, statistical_summary,
         statistical_metrics, incident_metrics, trusted_counts, lineage_counts, status_classes, content_fingerprint,
         content_unchanged, src_totals_failing, cross_foot_failing, pipeline_results, pipeline_decision, pipeline_incident,
+        snapshot_changed_rows, results_page,
         sheet_layouts, sheet_body, sheet_totals, flow_unresolved,
     )
 }

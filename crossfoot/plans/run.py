@@ -42,6 +42,7 @@ def run_reliability(
     source_name: str = "source",
     source_path: str = "",
     rules: Rules | None = None,
+    periods: tuple[str | None, str | None] = (None, None),
 ) -> RunOutcome:
     """Stage, profile, check, reconcile, compare with the reference snapshot, then promote or open an incident.
 
@@ -49,7 +50,7 @@ def run_reliability(
     reads them, so the decision and the stored rows cannot differ. Only the one-row decision reaches the driver, and the
     row counts of the tables, which are observed while they are written.
 
-    ``rules`` default to those of a :class:`Batch`, else to those of the derived tables.
+    ``periods`` name the reference and this source in statistical results; ``rules`` default to those of a :class:`Batch`, else to those of the derived tables.
     """
     rules = rules or getattr(source, "rules", RULES)
     batch = source if isinstance(source, Batch) else Batch(source.wide, source.entities, source.labels, rules)
@@ -74,7 +75,7 @@ def run_reliability(
             reconciled = rules.reconcile(long, reported, source.entities, exceptions, tolerance)
             store.write_results(with_run(reconciled, run_id, "reconciliation"), base, "reconciliation", run_id, "reconciliation")
         if reference is not None:
-            compared = snapshots.compare_snapshots(reference.long(), long, audited_entity or source.labels[0], config=config)
+            compared = snapshots.compare_snapshots(reference.long(), long, audited_entity or source.labels[0], config=config, periods=periods)
             store.write_results(with_run(compared, run_id, "statistics"), base, "statistics", run_id, "statistics")
 
         failed = _stored_failures(spark, base, run_id, bool(rules.reconcile))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crossfoot.runtime import ref
@@ -28,15 +28,23 @@ def content_fingerprint(df: DataFrame, table: str) -> DataFrame:
     60 bits are taken, and each is added up over all rows. The sums split over any number of tasks; no file is ever held
     as a whole.
     """
-    cells = [ref(c).cast("string") for c in df.columns]
-    text = F.concat(*[F.coalesce(F.concat(F.length(c).cast("string"), F.lit(":"), c), F.lit("-")) for c in cells])
-    digest = F.md5(text)
-    sums = [F.coalesce(F.sum(F.conv(F.substring(digest, at, 15), 16, 10).cast("decimal(38,0)")), F.lit(0)).cast("string") for at in (1, 16)]
+    sums = [F.coalesce(F.sum(number), F.lit(0)).cast("string") for number in row_numbers(df)]
     return df.agg(F.count("*").alias("n_rows"), F.concat_ws("-", *sums).alias("fingerprint")).select(
         F.lit(table).alias("table_name"), "n_rows", "fingerprint"
     )
 
 
+def row_digest(df: DataFrame) -> Column:
+    """MD5 of a row's text, in which each cell tells its length."""
+    cells = [ref(c).cast("string") for c in df.columns]
+    return F.md5(F.concat(*[F.coalesce(F.concat(F.length(c).cast("string"), F.lit(":"), c), F.lit("-")) for c in cells]))
+
+
+def row_numbers(df: DataFrame) -> list[Column]:
+    """Two numbers of 60 bits out of :func:`row_digest`, to be added up."""
+    return [F.conv(F.substring(row_digest(df), at, 15), 16, 10).cast("decimal(38,0)") for at in (1, 16)]
+
+
 def folder_fingerprints(fingerprints: DataFrame) -> DataFrame:
     """(file_name, sha256) per folder, from the fingerprints of its files in order of their names."""
     parts = F.array_sort(F.collect_list(F.struct("file_name", "sha256")))
