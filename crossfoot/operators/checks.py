@@ -220,7 +220,10 @@ def table_checks(spark: SparkSession, df: DataFrame | None, spec: TableSpec, num
     """
     if df is None:
         metrics = spark.range(1).select(F.lit(0).cast("long").alias("n_rows"), expected_rows(spec).alias("expected_rows"))
-        return check_rows(metrics, count_checks(spec, number)[:1]) if spec.expected_from else metrics_free(spark)
+        if not spec.expected_from:
+            return metrics_free(spark)
+        rows = check_rows(metrics, count_checks(spec, number)[:1])
+        return rows.withColumn("message", F.concat("message", F.lit(" The table is absent: its other checks are SKIPPED.")))
     absent = [c for c in dict.fromkeys((*spec.key, spec.value)) if c not in df.columns]
     if absent:
         row = check(f"UNQ-{number:02d}", "UNIQUENESS", "Columns needed by the checks", spec.name, False, CRITICAL,

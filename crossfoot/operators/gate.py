@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from crossfoot.functions.cells import sentence
@@ -76,8 +76,22 @@ def normalized_failures(results: DataFrame) -> DataFrame:
     )
 
 
-def aggregate_incidents(failed: DataFrame, incident_type: str = "DATA_INTEGRITY_FAILURE") -> DataFrame:
-    """One incident per run from the rows of :func:`normalized_failures`.
+def incident_without_failures(
+    spark: SparkSession, run_id: str, reason: str, incident_type: str = "DATA_INTEGRITY_FAILURE", title: str | None = None
+) -> DataFrame:
+    """The incident of a run that is held back although no check of it failed, for instance because it broke off.
+
+    Severity ERROR, no check and no affected records; the columns are those of :func:`aggregate_incidents`.
+    """
+    row = (f"INC-{run_id}", run_id, ERROR, incident_type, 0, 0, title or "Held back without a failed check",
+           f"Run {run_id} stopped: {reason}. Nothing was published.", OPEN)
+    names = "incident_id string, run_id string, severity string, failure_type string, affected_record_count long, n_failures long, title string, description string, status string"
+    empty = aggregate_incidents(normalized_failures(spark.createDataFrame([], "run_id string, check_id string, check_name string, table_name string, status string, severity string, expected string, observed string, difference double, affected_records long")))
+    return empty.unionByName(spark.createDataFrame([row], names), allowMissingColumns=True)
+
+
+def aggregate_incidents(failed: DataFrame, incident_type: str = "DATA_INTEGRITY_FAILURE", title: str | None = None) -> DataFrame:
+    """One incident per run from the rows of :func:`normalized_failures`; ``title`` replaces the one that names checks.
 
     Severity, check and table come from the most severe failure; affected records add up over all failures. The
     failures themselves stay rows of their own, see :func:`incident_failures`: a run may have any number of them.
@@ -117,7 +131,7 @@ def aggregate_incidents(failed: DataFrame, incident_type: str = "DATA_INTEGRITY_
         F.col("p.difference").alias("difference"),
         "affected_record_count",
         "n_failures",
-        sentence("Held back by ", names, more).alias("title"),
+        (sentence("Held back by ", names, more) if title is None else F.lit(title)).alias("title"),
         sentence(
             F.col("n_failures"), " checks stop run ", F.col("run_id"), "; gravest: ", F.col("p.check_id"),
             " on ", F.coalesce("p.table_name", F.lit("source")), ". Nothing was published.",

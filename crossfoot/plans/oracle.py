@@ -163,6 +163,12 @@ def _number_checks(number: int, table: str, key: str, value: str, relation: str,
     return "\nUNION ALL ".join(rows)
 
 
+def _negative_message(table: str, value: str, relation: str) -> str:
+    return f"""SELECT 'NUM-02-{table}' AS check_id, CASE WHEN n = 0 THEN 'No value is negative.'
+    ELSE n || ' values are negative, lowest ' || low || '.' END AS message
+  FROM (SELECT count(*) FILTER ({value} < 0) AS n, CAST(min(CAST({value} AS DECIMAL(18,2))) FILTER ({value} < 0) AS VARCHAR) AS low FROM {relation})"""
+
+
 _PART_DOM = ("part", "p_partkey, p_brand", "p_retailprice", "part", 0, "p_brand", "^Brand#[0-9]$")
 SOURCE_CHECKS = "\nUNION ALL ".join(
     [
@@ -227,8 +233,10 @@ def _label_set(check_id: str, table: str, observed: str, domain: str, symmetric:
 
 
 def _membership(table: str, observed: str, domain: str) -> str:
-    return _check(f"'DOM-01-{table}'", f"'{table}'", "n", "ERROR", "'subset of the domain'", "n || ' invalid labels'",
-                  f"FROM (SELECT count(*) AS n FROM (SELECT DISTINCT l FROM ({observed}) WHERE l IS NULL OR l NOT IN ({domain}))) q")
+    row = _check(f"'DOM-01-{table}'", f"'{table}'", "n", "ERROR", "'subset of the domain'", "n || ' invalid labels'", "")
+    return f"""{row}, CASE WHEN n = 0 THEN 'All labels belong to the domain.' ELSE 'Invalid labels: ' || array_to_string(ls[:3], ', ') || '.' END AS message
+  FROM (SELECT count(*) AS n, list(l ORDER BY l) AS ls
+    FROM (SELECT DISTINCT coalesce(l, 'NULL') AS l FROM ({observed}) WHERE l IS NULL OR l NOT IN ({domain}))) q"""
 
 
 def _preserved(table: str, kept: str, corrected: str) -> str:
@@ -768,6 +776,7 @@ ORACLE: dict[str, str] = {
     "dom_label_preserved": "\nUNION ALL ".join([_preserved("events", "signup", "sign-up"), _preserved("events_corrected", "view", "click"), _preserved("events_missing", "Views", "Clicks")]),
     "dom_code_format": f"SELECT * FROM ({_number_checks(6, *_PART_DOM)}) WHERE check_id LIKE 'DOM%'",
     "num_checks_fused": SOURCE_CHECKS,
+    "num_negative_messages": "\nUNION ALL ".join([_negative_message("customer", "c_acctbal", "customer"), _negative_message("orders", "o_totalprice", "orders")]),
     "num_text_cells": TEXT_CHECKS,
     "num_null_audit": NULL_AUDIT,
     "str_reshape_conservation": _with(*ALL, body="\nUNION ALL ".join([

@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from crossfoot.config import StatsConfig, TableSpec, Tolerance
 from crossfoot.functions.status import status_class
-from crossfoot.operators import checks, distribution, faults, gate, profiling, readside, reconcile, reshape, snapshots, totals
+from crossfoot.operators import checks, distribution, faults, gate, profiling, readside, reconcile, reshape, snapshots, stacked, totals
 from crossfoot.operators.ordered import ordinal_positions
 from crossfoot.operators.reshape import union_all
+from crossfoot.operators.results import check_rows
 from crossfoot.plans import batch, derived, flow, run, suite
 from crossfoot.plans.flow import CATEGORY_TABLES, SPECS, published, published_snapshots, table, unresolved_lines
 from crossfoot.runtime import materialize, ref, shared_path
@@ -469,7 +470,18 @@ def dom_membership(spark, sf_dir):
         checks.membership_check(cube, "flow_short", ["origin", "destination"], allowed),
         checks.membership_check(table(spark, sf_dir, "events"), "events", ["event_type"], ["view", "click"]),
     ]
-    return _checks(union_all(frames))
+    rows = union_all(frames)
+    return rows.select(*CHECK_COLUMNS, "message").withColumn("difference", amount("difference", 4))
+
+
+def num_negative_messages(spark, sf_dir):
+    """The lowest of the negative balances, as the message of the check names it; both tables in one stacked pass."""
+    specs = [TableSpec("customer", ("c_custkey", "c_acctbal"), ("c_custkey",), value="c_acctbal"),
+             TableSpec("orders", ("o_orderkey", "o_totalprice"), ("o_orderkey",), value="o_totalprice")]
+    tables = {s.name: table(spark, sf_dir, s.name).withColumn(s.value, F.col(s.value).cast("decimal(18,2)")) for s in specs}
+    metrics = stacked.stacked_metrics(spark, tables, specs)
+    frames = [check_rows(metrics.where(F.col("table_name") == spec.name), checks.count_checks(spec, n)) for n, spec in enumerate(specs, start=1)]
+    return union_all(frames).where(F.col("check_id").startswith("NUM-02")).select("check_id", "message")
 
 
 def dom_label_preserved(spark, sf_dir):
@@ -948,7 +960,7 @@ QUERIES: dict[str, Query] = {
         validation_summary, validation_metrics, reconciliation_summary, reconciliation_metrics, statistical_summary,
         statistical_metrics, incident_metrics, trusted_counts, lineage_counts, status_classes, content_fingerprint,
         content_unchanged, src_totals_failing, cross_foot_failing, pipeline_results, pipeline_decision, pipeline_incident,
-        snapshot_changed_rows, results_page,
+        snapshot_changed_rows, results_page, num_negative_messages,
         sheet_layouts, sheet_body, sheet_totals, flow_unresolved,
     )
 }

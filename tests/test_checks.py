@@ -71,6 +71,7 @@ def test_null_labels_are_invalid(spark):
 def test_absent_table_and_column_do_not_raise(spark, cells):
     rows = checks.table_checks(spark, None, SPEC, 3).collect()
     assert [(r.check_id, r.status, r.observed) for r in rows] == [("CMP-03", "FAIL", "0")]
+    assert rows[0].message.endswith("its other checks are SKIPPED.")
     rows = checks.table_checks(spark, cells.drop("value"), SPEC, 3).collect()
     assert len(rows) == 1 and rows[0].status == "FAIL" and "value" in rows[0].message
 

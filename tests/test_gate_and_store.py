@@ -32,6 +32,20 @@ def test_incident_aggregation(spark):
     assert gate.incident_failures(failed).count() == 3
 
 
+def test_incident_of_a_run_without_failed_checks(spark, tmp_path):
+    row = gate.incident_without_failures(spark, "r", "source unreadable", title="Source lost").first()
+    assert (row.severity, row.check_id, row.n_failures, row.title, row.status) == ("ERROR", None, 0, "Source lost", "OPEN")
+    assert "source unreadable" in row.description
+    failed = gate.normalized_failures(results(spark, []))
+    store.record_incidents(gate.incident_without_failures(spark, "r", "x"), gate.incident_failures(failed), str(tmp_path))
+    assert [r.severity for r in store.read_incidents(spark, str(tmp_path)).collect()] == ["ERROR"]
+
+
+def test_title_of_the_caller(spark):
+    df = results(spark, [("r", "C", "FAIL", "ERROR", 1.0, 1)])
+    assert gate.aggregate_incidents(gate.normalized_failures(df), title="Mine").first().title == "Mine"
+
+
 def test_title_names_three_checks_and_counts_the_rest(spark):
     df = results(spark, [("r", f"C-{i % 5}", "FAIL", "ERROR", 1.0, 1) for i in range(20)])
     row = gate.aggregate_incidents(gate.normalized_failures(df)).first()
