@@ -42,8 +42,12 @@ PART_LINES = 200_000
 THRESHOLD = Fraction(4, 5)
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 CAPITALS = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-LINE = "digest binary, doc_id long, line int, size int, parity long, tokens array<long>"
-MEETING = "key long, doc_id long, line int, size int, position int, parity long, partner boolean, asker boolean"
+#: The parity of a line's tokens: one word of bits, for lines from these sizes on two or four; the others are 0.
+PARITY = ("parity", "parity_1", "parity_2", "parity_3")
+TWO_WORDS, FOUR_WORDS = 96, 192
+PARITY_FIELDS = ", ".join(f"{name} long" for name in PARITY)
+LINE = f"digest binary, doc_id long, line int, size int, {PARITY_FIELDS}, tokens array<long>"
+MEETING = f"key long, doc_id long, line int, size int, position int, {PARITY_FIELDS}, partner boolean, asker boolean"
 CANDIDATE = "a_doc_id long, a_line int, b_doc_id long, b_line int, more boolean"
 
 
@@ -68,9 +72,37 @@ def token_counts(texts: DataFrame) -> np.ndarray:
     return counts
 
 
+def token_order(hashes: np.ndarray, rank: np.ndarray, line: np.ndarray) -> np.ndarray:
+    """Order by line, rank of the bucket and hash. Buckets are a hash's first bits, so both fit into one number."""
+    order = np.argsort(rank[bucket(hashes)] << np.uint64(64 - RARITY_BITS) | hashes & np.uint64((1 << 64 - RARITY_BITS) - 1))
+    few = not len(line) or line[-1] < 1 << 16  # numpy sorts 16 bits by counting
+    return order[np.argsort(line[order].astype(np.uint16 if few else np.int64), kind="stable")]
+
+
+def parity_words(hashes: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
+    """Parity of each line's tokens in 64, 128 or 256 bits, by its size; halves of a longer one give the shorter one by XOR."""
+    if not len(hashes):
+        return [np.zeros(0, np.uint64)] * len(PARITY)
+    bits, word = np.uint64(1) << (hashes & np.uint64(63)), (hashes >> np.uint64(6)) & np.uint64(3)
+    w = [np.bitwise_xor.reduceat(np.where(word == k, bits, np.uint64(0)), begins) for k in range(4)]
+    one, four, none = sizes < TWO_WORDS, sizes >= FOUR_WORDS, np.zeros(len(sizes), np.uint64)
+    even, odd = w[0] ^ w[2], w[1] ^ w[3]
+    return [np.where(four, w[0], np.where(one, even ^ odd, even)), np.where(four, w[1], np.where(one, none, odd)), np.where(four, w[2], none), np.where(four, w[3], none)]
+
+
+def parity_differences(words: np.ndarray, smaller: np.ndarray) -> np.ndarray:
+    """Bits that differ, from the XOR of two lines' words, in as many bits as the smaller line has."""
+    even, odd = words[0] ^ words[2], words[1] ^ words[3]
+    one, two = np.bitwise_count(even ^ odd), np.bitwise_count(even) + np.bitwise_count(odd)
+    four = np.bitwise_count(words).sum(axis=0)
+    return np.where(smaller < TWO_WORDS, one, np.where(smaller < FOUR_WORDS, two, four)).astype(np.int64)
+
+
 def line_table(texts: DataFrame, counts: np.ndarray, threshold: Fraction) -> DataFrame:
     """Every line with words: digest of its text, number of different words, their parity, and its prefix tokens."""
     top, bottom = threshold.numerator, threshold.denominator
+    rank = np.empty(len(counts), np.uint64)
+    rank[np.argsort(counts, kind="stable")] = np.arange(len(counts))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -84,13 +116,13 @@ def line_table(texts: DataFrame, counts: np.ndarray, threshold: Fraction) -> Dat
         per_document = np.array([g.count(b"\n") + 1 for g in group])
         hashes, ends = document_words(lines)
         line = np.repeat(np.arange(len(lines)), np.diff(ends, prepend=0))
-        order = np.lexsort((hashes, counts[bucket(hashes)], line))
+        order = token_order(hashes, rank, line)
         hashes, line = hashes[order], line[order]
         fresh = np.r_[True, (hashes[1:] != hashes[:-1]) | (line[1:] != line[:-1])][: len(hashes)]
         hashes, line = hashes[fresh], line[fresh]
         sizes = np.bincount(line, minlength=len(lines))
         some = np.flatnonzero(sizes)
-        parity = np.bitwise_xor.reduceat(np.uint64(1) << (hashes & np.uint64(63)), np.flatnonzero(np.r_[True, line[1:] != line[:-1]])) if len(line) else hashes
+        parity = parity_words(hashes, (np.cumsum(sizes) - sizes)[some], sizes[some])
         position = np.arange(len(line)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         kept = position <= (sizes - -(-sizes * top // bottom))[line]
         bounds = np.r_[0, np.cumsum(np.bincount(line[kept], minlength=len(lines))[some])].astype(np.int32)
@@ -101,20 +133,23 @@ def line_table(texts: DataFrame, counts: np.ndarray, threshold: Fraction) -> Dat
             pa.array(ids[owner[some]]),
             pa.array(number[some], pa.int32()),
             pa.array(sizes[some], pa.int32()),
-            pa.array(parity.view(np.int64)),
+            *[pa.array(word.view(np.int64)) for word in parity],
             pa.ListArray.from_arrays(bounds, pa.array(hashes[kept].view(np.int64))),
         ]
-        return pa.RecordBatch.from_arrays(columns, names=["digest", "doc_id", "line", "size", "parity", "tokens"])
+        return pa.RecordBatch.from_arrays(columns, names=["digest", "doc_id", "line", "size", *PARITY, "tokens"])
 
     return texts.filter("doc_id IS NOT NULL").mapInArrow(run, LINE)
 
 
-def meeting_rows(lines: DataFrame, counts: np.ndarray, part_lines: int) -> DataFrame:
-    """One row per line and prefix token; for frequent tokens one per part that the line visits."""
+def meeting_rows(lines: DataFrame, counts: np.ndarray, part_lines: int, wanted: tuple[np.ndarray, np.ndarray] | None = None) -> DataFrame:
+    """One row per line and prefix token; for frequent tokens one per part that the line visits.
+
+    ``wanted`` holds bit sets of the keys to deal and of the lines that ask there.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            tokens = batch.column(4)
+            tokens = batch.column("tokens")
             each = tokens.value_lengths().to_numpy()
             hashes = tokens.flatten().to_numpy().view(np.uint64)
             side = 1 + counts[bucket(hashes)] // part_lines
@@ -123,16 +158,22 @@ def meeting_rows(lines: DataFrame, counts: np.ndarray, part_lines: int) -> DataF
             row = np.repeat(np.arange(batch.num_rows), each)[place]
             position = (np.arange(len(hashes)) - np.repeat(np.cumsum(each) - each, each))[place]
             visit, side = np.arange(len(place)) - (np.cumsum(visits) - visits)[place], side[place]
-            doc_id, line, size, parity = (batch.column(i).to_numpy() for i in range(4))
+            doc_id, line, size, *parity = (batch.column(name).to_numpy() for name in ("doc_id", "line", "size", *PARITY))
             own = (doc_id[row] + line[row].astype(np.int64) * 7) % side
             asker = visit < side
             other = np.where(asker, visit, visit - side + (visit - side >= own))
             part = np.where(asker, own * side + other, other * side + own)
             key = hashes[place] + part.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-            columns = [key.view(np.int64), doc_id[row], line[row], size[row], position.astype(np.int32), parity[row], ~asker | (other == own), asker]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "doc_id", "line", "size", "position", "parity", "partner", "asker"])
+            partner = ~asker | (other == own)
+            if wanted is not None:
+                keys, askers = wanted
+                asker &= has_bit(askers, line_place(doc_id, line))[row]
+                there = np.flatnonzero(has_bit(keys, key_place(key.view(np.int64))) & (asker | partner))
+                key, row, position, partner, asker = (c[there] for c in (key, row, position, partner, asker))
+            columns = [key.view(np.int64), doc_id[row], line[row], size[row], position.astype(np.int32), *[word[row] for word in parity], partner, asker]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "doc_id", "line", "size", "position", *PARITY, "partner", "asker"])
 
-    return lines.select("doc_id", "line", "size", "parity", "tokens").mapInArrow(run, MEETING)
+    return lines.select("doc_id", "line", "size", *PARITY, "tokens").mapInArrow(run, MEETING)
 
 
 def candidates(meetings: DataFrame, threshold: Fraction, every: bool) -> DataFrame:
@@ -144,7 +185,9 @@ def candidates(meetings: DataFrame, threshold: Fraction, every: bool) -> DataFra
 
     def within(rows: dict[str, np.ndarray]) -> pa.RecordBatch:
         """Rows of whole keys, in order of key and line: each is compared with the d-th before it, for growing d."""
-        key, size, position, parity = (rows[c] for c in ("key", "size", "position", "parity"))
+        key, size, position = (rows[c] for c in ("key", "size", "position"))
+        words = np.stack([rows[c] for c in PARITY]).view(np.uint64)
+        parity = np.bitwise_xor.reduce(words)
         rest = size - position
         first, number = np.full(len(key), -1), np.zeros(len(key), np.int64)
         found: list[tuple[np.ndarray, np.ndarray]] = []
@@ -159,7 +202,9 @@ def candidates(meetings: DataFrame, threshold: Fraction, every: bool) -> DataFra
             # The shared token and those after it bound the overlap; top / (top + bottom) of all tokens are needed.
             fit &= np.minimum(rest[a], rest[b]) * (top + bottom) >= sizes * top
             # Every token in only one of two lines flips one bit at most.
-            fit &= np.bitwise_count((parity[a] ^ parity[b]).view(np.uint64)).astype(np.int64) * (top + bottom) <= sizes * (bottom - top)
+            fit &= np.bitwise_count(parity[a] ^ parity[b]).astype(np.int64) * (top + bottom) <= sizes * (bottom - top)
+            a, b, sizes = a[fit], b[fit], sizes[fit]
+            fit = parity_differences(words[:, a] ^ words[:, b], np.minimum(size[a], size[b])) * (top + bottom) <= sizes * (bottom - top)
             a, b = a[fit], b[fit]
             if every:
                 found.append((a, b))
@@ -204,9 +249,21 @@ def line_place(doc_id: np.ndarray, line: np.ndarray) -> np.ndarray:
 PLACE = f"pmod(pmod(doc_id, 2147483647) * 1000003L + line * 7919L, {FILTER_WORDS * 64})"
 
 
-def line_filter(lines: DataFrame) -> np.ndarray:
-    """A bit set of fixed size with one bit per line, by hash, so that few other lines are cut out again."""
-    words = lines.selectExpr(f"int({PLACE} div 64) AS word", f"shiftleft(1L, int({PLACE} % 64)) AS bit")
+def has_bit(bits: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return (bits[at >> 6] >> (at & 63)) & 1 == 1
+
+
+def key_place(key: np.ndarray) -> np.ndarray:
+    """The bit of a key in the filter; the same as ``KEY_PLACE`` in SQL."""
+    return key & (FILTER_WORDS * 64 - 1)
+
+
+KEY_PLACE = f"(key & {FILTER_WORDS * 64 - 1}L)"
+
+
+def bit_filter(rows: DataFrame, place: str) -> np.ndarray:
+    """A bit set of fixed size with one bit per row, by hash, so that few other rows pass."""
+    words = rows.selectExpr(f"int({place} div 64) AS word", f"shiftleft(1L, int({place} % 64)) AS bit")
     rows = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
     found = np.zeros(FILTER_WORDS, np.int64)
     found[rows["word"].to_numpy()] = rows["bits"].to_numpy()
@@ -222,7 +279,7 @@ def line_contents(texts: DataFrame, wanted: np.ndarray) -> DataFrame:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 lines = text.as_py().split("\n")
                 at = line_place(np.full(len(lines), doc_id), np.arange(len(lines)))
-                chosen = np.flatnonzero((wanted[at >> 6] >> (at & 63)) & 1).tolist()
+                chosen = np.flatnonzero(has_bit(wanted, at)).tolist()
                 owners += [doc_id] * len(chosen)
                 numbers += chosen
                 contents += [lines[i] for i in chosen]
@@ -256,7 +313,7 @@ def similar_lines(pairs: DataFrame, lines: DataFrame, threshold: Fraction) -> Da
 def verified(pairs: DataFrame, texts: DataFrame, threshold: Fraction) -> DataFrame:
     """(doc_id, line) of the later lines of stored pairs that are similar enough."""
     sides = [pairs.select(F.col(f"{s}_doc_id").alias("doc_id"), F.col(f"{s}_line").alias("line")) for s in ("a", "b")]
-    return stored(similar_lines(pairs, line_contents(texts, line_filter(sides[0].union(sides[1]))), threshold))
+    return stored(similar_lines(pairs, line_contents(texts, bit_filter(sides[0].union(sides[1]), PLACE)), threshold))
 
 
 def duplicate_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", threshold: Fraction = THRESHOLD, part_lines: int = PART_LINES) -> DataFrame:
@@ -268,7 +325,7 @@ def duplicate_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str
     lines = stored(line_table(texts, counts, threshold))
     several = lines.groupBy("digest").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count("*").alias("n")).filter("n > 1")
     copies = stored(lines.join(several, "digest").filter(F.struct("doc_id", "line") != F.col("first")).select("doc_id", "line").distinct())
-    row = F.min(F.struct("doc_id", "line", "size", "parity", "tokens")).alias("row")
+    row = F.min(F.struct("doc_id", "line", "size", *PARITY, "tokens")).alias("row")
     single = stored(lines.groupBy("digest").agg(row).select("row.*"))
     discard(lines)
     meetings = meeting_rows(single, counts, part_lines)
@@ -277,10 +334,9 @@ def duplicate_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str
     unsettled = earliest.filter("more").select(F.col("b_doc_id").alias("doc_id"), F.col("b_line").alias("line")).distinct()
     waiting = stored(unsettled.join(found, ["doc_id", "line"], "left_anti"))
     discard(earliest)
-    # Only lines that wait ask again, and only the keys they visit are dealt.
-    asking = meetings.join(waiting.withColumn("waits", F.lit(True)), ["doc_id", "line"], "left").withColumn("asker", F.col("asker") & F.col("waits").isNotNull())
-    keys = meeting_rows(single.join(waiting, ["doc_id", "line"], "left_semi"), counts, part_lines).filter("asker").select("key").distinct()
-    visited = asking.drop("waits").join(keys, "key", "left_semi").select(meetings.columns)
+    # Only lines that wait ask again, and only the keys they visit are dealt; a few others, by hash, change no result.
+    keys = meeting_rows(single.join(waiting, ["doc_id", "line"], "left_semi"), counts, part_lines).filter("asker")
+    visited = meeting_rows(single, counts, part_lines, (bit_filter(keys, KEY_PLACE), bit_filter(waiting, PLACE)))
     others = stored(candidates(visited, threshold, every=True).drop("more").distinct())
     more = verified(others, texts, threshold)
     discard(single, waiting, others)

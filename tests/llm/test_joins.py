@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from crossfoot.llm.components import connected_components
-from crossfoot.llm.line_dedup import dedup_lines, duplicate_lines
+from crossfoot.llm.line_dedup import PART_LINES, candidates, dedup_lines, duplicate_lines, line_table, meeting_rows, token_counts
 from crossfoot.llm.ngram_join import band_keys, largest_difference, near_duplicates
 from crossfoot.llm.words import shingle_sets
 
@@ -159,6 +159,30 @@ def test_line_dedup_of_frequent_tokens_in_parts(documents):
         assert len(gone) == sum(t.count("\n") + 1 for _, t in rows) - sum(t.count("\n") + 1 if t else 0 for t in texts.values())
 
 
+def test_line_dedup_of_long_lines_around_the_limits_of_parities(documents):
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(700)]
+    rows = []
+    for size in (80, 95, 96, 110, 170, 191, 192, 230, 400):
+        base = rng.sample(words, size)
+        for changed in (0, size // 10, size // 9, size // 8):
+            rows.append((len(rows), " ".join(rng.sample(base, size - changed) + [f"x{rng.randrange(9)}" for _ in range(changed)])))
+            rows.append((len(rows), " ".join(base[: size - 2 * changed])))
+    out, _ = dedup_lines(documents(rows).repartition(3))
+    assert {r.doc_id: r.text for r in out.collect()} == brute_lines(rows, Fraction(4, 5))
+
+
+def test_long_lines_of_common_words_are_no_candidates(documents):
+    """Lines that share rare words but little else: pairs of them, which grow with the square of a word's lines, need no texts."""
+    rng = random.Random(9)
+    common, rare = [f"w{i}" for i in range(900)], [f"r{i}" for i in range(20)]
+    for size in (150, 250, 300):
+        texts = documents([(i, " ".join(rng.sample(common, size) + rare)) for i in range(30)]).select("doc_id", "text")
+        counts = token_counts(texts)
+        meetings = meeting_rows(line_table(texts, counts, Fraction(4, 5)), counts, PART_LINES)
+        assert candidates(meetings, Fraction(4, 5), every=True).count() == 0
+
+
 def thue_morse(bits, a, b):
     word = a
     other = b
