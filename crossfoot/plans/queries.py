@@ -844,8 +844,8 @@ def results_filtered(spark, sf_dir):
 
 
 def results_page(spark, sf_dir):
-    """The first three pages of all order results, each found behind the mark of the one before."""
-    rows, order, size = derived.order_checks(spark, sf_dir), ["check_id", "table_name", "entity"], 40
+    """The first three pages of all order results, which are computed once; each is found behind the mark of the one before."""
+    rows, order, size = materialize(derived.order_checks(spark, sf_dir)), ["check_id", "table_name", "entity"], 40
     pages, mark = [], None
     for number in (1, 2, 3):
         page, mark = readside.result_page(rows, order, size, mark)

@@ -6,6 +6,7 @@ import pytest
 
 from crossfoot.operators.profiling import changed_rows
 from crossfoot.operators.readside import result_page
+from crossfoot.plans import derived, queries
 
 ROWS = [("b", 1, "x"), (None, 2, "x"), ("a", None, "y"), *[("a", 1, "same")] * 7, ("a", 1, "other"), (None, None, None), ("c", 3, "z"), ("b", 1, "w")]
 
@@ -24,6 +25,22 @@ def test_pages_leave_no_gap_and_do_not_overlap(spark, size):
     assert [r[:2] for r in seen] == sorted((r[:2] for r in ROWS), key=lambda r: tuple((v is not None, v or 0) for v in r))
 
 
+def test_results_are_computed_once_for_all_pages(spark, monkeypatch):
+    made = spark.sparkContext.accumulator(0)
+    rows = [(f"c{i % 2}", "t", str(i).zfill(4), float(i)) for i in range(130)]
+    df = spark.createDataFrame(rows, "check_id string, table_name string, entity string, difference double")
+
+    def counted(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    monkeypatch.setattr(derived, "order_checks", lambda spark, sf_dir: df.mapInArrow(counted, df.schema))
+    found = queries.results_page(spark, "").orderBy("page", "place").collect()
+    assert [(r.check_id, r.table_name, r.entity, r.difference) for r in found] == sorted(rows)[:120]
+    assert made.value == len(rows)
+
+
 def test_page_of_an_empty_table(spark):
     page, mark = result_page(spark.createDataFrame([], "check_id string"), ["check_id"], 5)
     assert page.count() == 0 and mark is None
