@@ -10,6 +10,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: Rows that are worked on and handed back at once; a whole Arrow batch of texts and results would be held twice.
+BATCH_ROWS = 500
+
 
 def gram_buckets(text: str, sizes: tuple[int, ...], bits: int) -> np.ndarray:
     """Bucket of every byte n-gram of the lower-cased text with a space on either side, in all the sizes."""
@@ -38,8 +41,10 @@ def append_column(docs: DataFrame, inputs: list[str], make: Callable[[pa.RecordB
     places = [docs.columns.index(c) for c in inputs]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            made = make(pa.RecordBatch.from_arrays([batch.column(i) for i in places], names=inputs))
-            yield pa.RecordBatch.from_arrays([*batch.columns, made], names=[*batch.schema.names, name])
+        for whole in batches:
+            for at in range(0, whole.num_rows, BATCH_ROWS):
+                batch = whole.slice(at, BATCH_ROWS)
+                made = make(pa.RecordBatch.from_arrays([batch.column(i) for i in places], names=inputs))
+                yield pa.RecordBatch.from_arrays([*batch.columns, made], names=[*batch.schema.names, name])
 
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, kind)])), name
