@@ -22,32 +22,35 @@ through.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from fractions import Fraction
 from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from crossfoot.llm.grams import BATCH_ROWS
 from crossfoot.llm.storage import discard, stored
-from crossfoot.llm.words import document_words, grouped
+from crossfoot.llm.words import document_words, grouped, mix
 
 RARITY_BITS = 18
 FILTER_WORDS = 1 << 18
 #: A token that its count shows in more lines than this is dealt to as many parts.
 PART_LINES = 200_000
 THRESHOLD = Fraction(4, 5)
-WORD = re.compile(r"[^\x20\x09-\x0D]+")
-CAPITALS = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 #: The parity of a line's tokens: one word of bits, for lines from these sizes on two or four; the others are 0.
 PARITY = ("parity", "parity_1", "parity_2", "parity_3")
 TWO_WORDS, FOUR_WORDS = 96, 192
 PARITY_FIELDS = ", ".join(f"{name} long" for name in PARITY)
-LINE = f"digest binary, doc_id long, line int, size int, {PARITY_FIELDS}, tokens array<long>"
-MEETING = f"key long, doc_id long, line int, size int, position int, {PARITY_FIELDS}, partner boolean, asker boolean"
+LINE = f"digest binary, doc_id long, line int, size int, {PARITY_FIELDS}, tokens array<long>, copy boolean"
+#: A line's visit to a key. Visits travel in blocks, one per batch of lines and part of the keys.
+VISIT = np.dtype([("key", "<u8"), ("doc_id", "<i8"), ("line", "<i4"), ("size", "<i4"), ("position", "<i4"), ("asker", "?"), ("partner", "?"), ("", "V2"), ("parity", "<u8", 4)])
+BLOCK = "part long, visits binary"
+#: Keys are dealt to so many parts that one holds the visits of about as many words of text.
+PART_WORDS = 500_000
 CANDIDATE = "a_doc_id long, a_line int, b_doc_id long, b_line int, more boolean"
 
 
@@ -79,6 +82,17 @@ def token_order(hashes: np.ndarray, rank: np.ndarray, line: np.ndarray) -> np.nd
     return order[np.argsort(line[order].astype(np.uint16 if few else np.int64), kind="stable")]
 
 
+def copied(digests: list[bytes], ids: np.ndarray, number: np.ndarray) -> np.ndarray:
+    """Whether an earlier line of the same rows has the same digest."""
+    halves = np.frombuffer(b"".join(digests), "<u8").reshape(-1, 2).T
+    order = np.lexsort((number, ids, *halves))
+    fresh = np.r_[True, (halves[:, order[1:]] != halves[:, order[:-1]]).any(axis=0)][: len(order)]
+    first = order[np.flatnonzero(fresh)[np.cumsum(fresh) - 1]]
+    copies = np.zeros(len(order), bool)
+    copies[order] = (ids[order] != ids[first]) | (number[order] != number[first])
+    return copies
+
+
 def parity_words(hashes: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
     """Parity of each line's tokens in 64, 128 or 256 bits, by its size; halves of a longer one give the shorter one by XOR."""
     if not len(hashes):
@@ -99,7 +113,11 @@ def parity_differences(words: np.ndarray, smaller: np.ndarray) -> np.ndarray:
 
 
 def line_table(texts: DataFrame, counts: np.ndarray, threshold: Fraction) -> DataFrame:
-    """Every line with words: digest of its text, number of different words, their parity, and its prefix tokens."""
+    """Every line with words: digest of its text, number of different words, their parity, and its prefix tokens.
+
+    A line with an equal earlier one among the texts worked on with it is a copy; it has no tokens, and a digest of its own,
+    so that the copies of a very common line do not meet.
+    """
     top, bottom = threshold.numerator, threshold.denominator
     rank = np.empty(len(counts), np.uint64)
     rank[np.argsort(counts, kind="stable")] = np.arange(len(counts))
@@ -108,13 +126,13 @@ def line_table(texts: DataFrame, counts: np.ndarray, threshold: Fraction) -> Dat
         for batch in batches:
             done = 0
             for group in grouped(t.as_py() or "" for t in batch.column(1)):
-                yield rows(np.array(batch.column(0)[done : done + len(group)].to_pylist(), np.int64), group)
+                yield rows(np.array(batch.column(0)[done : done + len(group)].to_pylist(), np.int64), [g.lower() for g in group])
                 done += len(group)
 
     def rows(ids: np.ndarray, group: list[bytes]) -> pa.RecordBatch:
         lines = [part for g in group for part in g.split(b"\n")]
         per_document = np.array([g.count(b"\n") + 1 for g in group])
-        hashes, ends = document_words(lines)
+        hashes, ends = document_words(lines, lower=False)
         line = np.repeat(np.arange(len(lines)), np.diff(ends, prepend=0))
         order = token_order(hashes, rank, line)
         hashes, line = hashes[order], line[order]
@@ -124,56 +142,99 @@ def line_table(texts: DataFrame, counts: np.ndarray, threshold: Fraction) -> Dat
         some = np.flatnonzero(sizes)
         parity = parity_words(hashes, (np.cumsum(sizes) - sizes)[some], sizes[some])
         position = np.arange(len(line)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        kept = position <= (sizes - -(-sizes * top // bottom))[line]
+        owner = ids[np.repeat(np.arange(len(group)), per_document)][some]
+        number = (np.arange(len(lines)) - np.repeat(np.cumsum(per_document) - per_document, per_document))[some]
+        digests = [blake2b(lines[i], digest_size=16).digest() for i in some.tolist()]
+        copies = copied(digests, owner, number)
+        for i in np.flatnonzero(copies).tolist():
+            digests[i] = blake2b(digests[i], digest_size=16, key=b"%d %d" % (owner[i], number[i])).digest()
+        needed = sizes - -(-sizes * top // bottom)
+        needed[some[copies]] = -1
+        kept = position <= needed[line]
         bounds = np.r_[0, np.cumsum(np.bincount(line[kept], minlength=len(lines))[some])].astype(np.int32)
-        owner = np.repeat(np.arange(len(group)), per_document)
-        number = np.arange(len(lines)) - np.repeat(np.cumsum(per_document) - per_document, per_document)
         columns = [
-            pa.array([blake2b(lines[i].lower(), digest_size=16).digest() for i in some.tolist()], pa.binary()),
-            pa.array(ids[owner[some]]),
-            pa.array(number[some], pa.int32()),
+            pa.array(digests, pa.binary()),
+            pa.array(owner),
+            pa.array(number, pa.int32()),
             pa.array(sizes[some], pa.int32()),
             *[pa.array(word.view(np.int64)) for word in parity],
             pa.ListArray.from_arrays(bounds, pa.array(hashes[kept].view(np.int64))),
+            pa.array(copies),
         ]
-        return pa.RecordBatch.from_arrays(columns, names=["digest", "doc_id", "line", "size", *PARITY, "tokens"])
+        return pa.RecordBatch.from_arrays(columns, names=["digest", "doc_id", "line", "size", *PARITY, "tokens", "copy"])
 
     return texts.filter("doc_id IS NOT NULL").mapInArrow(run, LINE)
 
 
+def visits(batch: pa.RecordBatch, counts: np.ndarray, part_lines: int, asks: np.ndarray | None = None) -> np.ndarray:
+    """One visit per line and prefix token; for frequent tokens one per part that the line visits. ``asks`` names lines that ask."""
+    tokens = batch.column("tokens")
+    each = tokens.value_lengths().to_numpy()
+    hashes = tokens.flatten().to_numpy().view(np.uint64)
+    row = np.repeat(np.arange(batch.num_rows), each)
+    position = np.arange(len(hashes)) - np.repeat(np.cumsum(each) - each, each)
+    doc_id, line, size, *parity = (batch.column(name).to_numpy() for name in ("doc_id", "line", "size", *PARITY))
+    lines = np.zeros(batch.num_rows, VISIT)
+    lines["doc_id"], lines["line"], lines["size"], lines["parity"] = doc_id, line, size, np.stack(parity, axis=1).view(np.uint64)
+    lines["asker"] = True if asks is None else asks
+    lines["partner"] = True
+    side = 1 + counts[bucket(hashes)] // part_lines
+    found = lines[row]
+    found["key"], found["position"] = hashes, position
+    frequent = np.flatnonzero(side > 1)
+    if not len(frequent):
+        return found
+    times = np.where(side > 1, 2 * side - 1, 1)
+    place = np.repeat(np.arange(len(hashes)), times)
+    found, side = found[place], side[place]
+    visit = np.arange(len(place)) - (np.cumsum(times) - times)[place]
+    own = (found["doc_id"] + found["line"].astype(np.int64) * 7) % side
+    asker = visit < side
+    other = np.where(asker, visit, visit - side + (visit - side >= own))
+    part = np.where(asker, own * side + other, other * side + own)
+    found["key"] += part.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    found["asker"] &= asker
+    found["partner"] = ~asker | (other == own)
+    return found
+
+
 def meeting_rows(lines: DataFrame, counts: np.ndarray, part_lines: int, wanted: tuple[np.ndarray, np.ndarray] | None = None) -> DataFrame:
-    """One row per line and prefix token; for frequent tokens one per part that the line visits.
+    """The visits of all lines, in blocks by part of the keys.
 
     ``wanted`` holds bit sets of the keys to deal and of the lines that ask there.
     """
+    parts = 1 << (int(counts.sum()) // PART_WORDS).bit_length()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            tokens = batch.column("tokens")
-            each = tokens.value_lengths().to_numpy()
-            hashes = tokens.flatten().to_numpy().view(np.uint64)
-            side = 1 + counts[bucket(hashes)] // part_lines
-            visits = 2 * side - 1
-            place = np.repeat(np.arange(len(hashes)), visits)
-            row = np.repeat(np.arange(batch.num_rows), each)[place]
-            position = (np.arange(len(hashes)) - np.repeat(np.cumsum(each) - each, each))[place]
-            visit, side = np.arange(len(place)) - (np.cumsum(visits) - visits)[place], side[place]
-            doc_id, line, size, *parity = (batch.column(name).to_numpy() for name in ("doc_id", "line", "size", *PARITY))
-            own = (doc_id[row] + line[row].astype(np.int64) * 7) % side
-            asker = visit < side
-            other = np.where(asker, visit, visit - side + (visit - side >= own))
-            part = np.where(asker, own * side + other, other * side + own)
-            key = hashes[place] + part.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-            partner = ~asker | (other == own)
-            if wanted is not None:
+            if wanted is None:
+                found = visits(batch, counts, part_lines)
+            else:
                 keys, askers = wanted
-                asker &= has_bit(askers, line_place(doc_id, line))[row]
-                there = np.flatnonzero(has_bit(keys, key_place(key.view(np.int64))) & (asker | partner))
-                key, row, position, partner, asker = (c[there] for c in (key, row, position, partner, asker))
-            columns = [key.view(np.int64), doc_id[row], line[row], size[row], position.astype(np.int32), *[word[row] for word in parity], partner, asker]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "doc_id", "line", "size", "position", *PARITY, "partner", "asker"])
+                found = visits(batch, counts, part_lines, has_bit(askers, line_place(batch.column("doc_id").to_numpy(), batch.column("line").to_numpy())))
+                found = found[(found["asker"] | found["partner"]) & has_bit(keys, key_place(found["key"].view(np.int64)))]
+            if not len(found):
+                continue
+            part = mix(found["key"]) & np.uint64(parts - 1)
+            order = np.argsort(part, kind="stable")
+            found, part = found[order], part[order].astype(np.int64)
+            begins = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
+            bounds = (np.r_[begins, len(found)] * VISIT.itemsize).astype(np.int32)
+            blocks = pa.BinaryArray.from_buffers(pa.binary(), len(begins), [None, pa.py_buffer(bounds), pa.py_buffer(found.view(np.uint8))])
+            yield pa.RecordBatch.from_arrays([pa.array(part[begins]), blocks], names=["part", "visits"])
 
-    return lines.select("doc_id", "line", "size", *PARITY, "tokens").mapInArrow(run, MEETING)
+    return lines.select("doc_id", "line", "size", *PARITY, "tokens").mapInArrow(run, BLOCK)
+
+
+def asked_keys(lines: DataFrame, counts: np.ndarray, part_lines: int) -> DataFrame:
+    """Keys at which lines ask."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = visits(batch, counts, part_lines)
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(found["key"][found["asker"]]).view(np.int64))], names=["key"])
+
+    return lines.select("doc_id", "line", "size", *PARITY, "tokens").mapInArrow(run, "key long")
 
 
 def candidates(meetings: DataFrame, threshold: Fraction, every: bool) -> DataFrame:
@@ -183,62 +244,62 @@ def candidates(meetings: DataFrame, threshold: Fraction, every: bool) -> DataFra
     """
     top, bottom = threshold.numerator, threshold.denominator
 
-    def within(rows: dict[str, np.ndarray]) -> pa.RecordBatch:
-        """Rows of whole keys, in order of key and line: each is compared with the d-th before it, for growing d."""
-        key, size, position = (rows[c] for c in ("key", "size", "position"))
-        words = np.stack([rows[c] for c in PARITY]).view(np.uint64)
+    def within(rows: np.ndarray) -> pa.RecordBatch:
+        """Visits of whole keys: each is compared with the d-th larger line of its key, for growing d."""
+        rows = rows[np.lexsort((rows["line"], rows["doc_id"]))]  # a row's place is its line's place in time
+        time = np.lexsort((rows["size"], rows["key"]))
+        key, size = rows["key"][time], rows["size"][time].astype(np.int64)
+        rest = size - rows["position"][time]
+        words = rows["parity"][time].T.copy()
         parity = np.bitwise_xor.reduce(words)
-        rest = size - position
-        first, number = np.full(len(key), -1), np.zeros(len(key), np.int64)
-        found: list[tuple[np.ndarray, np.ndarray]] = []
+        asker, partner = rows["asker"][time], rows["partner"][time]
+        # The shared token and those after it bound the overlap; top / (top + bottom) of all tokens are needed.
+        largest = (rest * (top + bottom) - size * top) // top
+        first, number = np.full(len(key), len(key)), np.zeros(len(key), np.int64)
+        pairs: list[tuple[np.ndarray, np.ndarray]] = []
         live, d = np.arange(len(key)), 1
         while len(live):
-            live = live[live >= d]
-            live = live[key[live] == key[live - d]]
-            b = live[rows["asker"][live] & rows["partner"][live - d]]
-            a = b - d
-            sizes = size[a] + size[b]
-            fit = np.minimum(size[a], size[b]) * bottom >= np.maximum(size[a], size[b]) * top
-            # The shared token and those after it bound the overlap; top / (top + bottom) of all tokens are needed.
-            fit &= np.minimum(rest[a], rest[b]) * (top + bottom) >= sizes * top
+            live = live[: np.searchsorted(live, len(key) - d)]
+            live = live[(key[live + d] == key[live]) & (size[live + d] <= largest[live])]
             # Every token in only one of two lines flips one bit at most.
-            fit &= np.bitwise_count(parity[a] ^ parity[b]).astype(np.int64) * (top + bottom) <= sizes * (bottom - top)
-            a, b, sizes = a[fit], b[fit], sizes[fit]
-            fit = parity_differences(words[:, a] ^ words[:, b], np.minimum(size[a], size[b])) * (top + bottom) <= sizes * (bottom - top)
-            a, b = a[fit], b[fit]
-            if every:
-                found.append((a, b))
-            else:
-                first[b] = a
-                number[b] += 1
+            a = live[np.bitwise_count(parity[live] ^ parity[live + d]) * (top + bottom) <= (size[live] + size[live + d]) * (bottom - top)]
+            sizes = size[a] + size[a + d]
+            fit = rest[a + d] * (top + bottom) >= sizes * top
+            fit &= parity_differences(words[:, a] ^ words[:, a + d], size[a]) * (top + bottom) <= sizes * (bottom - top)
+            a = a[fit]
+            turned = time[a] > time[a + d]
+            for early, late in ((a[~turned], a[~turned] + d), (a[turned] + d, a[turned])):
+                meet = asker[late] & partner[early]
+                early, late = early[meet], late[meet]
+                if every:
+                    pairs.append((time[early], time[late]))
+                else:
+                    first[late] = np.minimum(first[late], time[early])
+                    number[late] += 1
             d += 1
         if every:
-            a, b = (np.concatenate([np.zeros(0, np.int64), *(pair[i] for pair in found)]) for i in (0, 1))
+            a, b = (np.concatenate([np.zeros(0, np.int64), *(pair[i] for pair in pairs)]) for i in (0, 1))
+            more = np.ones(len(b), bool)
         else:
-            b = np.flatnonzero(number)
-            a = first[b]
-        columns = [rows["doc_id"][a], rows["line"][a], rows["doc_id"][b], rows["line"][b], number[b] > 1]
+            late = np.flatnonzero(number)
+            a, b, more = first[late], time[late], number[late] > 1
+        columns = [rows["doc_id"][a], rows["line"][a], rows["doc_id"][b], rows["line"][b], more]
         return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["a_doc_id", "a_line", "b_doc_id", "b_line", "more"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[dict[str, np.ndarray]] = []
+        held: list[bytes] = []
+        last = None
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            rows = {name: batch.column(name).to_numpy(zero_copy_only=False) for name in batch.schema.names}
-            last = int(np.searchsorted(rows["key"], rows["key"][-1]))
-            if held and rows["key"][0] != held[0]["key"][-1]:
-                yield within({name: np.concatenate([h[name] for h in held]) for name in rows})
-                held = []
-            if last:  # keys before the batch's last one end here
-                before = [*held, {name: values[:last] for name, values in rows.items()}]
-                yield within({name: np.concatenate([h[name] for h in before]) for name in rows})
-                held = []
-            held.append({name: values[last:] for name, values in rows.items()})
+            for part, block in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                if held and part != last:
+                    yield within(np.frombuffer(b"".join(held), VISIT))
+                    held = []
+                held.append(block.as_py())
+                last = part
         if held:
-            yield within({name: np.concatenate([h[name] for h in held]) for name in held[0]})
+            yield within(np.frombuffer(b"".join(held), VISIT))
 
-    return meetings.repartition("key").sortWithinPartitions("key", "doc_id", "line").mapInArrow(run, CANDIDATE)
+    return meetings.repartition("part").sortWithinPartitions("part").mapInArrow(run, CANDIDATE)
 
 
 def line_place(doc_id: np.ndarray, line: np.ndarray) -> np.ndarray:
@@ -274,16 +335,16 @@ def line_contents(texts: DataFrame, wanted: np.ndarray) -> DataFrame:
     """The lines whose bit is set, cut out of the texts; one per (doc_id, line)."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            owners, numbers, contents = [], [], []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                lines = text.as_py().split("\n")
-                at = line_place(np.full(len(lines), doc_id), np.arange(len(lines)))
-                chosen = np.flatnonzero(has_bit(wanted, at)).tolist()
-                owners += [doc_id] * len(chosen)
-                numbers += chosen
-                contents += [lines[i] for i in chosen]
-            yield pa.RecordBatch.from_arrays([pa.array(owners, pa.int64()), pa.array(numbers, pa.int32()), pa.array(contents, pa.string())], names=["doc_id", "line", "content"])
+        for whole in batches:
+            for at in range(0, whole.num_rows, BATCH_ROWS):
+                batch = whole.slice(at, BATCH_ROWS)
+                lines = pc.split_pattern(batch.column(1), "\n")
+                each = lines.value_lengths().to_numpy()
+                owners = np.repeat(batch.column(0).to_numpy(), each)
+                numbers = np.arange(len(owners)) - np.repeat(np.cumsum(each) - each, each)
+                chosen = np.flatnonzero(has_bit(wanted, line_place(owners, numbers)))
+                contents = lines.flatten().take(pa.array(chosen))
+                yield pa.RecordBatch.from_arrays([pa.array(owners[chosen]), pa.array(numbers[chosen], pa.int32()), contents.cast(pa.string())], names=["doc_id", "line", "content"])
 
     return texts.filter("doc_id IS NOT NULL AND text IS NOT NULL").mapInArrow(cut, "doc_id long, line int, content string").dropDuplicates(["doc_id", "line"])
 
@@ -292,8 +353,8 @@ def similar_lines(pairs: DataFrame, lines: DataFrame, threshold: Fraction) -> Da
     """(doc_id, line) of the later lines of all pairs that are similar enough."""
     top, bottom = threshold.numerator, threshold.denominator
 
-    def tokens(content: str) -> set[str]:
-        return set(WORD.findall(content.translate(CAPITALS)))
+    def tokens(content: str) -> set[bytes]:
+        return set(content.encode().lower().split())  # of bytes: A-Z only, and the white space of ASCII
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -322,12 +383,12 @@ def duplicate_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str
         raise ValueError("threshold must lie between 1/2 and 1")
     texts = docs.select(docs[id_column].cast("long").alias("doc_id"), docs[text_column].alias("text"))
     counts = token_counts(texts)
-    lines = stored(line_table(texts, counts, threshold))
-    several = lines.groupBy("digest").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count("*").alias("n")).filter("n > 1")
-    copies = stored(lines.join(several, "digest").filter(F.struct("doc_id", "line") != F.col("first")).select("doc_id", "line").distinct())
-    row = F.min(F.struct("doc_id", "line", "size", *PARITY, "tokens")).alias("row")
-    single = stored(lines.groupBy("digest").agg(row).select("row.*"))
-    discard(lines)
+    # Of equal lines the earliest is single; rows of the same line, by a repeated id, are no copies of each other.
+    equal = Window.partitionBy("digest").orderBy("doc_id", "line")
+    placed = line_table(texts, counts, threshold).withColumns({"place": F.row_number().over(equal), "earlier": F.rank().over(equal)})
+    lines = stored(placed.select("doc_id", "line", "size", *PARITY, "tokens", (F.col("copy") | (F.col("earlier") > 1)).alias("copy"), (~F.col("copy") & (F.col("place") == 1)).alias("single")))
+    copies = stored(lines.filter("copy").select("doc_id", "line"))
+    single = lines.filter("single")
     meetings = meeting_rows(single, counts, part_lines)
     earliest = stored(candidates(meetings, threshold, every=False).groupBy("a_doc_id", "a_line", "b_doc_id", "b_line").agg(F.max("more").alias("more")))
     found = verified(earliest.drop("more"), texts, threshold)
@@ -335,11 +396,11 @@ def duplicate_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str
     waiting = stored(unsettled.join(found, ["doc_id", "line"], "left_anti"))
     discard(earliest)
     # Only lines that wait ask again, and only the keys they visit are dealt; a few others, by hash, change no result.
-    keys = meeting_rows(single.join(waiting, ["doc_id", "line"], "left_semi"), counts, part_lines).filter("asker")
+    keys = asked_keys(single.join(waiting, ["doc_id", "line"], "left_semi"), counts, part_lines)
     visited = meeting_rows(single, counts, part_lines, (bit_filter(keys, KEY_PLACE), bit_filter(waiting, PLACE)))
     others = stored(candidates(visited, threshold, every=True).drop("more").distinct())
     more = verified(others, texts, threshold)
-    discard(single, waiting, others)
+    discard(lines, waiting, others)
     return copies.unionByName(found).unionByName(more)
 
 
