@@ -20,6 +20,7 @@ import json
 import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +29,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from crossfoot.llm.grams import BATCH_ROWS
+
 NONE = 1 << 62
 WIDEST, BLOCK = 32, 8192
 GROUP_CHARS = 4_000_000
@@ -317,17 +320,19 @@ def bpe_encode_decode(docs: DataFrame, tokenizer_path: str, id_column: str = "do
     if with_ids:
         schema = schema.add("ids", T.BinaryType()).add("decoded", T.StringType())
 
+    kinds = (pa.int64(), pa.string(), pa.string(), pa.binary(), pa.string())[: 5 if with_ids else 3]
+
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = tokenizer_of(content, key)
         for batch in batches:
-            columns: list[list] = [[] for _ in range(5)]
-            for ids in tokenizer.encode(value.as_py() or "" for value in batch.column(1)):
-                decoded = tokenizer.decode(ids)
-                row = (len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest(), ids, decoded)
-                for column, cell in zip(columns[: 5 if with_ids else 3], row, strict=False):
-                    column.append(cell)
-            kinds = (pa.int64(), pa.string(), pa.string(), pa.binary(), pa.string())[: 5 if with_ids else 3]
-            arrays = [batch.column(0), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=False))]
-            yield pa.RecordBatch.from_arrays(arrays, names=schema.fieldNames())
+            found = tokenizer.encode(value.as_py() or "" for value in batch.column(1))
+            for at in range(0, batch.num_rows, BATCH_ROWS):
+                rows = [row(tokenizer, ids) for ids in islice(found, BATCH_ROWS)]
+                arrays = [batch.column(0).slice(at, BATCH_ROWS), *(pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=False))]
+                yield pa.RecordBatch.from_arrays(arrays, names=schema.fieldNames())
+
+    def row(tokenizer: Tokenizer, ids: bytes) -> tuple:
+        decoded = tokenizer.decode(ids)
+        return (len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest(), ids, decoded)[: len(kinds)]
 
     return docs.select(docs[id_column], docs[text_column]).mapInArrow(encode, schema)

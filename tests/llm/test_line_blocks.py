@@ -2,7 +2,10 @@ import random
 from fractions import Fraction
 
 import numpy as np
+import public_tokenizers
+import pyarrow as pa
 
+from crossfoot.llm.bpe import bpe_encode_decode
 from crossfoot.llm.line_dedup import PART_LINES, VISIT, line_table, meeting_rows, token_counts
 from crossfoot.llm.words import BASE, BYTE_CODE, document_words, mix
 
@@ -38,3 +41,14 @@ def test_copies_of_a_common_line_do_not_meet(documents):
 def test_repeated_rows_are_no_copies_of_each_other(documents):
     texts = documents([(7, "one line\nanother one")] * 3).select("doc_id", "text").coalesce(1)
     assert not any(x.copy for x in line_table(texts, token_counts(texts), Fraction(4, 5)).collect())
+
+
+def test_encoded_rows_are_handed_back_in_small_batches(documents, monkeypatch):
+    docs = documents([(1, "a")])
+    taken = []
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, make, schema: taken.append(make))
+    bpe_encode_decode(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    rows = pa.RecordBatch.from_arrays([pa.array(range(1200)), pa.array([f"text {i}" for i in range(1200)])], names=["doc_id", "text"])
+    made = list(taken[0](iter([rows])))
+    assert [b.num_rows for b in made] == [500, 500, 200]
+    assert pa.Table.from_batches(made).column("decoded").to_pylist() == rows.column("text").to_pylist()
