@@ -4,9 +4,10 @@ A sequence of tokens is what merging by ranks gives for its bytes exactly if eve
 tokens: until the first merge across a border, the sides of a border evolve as they do alone. So merging is a regular
 relation. The transducer that guesses token borders has states (last token, place in the trie of tokens); after any
 prefix one state stands at each possible border, because the merged prefix has one last token. Determinising keeps the
-set of these states with the tokens that each still owes; tokens that all of them agree on are emitted, which takes no
-longer than the longest token that could still be open. Subsets and their moves are made when a text first needs them
-and dropped together when they become many.
+set of these states, and a move says which token ends the merged prefix there; read backwards from the end of a piece,
+these are its tokens, since each begins where the one before it ends. So subsets owe nothing and many pieces share them.
+Short pieces take their moves in step, from one sorted table. Subsets and their moves are made when a text first needs
+them and dropped together when they become many.
 
 Decoding takes ids in any pieces and returns whole characters as soon as their last byte is known.
 
@@ -19,6 +20,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -28,7 +30,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from crossfoot.llm.bpe import PATTERN, Tokenizer, ragged
+from crossfoot.llm.bpe import BLOCK, NONE, PATTERN, WIDEST, Tokenizer, ragged
 
 ROOT = 0
 MOST_STATES = 150_000
@@ -42,12 +44,11 @@ class Merger:
     def __init__(self, rank_of: dict[bytes, int]) -> None:
         self.rank_of = rank_of
 
-    def merge(self, data: bytes, border: int = 0) -> list[bytes] | None:
-        """Tokens of ``data``; None as soon as a merge would cross ``border``."""
+    def merge(self, data: bytes, history: list[tuple[int, bytes, bytes]] | None = None) -> list[bytes]:
+        """Tokens of ``data``; ``history`` gets the rank of each merge, and what then is the first part and the last."""
         rank_of = self.rank_of
         parts = [data[i : i + 1] for i in range(len(data))]
         pairs = [rank_of.get(a + b) for a, b in zip(parts, parts[1:], strict=False)]
-        left = border  # number of parts before the border
         while True:
             least, at = None, -1
             for i, rank in enumerate(pairs):
@@ -55,23 +56,26 @@ class Merger:
                     least, at = rank, i
             if least is None:
                 return parts
-            if border:
-                if at == left - 1:
-                    return None
-                left -= at < left
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
             del pairs[at]
             if at < len(pairs):
                 pairs[at] = rank_of.get(parts[at] + parts[at + 1])
             if at:
                 pairs[at - 1] = rank_of.get(parts[at - 1] + parts[at])
+            if history is not None:
+                history.append((least, parts[0], parts[-1]))
 
 
 class Transducer:
-    """Bytes in, token ids out. States are numbers of subsets; both they and their moves are made on demand."""
+    """Bytes in, token ids out. States are numbers of subsets; both they and their moves are made on demand.
+
+    A subset is a tuple of ``last token << 32 | node``, with -1 for the token before the first. A move is the number of
+    the next subset and the token that ends the merged prefix there, as ``number << 32 | token``. Pieces worked on in step
+    look moves up in sorted arrays, a single piece in a dictionary; there are at most twice ``MOST_STATES`` subsets.
+    """
 
     def __init__(self, token_bytes: list[bytes], hidden: frozenset[int]) -> None:
-        self.token_bytes = token_bytes
+        self.token_bytes, self.token_sizes = token_bytes, np.array([len(token) for token in token_bytes], np.int64)
         self.rank_of = {token: i for i, token in enumerate(token_bytes) if token}
         if any(bytes([b]) not in self.rank_of for b in range(256)):
             raise ValueError("a byte-level vocabulary has a token for every byte")
@@ -93,15 +97,17 @@ class Transducer:
                         self.inner[key >> 8] = 1
                 self.token_at[node] = i
         self.pairs: dict[int, bool] = {}
-        self.moves: dict[int, tuple[int, tuple[int, ...]]] = {}
+        self.histories: dict[int, list[tuple[int, bytes, bytes]]] = {}
+        self.moves: dict[int, int] = {}
         self.forget()
 
     def forget(self) -> None:
-        start = ((-1, (), ROOT),)
+        start = (-1 << 32 | ROOT,)
         self.number = {start: 0}
-        self.subsets: list[tuple] = [start]
-        self.owed: list[tuple[int, ...]] = [()]
+        self.subsets: list[tuple[int, ...]] = [start]
         self.moves.clear()
+        # The last key is larger than any other, so that each search ends inside.
+        self.keys, self.ends = np.array([NONE]), np.zeros(1, np.int64)
 
     def stay_apart(self, left: int, right: int) -> bool:
         """Whether two neighbouring tokens, merged alone, stay the two tokens they are."""
@@ -110,63 +116,119 @@ class Transducer:
         if known is None:
             if len(self.pairs) >= MOST_PAIRS:
                 self.pairs.clear()
-            first = self.token_bytes[left]
-            known = self.pairs[key] = self.merger.merge(first + self.token_bytes[right], len(first)) is not None
+            known = self.pairs[key] = not self.merge_across(left, right)
         return known
 
-    def move(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        """Make the move of a subset on a byte: its number and what can be emitted."""
+    def merge_across(self, left: int, right: int) -> bool:
+        """Whether merging two tokens' bytes crosses their border: the merges of each side in order of rank, until one does."""
+        rank_of = self.rank_of
+        left_steps, right_steps = self.history(left), self.history(right)
+        end, begin = self.token_bytes[left][-1:], self.token_bytes[right][:1]
+        i = j = 0
+        while True:
+            here, there, across = left_steps[i][0], right_steps[j][0], rank_of.get(end + begin, NONE)
+            if across < here and across <= there:  # of equal ranks the leftmost merges first
+                return True
+            if here <= there:
+                if here == NONE:
+                    return False
+                end = left_steps[i][2]
+                i += 1
+            else:
+                begin = right_steps[j][1]
+                j += 1
+
+    def history(self, token: int) -> list[tuple[int, bytes, bytes]]:
+        """The merges that make a token, and an end that no rank reaches."""
+        steps = self.histories.get(token)
+        if steps is None:
+            steps = self.histories[token] = []
+            self.merger.merge(self.token_bytes[token], steps)
+            steps.append((NONE, b"", b""))
+        return steps
+
+    def move(self, state: int, byte: int) -> int:
+        """Make the move of a subset on a byte."""
         edge, token_at, inner, pairs = self.edge, self.token_at, self.inner, self.pairs
-        items, closed = [], None
-        for last, owed, node in self.subsets[state]:
-            node = edge.get(node << 8 | byte)
+        items, closed = [], -1
+        for item in self.subsets[state]:
+            node = edge.get((item & 0xFFFFFFFF) << 8 | byte)
             if node is None:
                 continue
+            last = item >> 32
             if inner[node]:
-                items.append((last, owed, node))
-            if closed is None:
+                items.append(last << 32 | node)
+            if closed < 0:
                 token = token_at[node]
                 if token >= 0 and (last < 0 or (pairs.get(last << 32 | token) or self.stay_apart(last, token))):
-                    closed = (token, (*owed, token), ROOT)
-        items.append(closed)
-        agreed = items[0][1]
-        for _, owed, _ in items[1:] if agreed else ():
-            n = 0
-            while n < len(agreed) and n < len(owed) and agreed[n] == owed[n]:
-                n += 1
-            agreed = agreed[:n]
-        subset = tuple([(last, owed[len(agreed) :], node) for last, owed, node in items] if agreed else items)
-        target = self.number.get(subset)
-        if target is None:
-            target = self.number[subset] = len(self.subsets)
+                    closed = token
+        items.append(closed << 32 | ROOT)
+        return self.number_of(tuple(items)) << 32 | closed
+
+    def number_of(self, subset: tuple[int, ...]) -> int:
+        number = self.number.get(subset)
+        if number is None:
+            number = self.number[subset] = len(self.subsets)
             self.subsets.append(subset)
-            self.owed.append(subset[-1][1])
-        found = self.moves[state << 8 | byte] = (target, agreed)
-        return found
+        return number
 
     def encode(self, piece: bytes) -> list[int]:
-        """Ids of one piece."""
+        """Ids of one piece of any length."""
         if piece in self.whole:
             return [self.whole[piece]]
-        if len(self.subsets) > MOST_STATES:
-            self.forget()
-        known, state, ids = self.moves.get, 0, []
+        moves, state, closed = self.moves, 0, array("i")
         for byte in piece:
-            step = known(state << 8 | byte)
+            key = state << 8 | byte
+            step = moves.get(key)
             if step is None:
-                step = self.move(state, byte)
-                if len(self.subsets) > 2 * MOST_STATES:  # a piece of such length that it fills the table alone
-                    subset = self.subsets[step[0]]
+                step = moves[key] = self.move(state, byte)
+                if len(self.subsets) > 2 * MOST_STATES:
+                    subset = self.subsets[step >> 32]
                     self.forget()
-                    self.number[subset] = len(self.subsets)
-                    self.subsets.append(subset)
-                    self.owed.append(subset[-1][1])
-                    step = (self.number[subset], step[1])
-            state, agreed = step
-            if agreed:
-                ids += agreed
-        ids += self.owed[state]
-        return ids
+                    step = self.number_of(subset) << 32 | step & 0xFFFFFFFF
+            state = step >> 32
+            closed.append(step & 0xFFFFFFFF)
+        ids, end = [], len(piece)
+        while end:
+            ids.append(closed[end - 1])
+            end -= len(self.token_bytes[ids[-1]])
+        return ids[::-1]
+
+    def encode_many(self, data: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of many short pieces, one after the other, and their number per piece. Sizes fall, and a piece is in no ``whole``."""
+        count, width = len(sizes), int(sizes.max(initial=0))
+        closed, states = np.zeros((width, count), np.int64), np.zeros(count, np.int64)
+        made: dict[int, int] = {}
+        for place, live in enumerate(np.searchsorted(-sizes, -np.arange(width)).tolist()):
+            if len(self.subsets) + live > 2 * MOST_STATES:
+                reached, which = np.unique(states[:live], return_inverse=True)
+                subsets = [self.subsets[state] for state in reached.tolist()]
+                self.forget()
+                made.clear()
+                states[:live] = np.array([self.number_of(subset) for subset in subsets])[which]
+            keys = states[:live] << 8 | data[begins[:live] + place]
+            at = np.searchsorted(self.keys, keys)
+            steps = self.ends[at]
+            new = np.flatnonzero(self.keys[at] != keys)
+            if len(new):
+                needed, which = np.unique(keys[new], return_inverse=True)
+                needed = needed.tolist()
+                for key in needed:
+                    if key not in made:
+                        made[key] = self.move(key >> 8, key & 255)
+                steps[new] = np.array([made[key] for key in needed])[which]
+            states[:live], closed[place, :live] = steps >> 32, steps & 0xFFFFFFFF
+        if made:
+            needed = sorted(made)
+            at = np.searchsorted(self.keys, needed)
+            self.keys, self.ends = np.insert(self.keys, at, needed), np.insert(self.ends, at, [made[key] for key in needed])
+        kept, ends, live = np.zeros((width, count), bool), sizes.copy(), np.flatnonzero(sizes)
+        while len(live):
+            last = ends[live] - 1
+            kept[last, live] = True
+            ends[live] -= self.token_sizes[closed[last, live]]
+            live = live[ends[live] > 0]
+        return closed.T[kept.T], kept.sum(axis=0)
 
 
 class CharacterStream:
@@ -220,10 +282,21 @@ class RankTokenizer(Tokenizer):
 
     def merge_distinct(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         data, begins, sizes = ragged(pieces)
-        raw, encode = data.tobytes(), self.transducer.encode
-        ids = [encode(raw[b : b + n]) for b, n in zip(begins.tolist(), sizes.tolist(), strict=True)]
-        counts = np.array([len(i) for i in ids], np.int64)
-        return np.array([i for each in ids for i in each], np.int64), np.cumsum(counts) - counts, counts
+        raw, transducer = data.tobytes(), self.transducer
+        alone = sizes > WIDEST
+        if transducer.whole:
+            alone |= np.array([raw[b : b + n] in transducer.whole for b, n in zip(begins.tolist(), sizes.tolist(), strict=True)], bool)
+        order = np.argsort(-sizes, kind="stable")
+        short, others = order[~alone[order]], np.flatnonzero(alone)
+        block = min(BLOCK, MOST_STATES)
+        found = [transducer.encode_many(data, begins[some], sizes[some]) for some in np.split(short, range(block, len(short), block))]
+        for i in others.tolist():
+            merged = transducer.encode(raw[begins[i] : begins[i] + sizes[i]])
+            found.append((np.array(merged, np.int64), np.array([len(merged)])))
+        order, numbers = np.r_[short, others], np.concatenate([n for _, n in found])
+        counts, starts = np.zeros(len(pieces), np.int64), np.zeros(len(pieces), np.int64)
+        counts[order], starts[order] = numbers, np.cumsum(numbers) - numbers
+        return np.concatenate([ids for ids, _ in found]), starts, counts
 
     def _encode(self, group: list[str]) -> Iterator[bytes]:
         if self.usual:

@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings
@@ -73,6 +74,37 @@ def test_any_ranks_equal_plain_merging(merged, pieces):
         assert transducer.encode(piece) == expected
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text("abc", min_size=2, max_size=5).map(str.encode), max_size=25, unique=True), st.lists(st.text("abc", max_size=40), max_size=30, unique=True), st.sampled_from([20, 1000]))
+def test_pieces_in_step_equal_plain_merging(merged, pieces, most):
+    """Empty and long pieces, tokens that merging never reaches and tables that are dropped included."""
+    tokens = small_vocabulary(merged)
+    merger = Merger({t: i for i, t in enumerate(tokens)})
+    hidden = frozenset(i for i, t in enumerate(tokens) if len(merger.merge(t)) > 1)
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(byte_bpe, "MOST_STATES", most)
+        ids, starts, counts = RankTokenizer(tokens, hidden, public_tokenizers.PATTERN).merge_distinct(pa.array(pieces, pa.large_string()))
+    for piece, start, count in zip(map(str.encode, pieces), starts, counts, strict=True):
+        expected = [tokens.index(piece)] if piece in tokens else [tokens.index(t) for t in merger.merge(piece)]
+        assert ids[start : start + count].tolist() == expected
+
+
+def test_moves_are_shared_by_many_words(library, monkeypatch):
+    """A move is far dearer than a byte that follows a known one, so words of the same parts have to share them."""
+    monkeypatch.setattr(byte_bpe, "MOST_STATES", 5_000)
+    content, hidden, _ = read_ranks(PATH)
+    fresh = RankTokenizer(parse_ranks(content), hidden, public_tokenizers.PATTERN)
+    made, single, move, encode = [], [], Transducer.move, Transducer.encode
+    monkeypatch.setattr(Transducer, "move", lambda self, state, byte: made.append(byte) or move(self, state, byte))
+    monkeypatch.setattr(Transducer, "encode", lambda self, piece: single.append(piece) or encode(self, piece))
+    random.seed(8)
+    parts = "th he an in er on re nd at ou ea ti is or ha es".split()
+    words = [" " + "".join(random.choices(parts, k=random.randint(2, 7))) for _ in range(8_000)]
+    check(library, fresh, ["".join(words)])
+    assert len(made) < 30_000  # 34,030 while subsets carried the tokens they owed
+    assert not single
+
+
 def test_tables_are_dropped_and_made_again(library, monkeypatch):
     monkeypatch.setattr(byte_bpe, "MOST_STATES", 50)
     monkeypatch.setattr(byte_bpe, "MOST_PAIRS", 50)
