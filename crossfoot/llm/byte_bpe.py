@@ -30,12 +30,14 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from crossfoot.llm.bpe import BLOCK, NONE, PATTERN, WIDEST, Tokenizer, ragged
+from crossfoot.llm.bpe import BLOCK, NONE, PATTERN, Tokenizer, ragged
 
 ROOT = 0
 MOST_STATES = 150_000
 MOST_PAIRS = 500_000
 STREAM_IDS = 65_536
+#: Bytes of the longest pieces that are worked on in step.
+IN_STEP = 256
 
 
 class Merger:
@@ -70,8 +72,8 @@ class Transducer:
     """Bytes in, token ids out. States are numbers of subsets; both they and their moves are made on demand.
 
     A subset is a tuple of ``last token << 32 | node``, with -1 for the token before the first. A move is the number of
-    the next subset and the token that ends the merged prefix there, as ``number << 32 | token``. Pieces worked on in step
-    look moves up in sorted arrays, a single piece in a dictionary; there are at most twice ``MOST_STATES`` subsets.
+    the next subset and the token that ends the merged prefix there. Pieces worked on in step look moves up in sorted
+    arrays, as ``number << 32 | token``, a single piece in a dictionary; at most twice ``MOST_STATES`` subsets are kept.
     """
 
     def __init__(self, token_bytes: list[bytes], hidden: frozenset[int]) -> None:
@@ -98,7 +100,7 @@ class Transducer:
                 self.token_at[node] = i
         self.pairs: dict[int, bool] = {}
         self.histories: dict[int, list[tuple[int, bytes, bytes]]] = {}
-        self.moves: dict[int, int] = {}
+        self.moves: dict[int, tuple[int, int]] = {}
         self.forget()
 
     def forget(self) -> None:
@@ -147,7 +149,7 @@ class Transducer:
             steps.append((NONE, b"", b""))
         return steps
 
-    def move(self, state: int, byte: int) -> int:
+    def move(self, state: int, byte: int) -> tuple[int, int]:
         """Make the move of a subset on a byte."""
         edge, token_at, inner, pairs = self.edge, self.token_at, self.inner, self.pairs
         items, closed = [], -1
@@ -163,7 +165,7 @@ class Transducer:
                 if token >= 0 and (last < 0 or (pairs.get(last << 32 | token) or self.stay_apart(last, token))):
                     closed = token
         items.append(closed << 32 | ROOT)
-        return self.number_of(tuple(items)) << 32 | closed
+        return self.number_of(tuple(items)), closed
 
     def number_of(self, subset: tuple[int, ...]) -> int:
         number = self.number.get(subset)
@@ -176,18 +178,18 @@ class Transducer:
         """Ids of one piece of any length."""
         if piece in self.whole:
             return [self.whole[piece]]
-        moves, state, closed = self.moves, 0, array("i")
+        known, state, closed = self.moves.get, 0, array("i")
+        note = closed.append
         for byte in piece:
-            key = state << 8 | byte
-            step = moves.get(key)
+            step = known(state << 8 | byte)
             if step is None:
-                step = moves[key] = self.move(state, byte)
+                step = self.moves[state << 8 | byte] = self.move(state, byte)
                 if len(self.subsets) > 2 * MOST_STATES:
-                    subset = self.subsets[step >> 32]
+                    subset = self.subsets[step[0]]
                     self.forget()
-                    step = self.number_of(subset) << 32 | step & 0xFFFFFFFF
-            state = step >> 32
-            closed.append(step & 0xFFFFFFFF)
+                    step = (self.number_of(subset), step[1])
+            state, token = step
+            note(token)
         ids, end = [], len(piece)
         while end:
             ids.append(closed[end - 1])
@@ -197,7 +199,7 @@ class Transducer:
     def encode_many(self, data: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of many short pieces, one after the other, and their number per piece. Sizes fall, and a piece is in no ``whole``."""
         count, width = len(sizes), int(sizes.max(initial=0))
-        closed, states = np.zeros((width, count), np.int64), np.zeros(count, np.int64)
+        closed, states = np.zeros((width, count), np.int32), np.zeros(count, np.int64)
         made: dict[int, int] = {}
         for place, live in enumerate(np.searchsorted(-sizes, -np.arange(width)).tolist()):
             if len(self.subsets) + live > 2 * MOST_STATES:
@@ -215,7 +217,8 @@ class Transducer:
                 needed = needed.tolist()
                 for key in needed:
                     if key not in made:
-                        made[key] = self.move(key >> 8, key & 255)
+                        state, token = self.move(key >> 8, key & 255)
+                        made[key] = state << 32 | token
                 steps[new] = np.array([made[key] for key in needed])[which]
             states[:live], closed[place, :live] = steps >> 32, steps & 0xFFFFFFFF
         if made:
@@ -228,7 +231,7 @@ class Transducer:
             kept[last, live] = True
             ends[live] -= self.token_sizes[closed[last, live]]
             live = live[ends[live] > 0]
-        return closed.T[kept.T], kept.sum(axis=0)
+        return closed.T[kept.T].astype(np.int64), kept.sum(axis=0)
 
 
 class CharacterStream:
@@ -283,7 +286,7 @@ class RankTokenizer(Tokenizer):
     def merge_distinct(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         data, begins, sizes = ragged(pieces)
         raw, transducer = data.tobytes(), self.transducer
-        alone = sizes > WIDEST
+        alone = sizes > IN_STEP
         if transducer.whole:
             alone |= np.array([raw[b : b + n] in transducer.whole for b, n in zip(begins.tolist(), sizes.tolist(), strict=True)], bool)
         order = np.argsort(-sizes, kind="stable")

@@ -83,6 +83,7 @@ def test_pieces_in_step_equal_plain_merging(merged, pieces, most):
     hidden = frozenset(i for i, t in enumerate(tokens) if len(merger.merge(t)) > 1)
     with pytest.MonkeyPatch.context() as patch:
         patch.setattr(byte_bpe, "MOST_STATES", most)
+        patch.setattr(byte_bpe, "IN_STEP", 12)
         ids, starts, counts = RankTokenizer(tokens, hidden, public_tokenizers.PATTERN).merge_distinct(pa.array(pieces, pa.large_string()))
     for piece, start, count in zip(map(str.encode, pieces), starts, counts, strict=True):
         expected = [tokens.index(piece)] if piece in tokens else [tokens.index(t) for t in merger.merge(piece)]
