@@ -9,7 +9,7 @@ from crossfoot.runtime import ref
 
 
 def file_fingerprints(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
-    """(path, file_name, size_bytes, sha256) of every file; executors hash one file per row (2 GB limit per file)."""
+    """(path, file_name, size_bytes, sha256) of every file; executors stream each file through its hash, whatever its size."""
     reader = spark.read.format("binaryFile")
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
@@ -17,10 +17,48 @@ def file_fingerprints(spark: SparkSession, path: str, pattern: str | None = None
         "path",
         F.element_at(F.split("path", "/"), -1).alias("file_name"),
         F.col("length").alias("size_bytes"),
-        F.sha2("content", 256).alias("sha256"),
+        _streamed_sha256(spark, "path").alias("sha256"),
     )
 
 
+def _streamed_sha256(spark: SparkSession, path: str) -> Column:
+    """SHA-256 of the file that column ``path`` names, read by Spark's executors a buffer at a time.
+
+    No SQL function and no reader passes on a file in pieces (``binaryFile`` holds its content in one cell, several times
+    over, and stops at 2 GB), so the column calls Hadoop's file system and commons-codec through Catalyst's expressions:
+    ``DigestUtils.sha256Hex(new AutoCloseInputStream(new Path(path).getFileSystem(conf).open(new Path(path))))``.
+    """
+    jvm = spark.sparkContext._jvm
+    nodes, catalyst = jvm.org.apache.spark.sql.classic.ExpressionUtils, jvm.org.apache.spark.sql.catalyst.expressions
+    to_class, none = jvm.java.lang.Class.forName, jvm.scala.Option.empty()
+
+    def kind(name):
+        return jvm.org.apache.spark.sql.types.ObjectType(to_class(name))
+
+    def seq(*items):
+        return jvm.org.apache.spark.api.python.PythonUtils.toSeq(list(items))
+
+    def new(name, *args):
+        return catalyst.objects.NewInstance(to_class(name), seq(*args), seq(), True, kind(name), none)
+
+    def call(target, method, returns, *args):
+        return catalyst.objects.Invoke(target, method, returns, seq(*args), seq(), True, True, True)
+
+    def static(name, method, returns, *args):
+        return catalyst.objects.StaticInvoke(to_class(name), returns, method, seq(*args), seq(), True, True, True, none)
+
+    settings = "org.apache.spark.util.SerializableConfiguration"
+    shared = jvm.org.apache.spark.util.SerializableConfiguration(spark._jsparkSession.sessionState().newHadoopConf())
+    conf = call(catalyst.Literal(shared, kind(settings)), "value", kind("org.apache.hadoop.conf.Configuration"))
+    place = new("org.apache.hadoop.fs.Path", call(nodes.expression(ref(path)._jc), "toString", kind("java.lang.String")))
+    system = call(place, "getFileSystem", kind("org.apache.hadoop.fs.FileSystem"), conf)
+    opened = call(system, "open", kind("org.apache.hadoop.fs.FSDataInputStream"), place)
+    stream = new("org.apache.commons.io.input.AutoCloseInputStream", opened)  # closes at the end of the file
+    digest = static("org.apache.commons.codec.digest.DigestUtils", "sha256Hex", kind("java.lang.String"), stream)
+    text = jvm.org.apache.spark.sql.types.DataType.fromDDL("string")
+    return Column(nodes.column(static("org.apache.spark.unsafe.types.UTF8String", "fromString", text, digest)))
+
+
 def content_fingerprint(df: DataFrame, table: str) -> DataFrame:
     """(table_name, n_rows, fingerprint) of a table's content, whatever files and order it comes in.
 

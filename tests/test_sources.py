@@ -1,3 +1,5 @@
+import hashlib
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -123,6 +125,19 @@ def test_fingerprints_notice_a_change(spark, tmp_path):
     assert rows == {"a.txt": True, "b.txt": False}
 
 
+def test_fingerprints_hold_no_file_as_a_whole(spark, tmp_path):
+    """Spark's limit for a file held in one cell is set below the files, as if they had more than 2 GB."""
+    contents = {"a b %20 #c.txt": b"one", "mark.csv": b"\xef\xbb\xbfone\n", "named.gz": b"\x1f\x8bone", "long.bin": bytes(range(256)) * 9_000 + b"end"}
+    for name, content in contents.items():
+        (tmp_path / name).write_bytes(content)
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", "2")
+    try:
+        rows = {r.file_name: (r.size_bytes, r.sha256) for r in files.file_fingerprints(spark, str(tmp_path)).collect()}
+    finally:
+        spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
+    assert rows == {name: (len(content), hashlib.sha256(content).hexdigest()) for name, content in contents.items()}
+
+
 def test_header_limit_and_case_lookup(spark):
     df = spark.createDataFrame([("b",), ("a",), (None,)], "label string")
     assert reshape.header_labels(df, "label") == ["a", "b"]
